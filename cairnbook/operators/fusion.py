@@ -336,4 +336,3 @@ def fuse_events(records: DataFrame, sidecars: DataFrame | None = None, map_polic
     return fold_events(fuse_long(records, sidecars, map_policy).checkpoint(), max_pieces)
 
 
-__all__ = [n for n in dir() if not n.startswith("_")]
