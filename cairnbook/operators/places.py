@@ -38,8 +38,9 @@ def match_places(texts: DataFrame, names: DataFrame, literal_limit: int = LITERA
     keyed = keyed.where(F.col("size") > 0)  # a name of punctuation only has no word boundary to match
     runs = lambda n: F.transform(F.sequence(F.lit(1), F.size("w") - n + 1),
                                  lambda i: F.array_join(F.slice(F.col("w"), i, n), " "))
+    used = sorted(r["size"] for r in keyed.select("size").distinct().collect())  # at most three values
     every = F.flatten(F.array(*[F.when(F.size("w") >= n, runs(n)).otherwise(F.array().cast("array<string>"))
-                                for n in range(1, GRAM + 1)]))
+                                for n in used])) if used else F.array().cast("array<string>")
     offered = (texts.withColumn("w", _tokens(F.col("text")))
                .select("doc_id", F.explode(F.array_distinct(every)).alias("gram")))
     candidates = offered.join(keyed.select("gram", "name"), "gram").select("doc_id", "name")
