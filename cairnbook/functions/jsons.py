@@ -13,10 +13,13 @@ def fields(raw: Column) -> Column:
 
 
 def kind(v: Column) -> Column:
-    """STRING, NUMBER, BOOLEAN, ARRAY, OBJECT or NULL."""
-    s = F.schema_of_variant(v)
-    return (F.when(s.startswith("ARRAY"), "ARRAY").when(s.startswith("OBJECT"), "OBJECT")
-            .when(s == "VOID", "NULL").when(s.isin("STRING", "BOOLEAN"), s).otherwise("NUMBER"))
+    """STRING, BOOLEAN, ARRAY, OBJECT, VOID (JSON null), or '' for numbers.
+
+    Kept to a single look at the value: inside lambdas nothing is shared between branches."""
+    return F.regexp_extract(F.schema_of_variant(v), "^(ARRAY|OBJECT|STRING|BOOLEAN|VOID)", 1)
+
+
+NUMBER = ""
 
 
 def quoted(c: Column) -> Column:

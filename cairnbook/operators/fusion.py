@@ -14,7 +14,9 @@ from cairnbook.constants import (
 )
 from cairnbook.functions import jsons as J
 from cairnbook.functions.strings import relative_path, strip
+from cairnbook.operators.ledger import descending
 from cairnbook.operators.ranking import number_rows
+from cairnbook.session import ensure_checkpoint_dir
 
 
 def score_of(c: Column) -> Column:
@@ -169,35 +171,40 @@ def choose_sidecar(records: DataFrame, sidecars: DataFrame) -> DataFrame:
             .groupBy("event_id").agg(F.min_by("sidecar_json", "record_id").alias("sidecar_json")))
 
 
-def merge_json(base: Column, sidecar: Column) -> Column:
-    """Base record with the sidecar's maps laid over and its lists united; one expression per event row."""
-    b, s = J.fields(base), J.fields(sidecar)
+def merge_documents(df: DataFrame, base: str, sidecar: str, out: str) -> DataFrame:
+    """Base record with the sidecar's maps laid over and its lists united; row by row, no shuffle.
+
+    Intermediate arrays are columns of their own, because an expression captured by a
+    lambda would be computed again for every element."""
     get = lambda m, k: F.try_element_at(m, F.lit(k))
-    text_items = lambda v: F.transform(F.when(J.kind(v) == "ARRAY", J.items(v)), lambda x: F.struct(
-        F.coalesce(x.cast("string"), F.lit("None")).alias("id"), F.to_json(x).alias("json")))
-    none = F.array().cast("array<struct<id:string,json:string>>")
+    pairs_type, item_type = "array<struct<key:string,value:string>>", "array<struct<id:string,json:string>>"
+    as_items = lambda v: F.coalesce(F.transform(J.items(v), lambda x: F.struct(
+        F.coalesce(x.cast("string"), F.lit("None")).alias("id"), F.to_json(x).alias("json"))), F.array().cast(item_type))
+    as_pairs = lambda v: F.coalesce(F.transform(J.members(v), lambda e: F.struct(
+        e["key"].alias("key"), F.to_json(e["value"]).alias("value"))), F.array().cast(pairs_type))
+    step = df.withColumn("_b", J.fields(F.col(base))).withColumn("_s", J.fields(F.col(sidecar)))
+    step = step.withColumns({f"_all_{k}": F.concat(as_items(get("_b", k)), as_items(get("_s", k))) for k in SIDECAR_LIST_KEYS})
+    step = step.withColumns({f"_over_{k}": as_pairs(get("_s", k)) for k in SIDECAR_MAP_KEYS})
+    step = step.withColumns({f"_ids_{k}": F.transform(f"_all_{k}", lambda x: x["id"]) for k in SIDECAR_LIST_KEYS})
+    step = step.withColumns({f"_ids_{k}": F.transform(f"_over_{k}", lambda e: e["key"]) for k in SIDECAR_MAP_KEYS})
 
     def united(k: str) -> Column:
-        every = F.concat(F.coalesce(text_items(get(b, k)), none), F.coalesce(text_items(get(s, k)), none))
-        ids = F.transform(every, lambda x: x["id"])
-        first = F.filter(every, lambda x, i: F.array_position(ids, x["id"]) == i + 1)
+        first = F.filter(f"_all_{k}", lambda x, i: F.array_position(f"_ids_{k}", x["id"]) == i + 1)
         return J.array_text(F.transform(first, lambda x: x["json"]))
 
     def laid_over(k: str) -> Column:
-        pairs = lambda v: F.coalesce(F.transform(F.when(J.kind(v) == "OBJECT", J.members(v)), lambda e: F.struct(
-            e["key"].alias("key"), F.to_json(e["value"]).alias("value"))), F.array().cast("array<struct<key:string,value:string>>"))
-        over = pairs(get(s, k))
-        names = F.transform(over, lambda e: e["key"])
-        return J.object_text(F.concat(F.filter(pairs(get(b, k)), lambda e: ~F.array_contains(names, e["key"])), over))
+        kept = F.filter(as_pairs(get("_b", k)), lambda e: ~F.array_contains(f"_ids_{k}", e["key"]))
+        return J.object_text(F.concat(kept, F.col(f"_over_{k}")))
 
     pair = lambda k, test, text: F.when(F.coalesce(test, F.lit(False)), F.struct(F.lit(k).alias("key"), text.alias("value")))
-    changed = F.array_compact(F.array(
-        *[pair(k, J.kind(get(s, k)) == "OBJECT", laid_over(k)) for k in SIDECAR_MAP_KEYS],
-        *[pair(k, _truthy(get(s, k)), united(k)) for k in SIDECAR_LIST_KEYS]))
-    names = F.transform(changed, lambda e: e["key"])
-    kept = F.transform(F.filter(F.map_entries(b), lambda e: ~F.array_contains(names, e["key"])),
+    step = step.withColumn("_changed", F.array_compact(F.array(
+        *[pair(k, J.kind(get("_s", k)) == "OBJECT", laid_over(k)) for k in SIDECAR_MAP_KEYS],
+        *[pair(k, _truthy(get("_s", k)), united(k)) for k in SIDECAR_LIST_KEYS])))
+    step = step.withColumn("_names", F.transform("_changed", lambda e: e["key"]))
+    kept = F.transform(F.filter(F.map_entries("_b"), lambda e: ~F.array_contains("_names", e["key"])),
                        lambda e: F.struct(e["key"].alias("key"), F.to_json(e["value"]).alias("value")))
-    return F.when(s.isNull(), base).otherwise(J.object_text(F.concat(kept, changed)))
+    merged = F.when(F.col("_s").isNull(), F.col(base)).otherwise(J.object_text(F.concat(kept, "_changed")))
+    return step.withColumn(out, merged).select(*df.columns, *([out] if out not in df.columns else []))
 
 
 def enriched_records(records: DataFrame, sidecars: DataFrame | None = None) -> DataFrame:
@@ -206,7 +213,7 @@ def enriched_records(records: DataFrame, sidecars: DataFrame | None = None) -> D
     if sidecars is None:
         return base
     joined = base.join(choose_sidecar(records, sidecars), "event_id", "left")
-    return joined.select("event_id", merge_json(F.col("artifact_json"), F.col("sidecar_json")).alias("artifact_json"))
+    return merge_documents(joined, "artifact_json", "sidecar_json", "artifact_json").select("event_id", "artifact_json")
 
 
 # --- fusion over open keys ----------------------------------------------------------------------
@@ -226,70 +233,66 @@ def _field_rows(records: DataFrame, enriched: DataFrame) -> DataFrame:
                     J.kind(F.col("e.value")).alias("kind")))
 
 
-def _scalar_choice(rows: DataFrame) -> DataFrame:
-    """Winner per event and key under the key's rule, plus whether the key is a list or a map.
+# What a piece is; of several for one key the lowest wins: addresses gathered from
+# source_url, list items, map members, plain values.
+URLS, LIST, MAP, SCALAR = 0, 1, 2, 3
+_PIECE = "array<struct<cls:int,key:string,sub:string,e:boolean,l:int,z:double,a:string,p:int,json:string>>"
+
+
+def _pieces(key: Column, value: Column, kind: Column) -> Column:
+    """Atomic pieces of one field, each with the sort fields of its rule (smaller wins)."""
+    def piece(cls, json, sub=F.lit(None), at=F.lit(0), name=key, e=F.lit(False), l=F.lit(0), z=F.lit(0.0), a=F.lit("")):
+        return F.struct(F.lit(cls).alias("cls"), name.alias("key"), sub.cast("string").alias("sub"), e.alias("e"),
+                        l.alias("l"), z.alias("z"), a.alias("a"), at.alias("p"), json.cast("string").alias("json"))
 
-    Each rule is a sort order, so a single ``min_by`` carries a single copy of the text."""
-    key, text = F.col("key"), F.col("value").cast("string")
-    empty = F.to_json("value").isin("null", '""', "[]", "{}")
-    dated = F.coalesce(text.startswith("20"), F.lit(False)) & (F.col("kind") == "STRING")
+    text = value.cast("string")
+    empty = F.to_json(value).isin("null", '""')
+    dated = F.coalesce(text.startswith("20"), F.lit(False)) & (kind == "STRING")
     late = (F.when(key == "title", F.coalesce(text.contains("None"), F.lit(False)).cast("int"))
             .when(key == "accident_date", (~dated).cast("int")).otherwise(0))
     size = (F.when(key.isin("title", *LONGEST_WINS_KEYS), -F.length(text).cast("double"))
             .when(key == "extraction_confidence_score", F.lit(0.0) - score_of(text)).otherwise(0.0))
     alpha = F.when((key == "accident_date") & dated, text).otherwise("")
-    blank = lambda c, zero: F.when(empty, zero).otherwise(c)
-    order = F.struct(empty.alias("e"), blank(late, 0).alias("l"), blank(size, 0.0).alias("z"),
-                     blank(alpha, "").alias("a"), F.col("rank"))
-    return rows.groupBy("event_id", "key").agg(
-        F.min_by(F.to_json("value"), order).alias("value"),
-        F.max(F.col("kind") == "ARRAY").alias("is_list"), F.max(F.col("kind") == "OBJECT").alias("is_map"))
+    blank = lambda c, zero: F.when(empty, F.lit(zero)).otherwise(c)
+    plain = piece(SCALAR, F.to_json(value), e=empty, l=blank(late, 0), z=blank(size, 0.0), a=blank(alpha, ""))
+    mark = lambda cls: F.array(piece(cls, F.lit(None)))  # keeps an empty list or map alive
+    listed = F.transform(J.items(value), lambda x, i: piece(
+        LIST, F.to_json(x), sub=F.coalesce(x.cast("string"), F.lit("None")), at=i))
+    members = F.transform(J.members(value), lambda e: piece(MAP, F.to_json(e["value"]), sub=e["key"]))
+    raw = F.when(kind == "STRING", F.array(text)).when(kind == "ARRAY", F.transform(
+        J.items(value), lambda x: F.when(J.kind(x) == "STRING", x.cast("string"))))
+    urls = F.filter(F.transform(raw, lambda u, i: piece(URLS, J.quoted(strip(u)), sub=strip(u), at=i, name=F.lit("source_urls"))),
+                    lambda u: u["sub"] != "")
+    none = F.array().cast(_PIECE)
+    own = (F.when(kind == "ARRAY", F.concat(mark(LIST).cast(_PIECE), listed.cast(_PIECE)))
+           .when(kind == "OBJECT", F.concat(mark(MAP).cast(_PIECE), members.cast(_PIECE)))
+           .otherwise(F.array(plain).cast(_PIECE)))
+    return F.concat(own, F.when(key == "source_url", F.coalesce(urls.cast(_PIECE), none)).otherwise(none))
 
 
 def fuse_long(records: DataFrame, sidecars: DataFrame | None = None, map_policy: str = "last") -> DataFrame:
     """Fused events, one row per atomic piece: ``event_id, key, kind, subkey, at, value`` (JSON text).
 
-    ``kind`` is scalar, list or map; ``at`` orders list items. Complete for events of any size."""
+    ``kind`` is scalar, list or map; ``at`` orders list items. One shuffle, on event, key
+    and piece, after a local minimum; complete for events of any size. The reduced pieces
+    are checkpointed since they are read twice."""
+    ensure_checkpoint_dir(records.sparkSession)
     rows = _field_rows(records, enriched_records(records, sidecars))
-    keys = _scalar_choice(rows)
-    no_at = F.lit(None).cast("struct<s:double,q:int,o:string,p:int>").alias("at")
-    no_text = F.lit(None).cast("string")
-    scalars = keys.where(~F.col("is_list") & ~F.col("is_map")).select(
-        "event_id", "key", F.lit("scalar").alias("kind"), no_text.alias("subkey"), no_at, "value")
-    # Keys that are lists or maps keep one marker row, so that an empty list survives.
-    marks = keys.where(F.col("is_list") | F.col("is_map")).select(
-        "event_id", "key", F.when(F.col("is_list"), "list").otherwise("map").alias("kind"),
-        no_text.alias("subkey"), no_at, no_text.alias("value"))
-
-    lists = rows.where(F.col("kind") == "ARRAY").select(
-        "event_id", "key", "rank", F.posexplode(J.items(F.col("value"))).alias("pos", "x"))
-    urls = (rows.where((F.col("key") == "source_url") & F.col("kind").isin("STRING", "ARRAY"))
-            .select("event_id", F.lit("source_urls").alias("key"), "rank", F.posexplode(
-                F.when(F.col("kind") == "STRING", F.array("value")).otherwise(J.items(F.col("value")))).alias("pos", "x"))
-            .where(F.schema_of_variant("x") == "STRING")
-            .select("event_id", "key", "rank", "pos", strip(F.col("x").cast("string")).alias("id")).where("id <> ''")
-            .select("event_id", "key", "rank", "pos", "id", J.quoted(F.col("id")).alias("value")))
-    at = F.struct(F.col("rank.s").alias("s"), F.col("rank.q").alias("q"), F.col("rank.o").alias("o"), F.col("pos").alias("p"))
-    plain = lists.select("event_id", "key", "rank", "pos",
-                         F.coalesce(F.col("x").cast("string"), F.lit("None")).alias("id"), F.to_json("x").alias("value"))
-    united = (plain.unionByName(urls.withColumn("key", F.lit("\u0001urls")))
-              .groupBy("event_id", "key", "id").agg(F.min(F.struct(at.alias("at"), F.col("value"))).alias("m"))
-              .select("event_id", "key", F.lit("list").alias("kind"), no_text.alias("subkey"), "m.at", "m.value"))
-    # Addresses gathered from source_url replace a source_urls list the sources may carry.
-    found = united.where(F.col("key") == "\u0001urls").withColumn("key", F.lit("source_urls"))
-    own = united.where(F.col("key") == "source_urls").join(found.select("event_id").distinct(), "event_id", "left_anti")
-    other = united.where(~F.col("key").isin("\u0001urls", "source_urls"))
-
-    maps = rows.where(F.col("kind") == "OBJECT").select("event_id", "key", "rank", F.explode(J.members(F.col("value"))).alias("e"))
-    maps = maps.select("event_id", "key", "rank", F.col("e.key").alias("subkey"), F.to_json("e.value").alias("value"))
-    list_keys = keys.where(F.col("is_list")).select("event_id", "key")
-    merged = (merge_maps(maps, ["event_id", "key"], map_policy).join(list_keys, ["event_id", "key"], "left_anti")
-              .select("event_id", "key", F.lit("map").alias("kind"), "subkey", no_at, "value"))
-    cols = ["event_id", "key", "kind", "subkey", "at", "value"]
-    out = scalars
-    for part in (marks, other, own, found, merged):
-        out = out.unionByName(part.select(*cols))
-    return out
+    each = rows.select("event_id", "rank", F.explode(_pieces(F.col("key"), F.col("value"), F.col("kind"))).alias("x"))
+    backwards = (F.col("x.cls") == MAP) if map_policy == "last" else F.lit(False)
+    s, q, o = F.col("rank.s"), F.col("rank.q"), F.col("rank.o")
+    order = [F.col(f"x.{n}").alias(n) for n in "elza"] + [
+        F.when(backwards, F.lit(0.0) - s).otherwise(s).alias("s"), F.when(backwards, -q).otherwise(q).alias("q"),
+        F.when(backwards, descending(o)).otherwise(o).alias("o"), F.col("x.p").alias("p")]
+    reduced = (each.groupBy("event_id", F.col("x.key").alias("key"), F.col("x.cls").alias("cls"), F.col("x.sub").alias("sub"))
+               .agg(F.min(F.struct(*order, F.col("x.json").alias("json"))).alias("w")).checkpoint())
+    mixed = (reduced.groupBy("event_id", "key").agg(F.min("cls").alias("winner"), F.max("cls").alias("worst"))
+             .where("winner <> worst").drop("worst"))
+    kept = reduced.join(mixed, ["event_id", "key"], "left").where("winner IS NULL OR cls = winner")
+    at = F.when(F.col("cls").isin(URLS, LIST) & F.col("sub").isNotNull(), F.struct("w.s", "w.q", "w.o", "w.p"))
+    kind = F.when(F.col("cls").isin(URLS, LIST), "list").when(F.col("cls") == MAP, "map").otherwise("scalar")
+    return kept.select("event_id", "key", kind.alias("kind"), F.when(F.col("cls") == MAP, F.col("sub")).alias("subkey"),
+                       at.alias("at"), F.col("w.json").alias("value"))
 
 
 def fold_events(long: DataFrame, max_pieces: int = 50_000) -> DataFrame:
@@ -306,8 +309,8 @@ def fold_events(long: DataFrame, max_pieces: int = 50_000) -> DataFrame:
     text = (F.when(F.col("kind") == "list", J.array_text(F.transform("pieces", lambda p: p["value"])))
             .when(F.col("kind") == "map", J.object_text(pairs))
             .otherwise(F.coalesce(F.try_element_at("pieces", F.lit(1))["value"], F.lit("null"))))
-    folded = (per_key.select("event_id", "key", text.alias("value")).groupBy("event_id", "key").agg(F.max("value").alias("value"))
-              .groupBy("event_id").agg(F.collect_list(F.struct("key", "value")).alias("pairs")))
+    folded = per_key.select("event_id", "key", text.alias("value")).groupBy("event_id").agg(
+        F.collect_list(F.struct("key", "value")).alias("pairs"))
     named = F.transform("pairs", lambda p: p["key"])
     default = lambda k, v: F.when(~F.array_contains(named, k), F.struct(F.lit(k).alias("key"), F.lit(v).alias("value")))
     full = F.concat("pairs", F.array_compact(F.array(default("source_urls", "[]"), default("source_url", '""'))))
@@ -329,10 +332,5 @@ def relative_paths_json(raw: Column, root: str) -> Column:
 
 def fuse_events(records: DataFrame, sidecars: DataFrame | None = None, map_policy: str = "last",
                 max_pieces: int = 50_000) -> DataFrame:
-    """Folded events. The long form is read three times, so it is checkpointed once."""
-    from cairnbook.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(records.sparkSession)
-    return fold_events(fuse_long(records, sidecars, map_policy).checkpoint(), max_pieces)
-
-
+    """Folded events, see ``fuse_long`` and ``fold_events``."""
+    return fold_events(fuse_long(records, sidecars, map_policy), max_pieces)

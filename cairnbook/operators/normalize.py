@@ -31,14 +31,14 @@ def _float_text(s: Column) -> Column:
 def as_int(v: Column) -> Column:
     """Numbers cut toward zero, truth values 1 and 0, whole-number texts."""
     k, s = J.kind(v), strip(v.cast("string"))
-    return (F.when(k == "NUMBER", v.cast("string").try_cast("double").try_cast("int"))
+    return (F.when(k == J.NUMBER, v.cast("string").try_cast("double").try_cast("int"))
             .when(k == "BOOLEAN", v.cast("string").try_cast("boolean").cast("int"))
             .when((k == "STRING") & s.rlike(r"^[+-]?\d+$"), s.try_cast("int")))
 
 
 def as_float(v: Column) -> Column:
     k = J.kind(v)
-    return (F.when(k == "NUMBER", v.cast("string").try_cast("double"))
+    return (F.when(k == J.NUMBER, v.cast("string").try_cast("double"))
             .when(k == "BOOLEAN", v.cast("string").try_cast("boolean").cast("int").cast("double"))
             .when(k == "STRING", _float_text(v.cast("string"))))
 
@@ -113,7 +113,7 @@ def _enum_list(v: Column, allowed) -> Column:
 
 def _cause_int(v: Column) -> Column:
     k = J.kind(v)
-    text = F.when(k.isin("NUMBER", "STRING"), v.cast("string"))
+    text = F.when(k.isin(J.NUMBER, "STRING"), v.cast("string"))
     return _float_text(text).try_cast("int")
 
 

@@ -37,15 +37,20 @@ def _selector_rank(e: Column) -> Column:
     return rank
 
 
-def container(elements: Column) -> Column:
-    """Article element: best selector, else the section with most paragraph text (> 200), else the body."""
+def _paragraphs(elements: Column) -> Column:
+    return F.transform(H.with_tag(elements, "p"), lambda p: F.struct(
+        p["pos"].alias("pos"), F.length(H.text_of(p)).alias("n")))
+
+
+def container(elements: Column, paras: Column) -> Column:
+    """Article element: best selector, else the section with most paragraph text (> 200), else the body.
+
+    ``paras`` is the ``_paragraphs`` column; as a column it is not computed anew inside the lambda."""
     ranked = F.filter(
         F.transform(elements, lambda e: F.struct(
             _selector_rank(e).alias("rank"), e["pos"].alias("pos"), e["end"].alias("end"), e["tag"].alias("kind"))),
         lambda r: r["rank"].isNotNull())
     selected = F.array_min(ranked)
-    paras = F.transform(H.with_tag(elements, "p"), lambda p: F.struct(
-        p["pos"].alias("pos"), F.length(H.text_of(p)).alias("n")))
     weighed = F.transform(H.with_tag(elements, "article", "section", "div"), lambda e: F.struct(
         F.aggregate(F.filter(paras, lambda p: H.inside(p, e)), F.lit(0), lambda s, p: s + p["n"]).alias("n"),
         (-e["pos"]).alias("order"), e["end"].alias("end"), e["tag"].alias("kind")))
@@ -71,7 +76,8 @@ def _blocks(elements: Column, keep) -> Column:
 
 def page_blocks(parsed: DataFrame) -> DataFrame:
     """Add ``container``, its ``blocks`` and the document's headings."""
-    out = parsed.withColumn("container", container(F.col("elements")))
+    out = (parsed.withColumn("_paras", _paragraphs(F.col("elements")))
+           .withColumn("container", container(F.col("elements"), F.col("_paras"))).drop("_paras"))
     return (out
             .withColumn("blocks", _blocks(F.col("elements"), lambda e: H.inside(e, F.col("container"))))
             .withColumn("headings", _blocks(F.col("elements"), lambda e: e["tag"].isin("h1", "h2"))))
