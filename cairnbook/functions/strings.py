@@ -28,8 +28,9 @@ def text_or_empty(c: Column) -> Column:
 
 
 def first_match(c: Column, pattern: str, group: int = 1) -> Column:
-    """First match of a group; null when the pattern does not match."""
-    return F.when(F.regexp_like(c, F.lit(pattern)), F.regexp_extract(c, pattern, group))
+    """First match of a group; null when the pattern does not match (or the group is empty)."""
+    found = F.regexp_extract(c, pattern, group)
+    return F.when(found != "", found)
 
 
 def all_matches(c: Column, pattern: str, group: int = 0) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cairnbook import constants as C
 from cairnbook.functions import blocks as B, dates as D, extract as X, strings as S
 from cairnbook.operators import pages as P, places
+from cairnbook.operators.extraction import pre_extract as pre_extract_hints
 from cairnbook.plans.bridges import bridge, with_bridges
 from cairnbook.plans.registry import query, table
 
@@ -381,7 +382,7 @@ def gazetteer_match(spark, sf_dir):
 
 @query("pre_extract")
 def pre_extract(spark, sf_dir):
-    return bridge(spark, sf_dir, "bridge_articles").select("doc_id", X.hints(F.col("text"), C.GAZETTEER).alias("h")).select("doc_id", "h.*")
+    return pre_extract_hints(bridge(spark, sf_dir, "bridge_articles"))
 
 
 HOST_SQL = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)"
