@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from cairnbook.functions.strings import first_match, strip
+from cairnbook.functions.strings import strip
 
 _MONTH_INDEX = "janfebmaraprmayjunjulaugsepoctnovdec"
 _MONTH = r"(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*\.?"
@@ -12,6 +12,17 @@ MONTH_FIRST = rf"(?i)^{_MONTH}\s+(\d{{1,2}})(?:st|nd|rd|th)?,?\s+(\d{{4}})$"
 DAY_FIRST = rf"(?i)^(\d{{1,2}})\s+{_MONTH},?\s+(\d{{4}})$"
 YEAR_FIRST = r"^(\d{4})/(\d{2})/(\d{2})$"
 NUMERIC = r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4}|\d{2})$"
+# Spellings rewritten to year-month-day, one after the other.
+REWRITES = (
+    (r"(?s)^(\d{4}-\d{2}-\d{2}).*$", "$1"),
+    (YEAR_FIRST, "$1-$2-$3"),
+    (MONTH_FIRST, "$3-$1-$2"),
+    (DAY_FIRST, "$3-$2-$1"),
+    (r"^(\d{1,2}[/-]\d{1,2}[/-])([0-6]\d)$", "$120$2"),
+    (r"^(\d{1,2}[/-]\d{1,2}[/-])([7-9]\d)$", "$119$2"),
+    (r"^(1[3-9]|[2-9]\d)[/-](\d{1,2})[/-](\d{4})$", "$3-$2-$1"),
+    (r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})$", "$3-$1-$2"),
+)
 
 
 def month_number(name: Column) -> Column:
@@ -30,26 +41,12 @@ def checked_date(year: Column, month: Column, day: Column) -> Column:
 def parse_date(c: Column) -> Column:
     """DATE for the accepted spellings, else null.
 
-    A leading yyyy-MM-dd decides alone, so a zone offset never moves the local day."""
+    A leading yyyy-MM-dd decides alone, so a zone offset never moves the local day. The
+    spellings are rewritten in a chain: the text occurs once in the expression, however deep it is."""
     s = strip(c)
-    iso = F.try_to_date(first_match(s, r"^(\d{4}-\d{2}-\d{2})"), "yyyy-MM-dd")
-
-    def part(pattern: str, group: int) -> Column:
-        return F.regexp_extract(s, pattern, group)
-
-    a, b = part(NUMERIC, 1).try_cast("int"), part(NUMERIC, 2).try_cast("int")
-    yy = part(NUMERIC, 3).try_cast("int")
-    year = F.when(yy < 70, yy + 2000).when(yy < 100, yy + 1900).otherwise(yy)
-    return (
-        F.when(s.rlike(r"^\d{4}-\d{2}-\d{2}"), iso)
-        .when(s.rlike(YEAR_FIRST), checked_date(part(YEAR_FIRST, 1), part(YEAR_FIRST, 2), part(YEAR_FIRST, 3)))
-        .when(s.rlike(MONTH_FIRST),
-              checked_date(part(MONTH_FIRST, 3), month_number(part(MONTH_FIRST, 1)), part(MONTH_FIRST, 2)))
-        .when(s.rlike(DAY_FIRST),
-              checked_date(part(DAY_FIRST, 3), month_number(part(DAY_FIRST, 2)), part(DAY_FIRST, 1)))
-        .when(s.rlike(NUMERIC),
-              F.when(a > 12, checked_date(year, b, a)).otherwise(checked_date(year, a, b)))
-    )
+    for pattern, form in REWRITES:
+        s = F.regexp_replace(s, pattern, form)
+    return F.coalesce(F.try_to_date(s, "yyyy-M-d"), F.try_to_date(s, "yyyy-MMM-d"))
 
 
 def iso_date(c: Column) -> Column:

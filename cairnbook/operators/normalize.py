@@ -2,146 +2,164 @@
 
 Input is one JSON object per row. It is parsed once into ``map<string,variant>``; every
 rule then looks at the kind of a value before converting it, so the number 3 never
-passes as the text "3" unless the rule says so."""
+passes as the text "3" unless the rule says so. Value, kind and text of each key are
+columns of their own: each is computed once and the rules stay small expressions. With
+over a hundred keys the rules are written as SQL text, which builds the plan in one step
+per key."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cairnbook import constants as C
 from cairnbook.functions import jsons as J
 from cairnbook.functions.dates import iso_date
-from cairnbook.functions.strings import none_if_blank, strip
+from cairnbook.functions.strings import none_if_blank
 
-_FLOAT_TEXT = r"(?i)^[+-]?(?:\d+\.?\d*(?:e[+-]?\d+)?|\.\d+(?:e[+-]?\d+)?|nan|inf|infinity)$"
+FLOAT_TEXT = r"(?i)^[+-]?(?:\d+\.?\d*(?:e[+-]?\d+)?|\.\d+(?:e[+-]?\d+)?|nan|inf|infinity)$"
 
 
-def _text(v: Column) -> Column:
-    return F.when(J.kind(v) == "STRING", v.cast("string"))
+class Value(NamedTuple):
+    """SQL for a JSON value, its kind, and its text (the content of a string, else JSON)."""
 
+    v: str
+    kind: str
+    text: str
 
-def as_string(v: Column) -> Column:
-    return none_if_blank(_text(v))
 
+def kind_sql(v: str) -> str:
+    return f"regexp_extract(schema_of_variant({v}), '^(ARRAY|OBJECT|STRING|BOOLEAN|VOID)', 1)"
 
-def _float_text(s: Column) -> Column:
-    return F.when(strip(s).rlike(_FLOAT_TEXT), strip(s).try_cast("double"))
 
+def value_of(v: str) -> Value:
+    return Value(v, kind_sql(v), f"cast({v} AS string)")
 
-def as_int(v: Column) -> Column:
-    """Numbers cut toward zero, truth values 1 and 0, whole-number texts."""
-    k, s = J.kind(v), strip(v.cast("string"))
-    return (F.when(k == J.NUMBER, v.cast("string").try_cast("double").try_cast("int"))
-            .when(k == "BOOLEAN", v.cast("string").try_cast("boolean").cast("int"))
-            .when((k == "STRING") & s.rlike(r"^[+-]?\d+$"), s.try_cast("int")))
 
+def _strip(x: str) -> str:
+    return rf"regexp_replace({x}, r'(?U)^\s+|\s+$', '')"
 
-def as_float(v: Column) -> Column:
-    k = J.kind(v)
-    return (F.when(k == J.NUMBER, v.cast("string").try_cast("double"))
-            .when(k == "BOOLEAN", v.cast("string").try_cast("boolean").cast("int").cast("double"))
-            .when(k == "STRING", _float_text(v.cast("string"))))
 
+def _items(x: Value) -> str:
+    return f"CASE WHEN {x.kind} = 'ARRAY' THEN try_variant_get({x.v}, '$', 'array<variant>') END"
 
-def as_bool(v: Column) -> Column:
-    k, s = J.kind(v), F.lower(strip(v.cast("string")))
-    return (F.when(k == "BOOLEAN", s == "true")
-            .when((k == "STRING") & s.isin(*C.TRUE_WORDS), F.lit(True))
-            .when((k == "STRING") & s.isin(*C.FALSE_WORDS), F.lit(False)))
 
+def _words(words: Sequence[str]) -> str:
+    return ", ".join(f"'{w}'" for w in words)
 
-def _strings(v: Column) -> Column:
-    """Trimmed non-blank strings of a list; a single string counts as a list of one."""
-    listed = F.array_compact(F.transform(J.items(v), as_string))
-    return F.when(J.kind(v) == "ARRAY", listed).when(as_string(v).isNotNull(), F.array(as_string(v)))
+
+def as_string(x: Value) -> str:
+    return f"CASE WHEN {x.kind} = 'STRING' THEN nullif({_strip(x.text)}, '') END"
 
 
-def _not_empty(a: Column) -> Column:
-    return F.when(F.size(a) > 0, a)
+def _float_text(t: str) -> str:
+    return f"CASE WHEN {_strip(t)} RLIKE r'{FLOAT_TEXT}' THEN try_cast({_strip(t)} AS double) END"
+
+
+def as_int(x: Value) -> str:
+    """Numbers cut toward zero, truth values 1 and 0, whole-number texts."""
+    return (f"CASE {x.kind} WHEN '' THEN try_cast(try_cast({x.text} AS double) AS int) "
+            f"WHEN 'BOOLEAN' THEN cast({x.text} = 'true' AS int) "
+            rf"WHEN 'STRING' THEN CASE WHEN {_strip(x.text)} RLIKE r'^[+-]?\d+$' THEN try_cast({_strip(x.text)} AS int) END END")
 
 
-def as_string_list(v: Column) -> Column:
-    return _not_empty(F.array_distinct(_strings(v)))
+def as_float(x: Value) -> str:
+    return (f"CASE {x.kind} WHEN '' THEN try_cast({x.text} AS double) WHEN 'BOOLEAN' THEN cast({x.text} = 'true' AS double) "
+            f"WHEN 'STRING' THEN {_float_text(x.text)} END")
 
 
-def as_object_list(v: Column) -> Column:
+def as_bool(x: Value) -> str:
+    said = f"lower({_strip(x.text)})"
+    return (f"CASE {x.kind} WHEN 'BOOLEAN' THEN {x.text} = 'true' WHEN 'STRING' THEN "
+            f"CASE WHEN {said} IN ({_words(C.TRUE_WORDS)}) THEN true WHEN {said} IN ({_words(C.FALSE_WORDS)}) THEN false END END")
+
+
+def _strings(x: Value) -> str:
+    """Trimmed non-blank strings of a list; a single string counts as a list of one."""
+    return (f"CASE {x.kind} WHEN 'ARRAY' THEN array_compact(transform({_items(x)}, i -> {as_string(value_of('i'))})) "
+            f"WHEN 'STRING' THEN array_compact(array({as_string(x)})) END")
+
+
+def as_object_list(x: Value) -> str:
     """Objects of a list as JSON text, blank strings pruned, empty objects dropped."""
-    def pruned(o: Column) -> Column:
-        kept = F.filter(J.members(o), lambda e: (J.kind(e["value"]) != "STRING") | as_string(e["value"]).isNotNull())
-        pairs = F.transform(kept, lambda e: F.struct(e["key"].alias("key"), F.to_json(e["value"]).alias("value")))
-        return F.when(F.size(pairs) > 0, J.object_text(pairs))
-    objects = F.filter(J.items(v), lambda o: J.kind(o) == "OBJECT")
-    return _not_empty(F.array_compact(F.transform(objects, pruned)))
+    keep = f"NOT ({kind_sql('e.value')} = 'STRING' AND {_strip('cast(e.value AS string)')} = '')"
+    members = f"filter(map_entries(try_variant_get(o, '$', 'map<string,variant>')), e -> {keep})"
+    text = (f"concat('{{', array_join(transform(array_sort(transform({members}, e -> struct(e.key AS k, to_json(e.value) AS j))), "
+            "p -> concat(substring(to_json(array(p.k)), 2, length(to_json(array(p.k))) - 2), ':', p.j)), ','), '}')")
+    return f"filter(transform(filter({_items(x)}, o -> {kind_sql('o')} = 'OBJECT'), o -> {text}), t -> t <> '{{}}')"
 
 
-def as_list(v: Column) -> Column:
+def as_list(x: Value) -> str:
     """A list of strings, or of objects (as JSON text) as soon as one item is no string."""
-    plain = F.forall(J.items(v), lambda x: J.kind(x) == "STRING")
-    return F.when((J.kind(v) == "ARRAY") & ~plain, as_object_list(v)).otherwise(as_string_list(v))
+    mixed = f"coalesce(exists({_items(x)}, i -> {kind_sql('i')} <> 'STRING'), false)"
+    return f"CASE WHEN {mixed} THEN {as_object_list(x)} ELSE array_distinct({_strings(x)}) END"
 
 
-def as_people(v: Column) -> Column:
-    def person(p: Column) -> Column:
-        get = lambda k: F.try_variant_get(p, f"$.{k}", "variant")
-        age = F.coalesce(as_int(get("age")))
-        said = lambda k: strip(_text(get(k)))
-        row = F.struct(as_string(get("name")).alias("name"), age.alias("age"),
-                       said("outcome").alias("outcome"), said("injuries").alias("injuries"))
-        return F.when(F.coalesce(row["name"], row["age"].cast("string"), row["outcome"], row["injuries"]).isNotNull(), row)
-    objects = F.filter(J.items(v), lambda o: J.kind(o) == "OBJECT")
-    return _not_empty(F.array_compact(F.transform(objects, person)))
+def as_people(x: Value) -> str:
+    get = lambda k: value_of(f"try_variant_get(p, '$.{k}', 'variant')")
+    said = lambda k: f"CASE WHEN {get(k).kind} = 'STRING' THEN {_strip(get(k).text)} END AS {k}"
+    person = f"struct({as_string(get('name'))} AS name, {as_int(get('age'))} AS age, {said('outcome')}, {said('injuries')})"
+    return (f"filter(transform(filter({_items(x)}, o -> {kind_sql('o')} = 'OBJECT'), p -> {person}), "
+            "q -> coalesce(q.name, cast(q.age AS string), q.outcome, q.injuries) IS NOT NULL)")
 
 
-def as_object(v: Column) -> Column:
-    return F.when((J.kind(v) == "OBJECT") & (F.size(J.members(v)) > 0), F.to_json(v))
+def as_object(x: Value) -> str:
+    return f"CASE WHEN {x.kind} = 'OBJECT' AND {x.text} <> '{{}}' THEN {x.text} END"
 
 
-def keep_enum(text: Column, allowed) -> Column:
-    low = F.lower(strip(text))
-    return F.when(low.isin(*allowed), low)
+def keep_enum(x: Value, allowed: Sequence[str]) -> str:
+    low = f"lower({_strip(x.text)})"
+    return f"CASE WHEN {x.kind} = 'STRING' AND {low} IN ({_words(allowed)}) THEN {low} END"
 
 
 # --- causes -------------------------------------------------------------------------------
 
-def _lower_distinct(v: Column) -> Column:
-    return F.array_distinct(F.transform(_strings(v), F.lower))
-
-
-def _enum_list(v: Column, allowed) -> Column:
-    return _not_empty(F.filter(_lower_distinct(v), lambda s: s.isin(*allowed)))
-
-
-def _cause_int(v: Column) -> Column:
-    k = J.kind(v)
-    text = F.when(k.isin(J.NUMBER, "STRING"), v.cast("string"))
-    return _float_text(text).try_cast("int")
-
-
-def as_causes(v: Column) -> Column:
-    """Cause object rebuilt from the rule table; parts without a valid value are null."""
-    convert = {
-        "enum": lambda x, allowed: keep_enum(_text(x), allowed),
-        "int": lambda x, _: _cause_int(x),
-        "bool": lambda x, _: F.when(J.kind(x) == "BOOLEAN", x.cast("string") == "true"),
-        "text": lambda x, _: as_string(x),
-        "list": lambda x, _: _not_empty(_strings(x)),
-        "lower_list": lambda x, _: _not_empty(_lower_distinct(x)),
-    }
-    get = lambda path: F.try_variant_get(v, f"$.{path}", "variant")
-    parts = [_enum_list(get("proximate_causes"), C.PROXIMATE_CAUSES).alias("proximate_causes"),
-             _enum_list(get("contributing_factors"), C.CONTRIBUTING_FACTORS).alias("contributing_factors")]
-    present = [parts[0].isNotNull(), parts[1].isNotNull()]
-    for name, rules in C.CAUSE_OBJECTS.items():
-        cols = [convert[kind](get(f"{name}.{field}"), allowed).alias(field) for field, kind, allowed in rules]
-        some = cols[0].isNotNull()
-        for c in cols[1:]:
-            some = some | c.isNotNull()
-        parts.append(F.when(some, F.struct(*cols)).alias(name))
-        present.append(some)
-    any_part = present[0]
-    for p in present[1:]:
-        any_part = any_part | p
-    return F.when((J.kind(v) == "OBJECT") & any_part, F.struct(*parts))
+def _cause_part(x: Value, kind: str, allowed) -> str:
+    lower_distinct = f"array_distinct(transform({_strings(x)}, s -> lower(s)))"
+    return {
+        "enum": lambda: keep_enum(x, allowed),
+        "int": lambda: f"CASE WHEN {x.kind} IN ('', 'STRING') THEN try_cast({_float_text(x.text)} AS int) END",
+        "bool": lambda: f"CASE WHEN {x.kind} = 'BOOLEAN' THEN {x.text} = 'true' END",
+        "text": lambda: as_string(x),
+        "list": lambda: _strings(x),
+        "lower_list": lambda: lower_distinct,
+        "enum_list": lambda: f"filter({lower_distinct}, s -> s IN ({_words(allowed)}))",
+    }[kind]()
+
+
+CAUSE_LISTS = (("proximate_causes", "enum_list", C.PROXIMATE_CAUSES),
+               ("contributing_factors", "enum_list", C.CONTRIBUTING_FACTORS))
+CAUSE_PARTS = [(None, *rule) for rule in CAUSE_LISTS] + [
+    (group, *rule) for group, rules in C.CAUSE_OBJECTS.items() for rule in rules]
+LISTY = ("list", "lower_list", "enum_list")
+
+
+def _cause_name(group: str | None, field: str) -> str:
+    return f"c_{group}_{field}" if group else f"c_{field}"
+
+
+def _not_empty(name: str) -> str:
+    return f"CASE WHEN size({name}) > 0 THEN {name} END"
+
+
+def _causes_struct() -> str:
+    """Cause object from the converted parts; a part without a valid value, or an object without parts, is null."""
+    def field(group, name, kind):
+        c = _cause_name(group, name)
+        return f"{_not_empty(c) if kind in LISTY else c} AS {name}"
+
+    def present(group, name, kind):
+        c = _cause_name(group, name)
+        return f"coalesce(size({c}) > 0, false)" if kind in LISTY else f"{c} IS NOT NULL"
+
+    parts = [field(None, n, k) for n, k, _ in CAUSE_LISTS]
+    for group, rules in C.CAUSE_OBJECTS.items():
+        some = " OR ".join(present(group, n, k) for n, k, _ in rules)
+        parts.append(f"CASE WHEN {some} THEN struct({', '.join(field(group, n, k) for n, k, _ in rules)}) END AS {group}")
+    some = " OR ".join(present(g, n, k) for g, n, k, _ in CAUSE_PARTS)
+    return f"CASE WHEN {some} THEN struct({', '.join(parts)}) END"
 
 
 # --- scores ----------------------------------------------------------------------------------
@@ -154,39 +172,55 @@ def clamp(c: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), c))
 
 
-def clamp_map(v: Column) -> Column:
-    pairs = F.transform(J.members(v), lambda e: F.struct(e["key"].alias("key"), clamp(as_float(e["value"])).alias("value")))
-    good = F.filter(pairs, lambda p: p["value"].isNotNull())
-    return F.when((J.kind(v) == "OBJECT") & (F.size(good) > 0), F.map_from_entries(good))
+def clamp_map(x: Value) -> str:
+    members = f"map_entries(CASE WHEN {x.kind} = 'OBJECT' THEN try_variant_get({x.v}, '$', 'map<string,variant>') END)"
+    clamped = f"greatest(0.0D, least(1.0D, {as_float(value_of('e.value'))}))"
+    pairs = f"transform({members}, e -> struct(e.key AS key, {clamped} AS value))"
+    return f"map_from_entries(filter({pairs}, p -> p.value IS NOT NULL))"
+
+
+KNOWN_KEYS = (C.STRING_KEYS + C.INT_KEYS + C.FLOAT_KEYS + C.BOOL_KEYS + C.LIST_KEYS + C.DICT_KEYS
+              + ("people", "accident_causes"))
 
 
 def extras(fields: Column) -> Column:
     """Unknown keys with a non-blank string; their date fields must be dates."""
-    known = (C.STRING_KEYS + C.INT_KEYS + C.FLOAT_KEYS + C.BOOL_KEYS + C.LIST_KEYS + C.DICT_KEYS
-             + ("people", "accident_causes"))
-    text = F.transform(F.filter(F.map_entries(fields), lambda e: ~e["key"].isin(*known)),
-                       lambda e: F.struct(e["key"].alias("key"), as_string(e["value"]).alias("value")))
+    text = F.transform(F.filter(F.map_entries(fields), lambda e: ~e["key"].isin(*KNOWN_KEYS) & (J.kind(e["value"]) == "STRING")),
+                       lambda e: F.struct(e["key"].alias("key"), none_if_blank(e["value"].cast("string")).alias("value")))
     dated = F.transform(text, lambda e: F.struct(
         e["key"].alias("key"), F.when(e["key"].isin(*C.DATE_KEYS), iso_date(e["value"])).otherwise(e["value"]).alias("value")))
     return F.map_from_entries(F.filter(dated, lambda e: e["value"].isNotNull()))
 
 
 def normalize_artifacts(raw: DataFrame, column: str = "raw") -> DataFrame:
-    """One typed row per raw extraction; columns of ``raw`` other than ``column`` stay in front."""
+    """One typed row per raw extraction; columns of ``raw`` other than ``column`` stay in front.
+
+    Four projections over the same row, no shuffle: parse, pick values, kinds and texts, convert."""
     others = [c for c in raw.columns if c != column]
     df = raw.select(*others, J.fields(F.col(column)).alias("_f"))
-    get = lambda k: F.try_element_at("_f", F.lit(k))
-    dated = lambda k: iso_date(as_string(get(k))) if k in C.DATE_KEYS else as_string(get(k))
-    cols = [dated(k).alias(k) for k in C.STRING_KEYS]
-    cols += [as_int(get(k)).alias(k) for k in C.INT_KEYS]
-    special = {"extraction_confidence_score": valid_score, "route_confidence_score": clamp}
-    cols += [special.get(k, lambda c: c)(as_float(get(k))).alias(k) for k in C.FLOAT_KEYS]
-    cols += [as_bool(get(k)).alias(k) for k in C.BOOL_KEYS]
-    cols += [as_people(get("people")).alias("people")]
-    cols += [as_list(get(k)).alias(k) for k in C.LIST_KEYS]
-    cols += [(clamp_map(get(k)) if k == "confidences" else as_object(get(k))).alias(k) for k in C.DICT_KEYS]
-    cols += [as_causes(get("accident_causes")).alias("accident_causes"), extras(F.col("_f")).alias("extras")]
-    return df.select(*others, *cols)
+    df = df.selectExpr("*", *[f"try_element_at(_f, '{k}') AS v_{k}" for k in KNOWN_KEYS])
+    paths = {_cause_name(g, n): f"$.{g}.{n}" if g else f"$.{n}" for g, n, _, _ in CAUSE_PARTS}
+    df = df.selectExpr("*", *[f"try_variant_get(v_accident_causes, '{p}', 'variant') AS v_{n}" for n, p in paths.items()])
+    names = [*KNOWN_KEYS, *paths]
+    df = df.selectExpr("*", *[f"{kind_sql(f'v_{n}')} AS k_{n}" for n in names], *[f"cast(v_{n} AS string) AS t_{n}" for n in names])
+    val = lambda n: Value(f"v_{n}", f"k_{n}", f"t_{n}")
+
+    rules = {k: as_string(val(k)) for k in C.STRING_KEYS}
+    rules.update({k: as_int(val(k)) for k in C.INT_KEYS})
+    rules.update({k: as_float(val(k)) for k in C.FLOAT_KEYS})
+    rules.update({k: as_bool(val(k)) for k in C.BOOL_KEYS})
+    rules["people"] = as_people(val("people"))
+    rules.update({k: as_list(val(k)) for k in C.LIST_KEYS})
+    rules.update({k: clamp_map(val(k)) if k == "confidences" else as_object(val(k)) for k in C.DICT_KEYS})
+    causes = {_cause_name(g, n): _cause_part(val(_cause_name(g, n)), kind, allowed) for g, n, kind, allowed in CAUSE_PARTS}
+    df = df.select(*others, *[F.expr(c).alias(k) for k, c in {**rules, **causes}.items()], extras(F.col("_f")).alias("extras"))
+
+    last = {k: F.col(k) for k in rules}
+    last.update({k: F.expr(_not_empty(k)) for k in (*C.LIST_KEYS, "people", "confidences")})
+    last.update({k: iso_date(F.col(k)) for k in C.DATE_KEYS if k in rules})
+    last["extraction_confidence_score"] = valid_score(last["extraction_confidence_score"])
+    last["route_confidence_score"] = clamp(last["route_confidence_score"])
+    return df.select(*others, *[c.alias(k) for k, c in last.items()], F.expr(_causes_struct()).alias("accident_causes"), "extras")
 
 
 def fatality_warnings(records: DataFrame) -> DataFrame:
