@@ -125,4 +125,4 @@ def relative_path(c: Column, root: str) -> Column:
 def ordered_union(*arrays: Column) -> Column:
     """Concatenate, keep the first of equal elements; a missing array counts as empty."""
     empty = F.array().cast("array<string>")
-    return F.array_distinct(F.concat(*[F.coalesce(a, empty) for a in arrays]))
+    return F.array_distinct(F.concat(empty, *[F.coalesce(a, empty) for a in arrays]))

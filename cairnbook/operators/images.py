@@ -84,75 +84,74 @@ def _caption_text(e: Column) -> Column:
     return F.nullif(F.array_join(e["parts"], ""), F.lit(""))
 
 
-def _figure_caption(elements: Column, img: Column) -> Column:
-    figure = H.ancestor(elements, img, "figure")
-    return F.when(figure.isNotNull(), H.first_of(
-        F.filter(H.with_tag(elements, "figcaption"), lambda c: H.inside(c, figure))))
+def _inner_caption(elements: Column, outer: Column) -> Column:
+    """First figcaption inside an element; null without one."""
+    return F.when(outer.isNotNull(), H.first_of(F.filter(H.with_tag(elements, "figcaption"), lambda c: H.inside(c, outer))))
 
 
-def _paragraph_after(elements: Column, img: Column) -> Column:
-    sibling = H.next_sibling(elements, img)
-    return F.when(sibling["tag"] == "p", sibling)
+def _struct(**fields: Column) -> Column:
+    return F.struct(*[c.alias(k) for k, c in fields.items()])
 
 
-def _candidate_caption(elements: Column, c: Column) -> Column:
-    imgs = F.filter(H.with_tag(elements, "img"), lambda i: F.length(H.attr(i, "src")) > 0)
+def _candidate_rows(df: DataFrame) -> DataFrame:
+    """Add ``_first``: candidates with the caption of the image tag that shows them.
+
+    Each step adds one fact to the candidate, so nothing is searched twice."""
+    e = F.col("elements")
     src = lambda i: H.attr(i, "src")
-    by_url = F.filter(imgs, lambda i: F.contains(c, src(i)) | F.contains(src(i), c))
-    by_name = F.filter(imgs, lambda i: F.contains(src(i), base_name(url_path(c))))
-    img = F.coalesce(H.first_of(by_url), H.first_of(by_name))
-    fig, para = _figure_caption(elements, img), _paragraph_after(elements, img)
-    near = (F.when(fig.isNotNull(), _caption_text(fig)).when(para.isNotNull(), _caption_text(para))
-            .otherwise(_filled(img, "alt")))
-    styled = F.filter(H.with_tag(elements, "figure", "div"), lambda f: H.attr(f, "style").contains(c))
-    inner = F.array_compact(F.transform(styled, lambda f: H.first_of(
-        F.filter(H.with_tag(elements, "figcaption"), lambda x: H.inside(x, f)))))
-    return F.coalesce(near, _caption_text(H.first_of(inner)))
-
-
-def _later_paragraph(elements: Column, img: Column) -> Column:
-    parent = H.element(elements, img["parent"])
-    s1 = H.next_sibling(elements, parent)
-    s2 = H.next_sibling(elements, s1)
-    s3 = H.next_sibling(elements, s2)
-    is_p = lambda s: F.when(s["tag"] == "p", s)
-    return F.coalesce(is_p(s1), is_p(s2), is_p(s3))
-
-
-def _image_of_tag(elements: Column, img: Column, base: Column, og: Column) -> Column:
-    picture = H.ancestor(elements, img, "picture")
-    sources = F.filter(H.with_tag(elements, "source"), lambda s: H.inside(s, picture))
-    from_sources = F.flatten(F.transform(sources, lambda s: F.array_compact(F.array(
-        srcset_last(_filled(s, "srcset", "data-srcset")), _filled(s, "src", "data-src")))))
-    a = lambda n: H.attr(img, n)
-    own = image_source(a("src"), a("data-src"), a("data-lazy-src"), a("data-original"),
-                       _filled(img, "srcset", "data-srcset", "data-lazy-srcset"), from_sources)
-    return F.coalesce(resolve_url(base, own), resolve_url(base, og))
+    df = df.withColumn("_imgs", F.filter(H.with_tag(e, "img"), lambda i: F.length(src(i)) > 0))
+    by_url = lambda c: H.first_of(F.filter("_imgs", lambda i: F.contains(c, src(i)) | F.contains(src(i), c)))
+    by_name = lambda c: H.first_of(F.filter("_imgs", lambda i: F.contains(src(i), base_name(url_path(c)))))
+    df = df.withColumn("_c", F.transform(F.filter("candidates", lambda c: ~is_stray(c)), lambda c: _struct(
+        url=c, img=F.coalesce(by_url(c), by_name(c)))))
+    df = df.withColumn("_c", F.transform("_c", lambda x: _struct(
+        url=x["url"], alt=_filled(x["img"], "alt"), figure=H.ancestor(e, x["img"], "figure"), sibling=H.next_sibling(e, x["img"]))))
+    df = df.withColumn("_c", F.transform("_c", lambda x: _struct(
+        url=x["url"], alt=x["alt"], sibling=x["sibling"], fig=_inner_caption(e, x["figure"]))))
+    near = lambda x: (F.when(x["fig"].isNotNull(), _caption_text(x["fig"]))
+                      .when(x["sibling"]["tag"] == "p", _caption_text(x["sibling"])).otherwise(x["alt"]))
+    styled = lambda x: _caption_text(H.first_of(F.array_compact(F.transform(
+        F.filter(H.with_tag(e, "figure", "div"), lambda f: H.attr(f, "style").contains(x["url"])), lambda f: _inner_caption(e, f)))))
+    df = df.withColumn("_c", F.transform("_c", lambda x: _struct(image_url=x["url"], caption_raw=F.coalesce(near(x), styled(x)))))
+    relevant = lambda r: F.when(r["caption_raw"].isNotNull(), ~has_irrelevant_token(r["caption_raw"])
+                                & ~has_irrelevant_token(base_name(url_path(r["image_url"])))).otherwise(
+        ~has_irrelevant_token(r["image_url"]))
+    return df.withColumn("_first", F.filter("_c", relevant).cast(CAPTION)).drop("_c", "_imgs")
+
+
+def _tag_rows(df: DataFrame) -> DataFrame:
+    """Add ``_second``: image tags with a caption from their figure, a later paragraph or their alt text."""
+    e, base = F.col("elements"), F.col("url")
+    df = df.withColumn("_t", F.transform(H.with_tag(e, "img"), lambda i: _struct(
+        img=i, figure=H.ancestor(e, i, "figure"), picture=H.ancestor(e, i, "picture"),
+        s1=H.next_sibling(e, H.element(e, i["parent"])))))
+    df = df.withColumn("_t", F.transform("_t", lambda x: _struct(
+        img=x["img"], fig=_inner_caption(e, x["figure"]), s1=x["s1"], s2=H.next_sibling(e, x["s1"]),
+        sources=F.filter(H.with_tag(e, "source"), lambda s: H.inside(s, x["picture"])))))
+
+    def address(x: Column) -> Column:
+        a = lambda n: H.attr(x["img"], n)
+        shown = F.flatten(F.transform(x["sources"], lambda s: F.array_compact(F.array(
+            srcset_last(_filled(s, "srcset", "data-srcset")), _filled(s, "src", "data-src")))))
+        return image_source(a("src"), a("data-src"), a("data-lazy-src"), a("data-original"),
+                            _filled(x["img"], "srcset", "data-srcset", "data-lazy-srcset"), shown)
+
+    paragraph = lambda x: F.coalesce(*[F.when(s["tag"] == "p", s) for s in (x["s1"], x["s2"], H.next_sibling(e, x["s2"]))])
+    df = df.withColumn("_t", F.transform("_t", lambda x: _struct(
+        own=address(x), alt=_filled(x["img"], "alt"), fig=x["fig"], para=paragraph(x))))
+    df = df.withColumn("_t", F.transform("_t", lambda x: _struct(
+        image_url=resolve_url(base, F.coalesce(x["own"], F.col("og_image"))), alt=x["alt"],
+        caption_raw=F.when(x["fig"].isNotNull(), _caption_text(x["fig"])).otherwise(F.coalesce(_caption_text(x["para"]), x["alt"])))))
+    usable = lambda x: (x["image_url"].isNotNull() & x["caption_raw"].isNotNull() & ~is_stray(x["image_url"])
+                        & ~has_irrelevant_token(x["alt"]))
+    rows = F.transform(F.filter("_t", usable), lambda x: _struct(image_url=x["image_url"], caption_raw=x["caption_raw"]))
+    return df.withColumn("_second", rows.cast(CAPTION)).drop("_t")
 
 
 def captions(parsed: DataFrame) -> DataFrame:
     """Image rows of a page: candidates with their caption, then captioned img tags; one row per address."""
-    e, base = F.col("elements"), F.col("url")
-    df = candidate_urls(parsed)
-    wanted = F.filter("candidates", lambda c: ~is_stray(c))
-    row = lambda u, c: F.struct(u.alias("image_url"), c.alias("caption_raw"))
-    first = F.filter(
-        F.transform(wanted, lambda c: row(c, _candidate_caption(e, c))),
-        lambda r: F.when(r["caption_raw"].isNotNull(), ~has_irrelevant_token(r["caption_raw"]) &
-                         ~has_irrelevant_token(base_name(url_path(r["image_url"]))))
-        .otherwise(~has_irrelevant_token(r["image_url"])))
-
-    def tag_row(i: Column) -> Column:
-        fig = _figure_caption(e, i)
-        text = F.when(fig.isNotNull(), _caption_text(fig)).otherwise(
-            F.coalesce(_caption_text(_later_paragraph(e, i)), _filled(i, "alt")))
-        url = _image_of_tag(e, i, base, F.col("og_image"))
-        usable = url.isNotNull() & ~is_stray(url) & ~has_irrelevant_token(H.attr(i, "alt"))
-        return F.when(usable & text.isNotNull(), row(url, text))
-
-    second = F.array_compact(F.transform(H.with_tag(e, "img"), tag_row))
-    found = (df.withColumn("_first", first.cast(CAPTION)).withColumn("_second", second.cast(CAPTION))
-             .select("page_id", "url", F.posexplode(F.concat("_first", "_second")).alias("pos", "r")))
+    df = _tag_rows(_candidate_rows(candidate_urls(parsed)))
+    found = df.select("page_id", "url", F.posexplode(F.concat("_first", "_second")).alias("pos", "r"))
     rows = found.select("page_id", "url", "pos", "r.image_url", "r.caption_raw",
                         clean_caption(F.col("r.caption_raw")).alias("caption_clean"), F.lit("html").alias("method"))
     return distinct_images(rows)

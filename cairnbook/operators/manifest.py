@@ -111,7 +111,12 @@ def manifest_rows(reports: DataFrame) -> DataFrame:
         F.coalesce(m("title"), _some(strip(F.regexp_replace(heading, "^#+", ""))), F.col("id")).alias("title"),
         F.coalesce(m("peak"), _labelled(lines, PEAK), F.lit("")).alias("peak"),
         date.alias("date_of_event"), date.alias("date"),
-        F.coalesce(_labelled(lines, ACTIVITY), m("activity"), m("audience"), F.lit("")).alias("activity"))
+        F.coalesce(_labelled(lines, ACTIVITY), m("activity"), m("audience"), F.lit("")).alias("activity")).transform(_built_once)
+
+
+def _built_once(rows: DataFrame) -> DataFrame:
+    """The same rows behind a generator: a later filter sees finished columns instead of repeating their rules."""
+    return rows.select(F.explode(F.array(F.struct(*rows.columns))).alias("r")).select("r.*")
 
 
 def drop_empty(items: DataFrame) -> DataFrame:

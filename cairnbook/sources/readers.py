@@ -49,7 +49,7 @@ def scan_url_list(spark: SparkSession, path: str) -> DataFrame:
 def split_url_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     line = strip(F.col(column))
     used = lines.where((line != "") & ~line.startswith("#"))
-    return used.select(strip(F.explode(F.split(line, ",", -1))).alias("url")).where("url <> ''")
+    return used.select(F.explode(F.transform(F.split(line, ",", -1), strip)).alias("url")).where("url <> ''")
 
 
 def scan_gazetteer(spark: SparkSession, path: str) -> DataFrame:
@@ -57,10 +57,13 @@ def scan_gazetteer(spark: SparkSession, path: str) -> DataFrame:
     return text.select(F.explode(F.from_json("value", "array<string>")).alias("name"))
 
 
-def scan_reports(spark: SparkSession, path: str, pattern: str = "*.md") -> DataFrame:
+def scan_reports(spark: SparkSession, path: str, pattern: str = "*.md", folder_key: str | None = None) -> DataFrame:
+    """Markdown files as ``id, markdown``; the id is the file name, or the value of a ``folder_key=`` folder."""
     docs = _documents(spark, path, pattern)
-    return docs.select(F.regexp_replace(base_name(F.col("file_path")), r"\.[^.]*$", "").alias("id"),
-                       F.col("value").alias("markdown"))
+    name = F.regexp_replace(base_name(F.col("file_path")), r"\.[^.]*$", "")
+    if folder_key is not None:
+        name = F.regexp_extract("file_path", rf"/{folder_key}=([^/]*)/", 1)
+    return docs.select(name.alias("id"), F.col("value").alias("markdown"))
 
 
 def manifest_items(texts: DataFrame, column: str = "value") -> DataFrame:
