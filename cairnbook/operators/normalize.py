@@ -169,14 +169,14 @@ def valid_score(c: Column) -> Column:
 
 
 def clamp(c: Column) -> Column:
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), c))
+    return F.when(c.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), c)))  # both skip nulls
 
 
 def clamp_map(x: Value) -> str:
     members = f"map_entries(CASE WHEN {x.kind} = 'OBJECT' THEN try_variant_get({x.v}, '$', 'map<string,variant>') END)"
-    clamped = f"greatest(0.0D, least(1.0D, {as_float(value_of('e.value'))}))"
-    pairs = f"transform({members}, e -> struct(e.key AS key, {clamped} AS value))"
-    return f"map_from_entries(filter({pairs}, p -> p.value IS NOT NULL))"
+    pairs = f"transform({members}, e -> struct(e.key AS key, {as_float(value_of('e.value'))} AS value))"
+    kept = f"filter({pairs}, p -> p.value IS NOT NULL)"
+    return f"map_from_entries(transform({kept}, p -> struct(p.key, greatest(0.0D, least(1.0D, p.value)))))"
 
 
 KNOWN_KEYS = (C.STRING_KEYS + C.INT_KEYS + C.FLOAT_KEYS + C.BOOL_KEYS + C.LIST_KEYS + C.DICT_KEYS
