@@ -10,7 +10,7 @@ from cairnbook.constants import (
 )
 from cairnbook.functions import html as H
 from cairnbook.functions.strings import (
-    any_token, bare_domain, base_name, contains_any, none_if_blank, resolve_url, squeeze, strip, url_path,
+    any_token, bare_domain, base_name, contains_any, resolve_url, squeeze, strip, url_path,
 )
 
 URL_IN_TEXT = r"https?://[^\s\"'>)]+"
@@ -46,9 +46,8 @@ def clean_caption(c: Column) -> Column:
 
 def relevance(caption: Column, url: Column) -> Column:
     words = "(?i)(?:" + any_token(RELEVANT_CAPTION_WORDS) + ")"
-    text = none_if_blank(caption)
     points = lambda test, n: F.when(F.coalesce(test, F.lit(False)), n).otherwise(0)
-    return (points(text.isNotNull(), 5) + points(text.rlike(words), 10)
+    return (points(caption.rlike(r"(?U)\S"), 5) + points(caption.rlike(words), 10)
             + points(url.rlike("(?i)" + UPLOAD_PATH), 5) + points(url.rlike("(?i)" + IMAGE_EXTENSION), 5))
 
 
@@ -175,7 +174,7 @@ def eligible(rows: DataFrame) -> DataFrame:
     """Keep what is worth a download: own or upload images, others with a caption; known type and size must fit."""
     own = bare_domain(F.col("image_url")) == bare_domain(F.col("page_url"))
     upload = url_path(F.col("image_url")).rlike("(?i)" + UPLOAD_PATH)
-    captioned = none_if_blank(F.col("caption_raw")).isNotNull()
+    captioned = F.coalesce(F.col("caption_raw").rlike(r"(?U)\S"), F.lit(False))
     right_type = F.coalesce(F.col("content_type").startswith("image"), F.lit(False))
     big_enough = F.coalesce(F.col("content_length") >= MIN_IMAGE_BYTES, F.lit(True))
     return rows.where((own | upload | captioned) & right_type & big_enough)

@@ -9,6 +9,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cairnbook.sources.readers import read_table
+
 BRIDGES = {
     # events -> extraction records: repeated sources, missing keys, mixed case, score ties
     "bridge_artifacts": """
@@ -139,7 +141,7 @@ def bridge(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The view in Spark."""
     sql = BRIDGES[name]
     source = _used(sql)[0]
-    base = bridge(spark, sf_dir, source) if source in BRIDGES else spark.read.parquet(f"{sf_dir}/{source}.parquet")
+    base = bridge(spark, sf_dir, source) if source in BRIDGES else read_table(spark, f"{sf_dir}/{source}.parquet")
     view = f"cairnbook_{source}"
     base.createOrReplaceTempView(view)
     # A backslash is an escape character in Spark literals only.

@@ -12,6 +12,16 @@ from cairnbook.operators.ledger import header
 PATH = "_metadata.file_path"
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet table with at least one partition per core.
+
+    A large table is read as it is split. A table of a few unsplittable files would keep the
+    per-row work of everything that follows on a few cores; only then its rows are spread."""
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def _documents(spark: SparkSession, path: str, pattern: str, whole: bool = True) -> DataFrame:
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
     return reader.text(path, wholetext=whole).select(F.col("value"), F.col(PATH).alias("file_path"))
