@@ -194,6 +194,8 @@ def latest_runs(runs: DataFrame) -> DataFrame:
 
 
 def first_per_page(rows: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` candidates of a page (a limit of the feature; a page is one document)."""
-    order = Window.partitionBy("page_id").orderBy("pos")
+    """The first ``n`` candidates of a page (a limit of the feature).
+
+    Spark's window group limit keeps ``n`` rows per page and task before the shuffle, so a hot page stays small."""
+    order = Window.partitionBy("page_id").orderBy("pos", "image_url")
     return rows.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= n).drop("_n")

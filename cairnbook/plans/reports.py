@@ -131,7 +131,7 @@ def latest_run(spark, sf_dir):
 
 
 @query("image_cap", img_sql("""
-SELECT page_id, pos, image_url FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS rn FROM bridge_images) WHERE rn <= 3"""))
+SELECT page_id, pos, image_url FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos, image_url) AS rn FROM bridge_images) WHERE rn <= 3"""))
 def image_cap(spark, sf_dir):
     return I.first_per_page(img(spark, sf_dir), 3).select("page_id", "pos", "image_url")
 
