@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cairnbook.llm import packing
+from cairnbook.llm import odd_sketch, packing, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,3 +22,20 @@ def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op1_packing"] = _op1
+
+
+def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+    held_out = F.coalesce(toxicity.learn_fold(F.col("doc_id")) == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+QUERIES["op10_toxicity"] = _op10
+
+
+def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketch.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=4)
+
+
+QUERIES["op2_odd_sketch"] = _op2
