@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnbook.llm import odd_sketch, packing, toxicity
+from cairnbook.llm import odd_sketch, packing, pii, quality_ledger, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,3 +39,38 @@ def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op2_odd_sketch"] = _op2
+
+
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs))
+
+
+QUERIES["op7_pii"] = _op7
+
+
+def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = quality_ledger.ledger(quality_ledger.measure(_table(spark, sf_dir, "documents")))
+    base = quality_ledger.POLICIES["base"]
+    judged = quality_ledger.apply_policy(written, base).withColumn("base_failed", ~F.col("kept"))
+    return quality_ledger.apply_policy(judged, quality_ledger.POLICIES["1"]).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failures")
+
+
+QUERIES["op8_quality_ledger"] = _op8
+ORACLES["op8_quality_ledger"] = r"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT r, doc_id, text, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM t),
+g AS (SELECT r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+hit AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM g) WHERE n > 1),
+cov AS (SELECT r, count(DISTINCT i + k) AS n FROM hit, (SELECT unnest([0, 1, 2]) AS k) GROUP BY r),
+m AS (SELECT doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+             length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, len(ls)::BIGINT AS n_lines,
+             (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words
+      FROM w LEFT JOIN cov USING (r)),
+f AS (SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
+             + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END + CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN 8 ELSE 0 END
+             + CASE WHEN word_chars < 2 * n_words OR word_chars > 12 * n_words THEN 16 ELSE 0 END)::BIGINT AS failures FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failures & 3 <> 0 AS base_failed, failures = 0 AS kept, failures FROM f
+"""
