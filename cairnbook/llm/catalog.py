@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnbook.llm import odd_sketch, packing, pii, quality_ledger, suffix_dedup, toxicity
+from cairnbook.llm import hnsw, odd_sketch, packing, pii, quality_ledger, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +81,10 @@ def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op9_suffix_array"] = _op9
+
+
+def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES["op6_hnsw"] = _op6
