@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnbook.llm import hnsw, odd_sketch, packing, pii, quality_ledger, suffix_dedup, toxicity
+from cairnbook.llm import hnsw, line_dedup, mixing, odd_sketch, packing, pii, preference, quality_ledger, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,3 +88,62 @@ def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op6_hnsw"] = _op6
+
+
+def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rates, domains = mixing.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return rates.select("doc_id", F.col("tokens").alias("n_tokens"), *(F.col("p")[k].alias(f"p_{name}") for k, name in enumerate(domains.names)), "rate")
+
+
+def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_units", "n_removed", "removed", F.length("kept_text").cast("long").alias("n_kept_chars"), F.md5("kept_text").alias("kept_md5"))
+
+
+def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chosen: each conversation up to its last reply. Rejected: the same with the last reply of the next conversation."""
+    turns = _table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("pair_id"), "turn", "role", "text")
+    last = turns.where("role = 'assistant'").groupBy("pair_id").agg(F.max("turn").alias("last"), F.max_by("text", "turn").alias("reply"))
+    chosen = turns.join(last, "pair_id").where("turn <= last")
+    other = last.select((F.col("pair_id") - 1).alias("pair_id"), F.col("reply").alias("other"))
+    before = chosen.where("turn < last").select("pair_id", "turn", "role", "text")
+    swapped = last.join(other, "pair_id").select("pair_id", F.col("last").alias("turn"), F.lit("assistant").alias("role"), F.col("other").alias("text"))
+    return preference.format_pairs(chosen.select("pair_id", "turn", "role", "text"), before.union(swapped))
+
+
+QUERIES |= {"op3_mixing": _op3, "op4_line_dedup": _op4, "op5_preference": _op5}
+ORACLES["op4_line_dedup"] = r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+u AS (SELECT doc_id, i, ls[i] AS line FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM d)),
+n AS (SELECT doc_id, i, line, list_filter(regexp_split_to_array(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+             coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS s FROM u),
+r AS (SELECT doc_id, i, line, s, len(ws) >= 5 AND row_number() OVER (PARTITION BY len(ws) >= 5, ws ORDER BY doc_id, i) > 1 AS gone FROM n)
+SELECT doc_id, count(*)::BIGINT AS n_units, count(*) FILTER (gone)::BIGINT AS n_removed,
+       coalesce(string_agg(s::VARCHAR || ':' || (s + length(line))::VARCHAR, ',' ORDER BY i) FILTER (gone), '') AS removed,
+       coalesce(length(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone)), 0)::BIGINT AS n_kept_chars,
+       md5(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_md5
+FROM r GROUP BY doc_id
+"""
+ORACLES["op5_preference"] = r"""
+WITH t AS (SELECT conv_id AS pair_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+l AS (SELECT pair_id, max(turn) AS last, max_by(text, turn) AS reply FROM t WHERE role = 'assistant' GROUP BY pair_id),
+c AS (SELECT t.pair_id, row_number() OVER (PARTITION BY t.pair_id ORDER BY turn, role, text) AS i, role, text FROM t JOIN l USING (pair_id) WHERE turn <= last),
+r0 AS (SELECT t.pair_id, turn, role, text FROM t JOIN l USING (pair_id) WHERE turn < last
+       UNION ALL SELECT l.pair_id, l.last, 'assistant', o.reply FROM l JOIN l AS o ON o.pair_id = l.pair_id + 1),
+r AS (SELECT pair_id, row_number() OVER (PARTITION BY pair_id ORDER BY turn, role, text) AS i, role, text FROM r0),
+b AS (SELECT pair_id, min(i) FILTER (NOT same) AS first_apart, max(i) FILTER (c_has) AS n_c
+      FROM (SELECT coalesce(c.pair_id, r.pair_id) AS pair_id, coalesce(c.i, r.i) AS i, c.i IS NOT NULL AS c_has,
+                   c.i IS NOT NULL AND r.i IS NOT NULL AND c.role = r.role AND c.text = r.text AS same
+            FROM c FULL JOIN r ON c.pair_id = r.pair_id AND c.i = r.i) GROUP BY pair_id),
+n AS (SELECT pair_id, CASE WHEN first_apart IS NULL THEN n_c ELSE first_apart - 1 END AS n FROM b),
+x AS (SELECT side, pair_id, i, role, i <= n AS in_prompt, '<|' || replace(role, '<|', '< |') || '|>' || chr(10) AS head, replace(text, '<|', '< |') || '<|end|>' || chr(10) AS body
+      FROM (SELECT 'c' AS side, * FROM c UNION ALL SELECT 'r' AS side, * FROM r) JOIN n USING (pair_id)),
+s AS (SELECT pair_id, side, in_prompt, string_agg(head || body, '' ORDER BY i) AS txt,
+             string_agg(length(head)::VARCHAR || ':0,' || length(body)::VARCHAR || CASE WHEN role = 'assistant' THEN ':1' ELSE ':0' END, ',' ORDER BY i) AS mask
+      FROM x GROUP BY pair_id, side, in_prompt)
+SELECT n.pair_id, n.n::BIGINT AS n_prompt_turns, coalesce(p.txt, '') AS prompt, coalesce(a.txt, '') AS chosen, coalesce(a.mask, '') AS chosen_mask,
+       coalesce(z.txt, '') AS rejected, coalesce(z.mask, '') AS rejected_mask
+FROM n LEFT JOIN s p ON p.pair_id = n.pair_id AND p.side = 'c' AND p.in_prompt
+LEFT JOIN s a ON a.pair_id = n.pair_id AND a.side = 'c' AND NOT a.in_prompt
+LEFT JOIN s z ON z.pair_id = n.pair_id AND z.side = 'r' AND NOT z.in_prompt
+"""

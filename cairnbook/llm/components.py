@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cairnbook.session import ensure_checkpoint_dir
+
 
 def _starred(edges: DataFrame, small: bool) -> DataFrame:
     """One star step over (u, v), u > v: every neighbour is tied to the smallest of them.
@@ -25,6 +27,7 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of `edges` (columns a, b: longs); component is its smallest node.
 
     Loops, repeats and either direction are allowed; nodes without edges are not returned."""
+    ensure_checkpoint_dir(edges.sparkSession)
     at = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct().checkpoint()
     state = None
     while True:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairnbook.llm.components import components
+from cairnbook.session import ensure_checkpoint_dir
 
 #: Links per node above the ground layer (twice as many on it), beam while building.
 LINKS, BUILD_BEAM = 12, 64
@@ -221,6 +222,7 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = 0.93) -> DataFrame
     a null label or a null vec_id links with nothing (null vec_id: null component_id, kept).
     Rows that repeat a vec_id share its component.
     """
+    ensure_checkpoint_dir(vectors.sparkSession)
     sound = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").cast("int").alias("label"))
     can = rows.where(F.col("label").isNotNull() & F.col("vec_id").isNotNull() & F.coalesce(sound, F.lit(False)))

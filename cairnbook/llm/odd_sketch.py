@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from cairnbook.llm.components import components
+from cairnbook.session import ensure_checkpoint_dir
 
 ROWS, BANDS = 6, 40
 SAMPLES = ROWS * BANDS
@@ -153,6 +154,7 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 8
     Null or empty text: no shingles, linked with nothing. A null doc_id has a null component_id and
     is kept. Rows that repeat a doc_id share its component.
     """
+    ensure_checkpoint_dir(docs.sparkSession)
     signed = signatures(docs, shingle_words).checkpoint()
     first = signed.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
     nodes = (signed.select("set_key", F.col("doc_id").alias("rep"), "n_shingles", "bands", "sketch").join(first, ["set_key", "rep"])
@@ -187,3 +189,13 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 8
     out = signed.select("doc_id", "n_shingles", "set_key").join(by_set, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def keep_first(docs: DataFrame, **options) -> DataFrame:
+    """The rows of `docs`, all columns, that `near_duplicates` keeps; of rows that repeat a doc_id one stays."""
+    placed = near_duplicates(docs.select("doc_id", "text"), **options)
+    dropped = placed.where(~F.col("kept")).select("doc_id").distinct().checkpoint()
+    kept = docs.join(F.broadcast(dropped) if dropped.count() <= BROADCAST_IDS else dropped, "doc_id", "left_anti").select(*docs.columns)
+    if not docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
+        return kept
+    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).union(kept.where("doc_id is null"))

@@ -103,13 +103,12 @@ def patterns(written: DataFrame) -> DataFrame:
 def ablations(written: DataFrame, policy: Policy) -> DataFrame:
     """rule, n_failed, n_only, n_kept_without of each of the policy's rules: texts that fail it, that would be
     kept without it, and all that are kept without it."""
-    spark = written.sparkSession
-    rules = spark.createDataFrame([(rule, 1 << RULES.index(rule)) for rule in policy.rules], "rule string, bit long")
+    rules = F.array(*(F.struct(F.lit(rule).alias("rule"), F.lit(1 << RULES.index(rule)).cast("long").alias("bit")) for rule in policy.rules))
     masked = F.col("failures").bitwiseAND(F.lit(policy.mask).cast("long"))
     kept, without = F.bit_count(masked) <= policy.allowed, F.bit_count(masked.bitwiseAND(F.bitwise_not("bit"))) <= policy.allowed
     failed = F.col("failures").bitwiseAND(F.col("bit")) != 0
     def n(condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, F.col("n_docs"))), F.lit(0)).alias
 
-    table = rules.join(patterns(written).select("failures", "n_docs"), F.lit(True), "left")
+    table = patterns(written).select("failures", "n_docs", F.inline(rules))
     return table.groupBy("rule").agg(n(failed)("n_failed"), n(~kept & without)("n_only"), n(without)("n_kept_without"))

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cairnbook.session import ensure_checkpoint_dir
+
 LENGTH, TOKEN = 400, 64
 KMERS = LENGTH - TOKEN + 1
 LEVELS = 4
@@ -306,6 +308,7 @@ def remove_repeats(docs: DataFrame, *, with_text: bool = False) -> DataFrame:
     Null text is empty. Rows with the same text are copies of each other: with LENGTH bytes or more
     they are removed whole. Rows that repeat a doc_id are documents of their own.
     """
+    ensure_checkpoint_dir(docs.sparkSession)
     scanned = scan(docs).checkpoint()
     copies = scanned.where(F.col("n_bytes") >= LENGTH).groupBy("key").count().where("count > 1").select("key", F.lit(True).alias("copied"))
     runs = find_repeats(docs, scanned).groupBy("key").agg(F.expr("collect_list(struct(start, end)) AS runs")).join(copies, "key", "left_anti").checkpoint()

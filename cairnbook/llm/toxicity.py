@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cairnbook.session import ensure_checkpoint_dir
+
 ORDER, BITS = 5, 12
 LOW_SYMBOLS = 3072
 #: Absolute discount of every order.
@@ -170,11 +172,12 @@ def fit_ratios(rows: DataFrame, *, max_entries: int = 1 << 19) -> RatioTables:
     Each table keeps at most `max_entries` runs, the most frequent; a run that is left out backs
     off. That bounds what is sent to the tasks; the counts cover every row.
     """
+    ensure_checkpoint_dir(rows.sparkSession)
     counts = {ORDER: gram_counts(rows).withColumn("n", F.col("n1") + F.col("n0")).checkpoint()}
     for order in range(ORDER, 1, -1):
         counts[order - 1] = _lower(counts[order], order)
-    one = counts[1].agg(F.sum("n").alias("all"), F.count("*").alias("kinds"))
-    below = counts[1].join(F.broadcast(one)).select("gram", ((F.col("n") + 0.5) / (F.col("all") + 0.5 * (F.col("kinds") + 1))).alias("p"))
+    n_all, n_kinds = counts[1].agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    below = counts[1].select("gram", ((F.col("n") + 0.5) / (n_all + 0.5 * (n_kinds + 1))).alias("p"))
     two = counts[2].join(_totals(counts[2], ("n",)), F.shiftright("gram", BITS) == F.col("context"))
     mask = F.col("gram").bitwiseAND(F.lit((1 << BITS) - 1))
     p2 = two.join(below.withColumnRenamed("gram", "suffix"), mask == F.col("suffix")).select("gram", (_seen("n") + _weight("n") * F.col("p")).alias("p1"))
