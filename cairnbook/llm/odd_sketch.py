@@ -26,6 +26,8 @@ SKETCH_BITS = 512
 SKETCH_MOST = 130
 #: Most candidate ids that are broadcast to pick texts; more of them are joined.
 BROADCAST_IDS = 4_000_000
+#: Documents, and digests in their sets, that are brought together at once.
+BLOCK, BLOCK_ITEMS = 192, 400_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _random = np.random.default_rng(20)
 _FACTORS = _random.integers(0, 1 << 32, SAMPLES, dtype=np.uint32) | np.uint32(1)
@@ -141,15 +143,102 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .select("a", "b", "items_a", "items_b").mapInArrow(linked, "a long, b long"))
 
 
+def _candidates(bucket_parts: DataFrame, percent: int) -> DataFrame:
+    """low, high (blocks), a, b (lists of equal length): pairs of a bucket's two parts that may link and lie in different components.
+
+    A pair is named only in the first band that it shares, and only if its sketches are near."""
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                x, y = ({"rep": np.asarray([r["rep"] for r in side]), "block": np.asarray([r["block"] for r in side]), "component": np.asarray([r["component"] for r in side]),
+                         "n": np.asarray([r["n_shingles"] for r in side]), "sketch": np.asarray([r["sketch"] for r in side]), "bands": np.asarray([r["bands"] for r in side])}
+                        for side in (row["x"], row["y"]))
+                n_x, n_y = x["n"][:, None], y["n"][None, :]
+                can = (x["component"][:, None] != y["component"][None, :]) & (100 * np.minimum(n_x, n_y) >= percent * np.maximum(n_x, n_y))
+                if row["same"]:
+                    can &= x["rep"][:, None] < y["rep"][None, :]
+                i, j = np.nonzero(can)
+                near = np.bitwise_count((x["sketch"][i] ^ y["sketch"][j]).view(np.uint64)).sum(axis=1, dtype=np.int64) <= SKETCH_MOST
+                i, j = i[near], j[near]
+                shared = x["bands"][i] == y["bands"][j]
+                here = x["bands"][:1] == row["band"]
+                first = shared.argmax(axis=1) == here.argmax() if len(i) else np.zeros(0, bool)
+                i, j = i[first], j[first]
+                swap = x["block"][i] > y["block"][j]
+                ends = [np.where(swap, y[c][j], x[c][i]) for c in ("block", "rep")] + [np.where(swap, x[c][i], y[c][j]) for c in ("block", "rep")]
+                order = np.lexsort((ends[2], ends[0]))
+                low, a, high, b = (e[order] for e in ends)
+                cuts = np.flatnonzero((low[1:] != low[:-1]) | (high[1:] != high[:-1])) + 1
+                for at, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(low)]):
+                    if end > at:
+                        yield pa.RecordBatch.from_arrays([pa.array(low[at:at + 1]), pa.array(high[at:at + 1]), pa.array([a[at:end]], pa.list_(pa.int64())), pa.array([b[at:end]], pa.list_(pa.int64()))],
+                                                         names=["low", "high", "a", "b"])
+
+    x = bucket_parts.select("band", F.col("part").alias("x_part"), F.col("members").alias("x"))
+    y = bucket_parts.select(F.col("band").alias("y_band"), F.col("part").alias("y_part"), F.col("members").alias("y"))
+    parts = x.join(y, (F.col("band") == F.col("y_band")) & (F.col("x_part") <= F.col("y_part")))
+    found = parts.select("band", (F.col("x_part") == F.col("y_part")).alias("same"), "x", "y").mapInArrow(met, "low long, high long, a array<long>, b array<long>")
+    return found.groupBy("low", "high").agg(F.flatten(F.collect_list("a")).alias("a"), F.flatten(F.collect_list("b")).alias("b"))
+
+
+def _across(nodes: DataFrame, met: DataFrame, ids: DataFrame, sets: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
+    """a, b: links between components, enough of them to join what links join.
+
+    Only buckets that hold several components are looked at, part by part (a part is bounded). Candidates
+    are checked on full sets between blocks of documents, also bounded; a pair whose components the
+    block has already joined needs no check."""
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                members = {r["rep"]: r for r in row["x"] + row["y"]}
+                items = {rep: np.frombuffer(r["items"], np.uint64) for rep, r in members.items()}
+                parent = {r["component"]: r["component"] for r in members.values()}
+
+                def root(c: int) -> int:
+                    while parent[c] != c:
+                        parent[c] = c = parent[parent[c]]
+                    return c
+
+                edges = []
+                for a, b in zip(row["a"], row["b"]):
+                    c_a, c_b = root(members[a]["component"]), root(members[b]["component"])
+                    if c_a == c_b:
+                        continue
+                    both = np.concatenate([items[a], items[b]])
+                    both.sort(kind="stable")
+                    common = int((both[1:] == both[:-1]).sum())
+                    if 100 * common >= percent * (len(both) - common):
+                        edges.append((a, b))
+                        parent[max(c_a, c_b)] = min(c_a, c_b)
+                if edges:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*edges)], names=["a", "b"])
+
+    known = (ids.select("rep").join(nodes.drop("set_key"), "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
+             .withColumn("component", F.coalesce("component", "rep")).join(components(met).toDF("rep", "cluster"), "rep"))
+    sizes = known.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_ITEMS)).alias("chunks"))
+    placed = known.join(sizes, "cluster").withColumn("block", F.xxhash64("cluster", F.pmod(F.xxhash64("rep"), F.col("chunks")))).drop("cluster", "chunks").checkpoint()
+    banded = placed.select("rep", "component", F.explode("bands").alias("band"))
+    mixed = banded.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low <> high").select("band", F.ceil(F.col("n") / BLOCK).alias("parts"))
+    open_ = banded.join(mixed, "band").select("rep", "band", F.pmod(F.xxhash64("rep"), F.col("parts")).alias("part"))
+    bucket_parts = open_.join(placed, "rep").groupBy("band", "part").agg(F.collect_list(F.struct("rep", "block", "component", "n_shingles", "sketch", "bands")).alias("members"))
+    pairs = _candidates(bucket_parts, percent).checkpoint()
+    needed = pairs.select(F.explode(F.array("low", "high")).alias("block")).distinct()
+    packs = placed.join(needed, "block", "left_semi").join(sets, "rep").groupBy("block").agg(F.collect_list(F.struct("rep", "component", "items")).alias("members"))
+    held = pairs.join(packs.toDF("low", "x"), "low").join(packs.toDF("high", "y"), "high")
+    return held.select("a", "b", "x", "y").mapInArrow(linked, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of `docs` (doc_id, text).
 
     Texts with 100 * intersection >= `percent` * union of their shingle sets are linked;
     component_id is the smallest doc_id reachable. Equal sets are one node, so a group of copies
-    costs one. In each bucket of a band every member is checked against the bucket's first and last
-    member; where that leaves several components in a bucket, members outside its largest component
-    are checked against all members of other components, so no link is lost. A pair at the
-    threshold shares no band with a probability below 1e-5.
+    costs one. Every document is checked against one of its candidates: of the first and last members
+    of its buckets the one met in most bands. Where that leaves several components in a bucket, its
+    members are checked across components, so no link that matters is lost. A pair at the threshold
+    shares no band with a probability below 1e-5.
 
     Null or empty text: no shingles, linked with nothing. A null doc_id has a null component_id and
     is kept. Rows that repeat a doc_id share its component.
@@ -161,8 +250,9 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 8
              .dropDuplicates(["set_key"]).checkpoint())
     buckets = nodes.select("rep", F.explode("bands").alias("band"))
     ends = buckets.groupBy("band").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low <> high")
-    met = buckets.join(ends, "band").select("rep", F.explode(F.array("low", "high")).alias("centre")).where("rep <> centre").select(
-        F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct().checkpoint()
+    met = buckets.join(ends, "band").select("rep", F.explode(F.array("low", "high")).alias("centre")).where("rep <> centre").groupBy("rep", "centre").count()
+    near = met.groupBy("rep").agg(F.max(F.struct(F.col("count"), -F.col("centre"))).alias("best")).select("rep", (-F.col("best")["col2"]).alias("centre"))
+    met = near.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct().checkpoint()
     ids = met.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(nodes.select("rep", "set_key"), "rep").checkpoint()
     sets = _sets(docs, ids, shingle_words).checkpoint()
 
@@ -172,17 +262,7 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 8
     star = _confirmed(met.join(side("a"), "a").join(side("b"), "b").where(_may_link(percent)), sets, percent).checkpoint()
     joined = components(star)
 
-    placed = (nodes.join(ids.select("rep"), "rep", "left_semi").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-              .select("rep", "n_shingles", "sketch", F.coalesce("component", "rep").alias("component"), F.explode("bands").alias("band")))
-    several = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band")
-    mixed = placed.join(several, "band").checkpoint()
-    main = mixed.groupBy("band", "component").count().groupBy("band").agg(F.max(F.struct("count", "component"))["component"].alias("main"))
-    outside = mixed.join(main, "band").where("component <> main").select(
-        "band", F.col("rep").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("s_a"), F.col("component").alias("c_a"))
-    inside = mixed.select(F.col("band").alias("band_b"), F.col("rep").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("s_b"), F.col("component").alias("c_b"))
-    across = outside.join(inside, (F.col("band") == F.col("band_b")) & (F.col("c_a") != F.col("c_b")) & _may_link(percent))
-    rest = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(met, ["a", "b"], "left_anti")
-    links = star.union(_confirmed(rest, sets, percent).checkpoint())
+    links = star.union(_across(nodes, met, ids, sets, joined, percent).checkpoint())
 
     by_set = first.join(components(links).withColumnRenamed("node", "rep"), "rep", "left").select(
         "set_key", F.coalesce("component", "rep").alias("component"))
