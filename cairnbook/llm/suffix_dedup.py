@@ -279,7 +279,10 @@ def _hot_repeats(contexts: DataFrame) -> DataFrame:
     wholes = cut.where("whole is not null").groupBy("whole").count().where("count > 1").select("whole", F.lit(True).alias("repeats"))
     cores = cut.groupBy("token", "block", "core").count().where("count > 1").drop("count")
     judged = cut.join(wholes, "whole", "left").join(cores.withColumn("open", F.lit(True)), ["token", "block", "core"], "left").checkpoint()
-    open_ = judged.where("repeats is null and open").select("key", "low", "token", "block")
+    unsure = judged.where("repeats is null and open")
+    # A string of an unsure block may equal one inside a block that repeats whole: one of each such kind is counted too.
+    partners = judged.where("repeats").join(unsure.select("token", "block", "core").distinct(), ["token", "block", "core"], "left_semi").dropDuplicates(["whole"])
+    open_ = unsure.select("key", "low", "token", "block").union(partners.select("key", "low", "token", "block"))
     single = contexts.join(open_, ["key", "low", "token"]).select("key", "at", "low", "n", "context", "block").mapInArrow(strings, "key binary, start long, print long").checkpoint()
     again = single.join(single.groupBy("print").count().where("count > 1").select("print"), "print")
     return judged.where("repeats").select("key", "start", "end").union(again.select("key", "start", (F.col("start") + LENGTH).alias("end")))
