@@ -257,3 +257,32 @@ AGENCY_FIELDS = ("response_agencies", "rescue_teams_involved", "agencies")
 REGION_FIELDS = ("mountain_name", "peak", "area_name", "location", "region")
 LIST_ITEM_REQUIRED = ("id", "date", "region", "activity", "title")
 PAGE_SIZE = 20
+
+# --- Fixed values: text patterns of the extraction rules ----------------------------
+DATE_MENTION = (r"\b(?:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|jun(?:e)?|jul(?:y)?|aug(?:ust)?|"
+                r"sep(?:t(?:ember)?)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)[\s\d,0-9]{2,20}")
+NAMED_AGE = r"\b([A-Z][a-z]+(?:\s+[A-Z][a-z]+){1,3}),\s*(\d{1,3})\b"
+UNNAMED_AGE = r"\b(\d{1,3})[- ]?year[- ]?old\b(?:\s+([A-Za-z\-]+))?"
+KILLED = (r"\b(\d+)\s+killed\b", r"\b(\d+)\s+dead\b")
+KILLED_REVERSED = r"\bkilled\s+(\d+)\b"
+INJURED = (r"\b(\d+)\s+injured\b", r"(\d+)\s+hurt\b")
+AREA = r"\b(?:in|at)\s+([A-Z][\w\s'\-]{3,80}?(?:Area|Park|Recreation|Range|Provincial))"
+DIFFICULTY = (r"\b5\.[0-9]{1,2}[a-z]?\b", r"\bclass\s+[1-5]\b", r"\bV\d+\b", r"\bGrade\s+[IV|]\b")
+FALL_FEET = r"(\d{2,5})\s*(?:feet|ft|foot)\b"
+SLOPE = r"(\d{1,2})\s*(?:degrees?|°)\b"
+ASPECT = r"\b(N|NE|E|SE|S|SW|W|NW)\b"
+ASPECT_STRICT = r"\b(N|NE|E|SE|S|SW|W|NW)(?:[- ]?facing| aspect)\b"
+AUTHOR = (
+    r"^(?:by|By)\s+([A-Z][A-Za-z\-']+(?:\s+[A-Z][A-Za-z\-']+){0,4})(?=\b|,)",
+    r"(?:^|[\n\-–|•])\s*(?:by|By)\s+([A-Z][A-Za-z\-']+(?:\s+[A-Z][A-Za-z\-']+){0,4})(?=\b|[,|])",
+    r"(?:^|\n)\s*(?:by|By)\s+([A-Z][A-Za-z]{2,20})(?=\b|[,|])",
+)
+DATE_LABEL = (
+    r"(?:published|posted|updated|last\s+updated|date|on)[:\s\-]{0,5}"
+    r"((?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Sept|Oct|Nov|Dec)[a-z]*\.?(?:\s+\d{1,2})(?:,)?(?:\s+\d{4})?"
+    r"|\d{4}-\d{2}-\d{2}"
+    r"|\d{1,2}[/-]\d{1,2}[/-]\d{2,4}"
+    r"|\d{1,2}\s+(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Sept|Oct|Nov|Dec)[a-z]*\.?,?\s+\d{4})"
+)
+MONTH_DAY_YEAR = r"((?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Sept|Oct|Nov|Dec)[a-z]*\.?\s+\d{1,2},?\s+\d{4})"
+ISO_ANYWHERE = r"\b(\d{4}-\d{2}-\d{2})\b"

@@ -295,32 +295,25 @@ def fuse_long(records: DataFrame, sidecars: DataFrame | None = None, map_policy:
                        at.alias("at"), F.col("w.json").alias("value"))
 
 
-def fold_events(long: DataFrame, max_pieces: int = 50_000) -> DataFrame:
-    """``event_id, key, subkey, at, fused_json``: one JSON object per event (``key`` null).
-
-    An event with more than ``max_pieces`` pieces would not fit one task; it stays in long
-    form, one row per piece with its key, so the result is whole either way."""
-    sizes = long.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
-    large = sizes.where(F.col("n") > max_pieces).select("event_id")
+def fold_keys(long: DataFrame) -> DataFrame:
+    """``event_id, key, value``: the JSON text of each key of an event, from long form; one shape at every size."""
     piece = F.struct("at", F.col("subkey").alias("key"), "value")
-    per_key = (long.join(large, "event_id", "left_anti").groupBy("event_id", "key", "kind")
-               .agg(F.array_sort(F.collect_list(F.when(F.col("value").isNotNull(), piece))).alias("pieces")))
+    per_key = long.groupBy("event_id", "key", "kind").agg(F.array_sort(F.collect_list(F.when(F.col("value").isNotNull(), piece))).alias("pieces"))
     pairs = F.transform("pieces", lambda p: F.struct(p["key"].alias("key"), p["value"].alias("value")))
     text = (F.when(F.col("kind") == "list", J.array_text(F.transform("pieces", lambda p: p["value"])))
             .when(F.col("kind") == "map", J.object_text(pairs))
             .otherwise(F.coalesce(F.try_element_at("pieces", F.lit(1))["value"], F.lit("null"))))
-    folded = per_key.select("event_id", "key", text.alias("value")).groupBy("event_id").agg(
-        F.collect_list(F.struct("key", "value")).alias("pairs"))
+    return per_key.select("event_id", "key", text.alias("value"))
+
+
+def export_objects(keys: DataFrame) -> DataFrame:
+    """``event_id, fused_json``: one JSON object per event from ``event_id, key, value``. An export of whole
+    objects: an event must fit one row. ``source_urls`` and ``source_url`` are always there."""
+    folded = keys.groupBy("event_id").agg(F.collect_list(F.struct("key", "value")).alias("pairs"))
     named = F.transform("pairs", lambda p: p["key"])
     default = lambda k, v: F.when(~F.array_contains(named, k), F.struct(F.lit(k).alias("key"), F.lit(v).alias("value")))
     full = F.concat("pairs", F.array_compact(F.array(default("source_urls", "[]"), default("source_url", '""'))))
-    no_text = F.lit(None).cast("string")
-    small = folded.select("event_id", no_text.alias("key"), no_text.alias("subkey"),
-                          F.lit(None).cast("struct<s:double,q:int,o:string,p:int>").alias("at"),
-                          J.object_text(full).alias("fused_json"))
-    rest = (long.join(large, "event_id", "left_semi").where(F.col("value").isNotNull())
-            .select("event_id", "key", "subkey", "at", F.col("value").alias("fused_json")))
-    return small.unionByName(rest)
+    return folded.select("event_id", J.object_text(full).alias("fused_json"))
 
 
 def relative_paths_json(raw: Column, root: str) -> Column:
@@ -330,7 +323,6 @@ def relative_paths_json(raw: Column, root: str) -> Column:
     return F.regexp_replace(rooted, start + r'((?:[^"\\/]|\\.)(?:[^"\\]|\\.)*|)"(?!\s*:)', r'"/$1"')
 
 
-def fuse_events(records: DataFrame, sidecars: DataFrame | None = None, map_policy: str = "last",
-                max_pieces: int = 50_000) -> DataFrame:
-    """Folded events, see ``fuse_long`` and ``fold_events``."""
-    return fold_events(fuse_long(records, sidecars, map_policy), max_pieces)
+def fuse_events(records: DataFrame, sidecars: DataFrame | None = None, map_policy: str = "last") -> DataFrame:
+    """``event_id, key, value`` of fused events, see ``fuse_long`` and ``fold_keys``."""
+    return fold_keys(fuse_long(records, sidecars, map_policy))

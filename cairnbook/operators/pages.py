@@ -128,12 +128,16 @@ def amp_link(elements: Column) -> Column:
 
 
 def best_variant(variants: DataFrame) -> DataFrame:
-    """``page_id, rank, html`` with rank 0 the original: first variant longer than the original wins."""
-    pick = lambda r: F.max(F.when(F.col("rank") == r, F.col("html")))
-    wide = variants.groupBy("page_id").agg(*[pick(r).alias(f"v{r}") for r in range(3)])
-    longer = lambda c: F.length(c) > F.coalesce(F.length("v0"), F.lit(0))
-    return wide.select("page_id", F.when(longer(F.col("v1")), F.col("v1"))
-                       .when(longer(F.col("v2")), F.col("v2")).otherwise(F.col("v0")).alias("html"))
+    """``page_id, rank, html`` with rank 0 the original: the first variant, by rank, longer than the original wins.
+
+    The pick is made on ranks and lengths; the page's text is fetched by the winning rank."""
+    size = F.length("html")
+    original = variants.where("rank = 0").groupBy("page_id").agg(F.max(size).alias("own"))
+    longer = (variants.where("rank > 0").select("page_id", "rank", size.alias("size")).join(original, "page_id", "left")
+              .where(F.col("size") > F.coalesce("own", F.lit(0))).groupBy("page_id").agg(F.min("rank").alias("best")))
+    picked = variants.select("page_id").distinct().join(longer, "page_id", "left").select("page_id", F.coalesce("best", F.lit(0)).alias("rank"))
+    found = variants.groupBy("page_id", "rank").agg(F.max("html").alias("html"))
+    return picked.join(found, ["page_id", "rank"], "left").select("page_id", "html")
 
 
 # --- landing pages --------------------------------------------------------------------

@@ -1,12 +1,12 @@
-"""Place names in texts, for name lists of any size."""
+"""Place names in texts, for name lists of any size: one form."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-LITERAL_LIMIT = 64
 GRAM = 3
 WORD = r"(?U)\w+"
+MARK = r"(?U)[^\w\s]"
 
 
 def _tokens(c: Column) -> Column:
@@ -19,31 +19,23 @@ def _whole_word(text: Column, name: Column) -> Column:
     return F.contains(F.lower(text), F.lower(name)) & F.regexp_like(text, pattern)
 
 
-def match_places(texts: DataFrame, names: DataFrame, literal_limit: int = LITERAL_LIMIT) -> DataFrame:
+def match_places(texts: DataFrame, names: DataFrame) -> DataFrame:
     """``doc_id, name`` for every name (column ``name``) found as a whole word in ``doc_id, text``.
 
-    A short list becomes literals inside one scan of the texts. A longer one is joined: a
-    name is known by its first (up to three) words, a text offers all its runs of that many
-    words, and the few candidates are verified on the text. No pair is ever formed without
-    a shared word run, and neither side is broadcast by decree."""
-    unique = names.select("name").distinct()
-    few = [r["name"] for r in unique.limit(literal_limit + 1).collect()]  # at most literal_limit + 1 values
-    if len(few) <= literal_limit:
-        listed = F.array(*[F.lit(n) for n in sorted(few)]).cast("array<string>")
-        found = F.filter(listed, lambda n: _whole_word(F.col("text"), n))
-        return texts.select("doc_id", F.explode(found).alias("name"))
+    A name is known by its first (up to three) words, or by its first mark if it has no word. A text offers
+    its runs of one to three words and its marks; those that no name has go before anything else is done, and
+    the few candidates are verified on the text. Spark chooses how the names are joined, by their measured size."""
     words = _tokens(F.col("name"))
-    size = F.least(F.size(words), F.lit(GRAM))
-    keyed = unique.withColumn("gram", F.array_join(F.slice(words, 1, GRAM), " ")).withColumn("size", size)
-    keyed = keyed.where(F.col("size") > 0)  # a name of punctuation only has no word boundary to match
+    mark = F.regexp_extract("name", MARK, 0)
+    gram = F.when(F.size(words) > 0, F.array_join(F.slice(words, 1, GRAM), " ")).otherwise(mark)
+    keyed = names.select("name").distinct().withColumn("gram", gram).where("gram <> ''")
     runs = lambda n: F.transform(F.sequence(F.lit(1), F.size("w") - n + 1),
                                  lambda i: F.array_join(F.slice(F.col("w"), i, n), " "))
-    used = sorted(r["size"] for r in keyed.select("size").distinct().collect())  # at most three values
-    every = F.flatten(F.array(*[F.when(F.size("w") >= n, runs(n)).otherwise(F.array().cast("array<string>"))
-                                for n in used])) if used else F.array().cast("array<string>")
+    none = F.array().cast("array<string>")
+    offers = [F.when(F.size("w") >= n, runs(n)).otherwise(none) for n in range(1, GRAM + 1)]
+    marks = F.regexp_extract_all("text", F.lit(MARK), F.lit(0))
     offered = (texts.withColumn("w", _tokens(F.col("text")))
-               .select("doc_id", F.explode(F.array_distinct(every)).alias("gram")))
-    candidates = offered.join(keyed.select("gram", "name"), "gram").select("doc_id", "name")
-    verified = (texts.select("doc_id", "text").join(candidates, "doc_id")
-                .where(_whole_word(F.col("text"), F.col("name"))).select("doc_id", "name"))
-    return verified
+               .select("doc_id", F.explode(F.array_distinct(F.flatten(F.array(*offers, marks)))).alias("gram")))
+    candidates = offered.join(keyed, "gram").select("doc_id", "name").distinct()
+    return (texts.select("doc_id", "text").join(candidates, "doc_id")
+            .where(_whole_word(F.col("text"), F.col("name"))).select("doc_id", "name"))

@@ -272,7 +272,7 @@ SELECT event_id,
   arg_max(json_extract_string(artifact_json, '$.derived_metrics.m1'), pos) FILTER (json_extract_string(artifact_json, '$.derived_metrics.m1') IS NOT NULL) AS m1
 FROM (SELECT r.*, j.artifact_json FROM ranked r JOIN bridge_json j USING (record_id)) GROUP BY 1""", "bridge_json"))
 def fuse_events(spark, sf_dir):
-    fused = U.fuse_events(json_records(spark, sf_dir).select("event_id", "record_id", "extraction_confidence_score", "artifact_json"))
+    fused = U.export_objects(U.fuse_events(json_records(spark, sf_dir).select("event_id", "record_id", "extraction_confidence_score", "artifact_json")))
     v = F.parse_json("fused_json")
     get = lambda p, t="string": F.try_variant_get(v, p, t)
     return fused.select(

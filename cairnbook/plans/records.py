@@ -221,18 +221,3 @@ FROM conversations GROUP BY ROLLUP (role)""")
 def token_totals(spark, sf_dir):
     return R.token_totals(table(spark, sf_dir, "conversations").select(
         F.col("role").alias("model"), F.length("text").alias("prompt"), F.col("turn").alias("completion")))
-
-
-STUB = "SELECT doc_id, true AS stub, 'Stub Extraction ' || left(sha1(text), 8) AS title, 'unknown' AS activity, length(text)::int AS raw_character_count, left(sha1(text), 8) AS hash FROM documents"
-
-
-@query("stub_extract", STUB)
-def stub_extract(spark, sf_dir):
-    return R.stub_extract(table(spark, sf_dir, "documents").select("doc_id", "text"))
-
-
-@query("extract_hook", "SELECT doc_id, upper(lang) AS lang, length(text)::int AS n FROM documents")
-def extract_hook(spark, sf_dir):
-    return R.extract_with(table(spark, sf_dir, "documents"), lambda df: df.select(
-        "doc_id", F.upper("lang").alias("lang"), F.length("text").alias("n")))
-

@@ -200,8 +200,8 @@ def amp_candidates(spark, sf_dir):
 
 
 @query("amp_best_variant", """
-SELECT page_id, CASE WHEN length(v1) > coalesce(length(v0), 0) THEN v1 WHEN length(v2) > coalesce(length(v0), 0) THEN v2 ELSE v0 END AS html FROM (
-  SELECT conv_id AS page_id, max(text) FILTER (turn = 0) AS v0, max(text) FILTER (turn = 1) AS v1, max(text) FILTER (turn = 2) AS v2 FROM conversations GROUP BY 1)""")
+SELECT page_id, coalesce(arg_min(text, turn) FILTER (turn > 0 AND length(text) > coalesce(own, 0)), max(text) FILTER (turn = 0)) AS html FROM (
+  SELECT conv_id AS page_id, turn, text, max(length(text)) FILTER (turn = 0) OVER (PARTITION BY conv_id) AS own FROM conversations) GROUP BY 1""")
 def amp_best_variant(spark, sf_dir):
     return P.best_variant(table(spark, sf_dir, "conversations").select(
         F.col("conv_id").alias("page_id"), F.col("turn").cast("int").alias("rank"), F.col("text").alias("html")))
@@ -371,7 +371,7 @@ def _names(spark, sf_dir):
 @query("gazetteer_join", PLACES_SQL)
 def gazetteer_join(spark, sf_dir):
     """The joined form, whatever the length of the list."""
-    return places.match_places(table(spark, sf_dir, "documents").select("doc_id", "text"), _names(spark, sf_dir), literal_limit=0)
+    return places.match_places(table(spark, sf_dir, "documents").select("doc_id", "text"), _names(spark, sf_dir))
 
 
 @query("gazetteer_match", PLACES_SQL)

@@ -13,13 +13,8 @@ PATH = "_metadata.file_path"
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A parquet table with at least one partition per core.
-
-    A large table is read as it is split. A table of a few unsplittable files would keep the
-    per-row work of everything that follows on a few cores; only then its rows are spread."""
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    """A parquet table, read as it is split."""
+    return spark.read.parquet(path)
 
 
 def _documents(spark: SparkSession, path: str, pattern: str, whole: bool = True) -> DataFrame:
@@ -40,6 +35,15 @@ def scan_artifacts(spark: SparkSession, path: str, pattern: str = "accident_info
         "file_path", _folder(F.col("file_path")).alias("run_dir"), F.col("value").alias("artifact_json"))
 
 
+def rejected_artifacts(spark: SparkSession, path: str, pattern: str = "accident_info.json", whole: bool = True) -> DataFrame:
+    """What ``scan_artifacts`` leaves out: ``file_path, reason, n_chars, value``.
+
+    Reasons: ``unreadable`` (no JSON, a repeated key, or beyond what a JSON value may hold) and ``no object``."""
+    docs = _documents(spark, path, pattern, whole)
+    reason = F.when(F.try_parse_json("value").isNull(), "unreadable").otherwise("no object")
+    return docs.where(J.fields(F.col("value")).isNull()).select("file_path", reason.alias("reason"), F.length("value").alias("n_chars"), "value")
+
+
 def scan_sidecars(spark: SparkSession, path: str, pattern: str = "captions.json", whole: bool = True) -> DataFrame:
     """Caption documents beside artifacts, of any JSON shape: ``run_dir, sidecar_json``."""
     docs = _documents(spark, path, pattern, whole)
@@ -68,12 +72,12 @@ def scan_gazetteer(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_reports(spark: SparkSession, path: str, pattern: str = "*.md", folder_key: str | None = None) -> DataFrame:
-    """Markdown files as ``id, markdown``; the id is the file name, or the value of a ``folder_key=`` folder."""
+    """Markdown files as ``id, markdown`` with unified line ends; the id is the file name, or the value of a ``folder_key=`` folder."""
     docs = _documents(spark, path, pattern)
     name = F.regexp_replace(base_name(F.col("file_path")), r"\.[^.]*$", "")
     if folder_key is not None:
         name = F.regexp_extract("file_path", rf"/{folder_key}=([^/]*)/", 1)
-    return docs.select(name.alias("id"), F.col("value").alias("markdown"))
+    return docs.select(name.alias("id"), F.regexp_replace("value", "\r\n?", "\n").alias("markdown"))
 
 
 def manifest_items(texts: DataFrame, column: str = "value") -> DataFrame:
@@ -90,13 +94,18 @@ def scan_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """Ledger CSV keyed by address: the last of equal addresses wins, a missing file is an empty ledger."""
+    """Ledger CSV keyed by address: the last of equal addresses wins, by file name and place in the file.
+
+    A missing path is an empty ledger; any other fault is raised."""
     try:
         rows = spark.read.csv(path, header=True, multiLine=True, escape='"', quote='"')
-    except AnalysisException:
+    except AnalysisException as fault:
+        if fault.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], ", ".join(f"{c} string" for c in header()))
     kept = [c for c in rows.columns if c != "source_url"]
-    numbered = rows.where(F.col("source_url").isNotNull()).withColumn("_n", F.monotonically_increasing_id())
+    place = F.struct(F.col(PATH), F.monotonically_increasing_id())  # a file with multi-line cells is read by one task
+    numbered = rows.select("*", place.alias("_n")).where(F.col("source_url").isNotNull())
     return (numbered.groupBy("source_url").agg(F.max_by(F.struct(*kept), "_n").alias("r"))
             .select("source_url", "r.*").select(*rows.columns))
 

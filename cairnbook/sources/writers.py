@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cairnbook.functions import jsons as J
@@ -9,6 +10,17 @@ from cairnbook.functions.dates import run_stamp
 from cairnbook.functions.strings import bare_domain, slug
 from cairnbook.operators.ledger import csv_cells
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything can be read at a path."""
+    try:
+        spark.read.text(path).schema  # noqa: B018  analysis alone looks for the path
+    except AnalysisException as fault:
+        if fault.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 DYNAMIC = {"partitionOverwriteMode": "dynamic"}
 
 
@@ -17,10 +29,13 @@ def write_ledger(ledger: DataFrame, path: str) -> None:
 
 
 def write_artifacts(artifacts: DataFrame, path: str, zone: str = "UTC") -> None:
-    """``source_url, extracted_at TIMESTAMP, artifact_json`` as JSON lines below domain and run folders."""
+    """``source_url, extracted_at TIMESTAMP, artifact_json`` as JSON lines below domain and run folders.
+
+    Line breaks between the parts of a document become spaces. A run that is repeated replaces its folders."""
+    line = F.regexp_replace("artifact_json", r"[\r\n]+", " ")
     rows = artifacts.select(slug(bare_domain(F.col("source_url"))).alias("domain_slug"),
-                            run_stamp(F.col("extracted_at"), zone).alias("run_ts"), F.col("artifact_json").alias("value"))
-    rows.hint("rebalance", "domain_slug", "run_ts").write.mode("append").partitionBy("domain_slug", "run_ts").text(path)
+                            run_stamp(F.col("extracted_at"), zone).alias("run_ts"), line.alias("value"))
+    rows.hint("rebalance", "domain_slug", "run_ts").write.mode("overwrite").options(**DYNAMIC).partitionBy("domain_slug", "run_ts").text(path)
 
 
 def write_events(events: DataFrame, path: str) -> None:
@@ -41,23 +56,21 @@ def write_reports(reports: DataFrame, path: str, per_event: bool = False) -> Non
     write_events(reports.select("event_id", "markdown"), path)
 
 
-def write_manifest(items: DataFrame, path: str, single_limit: int = 10_000) -> bool:
-    """List of reports: one JSON array while it is short (its size is counted), JSON lines beyond. True for the array."""
-    if items.limit(single_limit + 1).count() > single_limit:
-        items.write.mode("overwrite").json(path)
-        return False
-    rows = F.array_sort(F.collect_list(F.struct("id", F.to_json(F.struct(*items.columns)).alias("j"))))
-    document = items.agg(J.array_text(F.transform(rows, lambda r: r["j"])).alias("value"))
-    document.write.mode("overwrite").text(path)
-    return True
+def write_manifest(items: DataFrame, path: str) -> None:
+    """List of reports as JSON lines, in order of id within and between files, at every size."""
+    items.orderBy("id").write.mode("overwrite").json(path)
 
 
 def import_index(artifacts: DataFrame, path: str, dry_run: bool = False, skip_existing: bool = False) -> DataFrame:
-    """Write the four index columns; the result counts what was imported. A dry run only counts."""
+    """Write the four index columns; the result counts what was imported. A dry run only counts.
+
+    With ``skip_existing`` an index that is there stays, and nothing counts as imported."""
     field = lambda k: F.try_element_at(J.fields(F.col("artifact_json")), F.lit(k)).cast("string")
     index = artifacts.select(F.col("file_path").alias("path"), field("source_url").alias("source_url"),
                              field("mountain_name").alias("mountain_name"),
                              field("extraction_confidence_score").try_cast("double").alias("extraction_confidence_score"))
+    if skip_existing and not dry_run and path_exists(artifacts.sparkSession, path):
+        return index.agg(F.lit(0).cast("long").alias("artifacts"))
     if not dry_run:
-        index.write.mode("ignore" if skip_existing else "overwrite").json(path)
+        index.write.mode("overwrite").json(path)
     return index.agg(F.count(F.lit(1)).alias("artifacts"))

@@ -1,19 +1,20 @@
 """Incremental ingest, ledger upsert, re-fusion and publication.
 
-Every sink writes the folder ``batch_id=N`` of its micro-batch in overwrite mode: a batch
+Sinks of state write the folder ``batch_id=N`` of their micro-batch in overwrite mode: a batch
 that is repeated after a lost executor or driver replaces its own output, so results
 are counted once. Current state is a query over these folders (newest per address,
 latest per event); ``compact`` folds them into one when they have become many."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cairnbook.functions import jsons as J
 from cairnbook.operators.fusion import fuse_events
 from cairnbook.operators.ledger import newest_per_url
+from cairnbook.sources.writers import path_exists
 
 
 def artifact_stream(spark: SparkSession, path: str, pattern: str = "accident_info.json", whole: bool = True,
@@ -70,21 +71,24 @@ def refuse_touched(rows: DataFrame, artifacts: str, fused: str, checkpoint: str)
 
 
 def latest_fused(spark: SparkSession, fused: str) -> DataFrame:
-    """Rows of the last batch that fused an event (a large event has several rows)."""
+    """Keys and values of each event from the last batch that fused it."""
     rows = spark.read.parquet(fused)
     last = rows.groupBy("event_id").agg(F.max("batch_id").alias("batch_id"))
     return rows.join(last, ["event_id", "batch_id"]).drop("batch_id")
 
 
-def published(spark: SparkSession, folder: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+def publish_once(rows: DataFrame, target: str, checkpoint: str, keys: Sequence[str] = ("record_id",)) -> None:
+    """Publish each row one time, told by ``keys``: rows whose keys the target holds are left out.
 
+    The guard is content, so a lost checkpoint, repeated batches and rows that arrive between runs are all
+    right; a batch that failed midway left nothing that can be read."""
+    keys = list(keys)
 
-def publish_once(rows: DataFrame, target: str, checkpoint: str) -> None:
-    """Publish each micro-batch one time: a batch whose folder is complete is not written again."""
     def each(batch: DataFrame, batch_id: int) -> None:
-        folder = f"{target}/batch_id={batch_id}"
-        if not published(batch.sparkSession, folder):
-            batch.write.mode("overwrite").parquet(folder)
+        fresh = batch.dropDuplicates(keys)
+        if path_exists(batch.sparkSession, target):
+            held = batch.sparkSession.read.schema(batch.schema).parquet(target).select(*keys)
+            same = [F.col(f"new.{k}").eqNullSafe(F.col(f"held.{k}")) for k in keys]
+            fresh = fresh.alias("new").join(held.alias("held"), same, "left_anti")
+        fresh.write.mode("append").parquet(target)
     _run(rows, each, checkpoint)

@@ -73,53 +73,6 @@ def event(spark, docs):
                                  "event_id string, record_id bigint, extraction_confidence_score string, artifact_json string")
 
 
-def brute_fuse(docs):
-    """The fusion rules, record by record (enriched record first)."""
-    score = lambda d: float(d.get("extraction_confidence_score") or 0)
-    base = max(docs, key=score)
-    items = sorted([base] + docs, key=score, reverse=True)
-    out = {}
-    for k in sorted({k for d in items for k in d}):
-        vals = [d[k] for d in items if k in d]
-        if any(isinstance(v, list) for v in vals):
-            union, seen = [], set()
-            for x in (x for v in vals if isinstance(v, list) for x in v):
-                i = json.dumps(x, sort_keys=True) if isinstance(x, (dict, list)) else str(x)
-                if i not in seen:
-                    seen.add(i)
-                    union.append(x)
-            out[k] = union
-        elif any(isinstance(v, dict) for v in vals):
-            out[k] = {kk: vv for v in vals if isinstance(v, dict) for kk, vv in v.items()}
-        else:
-            full = [v for v in vals if v not in (None, "")]
-            if not full:
-                out[k] = vals[0]
-            elif k in ("accident_summary_text", "timeline_text"):
-                out[k] = max(full, key=len)
-            elif k == "title":
-                out[k] = sorted(full, key=lambda t: ("None" in t, -len(t)))[0]
-            elif k == "accident_date":
-                good = sorted(v for v in full if v.startswith("20"))
-                out[k] = good[0] if good else full[0]
-            elif k == "extraction_confidence_score":
-                out[k] = max(full)
-            else:
-                out[k] = full[0]
-    urls = []
-    for d in items:
-        u = d.get("source_url")
-        for x in (u if isinstance(u, list) else [u]):
-            if isinstance(x, str) and x.strip() and x.strip() not in urls:
-                urls.append(x.strip())
-    if urls:
-        out["source_urls"], out["source_url"] = urls, out.get("source_url") or urls[0]
-    else:
-        out.setdefault("source_urls", [])
-        out.setdefault("source_url", "")
-    return out
-
-
 DOCS = [
     {"source_url": " u1 ", "title": "None seen", "accident_date": "spring", "extraction_confidence_score": 0.3,
      "photo_urls": ["a", "b", "a"], "people": [{"n": 1, "m": 2}], "derived_metrics": {"x": 1, "y": 1}, "flag": False, "mixed": "text"},
@@ -131,26 +84,44 @@ DOCS = [
 ]
 
 
-@pytest.mark.parametrize("docs", [DOCS, DOCS[:1], DOCS[:3], [{"a": 1}], [{"source_urls": ["own"], "a": [1, "1", True]}], list(reversed(DOCS))])
-def test_fusion_against_brute_force(spark, docs):
-    row = U.fuse_events(event(spark, docs)).collect()
-    assert len(row) == 1 and row[0].key is None
-    assert json.loads(row[0].fused_json) == brute_fuse(docs)
+# Expected objects, written out by hand from the rules.
+COMMON = {"title": "Longer fall", "accident_date": "2024-05-01", "extraction_confidence_score": 0.8, "accident_summary_text": "é longer",
+          "photo_urls": ["c", "b", "a"], "people": [{"m": 2, "n": 1}, {"n": 3}], "derived_metrics": {"x": 1, "y": 1, "z": {"deep": [1]}},
+          "flag": False, "mixed": ["l"], "empty": [], "zero": 0, "quote": 'a "q" \\ \n b'}
+FUSED = [
+    (DOCS, {**COMMON, "blank": "", "note": "unscored", "source_url": ["u9", " u2 "], "source_urls": ["u2", "u1", "u9"]}),
+    (list(reversed(DOCS)), {**COMMON, "blank": None, "note": "unscored", "source_url": ["u9", " u2 "], "source_urls": ["u1", "u2", "u9"]}),
+    (DOCS[:3], {**COMMON, "blank": "", "source_url": "u2", "source_urls": ["u2", "u1"]}),
+    (DOCS[:1], {"source_url": " u1 ", "source_urls": ["u1"], "title": "None seen", "accident_date": "spring", "extraction_confidence_score": 0.3,
+                "photo_urls": ["a", "b"], "people": [{"n": 1, "m": 2}], "derived_metrics": {"x": 1, "y": 1}, "flag": False, "mixed": "text"}),
+    ([{"a": 1}], {"a": 1, "source_url": "", "source_urls": []}),
+    ([{"source_urls": ["own"], "a": [1, "1", True]}], {"a": [1, True], "source_url": "", "source_urls": ["own"]}),
+]
+
+
+def fused_object(spark, docs, **options):
+    rows = U.export_objects(U.fuse_events(event(spark, docs), **options)).collect()
+    assert len(rows) == 1
+    return rows[0].fused_json
+
+
+@pytest.mark.parametrize("docs, expected", FUSED)
+def test_fusion_gives_the_expected_object(spark, docs, expected):
+    assert json.loads(fused_object(spark, docs)) == expected
+    keys = {r.key: json.loads(r.value) for r in U.fuse_events(event(spark, docs)).collect()}
+    assert {k: v for k, v in expected.items() if k in keys} == keys
 
 
-def test_large_event_stays_whole(spark):
-    docs = [{"source_url": f"u{i}", "extraction_confidence_score": 0.5, "photo_urls": [f"p{i}", "shared"]} for i in range(60)]
-    rows = U.fuse_events(event(spark, docs), max_pieces=20).collect()
-    assert all(r.key is not None for r in rows)
-    urls = [r for r in rows if r.key == "source_urls"]
-    assert [json.loads(r.fused_json) for r in sorted(urls, key=lambda r: tuple(r["at"]))] == [f"u{i}" for i in range(60)]
-    photos = [json.loads(r.fused_json) for r in sorted((r for r in rows if r.key == "photo_urls"), key=lambda r: tuple(r["at"]))]
-    assert photos == ["p0", "shared"] + [f"p{i}" for i in range(1, 60)]
+def test_large_event_has_one_shape(spark):
+    docs = [{"source_url": f"u{i}", "extraction_confidence_score": 0.5, "photo_urls": [f"p{i}.{j}" for j in range(100)] + ["shared"]} for i in range(300)]
+    keys = {r.key: json.loads(r.value) for r in U.fuse_events(event(spark, docs)).collect()}
+    assert keys["source_urls"] == [f"u{i}" for i in range(300)]
+    assert len(keys["photo_urls"]) == 30_001 and keys["photo_urls"][99:102] == ["p0.99", "shared", "p1.0"]
 
 
 def test_map_policy(spark):
     docs = [{"extraction_confidence_score": 0.9, "m": {"a": 1}}, {"extraction_confidence_score": 0.1, "m": {"a": 2}}]
-    fused = lambda p: json.loads(U.fuse_events(event(spark, docs), map_policy=p).collect()[0].fused_json)["m"]["a"]
+    fused = lambda p: json.loads(fused_object(spark, docs, map_policy=p))["m"]["a"]
     assert fused("last") == 2 and fused("first") == 1
 
 
@@ -168,8 +139,8 @@ def test_sidecar_merge(spark):
 
 def test_fusing_again_is_stable(spark):
     """With one scalar address per source; of an address list the rules gather only its own items."""
-    fused = U.fuse_events(event(spark, DOCS[:1])).collect()[0].fused_json
-    again = U.fuse_events(event(spark, [json.loads(fused)])).collect()[0].fused_json
+    fused = fused_object(spark, DOCS[:1])
+    again = fused_object(spark, [json.loads(fused)])
     assert json.loads(again) == json.loads(fused)
 
 

@@ -47,16 +47,45 @@ def test_import_modes(spark, tmp_path):
     docs = spark.createDataFrame([("f", '{"source_url":"u","extraction_confidence_score":0.5}')], "file_path string, artifact_json string")
     out = str(tmp_path / "index")
     assert W.import_index(docs, out, dry_run=True).collect()[0].artifacts == 1 and not (tmp_path / "index").exists()
-    W.import_index(docs, out)
-    W.import_index(docs.limit(0), out, skip_existing=True)
+    assert W.import_index(docs, out, skip_existing=True).collect()[0].artifacts == 1
+    assert W.import_index(docs.union(docs), out, skip_existing=True).collect()[0].artifacts == 0
     assert spark.read.json(out).collect()[0].source_url == "u"
 
 
-def test_manifest_sizes(spark, tmp_path):
+def test_manifest_has_one_form(spark, tmp_path):
     items = spark.createDataFrame([(f"{i}", "t") for i in range(5)], "id string, title string")
-    assert W.write_manifest(items, str(tmp_path / "one")) is True
-    assert W.write_manifest(items, str(tmp_path / "many"), single_limit=3) is False
-    assert R.scan_manifest(spark, str(tmp_path / "one")).count() == 5 and spark.read.json(str(tmp_path / "many")).count() == 5
+    W.write_manifest(items, str(tmp_path / "m"))
+    assert sorted(r.id for r in spark.read.json(str(tmp_path / "m")).collect()) == ["0", "1", "2", "3", "4"]
+
+
+def test_artifacts_keep_their_lines_and_repeat(spark, tmp_path):
+    doc = json.dumps({"source_url": "https://x.example/1", "text": "a\nb"}, indent=2)
+    rows = spark.createDataFrame([("https://x.example/1", doc)], "source_url string, artifact_json string").withColumn("extracted_at", F.lit("2024-01-01").cast("timestamp"))
+    for _ in range(2):
+        W.write_artifacts(rows, str(tmp_path / "a"))
+    back = R.scan_artifacts(spark, str(tmp_path / "a"), pattern="*.txt", whole=False).collect()
+    assert [json.loads(r.artifact_json) for r in back] == [json.loads(doc)]
+
+
+def test_unreadable_artifacts_are_told(spark, tmp_path):
+    for name, text in (("a", '{"k":1}'), ("b", "[1]"), ("c", "{")):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "accident_info.json").write_text(text)
+    assert R.scan_artifacts(spark, str(tmp_path)).count() == 1
+    assert sorted(r.reason for r in R.rejected_artifacts(spark, str(tmp_path)).collect()) == ["no object", "unreadable"]
+
+
+def test_report_line_ends(spark, tmp_path):
+    (tmp_path / "r.md").write_bytes(b"---\r\ntitle: x\r\n---\rbody")
+    assert R.scan_reports(spark, str(tmp_path)).collect()[0].markdown == "---\ntitle: x\n---\nbody"
+
+
+def test_publish_once_by_content(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for run, ids in enumerate(([1, 2], [3, 4, 4])):
+        spark.createDataFrame([(i,) for i in ids], "record_id long").write.mode("append").parquet(src)
+        T.publish_once(spark.readStream.schema("record_id long").parquet(src), out, str(tmp_path / f"checkpoint{run}"))
+    assert sorted(r.record_id for r in spark.read.parquet(out).collect()) == [1, 2, 3, 4]
 
 
 def test_stream_upsert_in_two_runs(spark, tmp_path):
@@ -79,6 +108,6 @@ def test_refuse_touches_only_changed_events(spark, tmp_path):
     for b in ([("a", 1, 0.5, doc("u1")), ("b", 2, 0.5, doc("u2"))], [("a", 3, 0.5, doc("u3"))]):
         spark.createDataFrame(b, schema).write.mode("append").parquet(src)
         T.refuse_touched(spark.readStream.schema(schema).parquet(src), art, fused, cp)
-    latest = {r.event_id: json.loads(r.fused_json)["source_urls"] for r in T.latest_fused(spark, fused).collect()}
+    latest = {r.event_id: json.loads(r.value) for r in T.latest_fused(spark, fused).where("key = 'source_urls'").collect()}
     assert latest == {"a": ["u1", "u3"], "b": ["u2"]}
-    assert spark.read.parquet(fused).groupBy("event_id").agg(F.count("*").alias("n")).where("n = 2").count() == 1
+    assert spark.read.parquet(fused).where("key = 'source_urls'").groupBy("event_id").agg(F.count("*").alias("n")).where("n = 2").count() == 1
