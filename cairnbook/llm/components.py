@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 from cairnbook.session import ensure_checkpoint_dir
 
 
+#: Edges of a partition of a small graph; without it the rounds of a small graph are mostly empty tasks.
+EDGES = 500_000
+
+
+def compact(rows: DataFrame) -> DataFrame:
+    """A checkpoint of narrow rows in as few partitions as they fill."""
+    held = rows.checkpoint()
+    return held.coalesce(-(-max(1, held.count()) // EDGES))
+
+
 def _starred(edges: DataFrame, small: bool) -> DataFrame:
     """One star step over (u, v), u > v: every neighbour is tied to the smallest of them.
 
@@ -35,6 +45,7 @@ def components(edges: DataFrame) -> DataFrame:
         if now == state:
             break
         state = now
+        at = at.coalesce(-(-max(1, now[0]) // EDGES))
         at = _starred(_starred(at, small=False), small=True).checkpoint()
     return at.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component").union(
         at.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

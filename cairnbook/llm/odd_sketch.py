@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from cairnbook.llm.components import components
+from cairnbook.llm.components import compact, components
 from cairnbook.session import ensure_checkpoint_dir
 
 ROWS, BANDS = 6, 40
@@ -182,7 +182,18 @@ def _candidates(bucket_parts: DataFrame, percent: int) -> DataFrame:
     return found.groupBy("low", "high").agg(F.flatten(F.collect_list("a")).alias("a"), F.flatten(F.collect_list("b")).alias("b"))
 
 
-def _across(nodes: DataFrame, met: DataFrame, ids: DataFrame, sets: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
+def _clusters(near: DataFrame) -> DataFrame:
+    """rep, cluster: the smallest document met from one to its centre, the centre's centre and so on, four steps.
+
+    Only for dealing documents that are compared to the same blocks; every document has one."""
+    at = near.select("rep", "centre", F.least("rep", "centre").alias("cluster"))
+    for _ in range(2):
+        ahead = at.select(F.col("rep").alias("via"), F.col("centre").alias("next"), F.col("cluster").alias("beyond"))
+        at = at.join(ahead, F.col("centre") == F.col("via"), "left").select("rep", F.coalesce("next", "centre").alias("centre"), F.least("cluster", "beyond").alias("cluster"))
+    return at.select("rep", "cluster")
+
+
+def _across(nodes: DataFrame, near: DataFrame, ids: DataFrame, sets: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
     """a, b: links between components, enough of them to join what links join.
 
     Only buckets that hold several components are looked at, part by part (a part is bounded). Candidates
@@ -216,7 +227,7 @@ def _across(nodes: DataFrame, met: DataFrame, ids: DataFrame, sets: DataFrame, j
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*edges)], names=["a", "b"])
 
     known = (ids.select("rep").join(nodes.drop("set_key"), "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-             .withColumn("component", F.coalesce("component", "rep")).join(components(met).toDF("rep", "cluster"), "rep"))
+             .withColumn("component", F.coalesce("component", "rep")).join(_clusters(near), "rep"))
     sizes = known.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_ITEMS)).alias("chunks"))
     placed = known.join(sizes, "cluster").withColumn("block", F.xxhash64("cluster", F.pmod(F.xxhash64("rep"), F.col("chunks")))).drop("cluster", "chunks").checkpoint()
     banded = placed.select("rep", "component", F.explode("bands").alias("band"))
@@ -251,18 +262,19 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 8
     buckets = nodes.select("rep", F.explode("bands").alias("band"))
     ends = buckets.groupBy("band").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low <> high")
     met = buckets.join(ends, "band").select("rep", F.explode(F.array("low", "high")).alias("centre")).where("rep <> centre").groupBy("rep", "centre").count()
-    near = met.groupBy("rep").agg(F.max(F.struct(F.col("count"), -F.col("centre"))).alias("best")).select("rep", (-F.col("best")["col2"]).alias("centre"))
-    met = near.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct().checkpoint()
-    ids = met.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(nodes.select("rep", "set_key"), "rep").checkpoint()
+    near = compact(met.groupBy("rep").agg(F.max(F.struct("count", (-F.col("centre")).alias("less"))).alias("best")).select("rep", (-F.col("best.less")).alias("centre")))
+    met = compact(near.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct())
+    ids = compact(near.select("rep").join(nodes.select("rep", "set_key"), "rep"))
     sets = _sets(docs, ids, shingle_words).checkpoint()
 
     def side(x: str) -> DataFrame:
         return nodes.select(F.col("rep").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
 
-    star = _confirmed(met.join(side("a"), "a").join(side("b"), "b").where(_may_link(percent)), sets, percent).checkpoint()
+    star = _confirmed(met.join(side("a"), "a").join(side("b"), "b").where(_may_link(percent)), sets, percent)
+    star = compact(star)
     joined = components(star)
 
-    links = star.union(_across(nodes, met, ids, sets, joined, percent).checkpoint())
+    links = star.union(compact(_across(nodes, near, ids, sets, joined, percent)))
 
     by_set = first.join(components(links).withColumnRenamed("node", "rep"), "rep", "left").select(
         "set_key", F.coalesce("component", "rep").alias("component"))
