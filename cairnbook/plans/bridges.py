@@ -121,7 +121,7 @@ SELECT conv_id AS batch_id,
   concat(CASE conv_id % 4 WHEN 1 THEN 'Here you are: ' ELSE '' END,
     CASE conv_id % 7 WHEN 3 THEN 'no list' ELSE concat('[{"n":', cast(conv_id AS string), '},', CASE WHEN conv_id % 3 = 0 THEN '7' ELSE '{"b":2,"a":"x"}' END, ']') END,
     CASE conv_id % 4 WHEN 1 THEN ' Done.' ELSE '' END) AS raw
-FROM conversations WHERE turn = 0""",
+FROM (SELECT conv_id FROM conversations GROUP BY conv_id)""",
     # orders -> sidecar documents
     "bridge_sidecars": """
 SELECT cast(o_orderkey AS string) AS run_dir,

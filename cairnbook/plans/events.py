@@ -164,10 +164,10 @@ SELECT cast(j.record_id AS varchar) AS run_dir,
 FROM (SELECT record_id, artifact_json, o_orderkey, o_custkey,
         'p' || record_id % 6 || CASE WHEN record_id % 6 <> record_id % 4 THEN ',p' || record_id % 4 ELSE '' END || ',side' || o_custkey % 4 AS list_distinct_ordered,
         'p' || record_id % 6 || ',p' || record_id % 4 AS base_list
-      FROM bridge_json JOIN orders ON o_orderkey = record_id) j""", "bridge_json"))
+      FROM bridge_json LEFT JOIN orders ON o_orderkey = record_id) j""", "bridge_json"))
 def merge_sidecar(spark, sf_dir):
     pairs = bridge(spark, sf_dir, "bridge_json").withColumn("run_dir", F.col("record_id").cast("string")).join(
-        bridge(spark, sf_dir, "bridge_sidecars"), "run_dir")
+        bridge(spark, sf_dir, "bridge_sidecars"), "run_dir", "left")
     usable = F.when(U.usable_sidecar(F.col("sidecar_json")), F.col("sidecar_json"))
     merged = U.merge_documents(pairs.withColumn("side", usable), "artifact_json", "side", "merged")
     merged = merged.select("run_dir", F.parse_json("merged").alias("m"))

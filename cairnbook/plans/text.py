@@ -119,10 +119,10 @@ def page_title(spark, sf_dir):
 
 @query("assemble_article", blocks_sql(r"""
 SELECT page_id, regexp_replace(regexp_replace('A title of the story' || chr(10) || chr(10) || text, '(?is)By signing up.*?(\n\n|\z)', '\1', 'g'),
-  '\n{3,}', chr(10) || chr(10), 'g') AS article FROM joined""", joined=JOINED))
+  '\n{3,}', chr(10) || chr(10), 'g') AS article FROM joined
+UNION ALL SELECT page_id, 'A title of the story' AS article FROM pages WHERE page_id NOT IN (SELECT page_id FROM joined)""", joined=JOINED))
 def assemble_article(spark, sf_dir):
     df = text_blocks(spark, sf_dir)
-    df = df.where(F.size("texts") > 0)
     return df.select("page_id", B.assemble(F.lit("A title of the story"), F.col("texts")).alias("article"))
 
 
@@ -131,10 +131,11 @@ SELECT j.page_id, CASE WHEN regexp_matches(j.text, '{EMAIL_SQL}')
     THEN trim(substring(j.text, 1, instr(j.text, regexp_extract(j.text, '{EMAIL_SQL}')) + length(regexp_extract(j.text, '{EMAIL_SQL}')) - 1))
   ELSE coalesce(k.text, j.text) END AS article
 FROM joined j LEFT JOIN (SELECT page_id, string_agg(text, chr(10) || chr(10) ORDER BY i) AS text FROM (
-  SELECT *, max(CASE WHEN {SUBSTANTIVE} THEN i END) OVER (PARTITION BY page_id) AS last FROM paras) WHERE i <= last GROUP BY 1) k USING (page_id)""",
+  SELECT *, max(CASE WHEN {SUBSTANTIVE} THEN i END) OVER (PARTITION BY page_id) AS last FROM paras) WHERE i <= last GROUP BY 1) k USING (page_id)
+UNION ALL SELECT page_id, '' AS article FROM pages WHERE page_id NOT IN (SELECT page_id FROM joined)""",
     joined=JOINED, paras=PARAS))
 def truncate_email(spark, sf_dir):
-    df = joined(spark, sf_dir).where("text <> ''")
+    df = joined(spark, sf_dir)
     return df.select("page_id", B.cut_after_email(F.col("text")).alias("article"))
 
 
@@ -142,26 +143,28 @@ def truncate_email(spark, sf_dir):
 SELECT page_id, coalesce(string_agg(text, chr(10) || chr(10) ORDER BY i) FILTER (keep), '') AS article FROM (
   SELECT *, i <= last OR total - last < 3 AS keep FROM (
     SELECT *, coalesce(max(CASE WHEN words > 12 THEN i END) OVER (PARTITION BY page_id), 0) AS last, max(i) OVER (PARTITION BY page_id) AS total
-    FROM (SELECT *, length(regexp_extract_all(text, '[\p{L}\p{N}_]+')) AS words FROM paras))) GROUP BY 1""",
+    FROM (SELECT *, length(regexp_extract_all(text, '[\p{L}\p{N}_]+')) AS words FROM paras))) GROUP BY 1
+UNION ALL SELECT page_id, '' AS article FROM pages WHERE page_id NOT IN (SELECT page_id FROM joined)""",
     joined=JOINED, paras=PARAS))
 def trim_tail_run(spark, sf_dir):
-    return joined(spark, sf_dir).where("text <> ''").select("page_id", B.trim_tail_run(F.col("text")).alias("article"))
+    return joined(spark, sf_dir).select("page_id", B.trim_tail_run(F.col("text")).alias("article"))
 
 
 @query("focus_clean", blocks_sql(r"""
 SELECT page_id, trim(regexp_replace(coalesce(string_agg(text, ' ' ORDER BY i) FILTER (NOT (""" + any_of(C.FOCUS_DROP_TOKENS) + r"""
   OR (length(text) < 60 AND regexp_matches(text, '^[A-Z][\p{L}\p{N}_\s''’:-]+$') AND contains(text, ' ')))), ''), '\s+', ' ', 'g')) AS focused
-FROM blocks GROUP BY 1"""))
+FROM blocks GROUP BY 1
+UNION ALL SELECT page_id, '' AS focused FROM pages WHERE page_id NOT IN (SELECT page_id FROM blocks)"""))
 def focus_clean(spark, sf_dir):
-    df = text_blocks(spark, sf_dir).where(F.size("texts") > 0)
+    df = text_blocks(spark, sf_dir)
     return df.select("page_id", B.clean_focus(F.col("texts")).alias("focused"))
 
 
 @query("prefer_longer", blocks_sql("""
-SELECT page_id, CASE WHEN length(text) < 800 AND length(html) > length(text) THEN html ELSE text END AS article
-FROM joined JOIN pages USING (page_id)""", joined=JOINED))
+SELECT page_id, CASE WHEN length(t) < 800 AND length(html) > length(t) THEN html ELSE t END AS article
+FROM (SELECT page_id, html, coalesce(text, '') AS t FROM pages LEFT JOIN joined USING (page_id))""", joined=JOINED))
 def prefer_longer(spark, sf_dir):
-    df = text_blocks(spark, sf_dir).withColumn("text", F.array_join("texts", "\n\n")).where("text <> ''")
+    df = text_blocks(spark, sf_dir).withColumn("text", F.array_join("texts", "\n\n"))
     return df.select("page_id", B.prefer_longer(F.col("text"), F.col("html")).alias("article"))
 
 
