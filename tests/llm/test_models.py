@@ -98,7 +98,7 @@ def test_rates_meet_targets(spark, tables):
 def test_rates_are_the_least_squares_fit_when_targets_cannot_be_met(spark):
     rows = [(i, i, 1, 10, [a, 1 - a]) for i, a in enumerate([0.9, 0.6, 0.5, 0.2])]
     members = spark.createDataFrame(rows, "doc_id long, text_key long, rows long, tokens long, p array<double>")
-    steps = mixing.fit_rates(members, np.asarray([40.0, 0.0]), most_steps=400)
+    steps = mixing.fit_rates(members, np.asarray([40.0, 0.0]), most_steps=30)
     r = np.asarray([x.rate for x in members.withColumn("rate", mixing.rate(steps)).orderBy("doc_id").collect()])
     p = np.asarray([x[4] for x in rows])
     loss = lambda r: ((10 * r @ p - [40, 0]) ** 2).sum()
