@@ -83,7 +83,7 @@ def ledger(measured: DataFrame) -> DataFrame:
         "few_words": n < 50,
         "repeated_windows": 100 * F.col("n_repeat_words") > 50 * n,
         "symbols": 10 * F.col("n_symbols") > n,
-        "duplicate_lines": 100 * F.col("n_dup_lines") > 30 * F.col("n_lines"),
+        "duplicate_lines": 100 * F.col("n_dup_lines") > 50 * F.col("n_lines"),
         "word_length": (F.col("word_chars") < 2 * n) | (F.col("word_chars") > 12 * n),
     }
     bits = [F.when(fails[rule], F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long")) for k, rule in enumerate(RULES)]
