@@ -32,10 +32,12 @@ def match_places(texts: DataFrame, names: DataFrame) -> DataFrame:
     runs = lambda n: F.transform(F.sequence(F.lit(1), F.size("w") - n + 1),
                                  lambda i: F.array_join(F.slice(F.col("w"), i, n), " "))
     none = F.array().cast("array<string>")
-    offers = [F.when(F.size("w") >= n, runs(n)).otherwise(none) for n in range(1, GRAM + 1)]
     marks = F.regexp_extract_all("text", F.lit(MARK), F.lit(0))
+    # At most four values: what kinds of first run the names have at all.
+    used = [r["n"] for r in keyed.select(F.least(F.size(words), F.lit(GRAM)).alias("n")).distinct().collect()]
+    offers = [F.when(F.size("w") >= n, runs(n)).otherwise(none) if n else marks for n in sorted(used)] or [none]
     offered = (texts.withColumn("w", _tokens(F.col("text")))
-               .select("doc_id", F.explode(F.array_distinct(F.flatten(F.array(*offers, marks)))).alias("gram")))
+               .select("doc_id", F.explode(F.array_distinct(F.flatten(F.array(*offers)))).alias("gram")))
     candidates = offered.join(keyed, "gram").select("doc_id", "name").distinct()
     return (texts.select("doc_id", "text").join(candidates, "doc_id")
             .where(_whole_word(F.col("text"), F.col("name"))).select("doc_id", "name"))
