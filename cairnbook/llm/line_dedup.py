@@ -6,7 +6,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cairnbook.session import ensure_checkpoint_dir
@@ -17,6 +17,11 @@ def normalised(line: str) -> list[bytes]:
     return line.encode("utf-8", "surrogatepass").lower().split()
 
 
+def row_key() -> Column:
+    """Digest of the text."""
+    return F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+
+
 def units(docs: DataFrame, *, min_words: int) -> DataFrame:
     """doc_id, row_key, n_units and one entry per unit that can repeat: digest, unit, start, end, again.
 
@@ -27,9 +32,8 @@ def units(docs: DataFrame, *, min_words: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc_id, text, key in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 text = text.as_py() or ""
-                key = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
                 met, at = set(), 0
                 for unit, line in enumerate(text.split("\n")):
                     words = normalised(line)
@@ -42,7 +46,7 @@ def units(docs: DataFrame, *, min_words: int) -> DataFrame:
             kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[x.split()[0] for x in schema.split(", ")])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text", row_key()).mapInArrow(cut, schema)
 
 
 def repeated_units(docs: DataFrame, *, min_words: int = 5) -> DataFrame:
@@ -65,22 +69,18 @@ def remove_repeats(docs: DataFrame, *, min_words: int = 5) -> DataFrame:
     kept_text (the other lines, joined by \\n) of every row of `docs`. A null text is one empty unit."""
     text = F.coalesce("text", F.lit(""))
     gone = repeated_units(docs, min_words=min_words).distinct().groupBy("doc_id", "row_key").agg(F.sort_array(F.collect_list(F.struct("unit", "start", "end"))).alias("gone"))
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    held = keyed.join(gone.withColumnRenamed("doc_id", "gone_id"), F.col("doc_id").eqNullSafe(F.col("gone_id")), "left")
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), row_key().alias("row_key"))
+    there = gone.withColumnsRenamed({"doc_id": "gone_id", "row_key": "gone_key"})
+    held = keyed.join(there, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("row_key") == F.col("gone_key")), "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc_id, text, key, gone in zip(*(batch.column(k).to_pylist() for k in range(4))):
-                own = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-                if key is not None and key != own:
-                    rows.append((doc_id, own, None, None, None, None))
-                    continue
+            for doc_id, text, gone in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 lines, out = text.split("\n"), {g["unit"] for g in gone or ()}
-                rows.append((doc_id, own, len(lines), len(out), ",".join(f"{g['start']}:{g['end']}" for g in gone or ()), "\n".join(x for i, x in enumerate(lines) if i not in out)))
-            columns = list(zip(*rows)) if rows else [[]] * 6
-            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "row_key", "n_units", "n_removed", "removed", "kept_text"])
+                rows.append((doc_id, len(lines), len(out), ",".join(f"{g['start']}:{g['end']}" for g in gone or ()), "\n".join(x for i, x in enumerate(lines) if i not in out)))
+            columns = list(zip(*rows)) if rows else [[]] * 5
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "n_units", "n_removed", "removed", "kept_text"])
 
-    done = held.select("doc_id", "text", "row_key", "gone").mapInArrow(cut, "doc_id long, row_key binary, n_units long, n_removed long, removed string, kept_text string")
-    return done.where("n_units is not null").select("doc_id", "n_units", "n_removed", "removed", "kept_text")
+    return held.select("doc_id", "text", "gone").mapInArrow(cut, "doc_id long, n_units long, n_removed long, removed string, kept_text string")

@@ -13,6 +13,14 @@ def test_earliest_line_stays_with_offsets(spark):
     assert line_dedup.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def test_unequal_texts_under_one_id_all_stay(spark):
+    line = "one two three four five"
+    rows = [(1, line), (5, f"{line}\nshort"), (5, "other"), (5, None), (None, f"x\n{line}"), (None, "y"), (None, "y"), (None, None)]
+    got = sorted((str(r.doc_id), r.n_units, r.n_removed, r.removed, r.kept_text) for r in line_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == sorted([("1", 1, 0, "", line), ("5", 2, 1, "0:23", "short"), ("5", 1, 0, "", "other"), ("5", 1, 0, "", ""), ("None", 2, 1, "2:25", "x"),
+                          ("None", 1, 0, "", "y"), ("None", 1, 0, "", "y"), ("None", 1, 0, "", "")])
+
+
 def unmask(text, mask):
     out, at = "", 0
     for run in mask.split(",") if mask else []:
