@@ -58,11 +58,12 @@ def pieces(docs: DataFrame, *, capacity: int = 2048, ranks_path: str | None = No
     A row of `docs` is a document of its own even if its doc_id is null or repeated.
     """
     path = ranks_path or tokens.default_ranks()
+    specials = None if ranks_path else tokens.default_specials()
     schema = _PIECES + (", ids array<long>" if with_ids else "")
     end = np.asarray([END_OF_TEXT], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokens.UnitEncoder(path)
+        encoder = tokens.UnitEncoder(path, specials)
         for batch in batches:
             rows, ids = [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):

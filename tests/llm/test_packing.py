@@ -35,6 +35,17 @@ def test_special_strings_are_text(exact, encoder):
     assert np.frombuffer(encoder.encode(text), "<u4").tolist() == exact.encode(text, add_special_tokens=False).ids
 
 
+def test_special_strings_are_tokens_as_in_the_tokenizer_as_loaded(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    loaded = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n y  z <|endoftext", " <|endoftext|>  b  <|endoftext|> c"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.ids for r in packing.pieces(docs, with_ids=True).collect()}
+    assert got == {k: [*loaded.encode(text, add_special_tokens=False).ids, packing.END_OF_TEXT] for k, text in enumerate(texts)}
+
+
 def test_first_fit_decreasing_equals_the_plain_search():
     rng = random.Random(4)
     lengths = np.asarray([rng.randint(1, 100) for _ in range(300)])
