@@ -9,8 +9,10 @@ falls back to the same probability in both.
 
 from __future__ import annotations
 
+import hashlib
 import math
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,8 @@ DISCOUNT = 0.75
 CHUNK = 1 << 21
 #: Most labelled ids that are broadcast; more of them are joined.
 BROADCAST_LABELS = 2_000_000
+#: Distinct words a task remembers before it starts over.
+MET_WORDS = 300_000
 N_FEATURES = 4
 #: Log-ratios beyond this say no more than this.
 LARGEST = 40.0
@@ -128,18 +132,6 @@ def _seen(n: str) -> Column:
     return F.when(F.col(f"sum_{n}") > 0, F.greatest(F.col(n) - DISCOUNT, F.lit(0.0)) / F.col(f"sum_{n}")).otherwise(F.lit(0.0))
 
 
-def _bounded(table: DataFrame, size: Column, most: int) -> DataFrame:
-    """The rows with the highest `size`, at most `most`: from the lowest size at which they fit."""
-    sizes = sorted(table.groupBy(F.least(size, F.lit(4096)).alias("size")).count().collect(), reverse=True)
-    least, total = 4096, 0
-    for row in sizes:
-        total += row["count"]
-        if total > most:
-            break
-        least = row["size"]
-    return table.where(size >= least)
-
-
 class RatioTables:
     """Sorted keys and log-ratios of each order, for scoring in tasks."""
 
@@ -166,14 +158,33 @@ class RatioTables:
         return total[where]
 
 
-def fit_ratios(rows: DataFrame, *, max_entries: int = 1 << 19) -> RatioTables:
-    """Count all rows of (text, toxic) and build the log-ratio tables of orders 5 to 3.
+class JoinedRatios:
+    """The log-ratios of each order as tables k, v: for scoring by joins, whatever their size."""
+
+    def __init__(self, frames: dict[tuple[str, int], DataFrame]):
+        self.frames = frames
+
+    def ratios(self, keys: DataFrame) -> DataFrame:
+        """gram, ratio of each row of `keys` (distinct grams), as `RatioTables.ratios` has it."""
+        at, value = keys.select("gram"), F.lit(0.0)
+        for order in range(3, ORDER + 1):
+            own = F.col("gram").bitwiseAND(F.lit((1 << (BITS * order)) - 1))
+            for kind, key in (("gram", own), ("context", F.shiftright(own, BITS))):
+                found = self.frames[kind, order].select(F.col("k").alias(f"{kind}{order}_k"), F.col("v").alias(f"{kind}{order}"))
+                at = at.join(found, key == F.col(f"{kind}{order}_k"), "left").drop(f"{kind}{order}_k")
+            value = F.coalesce(F.col(f"gram{order}"), F.coalesce(F.col(f"context{order}"), F.lit(0.0)) + value)
+        return at.select("gram", value.alias("ratio"))
 
-    Each table keeps at most `max_entries` runs, the most frequent; a run that is left out backs
-    off. That bounds what is sent to the tasks; the counts cover every row.
+
+def fit_ratios(rows: DataFrame, *, max_entries: int = 1 << 19) -> RatioTables | JoinedRatios:
+    """Count all rows of (text, toxic) and build the log-ratio tables of orders 5 to 3, every counted run in them.
+
+    Up to `max_entries` runs of five, which no other table exceeds, the tables are sent to the
+    tasks; more of them are joined, with the same ratios.
     """
     ensure_checkpoint_dir(rows.sparkSession)
     counts = {ORDER: gram_counts(rows).withColumn("n", F.col("n1") + F.col("n0")).checkpoint()}
+    sent = counts[ORDER].count() <= max_entries
     for order in range(ORDER, 1, -1):
         counts[order - 1] = _lower(counts[order], order)
     n_all, n_kinds = counts[1].agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -182,22 +193,31 @@ def fit_ratios(rows: DataFrame, *, max_entries: int = 1 << 19) -> RatioTables:
     mask = F.col("gram").bitwiseAND(F.lit((1 << BITS) - 1))
     p2 = two.join(below.withColumnRenamed("gram", "suffix"), mask == F.col("suffix")).select("gram", (_seen("n") + _weight("n") * F.col("p")).alias("p1"))
     below = p2.withColumn("p0", F.col("p1"))
+    frames: dict[tuple[str, int], DataFrame] = {}
     found: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]] = {}
 
-    def take(key: tuple[str, int], table: DataFrame, value: Column, size: str) -> None:
-        got = _bounded(table, F.col(size), max_entries).select(F.col(table.columns[0]).alias("k"), value.cast("double").alias("v")).toArrow().sort_by("k")
-        found[key] = got["k"].to_numpy().astype(np.int64), got["v"].to_numpy().astype(np.float64)
+    def take(key: tuple[str, int], table: DataFrame, value: Column) -> None:
+        kept = table.select(F.col(table.columns[0]).alias("k"), value.cast("double").alias("v"))
+        if sent:
+            got = kept.toArrow().sort_by("k")
+            found[key] = got["k"].to_numpy().astype(np.int64), got["v"].to_numpy().astype(np.float64)
+        else:
+            frames[key] = kept.checkpoint()
 
     for order in range(3, ORDER + 1):
         totals = _totals(counts[order], ("n1", "n0"))
         mask = F.col("gram").bitwiseAND(F.lit((1 << (BITS * (order - 1))) - 1))
         joined = (counts[order].join(totals, F.shiftright("gram", BITS) == F.col("context"))
                   .join(below.withColumnRenamed("gram", "suffix"), mask == F.col("suffix")))
-        table = joined.select("gram", "n", *((_seen(f"n{c}") + _weight(f"n{c}") * F.col(f"p{c}")).alias(f"p{c}") for c in (1, 0))).checkpoint()
-        take(("gram", order), table, F.log("p1") - F.log("p0"), "n")
-        take(("context", order), totals.withColumn("size", F.col("sum_n1") + F.col("sum_n0")), F.log(_weight("n1")) - F.log(_weight("n0")), "size")
-        below = table.drop("n")
-    return RatioTables(found)
+        below = joined.select("gram", *((_seen(f"n{c}") + _weight(f"n{c}") * F.col(f"p{c}")).alias(f"p{c}") for c in (1, 0))).checkpoint()
+        take(("gram", order), below, F.log("p1") - F.log("p0"))
+        take(("context", order), totals, F.log(_weight("n1")) - F.log(_weight("n0")))
+    return RatioTables(found) if sent else JoinedRatios(frames)
+
+
+def word_starts(ids: np.ndarray) -> np.ndarray:
+    """Where the words of a text begin: a word is a run of symbols with the space before it."""
+    return np.flatnonzero(np.concatenate([[True], (ids[1:] == 32) & (ids[:-1] != 32)]))
 
 
 def features(ratio: np.ndarray, ids: np.ndarray) -> list[float]:
@@ -207,8 +227,7 @@ def features(ratio: np.ndarray, ids: np.ndarray) -> list[float]:
     per word, per square root of words and at most lie above an even ratio."""
     if not len(ids):
         return [0.0] * N_FEATURES
-    starts = np.flatnonzero(np.concatenate([[True], (ids[1:] == 32) & (ids[:-1] != 32)]))
-    word = np.add.reduceat(ratio, starts)
+    word = np.add.reduceat(ratio, word_starts(ids))
     high = np.sort(word)[::-1]
     return [float(ratio.sum() / len(ratio)), float(word.sum() / math.sqrt(len(word))), float(high[0]), float(high[:3].mean())]
 
@@ -222,6 +241,93 @@ def text_features(tables: RatioTables, text: str | None) -> list[float]:
     return features(ratio, ids)
 
 
+def text_key() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def text_words(text: str | None) -> Counter:
+    """Words of a text with the four symbols before each, two bytes a symbol, and how often each occurs."""
+    ids = symbols(text)
+    if not len(ids):
+        return Counter()
+    held = np.concatenate([np.full(ORDER - 1, 32), ids]).astype("<u2").tobytes()
+    cuts = [*word_starts(ids).tolist(), len(ids)]
+    return Counter(held[2 * at:2 * (end + ORDER - 1)] for at, end in zip(cuts, cuts[1:]))
+
+
+def _word_keys(words: Iterable[bytes]) -> np.ndarray:
+    """Digests of words as two longs each."""
+    return np.frombuffer(b"".join(hashlib.blake2b(w, digest_size=16).digest() for w in words), "<i8").reshape(-1, 2)
+
+
+def joined_features(rows: DataFrame, tables: JoinedRatios) -> DataFrame:
+    """f_id, f_key (doc_id, hash of the text) and x, the features of `features`, of each distinct (doc_id, text) with a symbol.
+
+    A document's distinct words are joined with the words' ratios; these are sums over the runs of
+    each distinct word, which are joined with the tables. A word or run that many have is spread by
+    joins that Spark can split; only a document's own words meet in one row."""
+
+    def gathered(parts: Iterator[tuple], names: list[str]) -> Iterator[pa.RecordBatch]:
+        waiting, held = [], 0
+        for part in parts:
+            waiting.append(part)
+            held += len(part[-1])
+            if held >= 100_000:
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in zip(*waiting)], names=names)
+                waiting, held = [], 0
+        if waiting:
+            yield pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in zip(*waiting)], names=names)
+
+    def doc_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def parts() -> Iterator[tuple]:
+            for batch in batches:
+                for doc_id, key, text in zip(*(batch.column(k) for k in range(3))):
+                    if found := text_words(text.as_py()):
+                        keys = _word_keys(found)
+                        yield pa.repeat(doc_id, len(found)), pa.repeat(key, len(found)), pa.array(keys[:, 0].copy()), pa.array(keys[:, 1].copy()), pa.array(list(found.values()), pa.int64())
+
+        return gathered(parts(), ["f_id", "f_key", "w1", "w2", "n"])
+
+    def word_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def parts() -> Iterator[tuple]:
+            met: set[bytes] = set()
+            for batch in batches:
+                for text in batch.column(0):
+                    fresh = [w for w in text_words(text.as_py()) if w not in met]
+                    met.update(w for w in fresh if len(w) <= 64)
+                    if len(met) > MET_WORDS:
+                        met.clear()
+                    if not fresh:
+                        continue
+                    found = [np.unique(grams(np.frombuffer(w, "<u2").astype(np.int64))[ORDER - 1:], return_counts=True) for w in fresh]
+                    keys = np.repeat(_word_keys(fresh), [len(runs) for runs, _ in found], axis=0)
+                    yield pa.array(keys[:, 0].copy()), pa.array(keys[:, 1].copy()), *(pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*found))
+
+        return gathered(parts(), ["w1", "w2", "gram", "times"])
+
+    keyed = rows.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), "text")
+    runs = keyed.select("text").mapInArrow(word_runs, "w1 long, w2 long, gram long, times long").distinct().checkpoint()
+    words = (runs.join(tables.ratios(runs.select("gram").distinct()), "gram").groupBy("w1", "w2")
+             .agg(F.sum(F.col("times") * F.col("ratio")).alias("ratio"), F.sum("times").alias("size")))
+    met = keyed.mapInArrow(doc_words, "f_id long, f_key long, w1 long, w2 long, n long").join(words, ["w1", "w2"])
+    # Equal rows bring the same entries, and a set holds each once.
+    held = met.groupBy("f_id", "f_key").agg(F.sort_array(F.collect_set(F.struct("ratio", "n", "size", "w1", "w2")), asc=False).alias("e"))
+    total = lambda f: F.aggregate("e", F.lit(0.0), lambda a, e: a + f(e))
+    first = F.slice(F.flatten(F.transform(F.slice("e", 1, 3), lambda e: F.array_repeat(e["ratio"], F.least(e["n"], F.lit(3)).cast("int")))), 1, 3)
+    summed = held.select("f_id", "f_key", total(lambda e: e["n"] * e["ratio"]).alias("all"), total(lambda e: e["n"].cast("double")).alias("words"),
+                         total(lambda e: (e["n"] * e["size"]).cast("double")).alias("size"), first.alias("high"))
+    mean = F.aggregate("high", F.lit(0.0), lambda a, r: a + r) / F.size("high")
+    return summed.select("f_id", "f_key", F.array(F.col("all") / F.col("size"), F.col("all") / F.sqrt("words"), F.col("high")[0], mean).alias("x"))
+
+
+def with_features(rows: DataFrame, tables: JoinedRatios) -> DataFrame:
+    """`rows` with f_x, the features of each row's text."""
+    found = joined_features(rows, tables).withColumnRenamed("x", "f_x")
+    keyed = rows.withColumn("f_text", text_key())
+    met = keyed.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("f_id")) & (F.col("f_text") == F.col("f_key")), "left")
+    return met.select(*rows.columns, F.coalesce("f_x", F.array(*[F.lit(0.0)] * N_FEATURES)).alias("f_x"))
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, *, ridge: float = 1.0, steps: int = 30) -> tuple[np.ndarray, np.ndarray]:
     """(weights with the constant last, scale) of a ridge logistic regression by Newton steps."""
     scale = np.maximum(np.abs(x).mean(axis=0), 1e-9)
@@ -237,9 +343,19 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, *, ridge: float = 1.0, steps: int
 class ToxicityModel:
     """Log-ratio tables and the logistic curve that turns features into a score."""
 
-    def __init__(self, tables: RatioTables, weights: np.ndarray, scale: np.ndarray):
+    def __init__(self, tables: RatioTables | JoinedRatios, weights: np.ndarray, scale: np.ndarray):
         self.tables, self.weights, self.scale = tables, weights, scale
 
+    @property
+    def joined(self) -> bool:
+        return isinstance(self.tables, JoinedRatios)
+
+    def scored(self, rows: DataFrame) -> DataFrame:
+        """`rows` with f_score, by joins."""
+        clipped = [F.least(F.greatest(F.col("f_x")[k], F.lit(-LARGEST)), F.lit(LARGEST)) for k in range(N_FEATURES)]
+        z = sum((x / float(s) * float(w) for x, s, w in zip(clipped, self.scale, self.weights)), F.lit(float(self.weights[-1])))
+        return with_features(rows, self.tables).select(*rows.columns, (1 / (1 + F.exp(-F.least(F.greatest(z, F.lit(-30.0)), F.lit(30.0))))).alias("f_score"))
+
     def score(self, text: str | None) -> float:
         x = np.clip(np.asarray(text_features(self.tables, text)), -LARGEST, LARGEST)
         z = float((x / self.scale) @ self.weights[:-1] + self.weights[-1])
@@ -258,16 +374,19 @@ def fit(docs: DataFrame, labels: DataFrame, *, curve_rows: int = 20_000, max_ent
     tables = fit_ratios(rows.where("fold > 1"), max_entries=max_entries)
     curve = rows.where("fold = 1")
     share = min(1.0, curve_rows / max(1, labels.where((learn_fold(F.col("doc_id")) == 1) & F.col("toxic").isNotNull()).count()))
-    sent = spark.sparkContext.broadcast(tables)
 
     def feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [text_features(sent.value, text.as_py()) for text in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.float64())), batch.column(1)], names=["x", "toxic"])
 
-    sample = curve.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000)).select("text", "toxic")
-    got = sample.mapInArrow(feature_rows, "x array<double>, toxic int").toArrow()
-    sent.unpersist()
+    sample = curve.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000)).select(F.lit(None).cast("long").alias("doc_id"), "text", "toxic")
+    if isinstance(tables, JoinedRatios):
+        got = with_features(sample, tables).select(F.col("f_x").alias("x"), "toxic").toArrow()
+    else:
+        sent = spark.sparkContext.broadcast(tables)
+        got = sample.select("text", "toxic").mapInArrow(feature_rows, "x array<double>, toxic int").toArrow()
+        sent.unpersist()
     y = np.asarray(got["toxic"].to_pylist(), float)
     if not len(y) or y.min() == y.max():
         mean = float(y.mean()) if len(y) else 0.0
@@ -279,6 +398,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, curve_rows: int = 20_000, max_ent
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """doc_id, score of every row of `docs`, by the whole text; null text scores as empty."""
+    if model.joined:
+        return model.scored(docs.select(F.col("doc_id").cast("long"), "text")).select("doc_id", F.col("f_score").alias("score"))
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,6 +412,8 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 def keep_ordinary(docs: DataFrame, model: ToxicityModel, *, reject: float = 0.5) -> DataFrame:
     """The rows of `docs`, all columns, whose score is below `reject`."""
+    if model.joined:
+        return model.scored(docs).where(F.col("f_score") < reject).select(*docs.columns)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

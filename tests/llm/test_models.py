@@ -76,6 +76,18 @@ def test_held_out_accuracy_and_odd_rows(spark, tables):
     assert kept.columns == odd.columns and kept.where("text = ''").count() == 1
 
 
+def test_rare_runs_count_beyond_the_broadcast_bound(spark, tables):
+    docs, labels = tables
+    odd = spark.createDataFrame([(None, "twice none"), (None, "twice none"), (None, None), (-1, ""), (-2, " x" * 50), (-2, "a  b"), (-3, "z" * 3000)], "doc_id long, text string")
+    some = docs.where("doc_id % 5 = 0").select("doc_id", "text").union(odd).cache()
+    small, large = toxicity.fit(docs, labels), toxicity.fit(docs, labels, max_entries=1000)
+    rows = lambda model: sorted((str(r.doc_id), r.score) for r in toxicity.score(some, model).collect())
+    want, got = rows(small), rows(large)
+    assert [k for k, _ in got] == [k for k, _ in want] and np.allclose([s for _, s in got], [s for _, s in want], rtol=1e-6, atol=1e-12)
+    kept = lambda model: sorted((str(r.doc_id), r.text or "") for r in toxicity.keep_ordinary(some, model).collect())
+    assert kept(large) == kept(small)
+
+
 def test_without_labels_the_score_is_flat(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
