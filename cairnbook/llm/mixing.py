@@ -41,8 +41,8 @@ def _words(rows: DataFrame, *keep: str) -> DataFrame:
     return rows.select(*keep, F.explode(F.split(F.lower("text"), _SPACE)).alias("word")).where("word <> ''").select(*keep, F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int").alias("bucket"))
 
 
-def learn(docs: DataFrame, labels: DataFrame, *, domain: str = "lang", rows: int = 20_000, most: int = 32) -> Domains:
-    """Learn from about `rows` labelled rows at most, a sample by hash of the id, of the `most` largest domains.
+def learn(docs: DataFrame, labels: DataFrame, *, domain: str = "lang", rows: int = 20_000) -> Domains:
+    """Learn every domain that occurs in about `rows` labelled rows at most, a sample by hash of the id.
 
     A row is labelled if its doc_id is in `labels` and `domain` is not null; the domain of other
     rows is never looked at."""
@@ -53,10 +53,10 @@ def learn(docs: DataFrame, labels: DataFrame, *, domain: str = "lang", rows: int
     ids = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
     known = _keyed(docs, F.col(domain).cast("string").alias("domain")).where("domain is not null").join(F.broadcast(ids) if n * share <= BROADCAST_LABELS else ids, "doc_id")
     counts = _words(known, "domain").groupBy("domain", "bucket").count().checkpoint()
-    totals = counts.groupBy("domain").agg(F.sum("count").alias("n")).orderBy(F.desc("n"), "domain").limit(most).collect()
+    totals = counts.groupBy("domain").agg(F.sum("count").alias("n")).orderBy(F.desc("n"), "domain").collect()
     names = [r["domain"] for r in totals] or ["all"]
     table = np.full((BUCKETS, len(names)), 0.5)
-    for r in counts.where(F.col("domain").isin(names)).collect():
+    for r in counts.collect():
         table[r["bucket"], names.index(r["domain"])] += r["count"]
     likely = np.log(table / table.sum(axis=0))
     prior = np.asarray([r["n"] for r in totals] or [1], float)
@@ -83,15 +83,15 @@ def memberships(docs: DataFrame, domains: Domains, *, evidence_words: float = 3.
     return raised.select("doc_id", "text_key", "rows", "tokens", F.array(*(F.col("e")[k] / total for k in range(d))).alias("p"))
 
 
-def rate(steps: list[np.ndarray]) -> Column:
-    """The rate after projected steps from one, from the posterior `p`."""
+def rate(steps: list[np.ndarray], *, least: float = 0.0) -> Column:
+    """The rate after projected steps from one, from the posterior `p`; none lies below `least`."""
     r = F.lit(1.0)
     for u in steps:
-        r = F.greatest(F.lit(0.0), r - sum((F.col("p")[k] * float(u[k]) for k in range(1, len(u))), F.col("p")[0] * float(u[0])))
+        r = F.greatest(F.lit(least), r - sum((F.col("p")[k] * float(u[k]) for k in range(1, len(u))), F.col("p")[0] * float(u[0])))
     return r
 
 
-def fit_rates(members: DataFrame, targets: np.ndarray | None, *, temper: float = 0.0, most_steps: int = 30, tolerance: float = 1e-4) -> list[np.ndarray]:
+def fit_rates(members: DataFrame, targets: np.ndarray | None, *, temper: float = 0.0, most_steps: int = 30, tolerance: float = 1e-4, least: float = 0.0) -> list[np.ndarray]:
     """Steps whose `rate` minimises the squared distance of expected domain totals to targets.
 
     `targets` are token totals; without them each domain's share of the present total is its share
@@ -119,16 +119,20 @@ def fit_rates(members: DataFrame, targets: np.ndarray | None, *, temper: float =
         if np.abs(left).max() <= tolerance * targets.sum():
             break
         steps.append(pace * left / diagonal)
-        now = np.asarray([x or 0.0 for x in members.agg(*(F.sum(tokens * p[k] * rate(steps)) for k in range(d))).first()], float)
+        now = np.asarray([x or 0.0 for x in members.agg(*(F.sum(tokens * p[k] * rate(steps, least=least)) for k in range(d))).first()], float)
     return steps
 
 
 def mix(docs: DataFrame, labels: DataFrame, *, domain: str = "lang", targets: dict[str, float] | None = None, temper: float = 0.0, grow: bool = False) -> tuple[DataFrame, Domains]:
     """doc_id, text_key, rows, tokens, p and rate of every distinct (doc_id, text), and the domains.
 
-    `targets`: token totals by domain, 0 for those left out. `grow`: totals are raised together until
-    no domain shrinks, so that no text need go."""
+    `targets`: token totals by domain, 0 for those left out; a domain that is not modelled is an error.
+    `grow`: totals are raised together, as far as the smallest rate of a text asks for, and no rate is
+    below one, so that no text goes. They are at most doubled for that; where domains are so much alike
+    that this falls short, the rates are the best fit from one on."""
     domains = learn(docs, labels, domain=domain)
+    if unknown := sorted(set(targets or ()) - set(domains.names)):
+        raise ValueError(f"no labelled text of the domains {', '.join(unknown)}")
     members = memberships(docs, domains).checkpoint()
     wanted = np.asarray([float(targets.get(name, 0.0)) for name in domains.names]) if targets is not None else None
     if wanted is None and grow:
@@ -137,8 +141,12 @@ def mix(docs: DataFrame, labels: DataFrame, *, domain: str = "lang", targets: di
         share = np.where(now > 0, (now / max(now.sum(), 1e-9)) ** temper, 0.0)
         held = now > 0
         wanted = share * (now[held] / share[held]).max() if held.any() else now
-    steps = fit_rates(members, wanted, temper=temper)
-    return members.withColumn("rate", rate(steps)), domains
+    steps, least = fit_rates(members, wanted, temper=temper), 0.0
+    if grow and targets is None and steps:
+        lowest, least = members.agg(F.min(rate(steps))).first()[0], 1.0
+        if lowest < 1:
+            steps = fit_rates(members, wanted / max(lowest, 0.5), least=least)
+    return members.withColumn("rate", rate(steps, least=least)), domains
 
 
 def draw(docs: DataFrame, rates: DataFrame, *, seed: int = 11) -> DataFrame:

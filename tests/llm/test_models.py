@@ -118,6 +118,25 @@ def test_rates_are_the_least_squares_fit_when_targets_cannot_be_met(spark):
     assert (r >= 0).all() and loss(r) <= best * 1.25
 
 
+def test_no_text_shrinks_when_totals_grow(spark, tables):
+    docs, labels = tables
+    rates, domains = mixing.mix(docs, labels, temper=0.7, grow=True)
+    got = rates.collect()
+    t, p, r = np.asarray([x.tokens * x.rows for x in got], float), np.asarray([x.p for x in got]), np.asarray([x.rate for x in got])
+    assert r.min() >= 1
+    share, total = (t @ p / t.sum()) ** 0.7, (t * r) @ p
+    assert np.allclose(total / total.sum(), share / share.sum(), rtol=0.01)
+    assert mixing.draw(docs, rates).select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+
+
+def test_targets_of_unknown_domains_are_refused_and_all_labelled_ones_modelled(spark, tables):
+    with pytest.raises(ValueError, match="xx"):
+        mixing.mix(*tables, targets={"en": 1.0, "xx": 1.0})
+    rows = [(i, f"w{i} w{i}", f"d{i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len(mixing.learn(docs, docs.select("doc_id")).names) == 40
+
+
 def test_drawn_rows_and_odd_input(spark):
     docs = spark.createDataFrame([(1, "a b c", "en", 5), (1, "a b c", "en", 5), (2, None, None, 6), (None, "d e", "de", 7), (4, "f", "en", 8)], "doc_id long, text string, lang string, rate int")
     labels = spark.createDataFrame([(1, 0), (4, 0), (4, 0)], "doc_id long, toxic int")
