@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnbook.llm import hnsw, line_dedup, mixing, odd_sketch, packing, pii, preference, quality_ledger, suffix_dedup, toxicity
+from cairnbook.llm import decontamination, hnsw, line_dedup, mixing, ns_bounds, odd_sketch, packing, pii, preference, quality_ledger, suffix_dedup, toxicity, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -111,6 +111,21 @@ def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.format_pairs(chosen.select("pair_id", "turn", "role", "text"), before.union(swapped))
 
 
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ns_bounds.cluster(_table(spark, sf_dir, "embeddings"))
+
+
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.by_component(whitening.whiten(_table(spark, sf_dir, "embeddings")))
+
+
+QUERIES |= {"op11_decontamination": _op11, "op12_ns_bounds": _op12, "op13_whitening": _op13}
+ORACLES |= {"op11_decontamination": decontamination.ORACLE, "op12_ns_bounds": ns_bounds.oracle()}
 QUERIES |= {"op3_mixing": _op3, "op4_line_dedup": _op4, "op5_preference": _op5}
 ORACLES["op4_line_dedup"] = r"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
