@@ -127,18 +127,7 @@ def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES |= {"op11_decontamination": _op11, "op12_ns_bounds": _op12, "op13_whitening": _op13}
 ORACLES |= {"op11_decontamination": decontamination.ORACLE, "op12_ns_bounds": ns_bounds.oracle()}
 QUERIES |= {"op3_mixing": _op3, "op4_line_dedup": _op4, "op5_preference": _op5}
-ORACLES["op4_line_dedup"] = r"""
-WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
-u AS (SELECT doc_id, i, ls[i] AS line FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM d)),
-n AS (SELECT doc_id, i, line, list_filter(regexp_split_to_array(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
-             coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS s FROM u),
-r AS (SELECT doc_id, i, line, s, len(ws) >= 5 AND row_number() OVER (PARTITION BY len(ws) >= 5, ws ORDER BY doc_id, i) > 1 AS gone FROM n)
-SELECT doc_id, count(*)::BIGINT AS n_units, count(*) FILTER (gone)::BIGINT AS n_removed,
-       coalesce(string_agg(s::VARCHAR || ':' || (s + length(line))::VARCHAR, ',' ORDER BY i) FILTER (gone), '') AS removed,
-       coalesce(length(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone)), 0)::BIGINT AS n_kept_chars,
-       md5(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_md5
-FROM r GROUP BY doc_id
-"""
+ORACLES["op4_line_dedup"] = line_dedup.ORACLE
 ORACLES["op5_preference"] = r"""
 WITH t AS (SELECT conv_id AS pair_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
 l AS (SELECT pair_id, max(turn) AS last, max_by(text, turn) AS reply FROM t WHERE role = 'assistant' GROUP BY pair_id),

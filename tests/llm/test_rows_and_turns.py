@@ -3,12 +3,30 @@
 from cairnbook.llm import line_dedup, preference
 
 
+def test_sentences_pasted_into_lines(spark):
+    passage = "Here is a passage of more than eight words. And there is a second sentence of eight words!"
+    rows = [(1, f"A start. {passage} And an end."), (2, f"Other words {passage[:20]}\nIt is said. {passage}  Is it?\nok"), (3, passage), (4, f"one\n{passage.upper()}")]
+    got = {r.doc_id: r for r in line_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].n_removed == 0 and got[1].kept_text == rows[0][1]
+    assert got[2].n_removed == 2 and got[2].kept_text == f"Other words {passage[:20]}\nIt is said. Is it?\nok"
+    starts = [int(x.split(":")[0]) for x in got[2].removed.split(",")]
+    assert [rows[1][1][s:s + 4] for s in starts] == ["Here", "And "]
+    assert got[3].n_removed == 2 and got[3].kept_text == ""
+    assert got[4].removed == f"4:{4 + len(passage)}" and got[4].kept_text == "one"
+
+
+def test_a_very_long_text(spark):
+    text = "\n".join(f"line {k % 1000} of a text" for k in range(200_000))
+    row = line_dedup.remove_repeats(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert (row.n_units, row.n_removed) == (200_000, 199_000) and row.kept_text == text[:len(row.kept_text)]
+
+
 def test_earliest_line_stays_with_offsets(spark):
     line, other = "one two three four five", "six seven eight nine ten"
-    rows = [(5, f"{line}\nshort\n{other}"), (2, f"x\n  ONE two\tthree four five \n{other}"), (2, f"x\n  ONE two\tthree four five \n{other}"), (9, f"{line}\n{line}\nshort"), (None, line), (7, None), (8, ""), (11, "é é é é é\né é é é é")]
+    rows = [(5, f"{line}\nx\n{other}"), (2, f"x\n  ONE two\tthree four five \n{other}"), (2, f"x\n  ONE two\tthree four five \n{other}"), (9, f"{line}\n{line}\nshort"), (None, line), (7, None), (8, ""), (11, "é é é é é\né é é é é")]
     got = sorted(((str(r.doc_id), r.n_units, r.n_removed, r.removed, r.kept_text) for r in line_dedup.remove_repeats(spark.createDataFrame([(a, b, 1) for a, b in rows], "doc_id long, text string, unit int")).collect()))
     first = rows[1][1]
-    assert got == sorted([("5", 3, 2, "0:23,30:54", "short"), ("2", 3, 0, "", first), ("2", 3, 0, "", first), ("9", 3, 2, "0:23,24:47", "short"),
+    assert got == sorted([("5", 3, 3, "0:23,24:25,26:50", ""), ("2", 3, 0, "", first), ("2", 3, 0, "", first), ("9", 3, 2, "0:23,24:47", "short"),
                           ("None", 1, 1, "0:23", ""), ("7", 1, 0, "", ""), ("8", 1, 0, "", ""), ("11", 2, 1, "10:19", "é é é é é")])
     assert line_dedup.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
