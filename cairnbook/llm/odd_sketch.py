@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from cairnbook.llm.components import compact, components
+from cairnbook.operators.ranking import number_rows
 from cairnbook.session import ensure_checkpoint_dir
 
 ROWS, BANDS = 6, 40
@@ -110,18 +111,18 @@ def _may_link(percent: int) -> Column:
 
 
 def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """rep, items: sorted shingle digests of the sets in `ids` (rep, set_key)."""
+    """rep, items: sorted shingle digests of the sets in `ids` (rep, doc_id, set_key)."""
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [shingles(text.as_py(), size).tobytes() for text in batch.column(1)]
             keys = [hashlib.blake2b(x, digest_size=16).digest() for x in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(found, pa.binary())], names=["rep", "set_key", "items"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(found, pa.binary())], names=["doc_id", "set_key", "items"])
 
-    only = ids.select(F.col("rep").alias("doc_id"))
+    only = ids.select("doc_id").distinct()
     only = F.broadcast(only) if ids.count() <= BROADCAST_IDS else only
-    return (docs.select(F.col("doc_id").cast("long"), "text").join(only, "doc_id", "left_semi").mapInArrow(kept, "rep long, set_key binary, items binary")
-            .join(ids, ["rep", "set_key"], "left_semi").dropDuplicates(["rep"]).select("rep", "items"))
+    return (docs.select(F.col("doc_id").cast("long"), "text").join(only, "doc_id", "left_semi").mapInArrow(kept, "doc_id long, set_key binary, items binary")
+            .join(ids, ["doc_id", "set_key"]).dropDuplicates(["rep"]).select("rep", "items"))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -226,7 +227,7 @@ def _across(nodes: DataFrame, near: DataFrame, ids: DataFrame, sets: DataFrame,
                 if edges:
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*edges)], names=["a", "b"])
 
-    known = (ids.select("rep").join(nodes.drop("set_key"), "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
+    known = (ids.select("rep").join(nodes.drop("set_key", "doc_id"), "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
              .withColumn("component", F.coalesce("component", "rep")).join(_clusters(near), "rep"))
     sizes = known.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_ITEMS)).alias("chunks"))
     placed = known.join(sizes, "cluster").withColumn("block", F.xxhash64("cluster", F.pmod(F.xxhash64("rep"), F.col("chunks")))).drop("cluster", "chunks").checkpoint()
@@ -241,6 +242,27 @@ def _across(nodes: DataFrame, near: DataFrame, ids: DataFrame, sets: DataFrame,
     return held.select("a", "b", "x", "y").mapInArrow(linked, "a long, b long")
 
 
+def _numbered_sets(signed: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """set_key, doc_id (the smallest that has the set) and rep, the set's number: that doc_id, or a number beyond all ids
+    for further sets of it. And, if an id has several sets, links a, b between their numbers."""
+    sets = signed.where("set_key is not null and doc_id is not null").select("set_key", "doc_id")
+    first = sets.groupBy("set_key").agg(F.min("doc_id").alias("doc_id"))
+    several = sets.groupBy("doc_id").agg(F.min("set_key").alias("lead"), F.max("set_key").alias("last")).where("lead <> last").select("doc_id").checkpoint()
+    if not several.limit(1).count():
+        return first.withColumn("rep", F.col("doc_id")), None
+    first = first.checkpoint()
+    leads = first.join(several, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("set_key").alias("lead"))
+    further = first.join(leads, "doc_id").where("set_key <> lead").select("set_key").checkpoint()
+    top = sets.agg(F.max("doc_id")).first()[0]
+    numbers = further.select("set_key", (F.monotonically_increasing_id() + F.lit(top + 1)).alias("number")).checkpoint()
+    first = first.join(numbers, "set_key", "left").select("set_key", "doc_id", F.coalesce("number", "doc_id").alias("rep")).checkpoint()
+    of = sets.join(several, "doc_id", "left_semi").distinct().join(first.select("set_key", "rep"), "set_key").select("doc_id", "rep")
+    same = of.join(of.groupBy("doc_id").agg(F.min("rep").alias("b")), "doc_id").select(F.col("rep").alias("a"), "b").where("a <> b")
+    # A number beyond all ids is tied to its own id, so the smallest of a component is an id.
+    own = first.where("rep <> doc_id").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    return first, same.union(own)
+
+
 def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of `docs` (doc_id, text).
 
@@ -252,19 +274,20 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 8
     shares no band with a probability below 1e-5.
 
     Null or empty text: no shingles, linked with nothing. A null doc_id has a null component_id and
-    is kept. Rows that repeat a doc_id share its component.
+    is kept. Rows that repeat a doc_id share its component: unequal texts of an id are sets of their own, and
+    what any of them is linked with is reachable from the id.
     """
     ensure_checkpoint_dir(docs.sparkSession)
     signed = signatures(docs, shingle_words).checkpoint()
-    first = signed.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    nodes = (signed.select("set_key", F.col("doc_id").alias("rep"), "n_shingles", "bands", "sketch").join(first, ["set_key", "rep"])
+    first, same_id = _numbered_sets(signed)
+    nodes = (signed.select("set_key", "doc_id", "n_shingles", "bands", "sketch").join(first, ["set_key", "doc_id"])
              .dropDuplicates(["set_key"]).checkpoint())
     buckets = nodes.select("rep", F.explode("bands").alias("band"))
     ends = buckets.groupBy("band").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low <> high")
     met = buckets.join(ends, "band").select("rep", F.explode(F.array("low", "high")).alias("centre")).where("rep <> centre").groupBy("rep", "centre").count()
     near = compact(met.groupBy("rep").agg(F.max(F.struct("count", (-F.col("centre")).alias("less"))).alias("best")).select("rep", (-F.col("best.less")).alias("centre")))
     met = compact(near.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct())
-    ids = compact(near.select("rep").join(nodes.select("rep", "set_key"), "rep"))
+    ids = compact(near.select("rep").join(nodes.select("rep", "doc_id", "set_key"), "rep"))
     sets = _sets(docs, ids, shingle_words).checkpoint()
 
     def side(x: str) -> DataFrame:
@@ -276,6 +299,8 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 8
 
     links = star.union(compact(_across(nodes, near, ids, sets, joined, percent)))
 
+    if same_id is not None:
+        links = links.union(same_id)
     by_set = first.join(components(links).withColumnRenamed("node", "rep"), "rep", "left").select(
         "set_key", F.coalesce("component", "rep").alias("component"))
     out = signed.select("doc_id", "n_shingles", "set_key").join(by_set, "set_key", "left")
@@ -284,10 +309,18 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 8
 
 
 def keep_first(docs: DataFrame, **options) -> DataFrame:
-    """The rows of `docs`, all columns, that `near_duplicates` keeps; of rows that repeat a doc_id one stays."""
-    placed = near_duplicates(docs.select("doc_id", "text"), **options)
-    dropped = placed.where(~F.col("kept")).select("doc_id").distinct().checkpoint()
-    kept = docs.join(F.broadcast(dropped) if dropped.count() <= BROADCAST_IDS else dropped, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of `docs`, all columns, that `near_duplicates` keeps. Unequal texts of one doc_id are documents of their own,
+    ranked by id and text; of rows with equal id and text one stays. Rows with a null id all stay."""
+    ensure_checkpoint_dir(docs.sparkSession)
     if not docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        return kept
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).union(kept.where("doc_id is null"))
+        placed = near_duplicates(docs.select("doc_id", "text"), **options)
+        dropped = placed.where(~F.col("kept")).select("doc_id").distinct().checkpoint()
+        return docs.join(F.broadcast(dropped) if dropped.count() <= BROADCAST_IDS else dropped, "doc_id", "left_anti").select(*docs.columns)
+    key = F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+    rows = docs.where("doc_id is not null").select(F.col("doc_id").alias("id"), key.alias("key"), F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["id", "key"])
+    numbered = number_rows(rows, ["id", "key"], name="doc_id").checkpoint()
+    kept = near_duplicates(numbered.select("doc_id", "text"), **options).where("kept").select("doc_id")
+    kept = numbered.drop("text").join(kept, "doc_id").select("id", "key")
+    own = docs.where("doc_id is not null").dropDuplicates(["doc_id", "text"])
+    held = own.join(kept, (own["doc_id"] == kept["id"]) & (F.unhex(F.sha2(F.coalesce(own["text"], F.lit("")).cast("binary"), 256)) == kept["key"]), "left_semi")
+    return held.union(docs.where("doc_id is null"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -70,7 +70,7 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def gram_counts(rows: DataFrame) -> DataFrame:
-    """gram, n1 (toxic), n0 (ordinary) over all rows of (text, toxic); tasks count before the shuffle."""
+    """gram, fold, n1 (toxic), n0 (ordinary) over all rows of (fold, text, toxic); tasks count before the shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def reduced(parts: list[np.ndarray], sums: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -78,38 +78,41 @@ def gram_counts(rows: DataFrame) -> DataFrame:
             return keys, np.bincount(where, weights=np.concatenate(sums), minlength=len(keys)).astype(np.int64)
 
         def out(held: dict) -> Iterator[pa.RecordBatch]:
-            for label, (keys, sums) in held.items():
+            for (fold_of, label), (keys, sums) in held.items():
                 for at in range(0, len(keys), 100_000):
                     part = pa.array(sums[at:at + 100_000])
                     none = pa.array(np.zeros(len(part), np.int64))
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[at:at + 100_000]), part if label else none, none if label else part], names=["gram", "n1", "n0"])
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[at:at + 100_000]), pa.repeat(fold_of, len(part)).cast(pa.int64()), part if label else none, none if label else part], names=["gram", "fold", "n1", "n0"])
 
-        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        waiting: dict[int, list[np.ndarray]] = {0: [], 1: []}
+        held: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+        waiting: dict[tuple[int, int], list[np.ndarray]] = defaultdict(list)
+        size: Counter = Counter()
 
-        def fold(label: int) -> None:
-            fresh, waiting[label] = waiting[label], []
+        def gather(group: tuple[int, int]) -> None:
+            fresh, waiting[group], size[group] = waiting[group], [], 0
             if fresh:
                 keys, sums = reduced(fresh, [np.ones(sum(map(len, fresh)))])
-                held[label] = reduced([keys, held[label][0]], [sums, held[label][1]]) if label in held else (keys, sums)
+                held[group] = reduced([keys, held[group][0]], [sums, held[group][1]]) if group in held else (keys, sums)
 
         for batch in batches:
-            for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
-                ids = symbols(text.as_py())
+            for text, *group in zip(batch.column(0), batch.column(2).to_pylist(), batch.column(1).to_pylist()):
+                ids, group = symbols(text.as_py()), tuple(group)
                 for at in range(0, len(ids), CHUNK):
                     lead = max(0, at - ORDER + 1)
-                    waiting[toxic].append(grams(ids[lead:at + CHUNK])[at - lead:])
-                    if sum(map(len, waiting[toxic])) >= CHUNK:
-                        fold(toxic)
+                    waiting[group].append(grams(ids[lead:at + CHUNK])[at - lead:])
+                    size[group] += len(waiting[group][-1])
+                    if sum(size.values()) >= CHUNK:
+                        for of in list(waiting):
+                            gather(of)
             if sum(len(x[0]) for x in held.values()) > 2 * CHUNK:
                 yield from out(held)
                 held.clear()
-        fold(0)
-        fold(1)
+        for of in list(waiting):
+            gather(of)
         yield from out(held)
 
-    counted = rows.select("text", "toxic").mapInArrow(count, "gram long, n1 long, n0 long")
-    return counted.groupBy("gram").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
+    counted = rows.select("text", "toxic", F.col("fold").cast("long")).mapInArrow(count, "gram long, fold long, n1 long, n0 long")
+    return counted.groupBy("gram", "fold").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
 
 
 def _lower(counts: DataFrame, order: int) -> DataFrame:
@@ -176,14 +179,16 @@ class JoinedRatios:
         return at.select("gram", value.alias("ratio"))
 
 
-def fit_ratios(rows: DataFrame, *, max_entries: int = 1 << 19) -> RatioTables | JoinedRatios:
-    """Count all rows of (text, toxic) and build the log-ratio tables of orders 5 to 3, every counted run in them.
+def fit_ratios(counted: DataFrame, *, without: int | None = None, max_entries: int = 1 << 19) -> RatioTables | JoinedRatios:
+    """The log-ratio tables of orders 5 to 3 from `gram_counts`, every counted run in them; `without` leaves a fold out.
 
     Up to `max_entries` runs of five, which no other table exceeds, the tables are sent to the
     tasks; more of them are joined, with the same ratios.
     """
-    ensure_checkpoint_dir(rows.sparkSession)
-    counts = {ORDER: gram_counts(rows).withColumn("n", F.col("n1") + F.col("n0")).checkpoint()}
+    ensure_checkpoint_dir(counted.sparkSession)
+    some = counted if without is None else counted.where(F.col("fold") != without)
+    summed = some.groupBy("gram").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
+    counts = {ORDER: summed.withColumn("n", F.col("n1") + F.col("n0")).checkpoint()}
     sent = counts[ORDER].count() <= max_entries
     for order in range(ORDER, 1, -1):
         counts[order - 1] = _lower(counts[order], order)
@@ -329,15 +334,23 @@ def with_features(rows: DataFrame, tables: JoinedRatios) -> DataFrame:
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, *, ridge: float = 1.0, steps: int = 30) -> tuple[np.ndarray, np.ndarray]:
-    """(weights with the constant last, scale) of a ridge logistic regression by Newton steps."""
+    """(weights with the constant last, scale) of a ridge logistic regression by Newton steps, no feature's weight below zero.
+
+    A higher log-ratio never speaks against toxicity: the feature with the lowest weight goes until none is negative."""
     scale = np.maximum(np.abs(x).mean(axis=0), 1e-9)
     a = np.column_stack([x / scale, np.ones(len(x))])
-    w = np.zeros(a.shape[1])
     hold = np.diag([ridge] * x.shape[1] + [1e-6])
-    for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        w -= np.linalg.solve((a.T * (p * (1 - p))) @ a + hold, a.T @ (p - y) + hold @ w)
-    return w, scale
+    free = list(range(a.shape[1]))
+    while True:
+        w = np.zeros(a.shape[1])
+        for _ in range(steps):
+            p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
+            slope, bend = a.T @ (p - y) + hold @ w, (a.T * (p * (1 - p))) @ a + hold
+            w[free] -= np.linalg.solve(bend[np.ix_(free, free)], slope[free])
+        lowest = min(free[:-1], key=lambda k: w[k], default=None)
+        if lowest is None or w[lowest] >= 0:
+            return w, scale
+        free.remove(lowest)
 
 
 class ToxicityModel:
@@ -365,35 +378,42 @@ class ToxicityModel:
 def fit(docs: DataFrame, labels: DataFrame, *, curve_rows: int = 20_000, max_entries: int = 1 << 19) -> ToxicityModel:
     """Learn from labelled rows outside the held-out fold.
 
-    Folds 2 to 4 are counted, every row of them. The logistic curve is fitted to fold 1, which the
-    counts have not seen, on a sample by hash of at most about `curve_rows` rows. Without labelled
-    rows of both classes the score is the share of toxic labels (0 without labels).
+    Folds 1 to 4 are counted, every row of them. The logistic curve is cross-fitted: the features of each
+    fold come from tables without it, for a sample by hash of at most about `curve_rows` rows. Without
+    labelled rows of both classes the score is the share of toxic labels (0 without labels).
     """
     spark = docs.sparkSession
+    ensure_checkpoint_dir(spark)
     rows = labelled(docs, labels)
-    tables = fit_ratios(rows.where("fold > 1"), max_entries=max_entries)
-    curve = rows.where("fold = 1")
-    share = min(1.0, curve_rows / max(1, labels.where((learn_fold(F.col("doc_id")) == 1) & F.col("toxic").isNotNull()).count()))
+    counted = gram_counts(rows).checkpoint()
+    folds = (1, 2, 3, 4)
+    left_out = {f: fit_ratios(counted, without=f, max_entries=max_entries) for f in folds}
+    tables = fit_ratios(counted, max_entries=max_entries)
+    share = min(1.0, curve_rows / max(1, labels.where((learn_fold(F.col("doc_id")) != 0) & F.col("toxic").isNotNull()).count()))
+    sent = spark.sparkContext.broadcast({f: t for f, t in left_out.items() if isinstance(t, RatioTables)})
 
     def feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [text_features(sent.value, text.as_py()) for text in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.float64())), batch.column(1)], names=["x", "toxic"])
-
-    sample = curve.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000)).select(F.lit(None).cast("long").alias("doc_id"), "text", "toxic")
-    if isinstance(tables, JoinedRatios):
-        got = with_features(sample, tables).select(F.col("f_x").alias("x"), "toxic").toArrow()
-    else:
-        sent = spark.sparkContext.broadcast(tables)
-        got = sample.select("text", "toxic").mapInArrow(feature_rows, "x array<double>, toxic int").toArrow()
-        sent.unpersist()
-    y = np.asarray(got["toxic"].to_pylist(), float)
+            found = [text_features(sent.value[fold], text.as_py()) for fold, text in zip(batch.column(0).to_pylist(), batch.column(1))]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.float64())), batch.column(2)], names=["x", "toxic"])
+
+    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000))
+    joined = [f for f, t in left_out.items() if isinstance(t, JoinedRatios)]
+    got = [sample.where(~F.col("fold").isin(joined)).select("fold", "text", "toxic").mapInArrow(feature_rows, "x array<double>, toxic int").toArrow()]
+    for f in joined:
+        own = sample.where(F.col("fold") == f).select(F.lit(None).cast("long").alias("doc_id"), "text", "toxic")
+        got.append(with_features(own, left_out[f]).select(F.col("f_x").alias("x"), "toxic").toArrow())
+    sent.unpersist()
+    y = np.asarray([v for part in got for v in part["toxic"].to_pylist()], float)
     if not len(y) or y.min() == y.max():
         mean = float(y.mean()) if len(y) else 0.0
         flat = np.zeros(N_FEATURES + 1)
         flat[-1] = math.log((mean + 1e-9) / (1 - mean + 1e-9))
         return ToxicityModel(tables, flat, np.ones(N_FEATURES))
-    return ToxicityModel(tables, *fit_logistic(np.clip(np.asarray(got["x"].to_pylist()), -LARGEST, LARGEST), y))
+    x = np.asarray([v for part in got for v in part["x"].to_pylist()])
+    # The rows come in any order; a sorted sum does not depend on it.
+    order = np.lexsort((*x.T, y))
+    return ToxicityModel(tables, *fit_logistic(np.clip(x[order], -LARGEST, LARGEST), y[order]))
 
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:

@@ -89,3 +89,15 @@ def test_components_equal_union_find(spark):
     got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: root(x) for e in edges for x in e if any(a != b and x in (a, b) for a, b in edges)}
     assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_unequal_texts_under_one_id_lose_no_link_and_no_text(spark):
+    words = lambda seed: [f"{seed}{k}" for k in range(60)]
+    a, b, c = words("a"), words("b"), words("c")
+    near = lambda ws: " ".join([*ws[:-1], "other"])
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, near(a)), (3, near(b)), (7, " ".join(c)), (8, " ".join(c)), (8, "alone " * 3), (9, None), (9, "lone text here and so on")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.component_id) for r in odd_sketch.near_duplicates(docs, shingle_words=4).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (7, 7), (8, 7), (9, 9)}
+    kept = [(r.doc_id, r.text) for r in odd_sketch.keep_first(docs, shingle_words=4).collect()]
+    assert sorted(kept, key=repr) == sorted([rows[0], rows[1], rows[4], rows[6], rows[7], rows[8]], key=repr)
