@@ -227,15 +227,20 @@ def _field_rows(records: DataFrame, enriched: DataFrame) -> DataFrame:
     sources = sources.withColumn("o", order).drop("_pad")
     first = enriched.select("event_id", F.lit(0).alias("seq"), F.lit("").alias("o"), "artifact_json")
     every = first.unionByName(sources).withColumn("m", J.fields(F.col("artifact_json")))
-    ranked = every.select("event_id", fusion_rank(score(F.col("m")), F.col("seq"), F.col("o")).alias("rank"), "m")
-    return (ranked.select("event_id", "rank", F.explode(F.map_entries("m")).alias("e"))
+    # The enriched record, one per event, brings the keys that are always there; a missing value marks them.
+    entry = "array<struct<key:string,value:variant>>"
+    always = F.array(*(F.struct(F.lit(k).alias("key"), F.lit(None).cast("variant").alias("value")) for k in ("source_urls", "source_url")))
+    none = F.array().cast(entry)
+    entries = F.concat(F.coalesce(F.map_entries("m").cast(entry), none), F.when(F.col("seq") == 0, always.cast(entry)).otherwise(none))
+    ranked = every.select("event_id", fusion_rank(score(F.col("m")), F.col("seq"), F.col("o")).alias("rank"), entries.alias("entries"))
+    return (ranked.select("event_id", "rank", F.explode("entries").alias("e"))
             .select("event_id", "rank", F.col("e.key").alias("key"), F.col("e.value").alias("value"),
                     J.kind(F.col("e.value")).alias("kind")))
 
 
 # What a piece is; of several for one key the lowest wins: addresses gathered from
-# source_url, list items, map members, plain values.
-URLS, LIST, MAP, SCALAR = 0, 1, 2, 3
+# source_url, list items, map members, plain values, and what stands for a key that no source has.
+URLS, LIST, MAP, SCALAR, NO_URLS, NO_TEXT = range(6)
 _PIECE = "array<struct<cls:int,key:string,sub:string,e:boolean,l:int,z:double,a:string,p:int,json:string>>"
 
 
@@ -264,18 +269,22 @@ def _pieces(key: Column, value: Column, kind: Column) -> Column:
     urls = F.filter(F.transform(raw, lambda u, i: piece(URLS, J.quoted(strip(u)), sub=strip(u), at=i, name=F.lit("source_urls"))),
                     lambda u: u["sub"] != "")
     none = F.array().cast(_PIECE)
-    own = (F.when(kind == "ARRAY", F.concat(mark(LIST).cast(_PIECE), listed.cast(_PIECE)))
+    own = (F.when(kind.isNull(), F.when(key == "source_urls", mark(NO_URLS).cast(_PIECE)).otherwise(F.array(piece(NO_TEXT, F.lit('""'))).cast(_PIECE)))
+           .when(kind == "ARRAY", F.concat(mark(LIST).cast(_PIECE), listed.cast(_PIECE)))
            .when(kind == "OBJECT", F.concat(mark(MAP).cast(_PIECE), members.cast(_PIECE)))
            .otherwise(F.array(plain).cast(_PIECE)))
-    return F.concat(own, F.when(key == "source_url", F.coalesce(urls.cast(_PIECE), none)).otherwise(none))
+    head = F.array(piece(URLS, F.lit(None), name=F.lit("source_urls"))).cast(_PIECE)
+    gathered = F.when(F.size(urls) > 0, F.concat(head, urls.cast(_PIECE)))
+    return F.concat(own, F.when(key == "source_url", F.coalesce(gathered, none)).otherwise(none))
 
 
 def fuse_long(records: DataFrame, sidecars: DataFrame | None = None, map_policy: str = "last") -> DataFrame:
-    """Fused events, one row per atomic piece: ``event_id, key, kind, subkey, at, value`` (JSON text).
+    """Fused events, one row per atomic piece: ``event_id, key, kind, subkey, at, value`` (JSON text) and ``head``.
 
-    ``kind`` is scalar, list or map; ``at`` orders list items. One shuffle, on event, key
+    ``kind`` is scalar, list or map; ``at`` orders list items; a list or map has one row without a value that
+    stands for itself, also when it is empty, and ``head`` tells its first item. One shuffle, on event, key
     and piece, after a local minimum; complete for events of any size. The reduced pieces
-    are checkpointed since they are read twice."""
+    are checkpointed since they are read twice. ``source_urls`` and ``source_url`` are always there."""
     ensure_checkpoint_dir(records.sparkSession)
     rows = _field_rows(records, enriched_records(records, sidecars))
     each = rows.select("event_id", "rank", F.explode(_pieces(F.col("key"), F.col("value"), F.col("kind"))).alias("x"))
@@ -286,17 +295,44 @@ def fuse_long(records: DataFrame, sidecars: DataFrame | None = None, map_policy:
         F.when(backwards, descending(o)).otherwise(o).alias("o"), F.col("x.p").alias("p")]
     reduced = (each.groupBy("event_id", F.col("x.key").alias("key"), F.col("x.cls").alias("cls"), F.col("x.sub").alias("sub"))
                .agg(F.min(F.struct(*order, F.col("x.json").alias("json"))).alias("w")).checkpoint())
-    mixed = (reduced.groupBy("event_id", "key").agg(F.min("cls").alias("winner"), F.max("cls").alias("worst"))
-             .where("winner <> worst").drop("worst"))
-    kept = reduced.join(mixed, ["event_id", "key"], "left").where("winner IS NULL OR cls = winner")
-    at = F.when(F.col("cls").isin(URLS, LIST) & F.col("sub").isNotNull(), F.struct("w.s", "w.q", "w.o", "w.p"))
-    kind = F.when(F.col("cls").isin(URLS, LIST), "list").when(F.col("cls") == MAP, "map").otherwise("scalar")
+    listed = F.col("cls").isin(URLS, LIST, NO_URLS)
+    at = F.when(listed & F.col("sub").isNotNull(), F.struct("w.s", "w.q", "w.o", "w.p"))
+    place = F.when(F.col("sub").isNotNull(), F.struct("cls", at.alias("at"), "sub"))
+    # The winning class of a key and its first item are one aggregate; keys with one plain value need neither.
+    groups = (reduced.groupBy("event_id", "key").agg(F.min("cls").alias("winner"), F.max("cls").alias("worst"), F.min(place).alias("first"))
+              .where((F.col("winner") != F.col("worst")) | F.col("first").isNotNull()).drop("worst"))
+    kept = reduced.join(groups, ["event_id", "key"], "left").where("winner IS NULL OR cls = winner")
+    kind = F.when(listed, "list").when(F.col("cls") == MAP, "map").otherwise("scalar")
     return kept.select("event_id", "key", kind.alias("kind"), F.when(F.col("cls") == MAP, F.col("sub")).alias("subkey"),
-                       at.alias("at"), F.col("w.json").alias("value"))
+                       at.alias("at"), F.col("w.json").alias("value"), F.coalesce(place == F.col("first"), F.lit(False)).alias("head"))
+
+
+def fuse_lines(long: DataFrame) -> DataFrame:
+    """``event_id, line_no, line``: the lines of one JSON object per event, from long form.
+
+    A list item and a map member are lines of their own, a comma begins a line, and the first member is
+    ``event_id``. Nothing of an event comes together in one row, so it may be of any size."""
+    key, none = J.quoted(F.col("key")), F.lit(None)
+    line = lambda piece, text: F.struct(F.lit(piece).alias("piece"), text.alias("line"))
+    bracket = lambda a, b: F.when(F.col("kind") == "list", F.lit(a)).otherwise(F.lit(b))
+    holds = F.col("kind").isin("list", "map")
+    around = F.array(line(0, F.concat(F.lit(", "), key, bracket(": [", ": {"))), line(2, bracket("]", "}")))
+    named = F.when(F.col("subkey").isNotNull(), F.concat(J.quoted(F.col("subkey")), F.lit(": "))).otherwise(F.lit(""))
+    item = line(1, F.concat(F.when(F.col("head"), F.lit("  ")).otherwise(F.lit(", ")), named, F.col("value")))
+    plain = line(0, F.concat(F.lit(", "), key, F.lit(": "), F.coalesce("value", F.lit("null"))))
+    lines = F.when(holds & F.col("value").isNull(), around).when(holds, F.array(item)).otherwise(F.array(plain))
+    inner = long.where("key <> 'event_id'").select("event_id", F.lit(1).alias("part"), "key", "at", "subkey", F.explode(lines).alias("x"))
+    outer = F.array(F.struct(F.lit(0).alias("part"), F.concat(F.lit('{"event_id": '), J.quoted(F.col("event_id"))).alias("line")),
+                    F.struct(F.lit(2).alias("part"), F.lit("}").alias("line")))
+    ends = long.select("event_id").distinct().select("event_id", F.explode(outer).alias("x")).select(
+        "event_id", "x.part", none.cast("string").alias("key"), none.cast(long.schema["at"].dataType).alias("at"),
+        none.cast("string").alias("subkey"), F.lit(0).alias("piece"), "x.line")
+    every = inner.select("event_id", "part", "key", "at", "subkey", "x.piece", "x.line").unionByName(ends)
+    return number_rows(every, ["part", "key", "piece", "at.s", "at.q", "at.o", "at.p", "subkey"], by=["event_id"], name="line_no").select("event_id", "line_no", "line")
 
 
 def fold_keys(long: DataFrame) -> DataFrame:
-    """``event_id, key, value``: the JSON text of each key of an event, from long form; one shape at every size."""
+    """``event_id, key, value``: the JSON text of each key of an event, from long form. For keys that fit one row; ``fuse_lines`` has no such bound."""
     piece = F.struct("at", F.col("subkey").alias("key"), "value")
     per_key = long.groupBy("event_id", "key", "kind").agg(F.array_sort(F.collect_list(F.when(F.col("value").isNotNull(), piece))).alias("pieces"))
     pairs = F.transform("pieces", lambda p: F.struct(p["key"].alias("key"), p["value"].alias("value")))
@@ -308,12 +344,9 @@ def fold_keys(long: DataFrame) -> DataFrame:
 
 def export_objects(keys: DataFrame) -> DataFrame:
     """``event_id, fused_json``: one JSON object per event from ``event_id, key, value``. An export of whole
-    objects: an event must fit one row. ``source_urls`` and ``source_url`` are always there."""
+    objects: an event must fit one row."""
     folded = keys.groupBy("event_id").agg(F.collect_list(F.struct("key", "value")).alias("pairs"))
-    named = F.transform("pairs", lambda p: p["key"])
-    default = lambda k, v: F.when(~F.array_contains(named, k), F.struct(F.lit(k).alias("key"), F.lit(v).alias("value")))
-    full = F.concat("pairs", F.array_compact(F.array(default("source_urls", "[]"), default("source_url", '""'))))
-    return folded.select("event_id", J.object_text(full).alias("fused_json"))
+    return folded.select("event_id", J.object_text(F.col("pairs")).alias("fused_json"))
 
 
 def relative_paths_json(raw: Column, root: str) -> Column:
@@ -324,5 +357,5 @@ def relative_paths_json(raw: Column, root: str) -> Column:
 
 
 def fuse_events(records: DataFrame, sidecars: DataFrame | None = None, map_policy: str = "last") -> DataFrame:
-    """``event_id, key, value`` of fused events, see ``fuse_long`` and ``fold_keys``."""
-    return fold_keys(fuse_long(records, sidecars, map_policy))
+    """``event_id, line_no, line`` of fused events, see ``fuse_long`` and ``fuse_lines``."""
+    return fuse_lines(fuse_long(records, sidecars, map_policy))

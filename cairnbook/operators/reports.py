@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cairnbook.constants import AGENCY_FIELDS, MONTHS, REGION_FIELDS, WEEKDAYS
 from cairnbook.functions.dates import checked_date, month_number
 from cairnbook.functions.strings import first_match, none_if_blank, ordered_union, publisher_label, strip
+from cairnbook.operators.ranking import number_rows
 
 _MONTH = "(" + "|".join(m.capitalize() for m in MONTHS) + ")"
 MONTH_DAY = rf"(?i){_MONTH}\s+([0-3]?\d)(?:,?\s+(\d{{4}}))?"
@@ -145,6 +146,66 @@ def targets(events: DataFrame, event_id: str | None = None) -> DataFrame:
     return events if event_id is None else events.where(F.col("event_id") == event_id)
 
 
+def report_links(events: DataFrame, urls: DataFrame) -> DataFrame:
+    """``event_id, link, place``: distinct links of each event with the place of the first use.
+
+    ``urls`` is as ``fusion.source_urls`` gives it: addresses in fusion order. Then come the event's own
+    ``source_url`` and the addresses in its ``article_text``. The first use is a partial aggregate."""
+    place = lambda kind, s, o, pos: F.struct(F.lit(kind).alias("kind"), s.cast("double").alias("s"), o.alias("o"), pos.alias("pos"))
+    record = F.col("record_id").cast("string")
+    ordered = F.lpad(record, 20, "0") if dict(urls.dtypes)["record_id"] in ("int", "bigint") else record
+    listed = urls.select("event_id", strip(F.col("source_url")).alias("link"), place(0, -F.col("score"), ordered, F.lit(0)).alias("place"))
+    col = lambda n: F.col(n) if n in events.columns else F.lit(None).cast("string")
+    empty = F.array().cast("array<string>")
+    own = extract_links(empty, col("source_url"), empty, F.coalesce(col("article_text"), F.lit("")))
+    more = events.select("event_id", F.posexplode(own).alias("pos", "link")).select("event_id", "link", place(1, F.lit(0.0), F.lit(""), F.col("pos")).alias("place"))
+    return listed.unionByName(more).where(F.col("link").startswith("http")).groupBy("event_id", "link").agg(F.min("place").alias("place"))
+
+
+def render_lines(events: DataFrame, links: DataFrame, steps: DataFrame | None = None, audience: str = "climbers") -> DataFrame:
+    """``event_id, line_no, line``: reports in long form, for events with any number of links and steps.
+
+    ``events`` is as for ``render_reports`` with one row per event; its ``source_urls`` and ``events`` are not
+    looked at: links come from ``report_links``, steps as ``event_id``, a sortable ``at``
+    and ``ts_iso, approx_time, description, type``."""
+    df = events
+    for name in ("accident_type", "accident_date", "article_date_published", "article_text", "accident_summary_text", "num_fatalities"):
+        if name not in df.columns:
+            df = df.withColumn(name, F.lit(None).cast("string"))
+    # One row per event from either side, so that the sections know whether they are there.
+    df = df.join(links.groupBy("event_id").agg(F.count("*").alias("_links")), "event_id", "left")
+    if steps is not None:
+        df = df.join(steps.groupBy("event_id").agg(F.count("*").alias("_steps")), "event_id", "left")
+    else:
+        df = df.withColumn("_steps", F.lit(None).cast("long"))
+    region, crew = first_named(df), agencies(df)
+    title = short_title(region, F.col("accident_type"))
+    date = infer_event_date(F.col("accident_date"), F.col("article_date_published"), F.coalesce("article_text", F.lit("")))
+    header = front_matter([("title", title), ("date_of_event", date), ("region", region), ("audience", F.lit(audience)), ("event_id", F.col("event_id"))])
+    section = lambda name, body: F.when(F.coalesce(body, F.lit("")) != "", F.concat(F.lit(f"## {name}\n"), body, F.lit("\n")))
+    head = F.concat_ws("\n", header, F.concat(F.lit("# "), title, F.lit("\n")),
+                       section("Executive Summary", F.when(F.col("accident_summary_text") != "", F.concat(F.lit("- "), F.col("accident_summary_text")))),
+                       section("Location and Context", F.when(region != "", F.concat(F.lit("- Peak/Area: "), region))))
+    outcome = section("Outcome", F.concat(F.lit("- Fatalities: "), F.col("num_fatalities").cast("string")))
+    told, listed, crewed = F.col("_steps") > 0, F.coalesce("_links", F.lit(0)) > 0, F.size(crew) > 0
+    agency_line = F.when(crewed, F.concat(F.lit("Agencies: "), F.array_join(crew, "; ")))
+    tail = F.when(listed | crewed, F.concat_ws("\n", agency_line, F.when(listed, F.lit(SOURCES_NOTE)), F.lit("")))
+    parts = {0: head, 1: F.when(told, F.lit("## Timeline of Events")), 3: F.when(told, F.lit("")), 4: outcome, 5: F.when(listed | crewed, F.lit("## Sources")), 7: tail}
+    # A text is cut at its line breaks; the break after its last line gives the empty line between sections.
+    blocks = F.array_compact(F.array(*(F.when(text.isNotNull(), F.struct(F.lit(part).alias("part"), F.split(text, "\n").alias("lines"))) for part, text in parts.items())))
+    rows = df.select("event_id", F.explode(blocks).alias("b")).select("event_id", "b.part", F.posexplode("b.lines").alias("pos", "line"))
+    rows = rows.select("event_id", "part", F.col("pos").cast("long").alias("pos"), "line")
+    label = F.concat(F.lit("- "), publisher_label(F.col("link")), F.lit(": "), F.col("link"))
+    numbered = number_rows(links.select("event_id", "link", "place"), ["place.kind", "place.s", "place.o", "place.pos", "link"], by=["event_id"], name="pos")
+    every = rows.unionByName(numbered.select("event_id", F.lit(6).alias("part"), "pos", label.alias("line")))
+    if steps is not None:
+        pick = lambda *cs: F.coalesce(*(F.nullif(F.col(c), F.lit("")) for c in cs), F.lit(""))
+        text = F.concat(F.lit("- "), pick("ts_iso", "approx_time"), F.lit(" — "), pick("description", "type"))
+        placed = number_rows(steps.select("event_id", "at", text.alias("line")), ["at", "line"], by=["event_id"], name="pos")
+        every = every.unionByName(placed.select("event_id", F.lit(2).alias("part"), "pos", "line"))
+    return number_rows(every, ["part", "pos"], by=["event_id"], name="line_no").select("event_id", "line_no", "line")
+
+
 def render_reports(events: DataFrame, audience: str = "climbers") -> DataFrame:
     """``event_id, markdown`` from event rows.
 

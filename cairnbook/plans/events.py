@@ -261,31 +261,64 @@ def fuse_maps_first(spark, sf_dir):
     return U.merge_maps(map_entries(spark, sf_dir), ["event_id"], policy="first")
 
 
+# A JSON number without a fraction is written without one.
+NUM = "regexp_replace({}, '[.]0$', '')"
+FUSED = {
+    "docs": "SELECT r.event_id, r.pos, r.record_id, j.artifact_json AS j FROM ranked r JOIN bridge_json j USING (record_id)",
+    "every": "SELECT event_id, pos, j FROM docs",
+    "scalars": "\n  UNION ALL ".join(
+        [f"SELECT event_id, '{k}' AS key, json_extract(j, '$.{k}')::VARCHAR AS value FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY pos) AS n FROM docs WHERE json_exists(j, '$.{k}')) WHERE n = 1"
+         for k in ("source_url", "extracted_at", "article_title", "num_fatalities", "article_text", "mountain_name")]
+        + ["SELECT event_id, 'accident_date', min(json_extract(j, '$.accident_date')::VARCHAR) FROM docs WHERE json_exists(j, '$.accident_date') GROUP BY 1",
+           f"SELECT event_id, 'extraction_confidence_score', {NUM.format('max(json_extract(j, $$$.extraction_confidence_score$$)::DOUBLE)::VARCHAR')} FROM docs WHERE json_exists(j, '$.extraction_confidence_score') GROUP BY 1",
+           "SELECT event_id, 'video_urls', '\"none\"' FROM docs GROUP BY 1 HAVING bool_and(json_type(j, '$.video_urls') = 'VARCHAR')"]),
+    "listed": """SELECT event_id, key, item, row_number() OVER (PARTITION BY event_id, key ORDER BY min(pos * 1000 + p)) AS n FROM (
+    SELECT event_id, key, pos, unnest(items)::VARCHAR AS item, generate_subscripts(items, 1) AS p FROM (
+      SELECT event_id, pos, unnest(['photo_urls', 'people', 'video_urls', 'events', 'source_urls']) AS key,
+        unnest([json_extract(j, '$.photo_urls[*]'), json_extract(j, '$.people[*]'), json_extract(j, '$.video_urls[*]'), json_extract(j, '$.events[*]'), [json_extract(j, '$.source_url')]]) AS items FROM every))
+  WHERE item IS NOT NULL GROUP BY 1, 2, 3""",
+    "mapped": """SELECT event_id, key, sub, arg_max(value, pos) AS value, row_number() OVER (PARTITION BY event_id, key ORDER BY sub) AS n FROM (
+    SELECT event_id, pos, 'derived_metrics' AS key, unnest(json_keys(j, '$.derived_metrics')) AS sub, json_extract(j, '$.derived_metrics.' || unnest(json_keys(j, '$.derived_metrics')))::VARCHAR AS value FROM every)
+  GROUP BY 1, 2, 3""",
+}
+#: The lines of the objects, from the parts above.
+FUSED_LINES = {
+    "texts": """SELECT DISTINCT event_id, 0 AS part, '' AS key, 0 AS piece, 0::BIGINT AS n, '{"event_id": "' || event_id || '"' AS line FROM docs
+  UNION ALL SELECT DISTINCT event_id, 2, '', 0, 0, '}' FROM docs
+  UNION ALL SELECT event_id, 1, key, 0, 0, ', "' || key || '": ' || value FROM scalars
+  UNION ALL SELECT DISTINCT event_id, 1, key, 0, 0, ', "' || key || '": [' FROM listed
+  UNION ALL SELECT event_id, 1, key, 1, n, CASE WHEN n = 1 THEN '  ' ELSE ', ' END || item FROM listed
+  UNION ALL SELECT DISTINCT event_id, 1, key, 2, 0, ']' FROM listed
+  UNION ALL SELECT DISTINCT event_id, 1, key, 0, 0, ', "' || key || '": {' FROM mapped
+  UNION ALL SELECT event_id, 1, key, 1, n, CASE WHEN n = 1 THEN '  ' ELSE ', ' END || '"' || sub || '": ' || value FROM mapped
+  UNION ALL SELECT DISTINCT event_id, 1, key, 2, 0, '}' FROM mapped""",
+}
+
+
 @query("fuse_events", events_sql("""
-SELECT event_id,
-  arg_min(json_extract_string(artifact_json, '$.mountain_name'), pos) FILTER (json_extract_string(artifact_json, '$.mountain_name') IS NOT NULL) AS mountain_name,
-  arg_min(json_extract_string(artifact_json, '$.article_title'), pos) AS article_title,
-  min(json_extract_string(artifact_json, '$.accident_date')) AS accident_date,
-  arg_min(json_extract_string(artifact_json, '$.num_fatalities'), pos) AS num_fatalities,
-  max(extraction_confidence_score) AS score,
-  count(DISTINCT source_url) AS n_urls, arg_min(source_url, pos) AS first_url,
-  arg_max(json_extract_string(artifact_json, '$.derived_metrics.m1'), pos) FILTER (json_extract_string(artifact_json, '$.derived_metrics.m1') IS NOT NULL) AS m1
-FROM (SELECT r.*, j.artifact_json FROM ranked r JOIN bridge_json j USING (record_id)) GROUP BY 1""", "bridge_json"))
+SELECT event_id, row_number() OVER (PARTITION BY event_id ORDER BY part, key, piece, n) AS line_no, line FROM texts""",
+    "bridge_json", **FUSED, **FUSED_LINES))
 def fuse_events(spark, sf_dir):
-    fused = U.export_objects(U.fuse_events(json_records(spark, sf_dir).select("event_id", "record_id", "extraction_confidence_score", "artifact_json")))
-    v = F.parse_json("fused_json")
-    get = lambda p, t="string": F.try_variant_get(v, p, t)
-    return fused.select(
-        "event_id", get("$.mountain_name").alias("mountain_name"), get("$.article_title").alias("article_title"),
-        get("$.accident_date").alias("accident_date"), get("$.num_fatalities").alias("num_fatalities"),
-        get("$.extraction_confidence_score", "double").alias("score"),
-        F.size(get("$.source_urls", "array<string>")).cast("bigint").alias("n_urls"),
-        F.try_element_at(get("$.source_urls", "array<string>"), F.lit(1)).alias("first_url"), get("$.derived_metrics.m1").alias("m1"))
-
-
-@query("fuse_events_long", None)
+    """Every line of the fused JSON objects."""
+    return U.fuse_events(json_records(spark, sf_dir).select("event_id", "record_id", "extraction_confidence_score", "artifact_json"))
+
+
+# The chosen sidecar of an event comes behind its best record and before the record's own turn in the order.
+SIDES = """SELECT event_id, arg_min(sidecar_json, record_id) AS j FROM assigned JOIN bridge_sidecars s ON s.run_dir = cast(record_id AS varchar)
+WHERE json_type(sidecar_json) = 'OBJECT' AND coalesce(try_cast(json_extract_string(sidecar_json, '$.extraction_confidence_score') AS double), 0) >= 0.1
+  AND (coalesce(json_extract_string(sidecar_json, '$.derived_metrics'), '{}') <> '{}' OR coalesce(json_extract_string(sidecar_json, '$.events'), '[]') <> '[]') GROUP BY 1"""
+EVERY = "SELECT event_id, pos::DOUBLE AS pos, j FROM docs UNION ALL SELECT event_id, 0, j FROM docs WHERE pos = 1 UNION ALL SELECT event_id, 0.5, j FROM sides"
+
+
+@query("fuse_events_long", events_sql("""
+SELECT event_id, key, 'scalar' AS kind, NULL AS subkey, value, false AS head FROM scalars
+UNION ALL SELECT DISTINCT event_id, key, 'list', NULL, NULL, false FROM listed
+UNION ALL SELECT event_id, key, 'list', NULL, item, n = 1 FROM listed
+UNION ALL SELECT DISTINCT event_id, key, 'map', NULL, NULL, false FROM mapped
+UNION ALL SELECT event_id, key, 'map', sub, value, n = 1 FROM mapped""", "bridge_json", "bridge_sidecars", sides=SIDES, **{**FUSED, "every": EVERY}))
 def fuse_events_long(spark, sf_dir):
-    return U.fuse_long(json_records(spark, sf_dir), bridge(spark, sf_dir, "bridge_sidecars"))
+    """Every piece of the fused events, best records merged with their sidecars first."""
+    return U.fuse_long(json_records(spark, sf_dir), bridge(spark, sf_dir, "bridge_sidecars")).drop("at")
 
 
 @query("source_urls", events_sql("""

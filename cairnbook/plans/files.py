@@ -8,7 +8,7 @@ from cairnbook.operators import ledger as L, manifest as M, reports as RP
 from cairnbook.plans.bridges import bridge, with_bridges
 from cairnbook.plans.events import NEWEST, events_sql, json_records
 from cairnbook.plans.registry import query, table
-from cairnbook.plans.reports import FM, ROWS, event_rows, rep_sql
+from cairnbook.plans.reports import FM, REPORT_LINES, ROWS, rep_sql, report_lines
 from cairnbook.session import new_run_dir
 from cairnbook.sources import readers as R, writers as W
 from cairnbook.streaming import incremental as T
@@ -82,14 +82,13 @@ def scan_reports(spark, sf_dir):
     return R.scan_reports(spark, path, pattern="*.txt", folder_key="event_id")
 
 
-@query("write_reports", events_sql("""
-SELECT event_id, substring(event_id, 1, 2) AS shard, coalesce(arg_min(mountain_name, pos) FILTER (mountain_name <> ''), '') AS region FROM ranked GROUP BY 1"""))
+@query("write_reports", events_sql("SELECT event_id, substring(event_id, 1, 2) AS shard, line_no, line FROM report_lines", **REPORT_LINES))
 def write_reports(spark, sf_dir):
+    """Reports as sorted lines in a table by shard of the id, read back."""
     path = new_run_dir(spark, "reports")
-    W.write_reports(RP.render_reports(event_rows(spark, sf_dir)), path)
-    back = spark.read.parquet(path)
-    region = F.regexp_extract("markdown", r"(?m)^region: ?(.*)$", 1)
-    return back.select("event_id", F.lpad(F.col("shard").cast("string"), 2, "0").alias("shard"), region.alias("region"))
+    W.write_lines(report_lines(spark, sf_dir), path)
+    back = spark.read.option("basePath", path).parquet(path)
+    return back.select("event_id", F.lpad(F.col("shard").cast("string"), 2, "0").alias("shard"), "line_no", "line")
 
 
 @query("write_manifest", rep_sql("SELECT id, title, date_of_event, peak, activity FROM mrows WHERE coalesce(nullif(title, ''), nullif(activity, ''), nullif(peak, '')) IS NOT NULL", fm=FM, mrows=ROWS))
@@ -138,7 +137,7 @@ def read_ledger(spark, sf_dir):
 def write_events(spark, sf_dir):
     """Written twice: the second run replaces the partitions of the first."""
     path = new_run_dir(spark, "events")
-    rows = event_rows(spark, sf_dir).select("event_id", "n_records")
+    rows = U.fused_scalars(assigned(spark, sf_dir)).select("event_id", "n_records")
     W.write_events(rows, path)
     W.write_events(rows, path)
     return W.read_events(spark, path)
@@ -185,9 +184,8 @@ SELECT event_id, count(DISTINCT source_url) AS n_urls, arg_min(source_url, pos)
 def stream_refuse(spark, sf_dir):
     path, source = stream(spark, sf_dir, "refuse")
     T.refuse_touched(source, f"{path}/artifacts", f"{path}/fused", f"{path}/checkpoint")
-    urls = F.from_json("value", "array<string>")
-    return T.latest_fused(spark, f"{path}/fused").where("key = 'source_urls'").select("event_id", F.size(urls).cast("bigint").alias("n_urls"),
-                                                         F.try_element_at(urls, F.lit(1)).alias("first_url"))
+    urls = T.latest_fused(spark, f"{path}/fused").where("key = 'source_urls' AND value IS NOT NULL")
+    return urls.groupBy("event_id").agg(F.count("*").alias("n_urls"), F.get_json_object(F.concat(F.lit("["), F.max(F.when(F.col("head"), F.col("value"))), F.lit("]")), "$[0]").alias("first_url"))
 
 
 @query("stream_publish_once", with_bridges("SELECT record_id, source_url FROM bridge_artifacts", "bridge_artifacts"))

@@ -272,17 +272,42 @@ def json_ld(spark, sf_dir):
     return script.select("record_id", F.get_json_object("j", "$.headline").alias("headline"), F.get_json_object("j", "$.datePublished").alias("published"))
 
 
-def event_rows(spark, sf_dir):
+def report_lines(spark, sf_dir):
+    """Reports of all events, with the timeline that the dated records of an event make."""
     from cairnbook.operators import fusion as U
     df = assigned(spark, sf_dir)
-    urls = U.source_urls(df).groupBy("event_id").agg(F.array_sort(F.collect_set("source_url")).alias("source_urls"))
-    return U.fused_scalars(df).join(urls, "event_id")
-
-
-@query("render_report")
+    events = U.fused_scalars(df).join(df.groupBy("event_id").agg(F.max("num_fatalities").alias("num_fatalities")), "event_id")
+    steps = df.where("record_id % 4 = 1").select("event_id", F.col("record_id").alias("at"), F.col("accident_date").alias("ts_iso"), F.lit("undated").alias("approx_time"),
+                                                 F.lit("").alias("description"), F.col("article_title").alias("type"))
+    return R.render_lines(events, R.report_links(events, U.source_urls(df)), steps)
+
+
+REPORT_LINES = {
+    "heads": """SELECT event_id, arg_min(mountain_name, pos) FILTER (mountain_name <> '') AS region, min(accident_date) AS day, max(num_fatalities) AS dead,
+  arg_min(accident_summary_text, pos - length(accident_summary_text) * 1000000) FILTER (accident_summary_text <> '') AS summary FROM ranked GROUP BY 1""",
+    "links": "SELECT event_id, source_url, min(pos) AS pos FROM ranked GROUP BY 1, 2",
+    "steps": "SELECT event_id, record_id, '- ' || coalesce(accident_date, 'undated') || ' — ' || article_title AS line FROM ranked WHERE record_id % 4 = 1",
+    "parts": """SELECT event_id, 0 AS part, 0 AS pos, '---' || chr(10) || 'title: ' || coalesce(region, 'Mountaineering') || ' Incident' || chr(10) || 'date_of_event: ' || coalesce(day, 'Specific date unknown')
+    || chr(10) || 'region: ' || coalesce(region, '') || chr(10) || 'audience: climbers' || chr(10) || 'event_id: ' || event_id || chr(10) || '---' || chr(10) || chr(10)
+    || '# ' || coalesce(region, 'Mountaineering') || ' Incident' || chr(10)
+    || coalesce(chr(10) || '## Executive Summary' || chr(10) || '- ' || trim(summary, chr(10)) || chr(10), '') || coalesce(chr(10) || '## Location and Context' || chr(10) || '- Peak/Area: ' || region || chr(10), '') AS txt FROM heads
+  UNION ALL SELECT event_id, 1, 0, '## Timeline of Events' FROM steps GROUP BY 1
+  UNION ALL SELECT event_id, 2, record_id, line FROM steps
+  UNION ALL SELECT event_id, 3, 0, '' FROM steps GROUP BY 1
+  UNION ALL SELECT event_id, 4, 0, '## Outcome' || chr(10) || '- Fatalities: ' || dead || chr(10) FROM heads WHERE dead IS NOT NULL
+  UNION ALL SELECT event_id, 5, 0, '## Sources' FROM links GROUP BY 1
+  UNION ALL SELECT event_id, 6, pos, '- ' || regexp_extract(source_url, '^https://www[.]([^/]+)', 1) || ': ' || source_url FROM links
+  UNION ALL SELECT event_id, 7, 0, '(All original source URLs listed above; labels inferred from domains.)' || chr(10) FROM links GROUP BY 1""",
+    "cut": "SELECT event_id, part, pos, string_split(txt, chr(10)) AS lines FROM parts",
+    "report_lines": """SELECT event_id, row_number() OVER (PARTITION BY event_id ORDER BY part, pos, i) AS line_no, lines[i] AS line
+  FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS i FROM cut)""",
+}
+
+
+@query("render_report", events_sql("SELECT * FROM report_lines", **REPORT_LINES))
 def render_report(spark, sf_dir):
-    """Reports of all events; an event of this data has at most 200 addresses."""
-    return R.render_reports(event_rows(spark, sf_dir))
+    """Every line of the reports of all events; links and steps of an event may be of any number."""
+    return report_lines(spark, sf_dir)
 
 
 @query("report_targets", events_sql("SELECT DISTINCT event_id FROM assigned WHERE event_id = substring(md5('Mount 4|2024-01-05'), 1, 12)"))

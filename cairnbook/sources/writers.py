@@ -56,6 +56,19 @@ def write_reports(reports: DataFrame, path: str, per_event: bool = False) -> Non
     write_events(reports.select("event_id", "markdown"), path)
 
 
+def write_lines(lines: DataFrame, path: str) -> None:
+    """``event_id, line_no, line`` by shard of the id, range-partitioned and sorted: an event is a run of rows in one file or
+    several, whatever its size. Only touched shards are replaced."""
+    rows = lines.withColumn("shard", F.substring("event_id", 1, 2))
+    n = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["shard", "event_id", "line_no"]
+    rows.repartitionByRange(n, *keys).sortWithinPartitions(*keys).write.mode("overwrite").options(**DYNAMIC).partitionBy("shard").parquet(path)
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("event_id string, line_no long, line string").parquet(path).select("event_id", "line_no", "line")
+
+
 def write_manifest(items: DataFrame, path: str) -> None:
     """List of reports as JSON lines, in order of id within and between files, at every size."""
     items.orderBy("id").write.mode("overwrite").json(path)

@@ -9,14 +9,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from cairnbook.functions import jsons as J
-from cairnbook.operators.fusion import fuse_events
+from cairnbook.operators.fusion import fuse_long
 from cairnbook.operators.ledger import newest_per_url
 from cairnbook.sources.writers import path_exists
 
 
+#: Folders that the events of a log are dealt into.
+SHARDS = 64
+
+
 def artifact_stream(spark: SparkSession, path: str, pattern: str = "accident_info.json", whole: bool = True,
                     files_per_batch: int = 1000) -> DataFrame:
     """Artifacts of a growing folder as a stream: ``file_path, artifact_json``."""
@@ -56,25 +60,39 @@ def compact(spark: SparkSession, log: str, target: str, ts: str = "extracted_at"
     current_ledger(spark, log, ts, order).write.mode("overwrite").parquet(f"{target}/batch_id=-1")
 
 
-def refuse_touched(rows: DataFrame, artifacts: str, fused: str, checkpoint: str) -> None:
+def _shard(event_id: Column, shards: int) -> Column:
+    return F.pmod(F.xxhash64(event_id), F.lit(shards)).cast("int")
+
+
+def refuse_touched(rows: DataFrame, artifacts: str, fused: str, checkpoint: str, shards: int = SHARDS) -> None:
     """Keep the artifact log and fuse again only the events a micro-batch touches.
 
-    ``rows`` has ``event_id, record_id, extraction_confidence_score, artifact_json``."""
+    ``rows`` has ``event_id, record_id, extraction_confidence_score, artifact_json``. The log is dealt by a hash of
+    the event into ``shards`` folders, and a batch reads only those of its own events, whatever the history; the
+    numbers of these folders are all that comes to the driver. Fused events are kept in long form, dealt alike."""
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{artifacts}/batch_id={batch_id}")
-        seen = spark.read.parquet(artifacts).where(F.col("batch_id") <= batch_id)
-        touched = seen.where(F.col("batch_id") == batch_id).select("event_id").distinct()
-        again = seen.join(touched, "event_id", "left_semi").drop("batch_id")
-        fuse_events(again).write.mode("overwrite").parquet(f"{fused}/batch_id={batch_id}")
+        own = f"{artifacts}/batch_id={batch_id}"
+        batch.withColumn("shard", _shard(F.col("event_id"), shards)).hint("rebalance", "shard").write.mode("overwrite").partitionBy("shard").parquet(own)
+        now = spark.read.schema(T.StructType([*batch.schema.fields, T.StructField("shard", T.IntegerType())])).parquet(own)
+        met = sorted(r.shard for r in now.select("shard").distinct().collect())
+        seen = touched_log(spark, artifacts, met).where(F.col("batch_id") <= batch_id)
+        again = seen.join(now.select("event_id").distinct(), "event_id", "left_semi").drop("batch_id", "shard")
+        long = fuse_long(again).withColumn("shard", _shard(F.col("event_id"), shards))
+        long.hint("rebalance", "shard").write.mode("overwrite").partitionBy("shard").parquet(f"{fused}/batch_id={batch_id}")
     _run(rows, each, checkpoint)
 
 
+def touched_log(spark: SparkSession, artifacts: str, met: Sequence[int]) -> DataFrame:
+    """The artifact log of some shards; the others' folders are not read."""
+    return spark.read.parquet(artifacts).where(F.col("shard").isin(list(met)))
+
+
 def latest_fused(spark: SparkSession, fused: str) -> DataFrame:
-    """Keys and values of each event from the last batch that fused it."""
+    """The long form of each event from the last batch that fused it."""
     rows = spark.read.parquet(fused)
-    last = rows.groupBy("event_id").agg(F.max("batch_id").alias("batch_id"))
-    return rows.join(last, ["event_id", "batch_id"]).drop("batch_id")
+    last = rows.groupBy("shard", "event_id").agg(F.max("batch_id").alias("batch_id"))
+    return rows.join(last, ["shard", "event_id", "batch_id"]).drop("batch_id", "shard")
 
 
 def publish_once(rows: DataFrame, target: str, checkpoint: str, keys: Sequence[str] = ("record_id",)) -> None:
