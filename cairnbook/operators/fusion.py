@@ -15,7 +15,7 @@ from cairnbook.constants import (
 from cairnbook.functions import jsons as J
 from cairnbook.functions.strings import relative_path, strip
 from cairnbook.operators.ledger import descending
-from cairnbook.operators.ranking import number_rows
+from cairnbook.operators.ranking import keep_best, number_rows
 from cairnbook.session import ensure_checkpoint_dir
 
 
@@ -37,11 +37,13 @@ def group_events(records: DataFrame) -> DataFrame:
 
 
 def baselines(records: DataFrame, *columns: str) -> DataFrame:
-    """Best-scored record of each event, the first of equals."""
-    rank = fusion_rank(F.col("extraction_confidence_score"), F.lit(0), F.col("record_id"))
+    """Best-scored record of each event, the first of equals; its long columns are fetched after the choice."""
     keep = [c for c in (columns or records.columns) if c != "event_id"]
-    return (assigned_only(records).groupBy("event_id").agg(F.min_by(F.struct(*keep), rank).alias("b"))
-            .select("event_id", "b.*"))
+    needed = list(dict.fromkeys(["event_id", *keep, "extraction_confidence_score", "record_id"]))
+    rows = assigned_only(records).select(*needed)
+    rank = fusion_rank(F.col("extraction_confidence_score"), F.lit(0), F.col("record_id"))
+    rank_id = F.concat(score_of(F.col("extraction_confidence_score")).cast("string"), F.lit("|"), F.coalesce(F.col("record_id").cast("string"), F.lit("")))
+    return keep_best(rows, ["event_id"], rank, rank_id).select("event_id", *keep)
 
 
 def fusion_order(records: DataFrame) -> DataFrame:
@@ -112,8 +114,8 @@ def source_urls(records: DataFrame) -> DataFrame:
     return fuse_lists(urls, "urls").where(F.col("item") != "").withColumnRenamed("item", "source_url").drop("item_pos")
 
 
-def fused_scalars(records: DataFrame) -> DataFrame:
-    """The fixed scalar columns of an event in one pass."""
+def fused_scalars(records: DataFrame, *more: Column) -> DataFrame:
+    """The fixed scalar columns of an event, and ``more`` aggregates, in one pass."""
     rank = fusion_rank(F.col("extraction_confidence_score"), F.lit(1), F.col("record_id"))
     text = lambda c: filled(F.col(c))
     return assigned_only(records).groupBy("event_id").agg(
@@ -122,7 +124,7 @@ def fused_scalars(records: DataFrame) -> DataFrame:
         longest(text("accident_summary_text"), rank).alias("accident_summary_text"),
         earliest_date(text("accident_date"), rank).alias("accident_date"),
         F.max("extraction_confidence_score").alias("extraction_confidence_score"),
-        F.count(F.lit(1)).alias("n_records"))
+        F.count(F.lit(1)).alias("n_records"), *more)
 
 
 def conflicts(records: DataFrame) -> DataFrame:
@@ -218,20 +220,23 @@ def enriched_records(records: DataFrame, sidecars: DataFrame | None = None) -> D
 
 # --- fusion over open keys ----------------------------------------------------------------------
 
-def _field_rows(records: DataFrame, enriched: DataFrame) -> DataFrame:
-    """One row per event, source and top-level key: ``event_id, rank, key, value VARIANT, kind``."""
+def _field_rows(records: DataFrame, enriched: DataFrame | None) -> DataFrame:
+    """One row per event, source and top-level key: ``event_id, rank, key, value VARIANT, kind``.
+
+    Without sidecars the enriched record is the best one itself and says nothing that its own row does not."""
     score = lambda m: F.try_element_at(m, F.lit("extraction_confidence_score")).cast("string")
     sources = assigned_only(records).select("event_id", F.lit(1).alias("seq"), F.col("record_id").cast("string").alias("o"),
                                             F.lpad(F.col("record_id").cast("string"), 20, "0").alias("_pad"), "artifact_json")
     order = F.col("_pad") if dict(records.dtypes)["record_id"] in ("bigint", "int") else F.col("o")
     sources = sources.withColumn("o", order).drop("_pad")
-    first = enriched.select("event_id", F.lit(0).alias("seq"), F.lit("").alias("o"), "artifact_json")
-    every = first.unionByName(sources).withColumn("m", J.fields(F.col("artifact_json")))
-    # The enriched record, one per event, brings the keys that are always there; a missing value marks them.
+    if enriched is not None:
+        sources = enriched.select("event_id", F.lit(0).alias("seq"), F.lit("").alias("o"), "artifact_json").unionByName(sources)
+    every = sources.withColumn("m", J.fields(F.col("artifact_json")))
+    # Keys that are always there; a missing value marks them. One record of an event would do, but each task keeps one of each anyway.
     entry = "array<struct<key:string,value:variant>>"
     always = F.array(*(F.struct(F.lit(k).alias("key"), F.lit(None).cast("variant").alias("value")) for k in ("source_urls", "source_url")))
     none = F.array().cast(entry)
-    entries = F.concat(F.coalesce(F.map_entries("m").cast(entry), none), F.when(F.col("seq") == 0, always.cast(entry)).otherwise(none))
+    entries = F.concat(F.coalesce(F.map_entries("m").cast(entry), none), always.cast(entry))
     ranked = every.select("event_id", fusion_rank(score(F.col("m")), F.col("seq"), F.col("o")).alias("rank"), entries.alias("entries"))
     return (ranked.select("event_id", "rank", F.explode("entries").alias("e"))
             .select("event_id", "rank", F.col("e.key").alias("key"), F.col("e.value").alias("value"),
@@ -286,7 +291,7 @@ def fuse_long(records: DataFrame, sidecars: DataFrame | None = None, map_policy:
     and piece, after a local minimum; complete for events of any size. The reduced pieces
     are checkpointed since they are read twice. ``source_urls`` and ``source_url`` are always there."""
     ensure_checkpoint_dir(records.sparkSession)
-    rows = _field_rows(records, enriched_records(records, sidecars))
+    rows = _field_rows(records, enriched_records(records, sidecars) if sidecars is not None else None)
     each = rows.select("event_id", "rank", F.explode(_pieces(F.col("key"), F.col("value"), F.col("kind"))).alias("x"))
     backwards = (F.col("x.cls") == MAP) if map_policy == "last" else F.lit(False)
     s, q, o = F.col("rank.s"), F.col("rank.q"), F.col("rank.o")
@@ -328,7 +333,8 @@ def fuse_lines(long: DataFrame) -> DataFrame:
         "event_id", "x.part", none.cast("string").alias("key"), none.cast(long.schema["at"].dataType).alias("at"),
         none.cast("string").alias("subkey"), F.lit(0).alias("piece"), "x.line")
     every = inner.select("event_id", "part", "key", "at", "subkey", "x.piece", "x.line").unionByName(ends)
-    return number_rows(every, ["part", "key", "piece", "at.s", "at.q", "at.o", "at.p", "subkey"], by=["event_id"], name="line_no").select("event_id", "line_no", "line")
+    # Held once: the range partitions of the numbering read their input twice.
+    return number_rows(every.checkpoint(), ["part", "key", "piece", "at.s", "at.q", "at.o", "at.p", "subkey"], by=["event_id"], name="line_no").select("event_id", "line_no", "line")
 
 
 def fold_keys(long: DataFrame) -> DataFrame:

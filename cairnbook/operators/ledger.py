@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cairnbook.constants import CANONICAL_FIELDS, ONE_LINE_FIELDS, URL_LIST_FIELDS
 from cairnbook.functions import jsons as J
 from cairnbook.functions.strings import squeeze, third_segment
+from cairnbook.operators.ranking import keep_best
 
 METADATA = ("domain", "ts", "artifact_json")
 
@@ -22,17 +23,17 @@ def descending(c: Column) -> Column:
 def newest_per_url(records: DataFrame, ts: str = "extracted_at", order: str = "record_id") -> DataFrame:
     """Newest row per address; of equally new ones the first in ``order``. A missing address counts as ''.
 
-    Texts that are no time stamps rank below real ones, in text order. ``max_by`` keeps one
-    row per address and task before the shuffle, so an address that holds much of the table is cheap."""
+    Texts that are no time stamps rank below real ones, in text order. Only addresses and ranks are aggregated;
+    the winners' long texts are fetched by a join (``keep_best``)."""
     text = F.col(ts).cast("string")
     at = F.try_to_timestamp(text)
-    late_first = descending(F.lpad(F.col(order).cast("string"), 20, "0")
-                            if dict(records.dtypes)[order] in ("int", "bigint") else F.col(order))
-    rank = F.struct(at.alias("a"), F.when(at.isNull(), F.nullif(text, F.lit(""))).alias("t"), late_first.alias("o"))
+    place = F.coalesce(F.lpad(F.col(order).cast("string"), 20, "0") if dict(records.dtypes)[order] in ("int", "bigint") else F.col(order).cast("string"), F.lit(""))
+    shown = F.when(at.isNull(), F.nullif(text, F.lit("")))
+    # Later first: a missing time or text comes last.
+    rank = F.struct(F.coalesce(-F.unix_micros(at.cast("timestamp")), F.lit((1 << 63) - 1)).alias("a"), shown.isNull().alias("n"), descending(F.coalesce(shown, F.lit(""))).alias("t"), place.alias("o"))
+    rank_id = F.concat(F.coalesce(F.concat(F.lit("a"), F.unix_micros(at.cast("timestamp")).cast("string")), F.concat(F.lit("t"), F.coalesce(shown, F.lit("")))), F.lit("|"), place)
     keyed = records.withColumn("source_url", F.coalesce("source_url", F.lit("")))
-    kept = [c for c in keyed.columns if c != "source_url"]
-    return (keyed.groupBy("source_url").agg(F.max_by(F.struct(*kept), rank).alias("r"))
-            .select("source_url", "r.*").select(*records.columns))
+    return keep_best(keyed, ["source_url"], rank, rank_id).select(*records.columns)
 
 
 def project(artifacts: DataFrame) -> DataFrame:
@@ -61,21 +62,21 @@ def add_counts(ledger: DataFrame) -> DataFrame:
 
 def incoming_rows(records: DataFrame) -> DataFrame:
     """Ledger rows of arriving records; the record's own score and mountain fill gaps of the artifact."""
-    rows = project(records.select("artifact_json", "record_id")).alias("p")
-    meta = records.select("record_id", F.col("mountain_name").alias("_m"), F.col("extraction_confidence_score").alias("_s"))
-    filled = rows.join(meta, "record_id")
-    return (filled.withColumn("mountain_name", F.coalesce("mountain_name", "_m"))
-            .withColumn("extraction_confidence_score", F.coalesce("extraction_confidence_score", F.col("_s").cast("string")))
-            .drop("_m", "_s"))
+    held = records.select(F.struct("mountain_name", F.col("extraction_confidence_score").cast("string").alias("score"), "record_id").alias("record_id"), "artifact_json")
+    rows = project(held)
+    own = F.col("record_id")
+    fill = {"mountain_name": own["mountain_name"], "extraction_confidence_score": own["score"], "record_id": own["record_id"]}
+    return rows.select(*((F.coalesce(F.col(c), fill[c]) if c != "record_id" else fill[c]).alias(c) if c in fill else F.col(c) for c in rows.columns))
 
 
 def upsert(current: DataFrame, incoming: DataFrame, sequence: str = "seq") -> DataFrame:
-    """Insert or replace by address: the last arrival wins whatever its time stamp; an address is required."""
+    """Insert or replace by address: the last arrival wins whatever its time stamp; an address is required.
+
+    Only addresses and sequence numbers are aggregated, see ``keep_best``."""
     base = current.withColumn(sequence, F.lit(-1).cast("bigint"))
-    every = base.unionByName(incoming.where(F.col("source_url") != ""))
-    kept = [c for c in current.columns if c != "source_url"]
-    return (every.groupBy("source_url").agg(F.max_by(F.struct(*kept), sequence).alias("r"))
-            .select("source_url", "r.*").select(*current.columns))
+    every = base.unionByName(incoming.where(F.col("source_url") != "")).withColumn("source_url", F.coalesce("source_url", F.lit("")))
+    last = F.coalesce(F.col(sequence).cast("long"), F.lit(-(1 << 62)))
+    return keep_best(every, ["source_url"], -last, last).select(*current.columns)
 
 
 def rebuild(artifacts: DataFrame, order: str = "record_id") -> DataFrame:

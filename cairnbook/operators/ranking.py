@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cairnbook.session import ensure_checkpoint_dir
 
@@ -35,3 +35,18 @@ def number_rows(df: DataFrame, order: Sequence, by: Sequence[str] = (), name: st
         same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     joined = ranged.join(counts if by else F.broadcast(counts), same)  # without groups: one row per slice
     return joined.withColumn(name, F.col("_seq") - F.col("_first") + F.col("_before") + 1).select(*df.columns, name)
+
+
+def keep_best(df: DataFrame, keys: Sequence[str], rank: Column, rank_id: Column) -> DataFrame:
+    """The row with the lowest ``rank`` of each group of ``keys``; all columns, no null key.
+
+    The ranking aggregate sees keys, rank and ``rank_id`` only (a text or number, never null, that is equal for
+    equal ranks alone), so long columns are neither sorted nor aggregated; the winners' rows are then fetched by a join on keys and
+    ``rank_id``. Rows that share a group and a rank are told apart by their content; one of them stays."""
+    keys = list(keys)
+    marked = df.withColumn("_rank_id", rank_id)
+    best = df.select(*keys, rank.alias("_rank"), rank_id.alias("_rank_id")).groupBy(*keys).agg(F.min_by("_rank_id", "_rank").alias("_rank_id"))
+    found = marked.join(best, [*keys, "_rank_id"], "left_semi")
+    # The join has dealt and sorted the rows by these columns already.
+    order = Window.partitionBy(*keys, "_rank_id").orderBy(F.xxhash64(*(c for c, t in df.dtypes if "map<" not in t and "variant" not in t)))
+    return found.withColumn("_n", F.row_number().over(order)).where("_n = 1").select(*df.columns)

@@ -10,6 +10,7 @@ from cairnbook.constants import AGENCY_FIELDS, MONTHS, REGION_FIELDS, WEEKDAYS
 from cairnbook.functions.dates import checked_date, month_number
 from cairnbook.functions.strings import first_match, none_if_blank, ordered_union, publisher_label, strip
 from cairnbook.operators.ranking import number_rows
+from cairnbook.session import ensure_checkpoint_dir
 
 _MONTH = "(" + "|".join(m.capitalize() for m in MONTHS) + ")"
 MONTH_DAY = rf"(?i){_MONTH}\s+([0-3]?\d)(?:,?\s+(\d{{4}}))?"
@@ -166,7 +167,7 @@ def render_lines(events: DataFrame, links: DataFrame, steps: DataFrame | None =
     """``event_id, line_no, line``: reports in long form, for events with any number of links and steps.
 
     ``events`` is as for ``render_reports`` with one row per event; its ``source_urls`` and ``events`` are not
-    looked at: links come from ``report_links``, steps as ``event_id``, a sortable ``at``
+    looked at: links come from ``report_links``, steps as ``event_id``, a number or text ``at`` to sort by
     and ``ts_iso, approx_time, description, type``."""
     df = events
     for name in ("accident_type", "accident_date", "article_date_published", "article_text", "accident_summary_text", "num_fatalities"):
@@ -193,17 +194,19 @@ def render_lines(events: DataFrame, links: DataFrame, steps: DataFrame | None =
     parts = {0: head, 1: F.when(told, F.lit("## Timeline of Events")), 3: F.when(told, F.lit("")), 4: outcome, 5: F.when(listed | crewed, F.lit("## Sources")), 7: tail}
     # A text is cut at its line breaks; the break after its last line gives the empty line between sections.
     blocks = F.array_compact(F.array(*(F.when(text.isNotNull(), F.struct(F.lit(part).alias("part"), F.split(text, "\n").alias("lines"))) for part, text in parts.items())))
-    rows = df.select("event_id", F.explode(blocks).alias("b")).select("event_id", "b.part", F.posexplode("b.lines").alias("pos", "line"))
-    rows = rows.select("event_id", "part", F.col("pos").cast("long").alias("pos"), "line")
+    none = {"s": "double", "o": "string", "q": "int"}
+    rows = df.select("event_id", F.explode(blocks).alias("b")).select("event_id", "b.part", F.posexplode("b.lines").alias("pos", "line"), *(F.lit(None).cast(t).alias(c) for c, t in none.items()))
     label = F.concat(F.lit("- "), publisher_label(F.col("link")), F.lit(": "), F.col("link"))
-    numbered = number_rows(links.select("event_id", "link", "place"), ["place.kind", "place.s", "place.o", "place.pos", "link"], by=["event_id"], name="pos")
-    every = rows.unionByName(numbered.select("event_id", F.lit(6).alias("part"), "pos", label.alias("line")))
+    every = rows.unionByName(links.select("event_id", F.lit(6).alias("part"), F.col("place.kind").alias("pos"), label.alias("line"),
+                                          F.col("place.s").alias("s"), F.col("place.o").alias("o"), F.col("place.pos").alias("q")))
     if steps is not None:
         pick = lambda *cs: F.coalesce(*(F.nullif(F.col(c), F.lit("")) for c in cs), F.lit(""))
+        at = F.lpad(F.col("at").cast("string"), 20, "0") if dict(steps.dtypes)["at"] in ("int", "bigint") else F.col("at").cast("string")
         text = F.concat(F.lit("- "), pick("ts_iso", "approx_time"), F.lit(" — "), pick("description", "type"))
-        placed = number_rows(steps.select("event_id", "at", text.alias("line")), ["at", "line"], by=["event_id"], name="pos")
-        every = every.unionByName(placed.select("event_id", F.lit(2).alias("part"), "pos", "line"))
-    return number_rows(every, ["part", "pos"], by=["event_id"], name="line_no").select("event_id", "line_no", "line")
+        every = every.unionByName(steps.select("event_id", F.lit(2).alias("part"), F.lit(0).alias("pos"), text.alias("line"), F.lit(None).cast("double").alias("s"), at.alias("o"), F.lit(None).cast("int").alias("q")))
+    ensure_checkpoint_dir(df.sparkSession)
+    # Held once: the range partitions of the numbering read their input twice.
+    return number_rows(every.checkpoint(), ["part", "pos", "s", "o", "q", "line"], by=["event_id"], name="line_no").select("event_id", "line_no", "line")
 
 
 def render_reports(events: DataFrame, audience: str = "climbers") -> DataFrame:

@@ -276,7 +276,7 @@ def report_lines(spark, sf_dir):
     """Reports of all events, with the timeline that the dated records of an event make."""
     from cairnbook.operators import fusion as U
     df = assigned(spark, sf_dir)
-    events = U.fused_scalars(df).join(df.groupBy("event_id").agg(F.max("num_fatalities").alias("num_fatalities")), "event_id")
+    events = U.fused_scalars(df, F.max("num_fatalities").alias("num_fatalities"))
     steps = df.where("record_id % 4 = 1").select("event_id", F.col("record_id").alias("at"), F.col("accident_date").alias("ts_iso"), F.lit("undated").alias("approx_time"),
                                                  F.lit("").alias("description"), F.col("article_title").alias("type"))
     return R.render_lines(events, R.report_links(events, U.source_urls(df)), steps)
