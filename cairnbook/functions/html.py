@@ -2,7 +2,8 @@
 
 Python only tokenises. Elements come out in document order with the interval they
 cover, so "inside", "next sibling" and "parent" become integer comparisons in Spark:
-element ``e`` sits at index ``e.pos`` (1-based), its descendants at ``pos+1 .. end-1``."""
+element ``e`` sits at index ``e.pos`` (1-based), its descendants at ``pos+1 .. end-1``. The page's
+visible strings are kept once; those inside ``e`` stand at ``first .. last``."""
 
 from __future__ import annotations
 
@@ -14,7 +15,7 @@ from cairnbook.functions import html_tokens
 cloudpickle.register_pickle_by_value(html_tokens)
 
 ELEMENT = ("struct<pos:int,end:int,parent:int,tag:string,"
-           "attrs:map<string,string>,parts:array<string>>")
+           "attrs:map<string,string>,first:int,last:int,script:string>")
 PAGE = f"struct<elements:array<{ELEMENT}>,strings:array<string>>"
 
 
@@ -28,8 +29,14 @@ def attr(e: Column, name: str) -> Column:
     return F.try_element_at(e["attrs"], F.lit(name))
 
 
-def text_of(e: Column) -> Column:
-    return F.array_join(e["parts"], " ")
+def text_of(e: Column, strings: Column, between: str = " ") -> Column:
+    """Visible text inside an element, ``strings`` being those of its page."""
+    return F.array_join(F.slice(strings, e["first"], e["last"] - e["first"] + 1), between)
+
+
+def script_of(e: Column) -> Column:
+    """What a script element holds; '' for other elements."""
+    return F.coalesce(e["script"], F.lit(""))
 
 
 def element(elements: Column, pos: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -9,7 +10,6 @@ import pyarrow as pa
 VOID = frozenset("area base br col embed hr img input keygen link menuitem meta param source track wbr "
                  "basefont bgsound command frame image isindex nextid spacer".split())
 HIDDEN = frozenset(("script", "style", "template", "rt", "rp"))
-TEXTUAL = frozenset(("p", "h1", "h2", "h3", "li", "time", "figcaption"))
 ATTRIBUTES = frozenset((
     "class", "id", "src", "data-src", "data-lazy-src", "data-original", "srcset", "data-srcset",
     "data-lazy-srcset", "alt", "name", "property", "content", "rel", "href", "type", "http-equiv",
@@ -17,18 +17,23 @@ ATTRIBUTES = frozenset((
 
 _ATTRS = pa.map_(pa.string(), pa.string())
 _ELEMENT = pa.struct([("pos", pa.int32()), ("end", pa.int32()), ("parent", pa.int32()),
-                      ("tag", pa.string()), ("attrs", _ATTRS), ("parts", pa.list_(pa.string()))])
+                      ("tag", pa.string()), ("attrs", _ATTRS), ("first", pa.int32()), ("last", pa.int32()), ("script", pa.string())])
 _PAGE = pa.struct([("elements", pa.list_(_ELEMENT)), ("strings", pa.list_(pa.string()))])
 
 
 class _Elements(HTMLParser):
-    """An end tag closes up to the nearest open element of its name; nothing is closed implicitly."""
+    """An end tag closes up to the nearest open element of its name; nothing is closed implicitly.
+
+    A text is kept once, in ``strings``; an element has the range of those inside it. Every element is opened and closed
+    once and open names are counted, so time and memory are linear however deep unclosed elements nest."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.elements: list[dict] = []
         self.strings: list[str] = []
         self.open: list[dict] = []
+        self.hidden: list[dict] = []
+        self.names: Counter[str] = Counter()
         self.pending: list[str] = []
 
     def flush_text(self) -> None:
@@ -37,26 +42,34 @@ class _Elements(HTMLParser):
         text = raw.strip()
         if not text:
             return
-        hidden = next((e for e in reversed(self.open) if e["tag"] in HIDDEN), None)
-        if hidden is not None:
-            if hidden["tag"] == "script":
-                hidden["parts"].append(text)
-            return
-        self.strings.append(text)
-        for element in self.open:
-            if element["tag"] in TEXTUAL:
-                element["parts"].append(text)
+        if not self.hidden:
+            self.strings.append(text)
+        elif self.hidden[-1]["tag"] == "script":
+            self.hidden[-1]["parts"].append(text)
 
     def handle_starttag(self, tag, attrs):
         self.flush_text()
         kept = {k: v or "" for k, v in attrs if k in ATTRIBUTES}
-        element = {"pos": len(self.elements) + 1, "end": 0, "tag": tag, "parts": [],
+        element = {"pos": len(self.elements) + 1, "end": 0, "tag": tag, "first": len(self.strings) + 1, "parts": [],
                    "parent": self.open[-1]["pos"] if self.open else 0, "attrs": list(kept.items())}
         self.elements.append(element)
+        self.open.append(element)
+        self.names[tag] += 1
+        if tag in HIDDEN:
+            self.hidden.append(element)
         if tag in VOID:
-            element["end"] = len(self.elements) + 1
-        else:
-            self.open.append(element)
+            self.close_last()
+
+    def close_last(self) -> str:
+        """End of the innermost open element; its name."""
+        closed = self.open.pop()
+        closed["end"], closed["last"] = len(self.elements) + 1, len(self.strings)
+        parts = closed.pop("parts")
+        closed["script"] = " ".join(parts) if closed["tag"] == "script" else None
+        self.names[closed["tag"]] -= 1
+        if closed["tag"] in HIDDEN:
+            self.hidden.pop()
+        return closed["tag"]
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -65,12 +78,9 @@ class _Elements(HTMLParser):
 
     def handle_endtag(self, tag):
         self.flush_text()
-        if any(e["tag"] == tag for e in self.open):
-            while True:
-                closed = self.open.pop()
-                closed["end"] = len(self.elements) + 1
-                if closed["tag"] == tag:
-                    return
+        if self.names[tag]:
+            while self.close_last() != tag:
+                pass
 
     def handle_data(self, data):
         self.pending.append(data)
@@ -81,8 +91,8 @@ class _Elements(HTMLParser):
     def finish(self) -> dict:
         self.close()
         self.flush_text()
-        for element in self.open:
-            element["end"] = len(self.elements) + 1
+        while self.open:
+            self.close_last()
         return {"elements": self.elements, "strings": self.strings}
 
 

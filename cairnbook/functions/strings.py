@@ -85,19 +85,34 @@ def base_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]*)$", 1)
 
 
+def _without_dots(segments: Column) -> Column:
+    """Path from its segments: ``.`` says nothing, ``..`` takes the segment before it away."""
+    none = F.array().cast("array<string>")
+    walked = F.aggregate(segments, none, lambda seen, x: F.when(x == "..", F.slice(seen, F.lit(1), F.greatest(F.size(seen) - 1, F.lit(0))))
+                         .when(x == ".", seen).otherwise(F.concat(seen, F.array(x))))
+    folder = F.element_at(segments, -1).isin(".", "..")
+    path = F.array_join(F.concat(walked, F.when(folder, F.array(F.lit(""))).otherwise(none)), "/")
+    return F.when(path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path))
+
+
 def resolve_url(base: Column, ref: Column) -> Column:
-    """Absolute form of ``ref`` seen from ``base`` (dot segments are left as written)."""
+    """Absolute form of ``ref`` seen from ``base``, without dot segments.
+
+    An address with a scheme or host of its own stays as written; in a path relative to the base's folder empty segments go too."""
     scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
     origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
-    folder = F.regexp_replace(url_path(base), r"[^/]*$", "")
-    folder = F.when(folder == "", F.lit("/")).otherwise(folder)
+    folder = F.split(F.regexp_replace(url_path(base), r"[^/]*$", ""), "/")
+    own, rest = F.split(F.regexp_extract(ref, r"^([^?#]*)", 1), "/"), F.regexp_extract(ref, r"^[^?#]*(.*)$", 1)
+    # The outer segments may be empty: they stand for the slashes at the ends.
+    joined = F.concat(F.slice(folder, F.lit(1), F.greatest(F.size(folder) - 1, F.lit(0))), own)
+    inner = F.filter(joined, lambda x, i: (i == 0) | (i == F.size(joined) - 1) | (x != ""))
     return (
         F.when(ref.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), ref)
         .when(ref.startswith("//"), F.concat(scheme, F.lit(":"), ref))
-        .when(ref.startswith("/"), F.concat(origin, ref))
+        .when(ref.startswith("/"), F.concat(origin, _without_dots(own), rest))
         .when(ref.startswith("?"), F.concat(origin, url_path(base), ref))
         .when(ref.startswith("#"), F.concat(F.regexp_replace(base, r"#.*$", ""), ref))
-        .otherwise(F.concat(origin, folder, ref))
+        .otherwise(F.concat(origin, _without_dots(inner), rest))
     )
 
 

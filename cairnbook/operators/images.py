@@ -70,7 +70,7 @@ def candidate_urls(parsed: DataFrame) -> DataFrame:
     relative = F.concat(tags, F.array(_filled(og, "content"), _filled(rel, "href")), styles)
     scripts = F.filter(H.with_tag(e, "script"), lambda s: F.coalesce(H.attr(s, "type") == "application/ld+json", F.lit(True)))
     embedded = F.filter(
-        F.flatten(F.transform(scripts, lambda s: F.regexp_extract_all(H.text_of(s), F.lit(URL_IN_TEXT), F.lit(0)))),
+        F.flatten(F.transform(scripts, lambda s: F.regexp_extract_all(H.script_of(s), F.lit(URL_IN_TEXT), F.lit(0)))),
         lambda u: u.contains("wp-content/uploads") | F.lower(u).rlike(r"\.(jpg|jpeg|png|webp)$"))
     raw = F.regexp_extract_all("html", F.lit(UPLOAD_IN_TEXT), F.lit(0))
     return (parsed
@@ -80,7 +80,7 @@ def candidate_urls(parsed: DataFrame) -> DataFrame:
 
 
 def _caption_text(e: Column) -> Column:
-    return F.nullif(F.array_join(e["parts"], ""), F.lit(""))
+    return F.nullif(H.text_of(e, F.col("strings"), ""), F.lit(""))
 
 
 def _inner_caption(elements: Column, outer: Column) -> Column:

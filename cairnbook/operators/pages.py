@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cairnbook.constants import (
     BLOCK_TAGS, CONTAINER_SELECTORS, LANDING_TOKENS, META_AUTHOR_KEYS, META_DATE_KEYS,
@@ -19,9 +19,9 @@ JS_REDIRECT = r"(?i)location\.href\s*=|location\.replace\(|window\.location"
 
 
 def with_elements(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Add ``elements`` and ``visible_text``. The one place where markup is read."""
+    """Add ``elements``, ``strings`` and ``visible_text``. The one place where markup is read."""
     parsed = pages.withColumn("_page", H.parse_html(F.col(html)))
-    return (parsed.withColumn("elements", F.col("_page.elements"))
+    return (parsed.withColumn("elements", F.col("_page.elements")).withColumn("strings", F.col("_page.strings"))
             .withColumn("visible_text", F.array_join("_page.strings", " ")).drop("_page"))
 
 
@@ -37,9 +37,9 @@ def _selector_rank(e: Column) -> Column:
     return rank
 
 
-def _paragraphs(elements: Column) -> Column:
+def _paragraphs(elements: Column, strings: Column) -> Column:
     return F.transform(H.with_tag(elements, "p"), lambda p: F.struct(
-        p["pos"].alias("pos"), F.length(H.text_of(p)).alias("n")))
+        p["pos"].alias("pos"), F.length(H.text_of(p, strings)).alias("n")))
 
 
 def container(elements: Column, paras: Column) -> Column:
@@ -68,19 +68,19 @@ def container(elements: Column, paras: Column) -> Column:
     )
 
 
-def _blocks(elements: Column, keep) -> Column:
+def _blocks(elements: Column, strings: Column, keep) -> Column:
     found = F.filter(elements, lambda e: e["tag"].isin(*BLOCK_TAGS) & keep(e))
     return F.transform(found, lambda e: F.struct(
-        e["pos"].alias("pos"), e["tag"].alias("tag"), H.text_of(e).alias("text")))
+        e["pos"].alias("pos"), e["tag"].alias("tag"), H.text_of(e, strings).alias("text")))
 
 
 def page_blocks(parsed: DataFrame) -> DataFrame:
     """Add ``container``, its ``blocks`` and the document's headings."""
-    out = (parsed.withColumn("_paras", _paragraphs(F.col("elements")))
+    out = (parsed.withColumn("_paras", _paragraphs(F.col("elements"), F.col("strings")))
            .withColumn("container", container(F.col("elements"), F.col("_paras"))).drop("_paras"))
     return (out
-            .withColumn("blocks", _blocks(F.col("elements"), lambda e: H.inside(e, F.col("container"))))
-            .withColumn("headings", _blocks(F.col("elements"), lambda e: e["tag"].isin("h1", "h2"))))
+            .withColumn("blocks", _blocks(F.col("elements"), F.col("strings"), lambda e: H.inside(e, F.col("container"))))
+            .withColumn("headings", _blocks(F.col("elements"), F.col("strings"), lambda e: e["tag"].isin("h1", "h2"))))
 
 
 def article_texts(paged: DataFrame, alternative: Column | None = None) -> DataFrame:
@@ -131,13 +131,18 @@ def best_variant(variants: DataFrame) -> DataFrame:
     """``page_id, rank, html`` with rank 0 the original: the first variant, by rank, longer than the original wins.
 
     The pick is made on ranks and lengths; the page's text is fetched by the winning rank."""
-    size = F.length("html")
-    original = variants.where("rank = 0").groupBy("page_id").agg(F.max(size).alias("own"))
-    longer = (variants.where("rank > 0").select("page_id", "rank", size.alias("size")).join(original, "page_id", "left")
-              .where(F.col("size") > F.coalesce("own", F.lit(0))).groupBy("page_id").agg(F.min("rank").alias("best")))
-    picked = variants.select("page_id").distinct().join(longer, "page_id", "left").select("page_id", F.coalesce("best", F.lit(0)).alias("rank"))
-    found = variants.groupBy("page_id", "rank").agg(F.max("html").alias("html"))
-    return picked.join(found, ["page_id", "rank"], "left").select("page_id", "html")
+    size = F.coalesce(F.length("html"), F.lit(0))
+    # Only ranks and lengths are aggregated and shuffled; a rank that repeats goes by its longest text.
+    sizes = variants.groupBy("page_id", "rank").agg(F.max(size).alias("size"))
+    original = F.max(F.when(F.col("rank") == 0, F.col("size")))
+    ranked = sizes.groupBy("page_id").agg(F.coalesce(original, F.lit(0)).alias("own"), F.min("rank").alias("_"))
+    longer = (sizes.where("rank > 0").join(ranked.select("page_id", "own"), "page_id").where("size > own").groupBy("page_id").agg(F.min("rank").alias("best")))
+    picked = ranked.select("page_id").join(longer, "page_id", "left").select("page_id", F.coalesce("best", F.lit(0)).alias("rank"))
+    chosen = picked.join(sizes, ["page_id", "rank"], "left")
+    texts = variants.select("page_id", "rank", size.alias("size"), "html").join(chosen.where("size IS NOT NULL"), ["page_id", "rank", "size"], "left_semi")
+    order = Window.partitionBy("page_id", "rank", "size").orderBy(F.desc("html"))
+    one = texts.withColumn("_n", F.row_number().over(order)).where("_n = 1").select("page_id", "html")
+    return picked.select("page_id").join(one, "page_id", "left")
 
 
 # --- landing pages --------------------------------------------------------------------
@@ -151,7 +156,7 @@ def landing_features(parsed: DataFrame) -> DataFrame:
         "*",
         F.exists(H.with_tag(F.col("elements"), "meta"),
                  lambda m: F.coalesce(F.lower(H.attr(m, "http-equiv")) == "refresh", F.lit(False))).alias("meta_refresh"),
-        F.array_join(F.transform(F.slice(scripts, 1, 6), H.text_of), " ").alias("top_scripts"),
+        F.array_join(F.transform(F.slice(scripts, 1, 6), H.script_of), " ").alias("top_scripts"),
         F.size(H.with_tag(F.col("elements"), "img")).alias("img_count"),
         F.size(H.with_tag(F.col("elements"), "iframe")).alias("iframe_count"),
         F.size(hosts).alias("third_party_scripts"),
@@ -187,7 +192,7 @@ def landing_pages(pages: DataFrame) -> DataFrame:
 def _json_ld_objects(elements: Column) -> Column:
     scripts = F.filter(H.with_tag(elements, "script"),
                        lambda s: F.lower(H.attr(s, "type")).contains("ld+json"))
-    parsed = F.transform(scripts, lambda s: F.try_parse_json(H.text_of(s)))
+    parsed = F.transform(scripts, lambda s: F.try_parse_json(H.script_of(s)))
     lists = F.transform(parsed, lambda v: F.coalesce(
         F.try_variant_get(v, "$", "array<variant>"), F.when(v.isNotNull(), F.array(v))))
     kind = lambda o: F.lower(F.try_variant_get(o, "$['@type']", "string"))
@@ -228,7 +233,7 @@ def html_meta(parsed: DataFrame) -> DataFrame:
         "*",
         F.coalesce(_first_value(F.transform(ld, _json_ld_author)), _first_value(meta_author), byline).alias("html_author"),
         F.coalesce(_first_value(F.transform(ld, ld_date)), _first_value(meta_date),
-                   iso_date(clock_attr), iso_date(H.text_of(clock))).alias("html_date"),
+                   iso_date(clock_attr), iso_date(H.text_of(clock, F.col("strings")))).alias("html_date"),
     )
 
 

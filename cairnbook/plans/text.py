@@ -170,7 +170,23 @@ def prefer_longer(spark, sf_dir):
 
 # --- pages read by the parser ------------------------------------------------------------------------
 
-@query("page_blocks")
+# Elements by counting: an end tag of p closes the nearest open p, the end of the article closes the rest.
+PAGE_BLOCKS = r"""
+WITH t AS (SELECT page_id, generate_subscripts(toks, 1) AS i, unnest(toks) AS tok FROM (
+    SELECT page_id, regexp_extract_all(regexp_replace(html, '(?s)<script.*?</script>', '<script>', 'g'), '(?s)<!--.*?-->|<[^>]*>|[^<]+') AS toks FROM pages)),
+n AS (SELECT *, sum(CASE WHEN regexp_matches(tok, '^<[a-z]') THEN 1 ELSE 0 END) OVER (PARTITION BY page_id ORDER BY i) AS pos,
+             min(CASE WHEN starts_with(tok, '<article') THEN i END) OVER (PARTITION BY page_id) AS a, min(CASE WHEN tok = '</article>' THEN i END) OVER (PARTITION BY page_id) AS z FROM t),
+w AS (SELECT *, sum(CASE WHEN tok = '<p>' THEN 1 WHEN tok = '</p>' THEN -1 ELSE 0 END) OVER (PARTITION BY page_id ORDER BY i) AS s FROM n WHERE i > a AND i < z),
+d AS (SELECT *, s - least(0, min(s) OVER (PARTITION BY page_id ORDER BY i)) AS depth FROM w),
+o AS (SELECT page_id, i, pos, z, depth, regexp_extract(tok, '^<([a-z0-9]+)', 1) AS tag FROM d WHERE regexp_matches(tok, '^<(p|h1|h2|h3|li)[ >]')),
+e AS (SELECT o.page_id, o.i, o.pos, o.tag, coalesce(min(d.i) FILTER (CASE WHEN o.tag = 'p' THEN d.tok = '</p>' AND d.depth < o.depth ELSE d.tok = '</' || o.tag || '>' END), any_value(o.z)) AS upto
+      FROM o LEFT JOIN d ON d.page_id = o.page_id AND d.i > o.i GROUP BY 1, 2, 3, 4),
+x AS (SELECT page_id, i, trim(replace(replace(replace(replace(tok, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), chr(32) || chr(10) || chr(9) || chr(13)) AS txt FROM d WHERE tok NOT LIKE '<%')
+SELECT e.page_id, e.pos::INTEGER AS pos, e.tag, coalesce(string_agg(x.txt, ' ' ORDER BY x.i) FILTER (x.txt <> ''), '') AS text
+FROM e LEFT JOIN x ON x.page_id = e.page_id AND x.i > e.i AND x.i < e.upto GROUP BY 1, 2, 3"""
+
+
+@query("page_blocks", PAGE_BLOCKS)
 def page_blocks(spark, sf_dir):
     paged = P.page_blocks(P.with_elements(table(spark, sf_dir, "pages")))
     return paged.select("page_id", F.explode("blocks").alias("b")).select("page_id", "b.pos", "b.tag", "b.text")

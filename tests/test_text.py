@@ -168,3 +168,39 @@ def test_url_functions(spark):
     assert one(spark, "https://www.gripped.com/a", S.publisher_label) == "Gripped"
     assert one(spark, "nonsense", S.third_segment) == ""
     assert one(spark, "/srv/site/a.json", lambda c: S.relative_path(c, "/srv/site")) == "/a.json"
+
+
+def test_addresses_equal_urljoin(spark):
+    from urllib.parse import urljoin
+
+    from cairnbook.functions.strings import resolve_url
+    bases = ["https://h.example/a/b/c.html?q=1#f", "https://h.example/a/b/", "https://h.example", "http://h.example/x"]
+    refs = ["../i.jpg", "./i.jpg", "../../../i.jpg", "d/../i.jpg?x=../y", "/p/./q/../i.jpg", "..", ".", "a//b.jpg", "/a//b.jpg", "i.jpg#z/..", "?n=2", "#top", "//o.example/../i", "https://o.example/a/../i", "../", "/.."]
+    df = spark.createDataFrame([(b, r) for b in bases for r in refs if (b, r[:1]) != ("https://h.example", "?")], "b string, r string")
+    for row in df.select("b", "r", resolve_url(F.col("b"), F.col("r")).alias("u")).collect():
+        assert row.u == urljoin(row.b, row.r), row
+
+
+def test_tokeniser_is_linear_on_unclosed_elements(spark):
+    import time
+
+    from cairnbook.functions.html_tokens import page_elements
+    page = lambda n: "<ul>" + "<li>item </b>" * n + "</ul> tail"
+    seconds = []
+    for n in (25_000, 100_000):
+        t = time.perf_counter()
+        found = page_elements(page(n))
+        seconds.append(time.perf_counter() - t)
+        assert len(found["elements"]) == n + 1 and len(found["strings"]) == n + 1
+    assert found["elements"][-1]["first"] == found["elements"][-1]["last"] == 100_000 and found["elements"][1]["last"] == 100_000
+    assert seconds[1] < 12 * seconds[0] + 0.5
+
+
+def test_element_texts_skip_hidden_parts(spark):
+    from cairnbook.functions import html as H
+    from cairnbook.operators import pages as P
+    html = "<p>one <b>two</b><script>var x = '</p>';</script> three<p>four</p> five</p><style>p{}</style><script type='a'>code</script>"
+    rows = P.with_elements(spark.createDataFrame([(1, html)], "page_id int, html string"))
+    got = rows.select(F.transform("elements", lambda e: F.struct(e["tag"], H.text_of(e, F.col("strings")), H.script_of(e))).alias("x"), "visible_text").first()
+    assert [tuple(e) for e in got.x] == [("p", "one two three four five", ""), ("b", "two", ""), ("script", "", "var x = '</p>';"), ("p", "four", ""), ("style", "", ""), ("script", "", "code")]
+    assert got.visible_text == "one two three four five"
