@@ -36,21 +36,39 @@ def with_signature(df: DataFrame) -> DataFrame:
     return df.withColumn("signature", F.md5(seed))
 
 
+#: Children of a node of the hash tree, and entries of a leaf on average.
+FAN_IN = 16
+
+
 def corpus_key(signed: DataFrame, by: str | None = None) -> DataFrame:
     """Order-insensitive key of a set of records.
 
-    Equal signatures are counted first, then the sorted signatures are hashed per
-    four-digit prefix and the prefixes (65,536 at most) together: no task sees the corpus."""
+    Equal signatures are counted first. They are the leaves of a tree over the hexadecimal digits of a signature,
+    so deep that a leaf holds ``FAN_IN`` entries or fewer on average; then each level hashes the at most
+    ``FAN_IN`` nodes that share a prefix. No list grows with the corpus."""
     group = [by] if by else []
     counted = signed.groupBy(*group, "signature").agg(F.count(F.lit(1)).alias("n"))
+    sizes = counted.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
+    # The least depth whose leaves are enough; whole numbers, so every run finds the same.
+    depth = F.size(F.filter(F.sequence(F.lit(1), F.lit(14)), lambda d: F.col("_size") > F.pow(F.lit(float(FAN_IN)), d)))
+    if by:
+        same = F.col(by).eqNullSafe(F.col("_by"))
+        placed = counted.join(sizes.select(F.col(by).alias("_by"), depth.alias("_depth")), same).drop("_by")
+        deepest = sizes.agg(F.max(depth)).first()[0] or 0
+    else:
+        deepest = sizes.select(depth).first()[0]
+        placed = counted.withColumn("_depth", F.lit(deepest))
     entry = F.concat_ws(":", "signature", F.col("n").cast("string"))
-    parts = (counted.groupBy(*group, F.substring("signature", 1, 4).alias("bucket"))
-             .agg(F.md5(F.array_join(F.array_sort(F.collect_list(entry)), "|")).alias("part"),
-                  F.sum("n").alias("n")))
-    pairs = F.array_sort(F.collect_list(F.struct("bucket", "part")))
-    return parts.groupBy(*group).agg(
-        F.md5(F.array_join(F.transform(pairs, lambda p: p["part"]), "|")).alias("corpus_key"),
-        F.sum("n").alias("n_records"))
+    nodes = (placed.groupBy(*group, F.expr("substring(signature, 1, _depth)").alias("bucket"))
+             .agg(F.md5(F.array_join(F.array_sort(F.collect_list(entry)), "|")).alias("part"), F.sum("n").alias("n")))
+    for level in range(deepest, 0, -1):
+        here = F.length("bucket") == level
+        above = F.when(here, F.substring("bucket", 1, level - 1)).otherwise(F.col("bucket"))
+        pairs = F.array_sort(F.collect_list(F.struct(here.alias("here"), "bucket", "part")))
+        # A node of a shallower group waits as it is.
+        part = F.when(pairs[0]["here"], F.md5(F.array_join(F.transform(pairs, lambda p: p["part"]), "|"))).otherwise(pairs[0]["part"])
+        nodes = nodes.groupBy(*group, above.alias("bucket")).agg(part.alias("part"), F.sum("n").alias("n"))
+    return nodes.select(*group, F.col("part").alias("corpus_key"), F.col("n").alias("n_records"))
 
 
 def grouping_batch(df: DataFrame) -> DataFrame:

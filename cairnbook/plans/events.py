@@ -45,11 +45,18 @@ def record_signature(spark, sf_dir):
     return K.with_signature(records(spark, sf_dir)).select("record_id", "signature")
 
 
-@query("corpus_key", events_sql("""
-SELECT md5(string_agg(part, '|' ORDER BY bucket)) AS corpus_key, cast(sum(n) AS bigint) AS n_records FROM (
-  SELECT left(signature, 4) AS bucket, md5(string_agg(signature || ':' || n, '|' ORDER BY signature || ':' || n)) AS part, sum(n) AS n
-  FROM (SELECT md5(concat_ws('|', record_id, trim(article_title), dt, mt, '', '')) AS signature, count(*) AS n FROM rec GROUP BY 1)
-  GROUP BY 1)"""))
+# The tree with five levels written out; levels that are deeper than the corpus asks for change nothing.
+TREE = {
+    "signed": "SELECT md5(concat_ws('|', record_id, trim(article_title), dt, mt, '', '')) AS signature FROM rec",
+    "leaves": "SELECT signature, count(*) AS n FROM signed GROUP BY 1",
+    "deep": "SELECT count(*) AS depth FROM range(1, 15) t(d) WHERE (SELECT count(*) FROM leaves) > pow(16, d)",
+    "l5": """SELECT left(signature, depth) AS bucket, md5(string_agg(signature || ':' || n, '|' ORDER BY signature || ':' || n)) AS part, sum(n) AS n FROM leaves, deep GROUP BY 1""",
+    **{f"l{k - 1}": f"""SELECT CASE WHEN length(bucket) = {k} THEN left(bucket, {k - 1}) ELSE bucket END AS bucket,
+  CASE WHEN bool_or(length(bucket) = {k}) THEN md5(string_agg(part, '|' ORDER BY bucket)) ELSE any_value(part) END AS part, sum(n) AS n FROM l{k} GROUP BY 1""" for k in range(5, 0, -1)},
+}
+
+
+@query("corpus_key", events_sql("SELECT part AS corpus_key, cast(n AS bigint) AS n_records FROM l0", **TREE))
 def corpus_key(spark, sf_dir):
     return K.corpus_key(K.with_signature(records(spark, sf_dir)))
 

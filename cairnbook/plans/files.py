@@ -38,6 +38,39 @@ def scan_artifacts(spark, sf_dir):
     return df.select(*fields(df, "source_url", "article_title"))
 
 
+JUDGED = """
+SELECT CASE record_id % 10 WHEN 3 THEN 'unreadable' WHEN 5 THEN 'no object' ELSE 'kept' END AS verdict,
+  CASE WHEN record_id % 10 NOT IN (3, 5) THEN source_url END AS source_url, count(*) AS n FROM bridge_artifacts GROUP BY 1, 2"""
+
+
+def mixed_documents(spark, sf_dir, label: str) -> str:
+    """The documents as lines; of ten one is cut short, one is a list, and one has its address twice."""
+    raw, r = F.col("artifact_json"), F.col("record_id") % 10
+    text = (F.when(r == 3, F.expr("substring(artifact_json, 1, length(artifact_json) - 3)")).when(r == 5, F.concat(F.lit("["), raw, F.lit("]")))
+            .when(r == 7, F.concat(F.lit('{"source_url":"http://old.example/",'), F.expr("substring(artifact_json, 2)"))).otherwise(raw))
+    path = new_run_dir(spark, label)
+    documents(spark, sf_dir).select(text.alias("value")).repartition(4).write.text(path)
+    return path
+
+
+def verdicts(kept, rejected):
+    rows = kept.select(F.lit("kept").alias("verdict"), *fields(kept, "source_url")).unionByName(rejected.select(F.col("reason").alias("verdict"), F.lit(None).cast("string").alias("source_url")))
+    return rows.groupBy("verdict", "source_url").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("scan_rejects", with_bridges(JUDGED, "bridge_artifacts"))
+def scan_rejects(spark, sf_dir):
+    path = mixed_documents(spark, sf_dir, "mixed")
+    return verdicts(R.scan_artifacts(spark, path, pattern="*.txt", whole=False), R.rejected_artifacts(spark, path, pattern="*.txt", whole=False))
+
+
+@query("stream_rejects", with_bridges(JUDGED, "bridge_artifacts"))
+def stream_rejects(spark, sf_dir):
+    out = new_run_dir(spark, "judged")
+    T.ingest_judged(T.document_stream(spark, mixed_documents(spark, sf_dir, "mixed"), pattern="*.txt", whole=False, files_per_batch=2), f"{out}/log", f"{out}/rejects", f"{out}/checkpoint")
+    return verdicts(spark.read.parquet(f"{out}/log"), spark.read.parquet(f"{out}/rejects"))
+
+
 @query("write_artifacts", with_bridges("""
 SELECT replace(replace(replace(split_part(source_url, '/', 3), 'www.', ''), '.', '_'), ':', '_') AS domain_slug,
   strftime(date_trunc('day', extracted_at), '%Y%m%d_000000') AS run_ts, count(*) AS n FROM bridge_json GROUP BY 1, 2""", "bridge_json"))

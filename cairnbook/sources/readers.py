@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -26,22 +29,46 @@ def _folder(path: Column) -> Column:
     return F.regexp_replace(path, r"/[^/]*$", "")
 
 
+@contextmanager
+def last_key_wins(spark: SparkSession) -> Iterator[None]:
+    """Frames made and streams started inside read the last value of a repeated JSON key instead of refusing the document."""
+    name = "spark.sql.variant.allowDuplicateKeys"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def judged_documents(docs: DataFrame) -> DataFrame:
+    """``file_path, artifact_json, reason, value`` of raw documents ``file_path, value``.
+
+    ``reason`` is null for a JSON object. A document that repeats keys is written anew with the last value of each, so whatever
+    reads ``artifact_json`` later takes it. Else it is ``unreadable`` (no JSON, or beyond what a JSON value may hold) or ``no object``."""
+    plain = docs.select("*", F.try_parse_json("value").isNotNull().alias("_plain"))
+    with last_key_wins(docs.sparkSession):
+        kept = plain.select("*", F.when(~F.col("_plain"), F.to_json(F.try_parse_json("value"))).alias("_last"))
+    text = F.when(F.col("_plain"), F.col("value")).otherwise(F.col("_last"))
+    reason = F.when(text.isNull(), "unreadable").when(J.fields(text).isNull(), "no object")
+    return kept.select("file_path", text.alias("artifact_json"), reason.alias("reason"), "value")
+
+
 def scan_artifacts(spark: SparkSession, path: str, pattern: str = "accident_info.json", whole: bool = True) -> DataFrame:
-    """All readable artifacts below a folder: ``file_path, run_dir, artifact_json``.
+    """All readable artifacts below a folder: ``file_path, run_dir, artifact_json``; of a repeated key the last value counts.
 
     ``whole`` reads one JSON object per file; otherwise one per line."""
-    docs = _documents(spark, path, pattern, whole)
-    return docs.where(J.fields(F.col("value")).isNotNull()).select(
-        "file_path", _folder(F.col("file_path")).alias("run_dir"), F.col("value").alias("artifact_json"))
+    docs = judged_documents(_documents(spark, path, pattern, whole))
+    return docs.where("reason IS NULL").select("file_path", _folder(F.col("file_path")).alias("run_dir"), "artifact_json")
 
 
 def rejected_artifacts(spark: SparkSession, path: str, pattern: str = "accident_info.json", whole: bool = True) -> DataFrame:
-    """What ``scan_artifacts`` leaves out: ``file_path, reason, n_chars, value``.
-
-    Reasons: ``unreadable`` (no JSON, a repeated key, or beyond what a JSON value may hold) and ``no object``."""
-    docs = _documents(spark, path, pattern, whole)
-    reason = F.when(F.try_parse_json("value").isNull(), "unreadable").otherwise("no object")
-    return docs.where(J.fields(F.col("value")).isNull()).select("file_path", reason.alias("reason"), F.length("value").alias("n_chars"), "value")
+    """What ``scan_artifacts`` leaves out: ``file_path, reason, n_chars, value``, see ``judged_documents``."""
+    docs = judged_documents(_documents(spark, path, pattern, whole))
+    return docs.where("reason IS NOT NULL").select("file_path", "reason", F.length("value").alias("n_chars"), "value")
 
 
 def scan_sidecars(spark: SparkSession, path: str, pattern: str = "captions.json", whole: bool = True) -> DataFrame:

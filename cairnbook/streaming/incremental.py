@@ -11,9 +11,9 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from cairnbook.functions import jsons as J
 from cairnbook.operators.fusion import fuse_long
 from cairnbook.operators.ledger import newest_per_url
+from cairnbook.sources.readers import judged_documents, last_key_wins
 from cairnbook.sources.writers import path_exists
 
 
@@ -21,27 +21,46 @@ from cairnbook.sources.writers import path_exists
 SHARDS = 64
 
 
-def artifact_stream(spark: SparkSession, path: str, pattern: str = "accident_info.json", whole: bool = True,
+def document_stream(spark: SparkSession, path: str, pattern: str = "accident_info.json", whole: bool = True,
                     files_per_batch: int = 1000) -> DataFrame:
-    """Artifacts of a growing folder as a stream: ``file_path, artifact_json``."""
+    """Documents of a growing folder as a stream: ``file_path, artifact_json, reason, value``, see ``judged_documents``."""
     reader = (spark.readStream.format("text").option("wholetext", whole).option("recursiveFileLookup", True)
               .option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_batch))
-    docs = reader.load(path).select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("artifact_json"))
-    return docs.where(J.fields(F.col("artifact_json")).isNotNull())
+    return judged_documents(reader.load(path).select(F.col("_metadata.file_path").alias("file_path"), "value"))
+
+
+def artifact_stream(spark: SparkSession, path: str, pattern: str = "accident_info.json", whole: bool = True,
+                    files_per_batch: int = 1000) -> DataFrame:
+    """Artifacts of a growing folder as a stream: ``file_path, artifact_json``."""
+    return document_stream(spark, path, pattern, whole, files_per_batch).where("reason IS NULL").select("file_path", "artifact_json")
 
 
 def _run(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     """Process everything that has arrived, batch by batch, and stop."""
-    query = (stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
+    with last_key_wins(stream.sparkSession):
+        query = (stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+                 .trigger(availableNow=True).start())
+        query.awaitTermination()
 
 
 def ingest(stream: DataFrame, log: str, checkpoint: str) -> None:
     """Append the stream to a parquet log, exactly once."""
-    query = (stream.writeStream.format("parquet").option("path", log).option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
+    with last_key_wins(stream.sparkSession):
+        query = (stream.writeStream.format("parquet").option("path", log).option("checkpointLocation", checkpoint)
+                 .trigger(availableNow=True).start())
+        query.awaitTermination()
+
+
+def ingest_judged(documents: DataFrame, log: str, rejects: str, checkpoint: str) -> None:
+    """Readable documents to ``log`` and the others, with their reason, to ``rejects``: every document is in one of them.
+
+    Both write the batch's own folder in overwrite mode, so a repeated batch replaces itself."""
+    def each(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist()
+        held.where("reason IS NULL").select("file_path", "artifact_json").write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
+        held.where("reason IS NOT NULL").select("file_path", "reason", "value").write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
+        held.unpersist()
+    _run(documents, each, checkpoint)
 
 
 def upsert_ledger(rows: DataFrame, log: str, checkpoint: str, ts: str = "extracted_at", order: str = "record_id") -> None:
