@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cairnbook.operators import ledger as L, manifest as M, reports as RP
+from cairnbook.operators import fusion as U, ledger as L, manifest as M
 from cairnbook.plans.bridges import bridge, with_bridges
-from cairnbook.plans.events import NEWEST, events_sql, json_records
+from cairnbook.plans.events import NEWEST, assigned, events_sql, json_records
 from cairnbook.plans.registry import query, table
 from cairnbook.plans.reports import FM, REPORT_LINES, ROWS, rep_sql, report_lines
 from cairnbook.session import new_run_dir

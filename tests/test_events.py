@@ -179,3 +179,18 @@ def test_upsert_is_idempotent(spark):
     twice = L.upsert(once, inc)
     expected = [("u1", "2020"), ("u2", "2025"), ("u3", "y")]
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect())) == expected
+
+
+def test_winners_are_chosen_without_their_long_columns(spark):
+    from cairnbook.operators import ledger as L
+    rows = [("u1", "2024-01-01 00:00:00", 1, "old"), ("u1", "2024-03-01 00:00:00", 3, "new b"), ("u1", "2024-03-01 00:00:00", 2, "new a"), ("u2", "x", 4, "t"), ("u2", None, 5, "n"),
+            ("u2", "y", 6, "later text"), (None, None, 7, "no address"), ("u3", "2024-01-01 00:00:00", 8, "twice"), ("u3", "2024-01-01 00:00:00", 8, "twice"), ("u4", "word", 9, "w"), ("u4", "1999-01-01 00:00:00", 10, "real")]
+    df = spark.createDataFrame(rows, "source_url string, extracted_at string, record_id long, artifact_json string")
+    newest = L.newest_per_url(df)
+    assert sorted((r.source_url, r.artifact_json) for r in newest.collect()) == [("", "no address"), ("u1", "new a"), ("u2", "later text"), ("u3", "twice"), ("u4", "real")]
+    events = df.select(F.lit("e").alias("event_id"), "record_id", F.lit(0.5).alias("extraction_confidence_score"), "artifact_json")
+    up = L.upsert(df.limit(0).drop("record_id"), df.where("source_url is not null").withColumn("seq", F.col("record_id")).drop("record_id"))
+    assert {r.source_url: r.artifact_json for r in up.collect()} == {"u1": "new b", "u2": "later text", "u3": "twice", "u4": "real"}
+    for frame in (newest, U.baselines(events, "artifact_json"), up):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert not any("artifact_json" in line for line in plan.splitlines() if "SortAggregate" in line or "HashAggregate" in line)

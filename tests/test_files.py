@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from cairnbook.operators import ledger as L
+from cairnbook.operators import fusion as U, ledger as L
 from cairnbook.sources import readers as R, writers as W
 from cairnbook.streaming import incremental as T
 
@@ -108,6 +108,36 @@ def test_refuse_touches_only_changed_events(spark, tmp_path):
     for b in ([("a", 1, 0.5, doc("u1")), ("b", 2, 0.5, doc("u2"))], [("a", 3, 0.5, doc("u3"))]):
         spark.createDataFrame(b, schema).write.mode("append").parquet(src)
         T.refuse_touched(spark.readStream.schema(schema).parquet(src), art, fused, cp)
-    latest = {r.event_id: json.loads(r.value) for r in T.latest_fused(spark, fused).where("key = 'source_urls'").collect()}
+    latest = {r.event_id: json.loads(r.value) for r in U.fold_keys(T.latest_fused(spark, fused)).where("key = 'source_urls'").collect()}
     assert latest == {"a": ["u1", "u3"], "b": ["u2"]}
-    assert spark.read.parquet(fused).where("key = 'source_urls'").groupBy("event_id").agg(F.count("*").alias("n")).where("n = 2").count() == 1
+    assert {r.event_id: r.n for r in spark.read.parquet(fused).groupBy("event_id").agg(F.countDistinct("batch_id").alias("n")).collect()} == {"a": 2, "b": 1}
+    met = [r.shard for r in spark.read.parquet(f"{art}/batch_id=1").select("shard").distinct().collect()]
+    log = T.touched_log(spark, art, met)
+    plan = log._jdf.queryExecution().executedPlan().toString()
+    assert len(met) == 1 and "PartitionFilters" in plan and sorted(r.record_id for r in log.collect()) == [1, 3]
+
+
+def test_every_document_is_kept_or_rejected_with_its_reason(spark, tmp_path):
+    src, log, bad, cp = (str(tmp_path / n) for n in ("in", "log", "bad", "cp"))
+    lines = ['{"source_url":"u1"}', '{"source_url":"old","x":{"a":1,"a":2},"source_url":"u2"}', '{"source_url":', "[1]", "7", ""]
+    for part in (lines[:3], lines[3:]):
+        spark.createDataFrame([(x,) for x in part], "value string").coalesce(1).write.mode("append").text(src)
+        T.ingest_judged(T.document_stream(spark, src, pattern="*.txt", whole=False), log, bad, cp)
+    kept = [json.loads(r.artifact_json) for r in spark.read.parquet(log).collect()]
+    assert sorted(k["source_url"] for k in kept) == ["u1", "u2"] and [k["x"] for k in kept if "x" in k] == [{"a": 2}]
+    rejected = sorted((r.value, r.reason) for r in spark.read.parquet(bad).collect())
+    assert rejected == [("", "unreadable"), ("7", "no object"), ("[1]", "no object"), ('{"source_url":', "unreadable")]
+    again = sorted(json.loads(r.artifact_json)["source_url"] for r in R.scan_artifacts(spark, src, pattern="*.txt", whole=False).join(
+        R.scan_artifacts(spark, src, pattern="*.txt", whole=False).select("artifact_json"), "artifact_json").collect())
+    assert again == ["u1", "u2"]
+
+
+def test_lines_of_one_event_lie_in_order_over_files(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    rows = [("ab1", k, f"line {k}") for k in range(1, 5001)] + [("ab2", 1, "x"), ("cd1", 1, "y")]
+    W.write_lines(spark.createDataFrame(rows, "event_id string, line_no long, line string").repartition(5), path)
+    files = spark.read.parquet(path).where("event_id = 'ab1'").groupBy(F.input_file_name().alias("f")).agg(F.min("line_no").alias("a"), F.max("line_no").alias("b"), F.count("*").alias("n")).orderBy("a").collect()
+    assert len(files) > 1 and all(f.b - f.a + 1 == f.n for f in files) and sum(f.n for f in files) == 5000
+    assert sorted(tuple(r) for r in W.read_lines(spark, path).collect()) == sorted(rows)
+    W.write_lines(spark.createDataFrame([("cd1", 1, "z")], "event_id string, line_no long, line string"), path)
+    assert {r.line for r in W.read_lines(spark, path).where("event_id = 'cd1'").collect()} == {"z"} and W.read_lines(spark, path).count() == 5002
