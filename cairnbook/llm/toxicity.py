@@ -32,6 +32,8 @@ BROADCAST_LABELS = 2_000_000
 #: Distinct words a task remembers before it starts over.
 MET_WORDS = 300_000
 N_FEATURES = 4
+#: Labelled folds that the curve is fitted to.
+CURVE_FOLDS = (3, 4)
 #: Log-ratios beyond this say no more than this.
 LARGEST = 40.0
 _SPACES = np.asarray([9, 10, 11, 12, 13, 32, 0x85, 0xA0], np.int64)
@@ -179,14 +181,14 @@ class JoinedRatios:
         return at.select("gram", value.alias("ratio"))
 
 
-def fit_ratios(counted: DataFrame, *, without: int | None = None, max_entries: int = 1 << 19) -> RatioTables | JoinedRatios:
-    """The log-ratio tables of orders 5 to 3 from `gram_counts`, every counted run in them; `without` leaves a fold out.
+def fit_ratios(counted: DataFrame, *, without: tuple[int, ...] = (), max_entries: int = 1 << 19) -> RatioTables | JoinedRatios:
+    """The log-ratio tables of orders 5 to 3 from `gram_counts`, every counted run in them; `without` leaves folds out.
 
     Up to `max_entries` runs of five, which no other table exceeds, the tables are sent to the
     tasks; more of them are joined, with the same ratios.
     """
     ensure_checkpoint_dir(counted.sparkSession)
-    some = counted if without is None else counted.where(F.col("fold") != without)
+    some = counted.where(~F.col("fold").isin(*without)) if without else counted
     summed = some.groupBy("gram").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
     counts = {ORDER: summed.withColumn("n", F.col("n1") + F.col("n0")).checkpoint()}
     sent = counts[ORDER].count() <= max_entries
@@ -378,39 +380,37 @@ class ToxicityModel:
 def fit(docs: DataFrame, labels: DataFrame, *, curve_rows: int = 20_000, max_entries: int = 1 << 19) -> ToxicityModel:
     """Learn from labelled rows outside the held-out fold.
 
-    Folds 1 to 4 are counted, every row of them. The logistic curve is cross-fitted: the features of each
-    fold come from tables without it, for a sample by hash of at most about `curve_rows` rows. Without
-    labelled rows of both classes the score is the share of toxic labels (0 without labels).
+    Folds 1 to 4 are counted, every row of them, and all of them are in the tables that score. The logistic curve
+    is fitted to folds 3 and 4 with tables that have not seen them, on a sample by hash of at most about `curve_rows`
+    rows. Without labelled rows of both classes the score is the share of toxic labels (0 without labels).
     """
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
     rows = labelled(docs, labels)
     counted = gram_counts(rows).checkpoint()
-    folds = (1, 2, 3, 4)
-    left_out = {f: fit_ratios(counted, without=f, max_entries=max_entries) for f in folds}
+    unseen = fit_ratios(counted, without=CURVE_FOLDS, max_entries=max_entries)
     tables = fit_ratios(counted, max_entries=max_entries)
-    share = min(1.0, curve_rows / max(1, labels.where((learn_fold(F.col("doc_id")) != 0) & F.col("toxic").isNotNull()).count()))
-    sent = spark.sparkContext.broadcast({f: t for f, t in left_out.items() if isinstance(t, RatioTables)})
+    share = min(1.0, curve_rows / max(1, labels.where(learn_fold(F.col("doc_id")).isin(*CURVE_FOLDS) & F.col("toxic").isNotNull()).count()))
+    sample = rows.where(F.col("fold").isin(*CURVE_FOLDS) & (F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000))).select(F.lit(None).cast("long").alias("doc_id"), "text", "toxic")
 
     def feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [text_features(sent.value[fold], text.as_py()) for fold, text in zip(batch.column(0).to_pylist(), batch.column(1))]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.float64())), batch.column(2)], names=["x", "toxic"])
-
-    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000))
-    joined = [f for f, t in left_out.items() if isinstance(t, JoinedRatios)]
-    got = [sample.where(~F.col("fold").isin(joined)).select("fold", "text", "toxic").mapInArrow(feature_rows, "x array<double>, toxic int").toArrow()]
-    for f in joined:
-        own = sample.where(F.col("fold") == f).select(F.lit(None).cast("long").alias("doc_id"), "text", "toxic")
-        got.append(with_features(own, left_out[f]).select(F.col("f_x").alias("x"), "toxic").toArrow())
-    sent.unpersist()
-    y = np.asarray([v for part in got for v in part["toxic"].to_pylist()], float)
+            found = [text_features(sent.value, text.as_py()) for text in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.float64())), batch.column(1)], names=["x", "toxic"])
+
+    if isinstance(unseen, JoinedRatios):
+        got = with_features(sample, unseen).select(F.col("f_x").alias("x"), "toxic").toArrow()
+    else:
+        sent = spark.sparkContext.broadcast(unseen)
+        got = sample.select("text", "toxic").mapInArrow(feature_rows, "x array<double>, toxic int").toArrow()
+        sent.unpersist()
+    y = np.asarray(got["toxic"].to_pylist(), float)
     if not len(y) or y.min() == y.max():
         mean = float(y.mean()) if len(y) else 0.0
         flat = np.zeros(N_FEATURES + 1)
         flat[-1] = math.log((mean + 1e-9) / (1 - mean + 1e-9))
         return ToxicityModel(tables, flat, np.ones(N_FEATURES))
-    x = np.asarray([v for part in got for v in part["x"].to_pylist()])
+    x = np.asarray(got["x"].to_pylist())
     # The rows come in any order; a sorted sum does not depend on it.
     order = np.lexsort((*x.T, y))
     return ToxicityModel(tables, *fit_logistic(np.clip(x[order], -LARGEST, LARGEST), y[order]))

@@ -35,7 +35,7 @@ def test_gram_counts_equal_plain_counting(spark):
 def test_ratios_equal_the_recursion_written_out(spark):
     texts = [("the bad dog", 1), ("the good dog", 0), ("a good cat", 0), ("bad cat bad", 1)]
     more = [(1, *r) for r in texts] + [(2, "left out", 1)]
-    tables = toxicity.fit_ratios(toxicity.gram_counts(spark.createDataFrame(more, "fold int, text string, toxic int")), without=2)
+    tables = toxicity.fit_ratios(toxicity.gram_counts(spark.createDataFrame(more, "fold int, text string, toxic int")), without=(2,))
     counts = {1: {}, 0: {}}
     for text, toxic in texts:
         for g in toxicity.grams(toxicity.symbols(text)).tolist():
