@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairnbook.llm import decontamination, hnsw, line_dedup, mixing, ns_bounds, odd_sketch, packing, pii, preference, quality_ledger, suffix_dedup, toxicity, whitening
+from cairnbook.operators.ranking import number_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -101,14 +102,17 @@ def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chosen: each conversation up to its last reply. Rejected: the same with the last reply of the next conversation."""
-    turns = _table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("pair_id"), "turn", "role", "text")
-    last = turns.where("role = 'assistant'").groupBy("pair_id").agg(F.max("turn").alias("last"), F.max_by("text", "turn").alias("reply"))
-    chosen = turns.join(last, "pair_id").where("turn <= last")
-    other = last.select((F.col("pair_id") - 1).alias("pair_id"), F.col("reply").alias("other"))
-    before = chosen.where("turn < last").select("pair_id", "turn", "role", "text")
-    swapped = last.join(other, "pair_id").select("pair_id", F.col("last").alias("turn"), F.lit("assistant").alias("role"), F.col("other").alias("text"))
-    return preference.format_pairs(chosen.select("pair_id", "turn", "role", "text"), before.union(swapped))
+    """Chosen: every conversation, whole. Rejected: its turns before the last reply (all turns, without one) and then the last
+    reply of the next conversation by id, if that has one. Null turns come first; rows with a null conv_id are left out."""
+    said = _table(spark, sf_dir, "conversations").where("conv_id is not null")
+    turns = said.select(F.col("conv_id").alias("pair_id"), F.coalesce(F.col("turn").cast("long"), F.lit(-1)).alias("turn"), "role", "text")
+    reply = F.when(F.col("role") == "assistant", F.struct("turn", F.coalesce("text", F.lit("")).alias("text")))
+    known = number_rows(turns.groupBy("pair_id").agg(F.max("turn").alias("top"), F.max(reply).alias("last")), ["pair_id"], name="n")
+    follows = known.select((F.col("n") - 1).alias("n"), F.col("last.text").alias("other"))
+    ends = known.join(follows, "n", "left").select("pair_id", F.col("last.turn").alias("last"), "top", "other")
+    before = turns.join(ends.select("pair_id", "last"), "pair_id").where("last is null or turn < last").select(*turns.columns)
+    swapped = ends.where("other is not null").select("pair_id", F.coalesce("last", F.col("top") + 1).alias("turn"), F.lit("assistant").alias("role"), F.col("other").alias("text"))
+    return preference.format_pairs(turns, before.union(swapped))
 
 
 def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,11 +133,13 @@ ORACLES |= {"op11_decontamination": decontamination.ORACLE, "op12_ns_bounds": ns
 QUERIES |= {"op3_mixing": _op3, "op4_line_dedup": _op4, "op5_preference": _op5}
 ORACLES["op4_line_dedup"] = line_dedup.ORACLE
 ORACLES["op5_preference"] = r"""
-WITH t AS (SELECT conv_id AS pair_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
-l AS (SELECT pair_id, max(turn) AS last, max_by(text, turn) AS reply FROM t WHERE role = 'assistant' GROUP BY pair_id),
-c AS (SELECT t.pair_id, row_number() OVER (PARTITION BY t.pair_id ORDER BY turn, role, text) AS i, role, text FROM t JOIN l USING (pair_id) WHERE turn <= last),
-r0 AS (SELECT t.pair_id, turn, role, text FROM t JOIN l USING (pair_id) WHERE turn < last
-       UNION ALL SELECT l.pair_id, l.last, 'assistant', o.reply FROM l JOIN l AS o ON o.pair_id = l.pair_id + 1),
+WITH t AS (SELECT conv_id AS pair_id, coalesce(turn, -1)::BIGINT AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+l AS (SELECT pair_id, turn AS last, max(text) AS reply FROM t JOIN (SELECT pair_id, max(turn) AS turn FROM t WHERE role = 'assistant' GROUP BY 1) USING (pair_id, turn)
+      WHERE role = 'assistant' GROUP BY 1, 2),
+k AS (SELECT *, lead(reply) OVER (ORDER BY pair_id) AS other FROM (SELECT pair_id, max(turn) AS top FROM t GROUP BY 1) LEFT JOIN l USING (pair_id)),
+c AS (SELECT pair_id, row_number() OVER (PARTITION BY pair_id ORDER BY turn, role, text) AS i, role, text FROM t),
+r0 AS (SELECT t.* FROM t JOIN k USING (pair_id) WHERE last IS NULL OR turn < last
+       UNION ALL SELECT pair_id, coalesce(last, top + 1), 'assistant', other FROM k WHERE other IS NOT NULL),
 r AS (SELECT pair_id, row_number() OVER (PARTITION BY pair_id ORDER BY turn, role, text) AS i, role, text FROM r0),
 b AS (SELECT pair_id, min(i) FILTER (NOT same) AS first_apart, max(i) FILTER (c_has) AS n_c
       FROM (SELECT coalesce(c.pair_id, r.pair_id) AS pair_id, coalesce(c.i, r.i) AS i, c.i IS NOT NULL AS c_has,

@@ -1,18 +1,16 @@
 """Embedding near-duplicates: one hierarchical navigable small-world graph per shard.
 
 Vectors of a label are dealt to shards of bounded size and each shard builds its graph in one task.
-Every vector then queries every shard of its label. A query's beam doubles while all it holds lies
+Every vector then queries every shard of its label: one task meets two shards and asks in both
+directions, so a pair of graphs is sent and decoded once. A query's beam doubles while all it holds lies
 within the threshold; a shard's first beam doubles until an audit passes: vectors of the shard moved
 to just above the threshold must be found again, and neighbours found by brute force too.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +21,8 @@ from cairnbook.session import ensure_checkpoint_dir
 LINKS, BUILD_BEAM = 12, 64
 #: Most rows of a shard, and most bytes of its vectors as doubles.
 SHARD_ROWS, SHARD_BYTES = 8192, 64 << 20
-#: Vectors of a shard that query together.
-QUERY_ROWS = 1024
+#: Rows of a link matrix that are summed at once.
+SUM_ROWS = 512
 #: Nodes of a beam whose links are followed at once.
 EXPAND = 8
 
@@ -172,46 +170,84 @@ def _shards(vectors: DataFrame) -> DataFrame:
 
 
 def build_index(vectors: DataFrame, *, threshold: float) -> DataFrame:
-    """One row per shard: label, dims, shard, ids, vectors, layers, entry, beam, recall. All vectors are indexed."""
+    """One row per shard: label, dims, shard, ids, copies, vectors, layers, entry, beam, recall. All vectors are indexed.
+
+    `vectors` holds label, dims, node (a number of the vector), rep, copies, embedding; recall is what the audit measured."""
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rep")
+        pdf = pdf.sort_values(["rep", "node"])
         raw = np.asarray(pdf["embedding"].tolist(), np.float64)
         graph = build(unit(raw))
         beam, recall = audited_beam(graph, threshold)
-        return pd.DataFrame({"label": pdf["label"].iloc[:1], "dims": pdf["dims"].iloc[:1], "shard": pdf["shard"].iloc[:1], "ids": [pdf["rep"].to_numpy(np.int64).tobytes()],
+        held = {name: [pdf[column].to_numpy(np.int64).tobytes()] for name, column in (("ids", "node"), ("copies", "copies"))}
+        return pd.DataFrame({"label": pdf["label"].iloc[:1], "dims": pdf["dims"].iloc[:1], "shard": pdf["shard"].iloc[:1], **held,
                              "vectors": [raw.tobytes()], "layers": [[x.tobytes() for x in graph.layers]], "entry": [graph.entry], "beam": [beam], "recall": [recall]})
 
-    return _shards(vectors).select("label", "dims", "shard", "rep", "embedding").groupBy("label", "dims", "shard").applyInPandas(
-        one, "label int, dims int, shard int, ids binary, vectors binary, layers array<binary>, entry int, beam int, recall double")
+    return _shards(vectors).select("label", "dims", "shard", "node", "rep", "copies", "embedding").groupBy("label", "dims", "shard").applyInPandas(
+        one, "label int, dims int, shard int, ids binary, copies binary, vectors binary, layers array<binary>, entry int, beam int, recall double")
+
+
+def link_matrix(a: Graph, b: Graph, beams: tuple[int, int], threshold: float) -> np.ndarray:
+    """Whether node i of `a` and node j of `b` link, found from either side; `a` may be `b`."""
+    same = a is b
+    hit = np.zeros((len(a.vectors), len(b.vectors)), bool)
+    for i, q in enumerate(a.vectors):
+        starts = b.descend(q, 0)
+        hit[i, b.within(q, threshold, beams[1], np.append(starts, i) if same else starts)] = True
+    if same:
+        hit |= hit.T
+        np.fill_diagonal(hit, False)
+    else:
+        for j, q in enumerate(b.vectors):
+            hit[a.within(q, threshold, beams[0], a.descend(q, 0)), j] = True
+    return hit
+
+
+def tied(hit: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest id that each row and column reaches over the links of a matrix. Rows and columns without links keep theirs."""
+    rows, cols = np.flatnonzero(hit.any(axis=1)), np.flatnonzero(hit.any(axis=0))
+    sub, of_a, of_b = hit[np.ix_(rows, cols)], ids_a[rows], ids_b[cols]
+    least = lambda m, ids: np.concatenate([np.where(m[k:k + SUM_ROWS], ids[None, :], np.iinfo(np.int64).max).min(axis=1) for k in range(0, len(m), SUM_ROWS)])
+    while len(rows):
+        new_a = np.minimum(of_a, least(sub, of_b))
+        new_b = new_a if same else np.minimum(of_b, least(sub.T, new_a))
+        done = np.array_equal(new_a, of_a) and np.array_equal(new_b, of_b)
+        of_a, of_b = new_a, new_b
+        if done:
+            break
+    all_a, all_b = ids_a.copy(), ids_b.copy()
+    all_a[rows], all_b[cols] = of_a, of_b
+    return all_a, all_b
 
 
 def search(index: DataFrame, *, threshold: float) -> DataFrame:
-    """a, b (a < b): pairs found at `threshold` or nearer, each vector querying every shard of its label."""
-    width = F.col("dims") * 8
-    blocks = index.select("label", "dims", F.col("shard").alias("from_shard"), F.explode(F.expr(f"sequence(0, cast((length(ids) div 8 - 1) div {QUERY_ROWS} as int))")).alias("block"), "ids", "vectors")
-    queries = blocks.select("label", "dims", "from_shard", "block", F.substring("ids", F.col("block") * 8 * QUERY_ROWS + 1, F.lit(8 * QUERY_ROWS)).alias("q_ids"),
-                            F.substring("vectors", F.col("block") * width * QUERY_ROWS + 1, width * QUERY_ROWS).alias("q_vectors"))
-
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                ids, q_ids = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["q_ids"], np.int64)
-                vectors = unit(np.frombuffer(row["vectors"]).reshape(len(ids), -1))
-                queries = unit(np.frombuffer(row["q_vectors"]).reshape(len(q_ids), -1))
-                graph = Graph(vectors, [np.frombuffer(x, np.int32).reshape(len(ids), -1) for x in row["layers"]], row["entry"])
-                home = {int(v): k for k, v in enumerate(ids)} if row["from_shard"] == row["shard"] else {}
-                for q_id, q in zip(q_ids.tolist(), queries):
-                    starts = graph.descend(q, 0)
-                    if q_id in home:
-                        starts = np.append(starts, home[q_id])
-                    other = ids[graph.within(q, threshold, row["beam"], starts)]
-                    other = other[other != q_id]
-                    if len(other):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(other, q_id)), pa.array(np.maximum(other, q_id))], names=["a", "b"])
-
-    met = queries.join(index, ["label", "dims"]).repartition("label", "dims", "from_shard", "block", "shard")
-    return met.select("from_shard", "shard", "q_ids", "q_vectors", "ids", "vectors", "layers", "entry", "beam").mapInArrow(found, "a long, b long").distinct()
+    """node, linked, tied: for each vector and each shard it was compared with, the number of vectors (copies counted) that it
+    links with there, and the smallest node that it reaches over the links of the two shards. Links themselves stay in the task."""
+    keys = ["label", "dims"]
+    shards = index.select(*keys, "shard")
+    # Pairs are made of numbers; each graph is then fetched by its own key, so a label's graphs are spread over tasks.
+    pairs = shards.withColumnRenamed("shard", "shard_a").join(shards.withColumnRenamed("shard", "shard_b"), keys).where("shard_a <= shard_b")
+    side = lambda x: index.select(*keys, F.col("shard").alias(f"shard_{x}"), F.struct("ids", "copies", "vectors", "layers", "entry", "beam").alias(x))
+    met = pairs.join(side("a"), [*keys, "shard_a"]).join(side("b"), [*keys, "shard_b"])
+
+    def decoded(row: dict) -> tuple[Graph, np.ndarray, np.ndarray]:
+        ids = np.frombuffer(row["ids"], np.int64)
+        vectors = unit(np.frombuffer(row["vectors"]).reshape(len(ids), -1))
+        return Graph(vectors, [np.frombuffer(x, np.int32).reshape(len(ids), -1) for x in row["layers"]], row["entry"]), ids, np.frombuffer(row["copies"], np.int64)
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        row = pdf.iloc[0]
+        same = bool(row["shard_a"] == row["shard_b"])
+        a, ids_a, copies_a = decoded(row["a"])
+        b, ids_b, copies_b = (a, ids_a, copies_a) if same else decoded(row["b"])
+        hit = link_matrix(a, b, (row["a"]["beam"], row["b"]["beam"]), threshold)
+        total = lambda m, copies: np.concatenate([m[k:k + SUM_ROWS].astype(np.int64) @ copies for k in range(0, len(m), SUM_ROWS)])
+        of_a, of_b = tied(hit, ids_a, ids_b, same)
+        out = [(ids_a, total(hit, copies_b), of_a)] + ([] if same else [(ids_b, total(hit.T, copies_a), of_b)])
+        found = pd.DataFrame({name: np.concatenate([part[k] for part in out]) for k, name in enumerate(("node", "linked", "tied"))})
+        return found[found["linked"] > 0]
+
+    return met.groupBy(*keys, "shard_a", "shard_b").applyInPandas(one, "node long, linked long, tied long")
 
 
 def near_duplicates(vectors: DataFrame, *, threshold: float = 0.93) -> DataFrame:
@@ -220,23 +256,24 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = 0.93) -> DataFrame
     Only vectors of equal, non-null labels and equal length are compared, by cosine in double precision. Equal vectors
     are one node that counts as often as it occurs. A null, zero or empty vector, or one with a null or non-finite component,
     a null label or a null vec_id links with nothing (null vec_id: null component_id, kept).
-    Rows that repeat a vec_id share its component.
+    Rows that repeat a vec_id are vectors of their own, with their own links and component.
     """
     ensure_checkpoint_dir(vectors.sparkSession)
     sound = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").cast("int").alias("label"))
-    can = rows.where(F.col("label").isNotNull() & F.col("vec_id").isNotNull() & F.coalesce(sound, F.lit(False)))
-    nodes = can.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")).withColumn("dims", F.size("embedding")).checkpoint()
+    usable = F.col("label").isNotNull() & F.col("vec_id").isNotNull() & F.coalesce(sound, F.lit(False))
+    can = rows.where(usable)
+    nodes = can.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")).withColumn(
+        "dims", F.size("embedding")).withColumn("node", F.monotonically_increasing_id()).checkpoint()
     index = build_index(nodes, threshold=threshold).checkpoint()
-    pairs = search(index, threshold=threshold).checkpoint()
-    copies = nodes.groupBy("rep").agg(F.sum("copies").alias("copies"))
-    both = pairs.union(pairs.select("b", "a")).toDF("rep", "other")
-    links = both.join(copies.withColumnRenamed("rep", "other"), "other").groupBy("rep").agg(F.sum("copies").alias("linked"))
-    of_rep = copies.join(links, "rep", "left").join(components(pairs).withColumnRenamed("node", "rep"), "rep", "left").select(
-        "rep", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component"))
+    found = search(index, threshold=threshold).checkpoint()
+    grouped = components(found.select(F.col("node").alias("a"), F.col("tied").alias("b")))
+    least = grouped.join(nodes.select("node", "rep"), "node").groupBy("component").agg(F.min("rep").alias("component_id"))
+    links = found.groupBy("node").agg(F.sum("linked").alias("linked"))
+    of_node = nodes.select("node", "rep", "copies").join(links, "node", "left").join(grouped.join(least, "component").select("node", "component_id"), "node", "left").select(
+        "node", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "rep").alias("component_id"))
     # A vector's own row finds its node by label and vector; rows that cannot link have no node.
-    placed = can.select("vec_id", "label", "embedding").join(nodes.select("label", "embedding", "rep"), ["label", "embedding"]).select("vec_id", "rep")
-    linked = placed.join(of_rep, "rep").groupBy("vec_id").agg(F.max("n_links").alias("n_links"), F.min("component").alias("component"))
-    out = rows.select("vec_id").join(linked, "vec_id", "left")
-    component = F.when(F.col("vec_id").isNotNull(), F.coalesce("component", "vec_id"))
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
+    placed = can.select("vec_id", "label", "embedding").join(nodes.select("label", "embedding", "node"), ["label", "embedding"]).select("vec_id", "node")
+    linked = placed.join(of_node, "node").select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
+    alone = rows.where(~usable).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    return linked.union(alone)

@@ -52,3 +52,28 @@ def test_several_shards_and_empty_input(spark, monkeypatch):
     got = hnsw.near_duplicates(spark.createDataFrame([(i, v.tolist(), 0, "") for i, v in enumerate(both)], SCHEMA)).collect()
     assert sum(r.component_id == r.vec_id % 200 and r.n_links >= 1 for r in got) >= 396
     assert hnsw.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_vectors_that_share_an_id_keep_their_own_links(spark):
+    x, y = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    rows = [(1, x, 0, ""), (1, y, 1, ""), (2, [1.0, 0.1, 0.0], 0, ""), (3, [0.1, 1.0, 0.0], 1, ""), (5, x, 3, ""), (5, None, 3, ""), (5, x, 3, "")]
+    got = sorted(tuple(r) for r in hnsw.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert got == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (5, 0, 5, True), (5, 1, 5, True), (5, 1, 5, True)]
+
+
+def test_links_across_many_shards_equal_brute_force(spark, monkeypatch):
+    """A chain of links and a group of near copies over shards of 64 vectors."""
+    monkeypatch.setattr(hnsw, "SHARD_ROWS", 64)
+    rng = np.random.default_rng(9)
+    turn = np.linspace(0, 6, 120)
+    chain = np.stack([np.cos(turn), np.sin(turn), np.zeros(120)], axis=1)
+    group = np.asarray([0, 0, 1.0]) + 0.01 * rng.standard_normal((150, 3))
+    vectors = np.concatenate([chain, group])[rng.permutation(270)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in hnsw.near_duplicates(spark.createDataFrame([(i, v.tolist(), 0, "") for i, v in enumerate(vectors)], SCHEMA)).collect()}
+    u = hnsw.unit(vectors)
+    linked = u @ u.T >= 0.93
+    np.fill_diagonal(linked, False)
+    component = np.arange(270)
+    for _ in range(270):
+        component = np.minimum(component, np.where(linked, component[None, :], 270).min(axis=1))
+    assert got == {i: (int(linked[i].sum()), int(component[i])) for i in range(270)}
