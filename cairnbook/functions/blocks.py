@@ -127,8 +127,13 @@ def clean_focus(texts: Column) -> Column:
     return squeeze(F.array_join(F.filter(texts, keep_focused), " "))
 
 
+def is_longer(a: Column, b: Column, short: int = 800) -> Column:
+    """Whether ``a`` is short and ``b`` longer."""
+    return F.coalesce((F.length(a) < short) & (F.length(b) > F.length(a)), F.lit(False))
+
+
 def prefer_longer(a: Column, b: Column, short: int = 800) -> Column:
-    return F.when((F.length(a) < short) & (F.length(b) > F.length(a)), b).otherwise(a)
+    return F.when(is_longer(a, b, short), b).otherwise(a)
 
 
 def blocked_page(visible_text: Column, status: Column | None = None) -> Column:

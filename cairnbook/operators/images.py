@@ -12,6 +12,7 @@ from cairnbook.functions import html as H
 from cairnbook.functions.strings import (
     any_token, bare_domain, base_name, contains_any, resolve_url, squeeze, strip, url_path,
 )
+from cairnbook.operators.pages import without_landing_pages
 
 URL_IN_TEXT = r"https?://[^\s\"'>)]+"
 UPLOAD_IN_TEXT = r"https?://[^\s\"'>)]+wp-content/uploads[^\s\"'>)]+"
@@ -148,8 +149,8 @@ def _tag_rows(df: DataFrame) -> DataFrame:
 
 
 def captions(parsed: DataFrame) -> DataFrame:
-    """Image rows of a page: candidates with their caption, then captioned img tags; one row per address."""
-    df = _tag_rows(_candidate_rows(candidate_urls(parsed)))
+    """Image rows of a page: candidates with their caption, then captioned img tags; one row per address. Landing pages give none."""
+    df = _tag_rows(_candidate_rows(candidate_urls(without_landing_pages(parsed))))
     found = df.select("page_id", "url", F.posexplode(F.concat("_first", "_second")).alias("pos", "r"))
     rows = found.select("page_id", "url", "pos", "r.image_url", "r.caption_raw",
                         clean_caption(F.col("r.caption_raw")).alias("caption_clean"), F.lit("html").alias("method"))

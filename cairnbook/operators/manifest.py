@@ -178,9 +178,20 @@ def search(items: DataFrame, text: str | None) -> DataFrame:
     return items.where(hit)
 
 
-def page(items: DataFrame, number: int, size: int = PAGE_SIZE) -> DataFrame:
-    """One page in ``id`` order: a top-k of ``number * size`` rows, then its tail."""
-    return items.orderBy("id").offset((number - 1) * size).limit(size)
+def page_bounds(items: DataFrame, size: int = PAGE_SIZE) -> DataFrame:
+    """``page, first_id``: where each page begins. Ids alone are range-partitioned; each range counts its rows and is shifted by
+    the counts of those before it. Write it once to serve many pages."""
+    numbered = number_rows(items.select("id"), ["id"], name="_n").where((F.col("_n") - 1) % size == 0)
+    return numbered.select(((F.col("_n") - 1) / size + 1).cast("bigint").alias("page"), F.col("id").alias("first_id"))
+
+
+def page(items: DataFrame, number: int, size: int = PAGE_SIZE, bounds: DataFrame | None = None) -> DataFrame:
+    """One page in ``id`` order (ids are unique): the rows between two bounds, so a late page costs what the first does."""
+    starts = (page_bounds(items, size) if bounds is None else bounds).where(F.col("page").isin(number, number + 1))
+    begin = lambda n: F.max(F.when(F.col("page") == n, F.col("first_id")))
+    ends = starts.agg(begin(number).alias("_from"), begin(number + 1).alias("_to"))  # one row
+    met = items.join(F.broadcast(ends), (F.col("id") >= F.col("_from")) & (F.col("_to").isNull() | (F.col("id") < F.col("_to"))))
+    return met.select(*items.columns).orderBy("id").limit(size)
 
 
 def page_count(items: DataFrame, size: int = PAGE_SIZE) -> DataFrame:

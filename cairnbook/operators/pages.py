@@ -83,10 +83,11 @@ def page_blocks(parsed: DataFrame) -> DataFrame:
             .withColumn("headings", _blocks(F.col("elements"), F.col("strings"), lambda e: e["tag"].isin("h1", "h2"))))
 
 
-def article_texts(paged: DataFrame, alternative: Column | None = None) -> DataFrame:
+def article_texts(paged: DataFrame, alternative: Column | None = None, alternative_focused: Column | None = None) -> DataFrame:
     """Full and focused text of each page from ``blocks`` and ``headings``.
 
-    ``alternative`` is another reading of the page, taken when the full text is short and it is longer."""
+    ``alternative`` is another reading of the page: when the full text is short and it is longer, it replaces the full
+    text, and ``alternative_focused`` (itself, if not given) the focused one."""
     usable = B.distinct_blocks(B.without_boilerplate(B.before_comments(B.long_enough(F.col("texts")))))
     out = (paged
            .withColumn("title", B.page_title(F.col("blocks"), F.col("headings")))
@@ -98,14 +99,19 @@ def article_texts(paged: DataFrame, alternative: Column | None = None) -> DataFr
            .withColumn("full_text", squeeze(B.trim_tail_run(F.col("full_text"))))
            .withColumn("focused_text", B.clean_focus(B.focus_window(F.col("texts")))))
     if alternative is not None:
-        out = out.withColumn("full_text", B.prefer_longer(F.col("full_text"), alternative))
+        longer = B.is_longer(F.col("full_text"), alternative)
+        focused = alternative if alternative_focused is None else alternative_focused
+        out = out.withColumns({"full_text": F.when(longer, alternative).otherwise(F.col("full_text")),
+                               "focused_text": F.when(longer, focused).otherwise(F.col("focused_text"))})
     return out
 
 
 def articles(pages: DataFrame) -> DataFrame:
-    """Pages to ``page_id, url, title, full_text, focused_text``."""
+    """Pages to ``page_id, url, title, full_text, focused_text``. Columns ``alternative_full`` and ``alternative_focused``,
+    if ``pages`` has them, are another reading of the page, see ``article_texts``."""
     paged = page_blocks(with_elements(pages))
-    return article_texts(paged).select("page_id", "url", "title", "full_text", "focused_text")
+    other = [F.col(c) if c in pages.columns else None for c in ("alternative_full", "alternative_focused")]
+    return article_texts(paged, *other).select("page_id", "url", "title", "full_text", "focused_text")
 
 
 # --- page variants ------------------------------------------------------------------
@@ -187,6 +193,12 @@ def landing_pages(pages: DataFrame) -> DataFrame:
     return featured.withColumn("landing_reason", reason).withColumn("is_landing", reason.isNotNull())
 
 
+def without_landing_pages(parsed: DataFrame) -> DataFrame:
+    """The pages that do not look like landing pages, with the columns they came with; row by row."""
+    featured = landing_features(parsed)
+    return featured.where(landing_reason(featured).isNull()).select(*parsed.columns)
+
+
 # --- html metadata -----------------------------------------------------------------------
 
 def _json_ld_objects(elements: Column) -> Column:

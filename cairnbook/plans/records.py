@@ -8,6 +8,7 @@ from cairnbook.operators import normalize as N, responses as R
 from cairnbook.operators.extraction import pre_extract
 from cairnbook.plans.bridges import bridge, with_bridges
 from cairnbook.plans.registry import query, table
+from cairnbook.plans.text import CANDIDATE_DATE, author_sql, iso_sql
 
 def raw_sql(select: str) -> str:
     return with_bridges(f"SELECT record_id, {select} FROM (SELECT *, record_id AS o FROM bridge_raw) JOIN (SELECT o_orderkey AS o, o_custkey AS c, o_orderpriority AS prio FROM orders) USING (o)", "bridge_raw")
@@ -200,14 +201,13 @@ def align_responses(spark, sf_dir):
     return aligned(spark, sf_dir).select("batch_id", "pos", "url", "item_json")
 
 
-@query("minimal_artifacts", with_bridges("""
-SELECT i.batch_id, i.pos, i.url AS source_url, CASE WHEN i.pos % 2 = 1 THEN 'Ann Lee' END AS report_author,
-  CASE WHEN i.pos % 2 = 1 THEN '2024-10-03' END AS article_date_published, i.full_text AS scraped_full_text
-FROM bridge_items i LEFT JOIN answers a USING (batch_id, pos) WHERE a.item_json IS NULL""", "bridge_items", "bridge_answers", answers=ANSWERS))
+@query("minimal_artifacts", with_bridges(f"""
+SELECT batch_id, pos, url AS source_url, coalesce({author_sql()}) AS report_author, {iso_sql('s')} AS article_date_published, full_text AS scraped_full_text
+FROM (SELECT *, {CANDIDATE_DATE} AS s FROM (SELECT i.*, coalesce(nullif(i.full_text, ''), i.focused_text) AS text
+  FROM bridge_items i LEFT JOIN answers a USING (batch_id, pos) WHERE a.item_json IS NULL))""", "bridge_items", "bridge_answers", answers=ANSWERS))
 def minimal_artifacts(spark, sf_dir):
     found = R.minimal_artifacts(aligned(spark, sf_dir))
-    return found.select("batch_id", "pos", "source_url", F.when(F.col("scraped_full_text") != "", F.col("report_author")).alias("report_author"),
-                        F.when(F.col("scraped_full_text") != "", F.col("article_date_published")).alias("article_date_published"), "scraped_full_text")
+    return found.select("batch_id", "pos", "source_url", "report_author", "article_date_published", "scraped_full_text")
 
 
 @query("admit_batches", with_bridges("SELECT batch_id, pos, batch_id <= 20 AS admitted FROM bridge_items", "bridge_items"))

@@ -9,6 +9,7 @@ from cairnbook.operators import images as I, manifest as M, pages as P, quality
 from cairnbook.plans.bridges import bridge, with_bridges
 from cairnbook.plans.events import assigned, events_sql
 from cairnbook.plans.registry import query, table
+from cairnbook.plans.text import LANDING
 
 
 def img(spark, sf_dir):
@@ -59,9 +60,18 @@ def attach_captions(spark, sf_dir):
     return I.captions(P.with_elements(pictures(spark, sf_dir))).select("page_id", "image_url", "caption_clean")
 
 
-@query("page_captions")
+@query("page_captions", f"""
+WITH base AS (SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) AS origin, regexp_replace(regexp_replace(url, '[?#].*$', ''), '[^/]*$', '') AS folder FROM pages WHERE page_id % 9 NOT BETWEEN 1 AND 6),
+found AS (SELECT page_id, origin || '/media/f' || page_id || '.jpg' AS image_url, 'Rescue on the ridge ' || page_id AS caption_raw FROM base
+UNION ALL SELECT page_id, folder || 'b.png', cast(NULL AS varchar) FROM base UNION ALL SELECT page_id, folder || 's2.webp', NULL FROM base
+UNION ALL SELECT page_id, 'https://cdn.example.net/media/og.jpg', NULL FROM base UNION ALL SELECT page_id, origin || '/media/bg.jpg', NULL FROM base)
+SELECT page_id, image_url, caption_raw, caption_raw AS caption_clean, 'html' AS method, ({SCORE})::int AS score FROM found WHERE NOT {STRAY} AND ({SCORE}) >= 5""")
 def page_captions(spark, sf_dir):
-    return I.score_images(I.captions(P.with_elements(table(spark, sf_dir, "pages"))))
+    """Pages with pictures, two thirds of them landing pages, which are skipped."""
+    table(spark, sf_dir, "pages").createOrReplaceTempView("cairnbook_pages")
+    pages = spark.sql(PICTURES.replace("FROM pages", f"FROM ({LANDING.replace('FROM pages', 'FROM cairnbook_pages')})"))
+    found = I.score_images(I.captions(P.with_elements(pages)))
+    return found.select("page_id", "image_url", "caption_raw", "caption_clean", "method", F.col("score").cast("int").alias("score"))
 
 
 @query("srcset_last", "SELECT p_partkey AS id, 'b' || p_size || '.jpg' AS src FROM part")

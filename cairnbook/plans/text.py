@@ -88,9 +88,10 @@ _block_query("block_boilerplate", blocks_sql(listed(f"NOT {any_of(C.BOILERPLATE_
 _block_query("block_dedupe", blocks_sql(
     listed("rn = 1", "numbered"),
     numbered="SELECT *, row_number() OVER (PARTITION BY page_id, text ORDER BY i) AS rn FROM blocks"), B.distinct_blocks)
-_block_query("block_second_filter", blocks_sql(listed(
+SECOND = (
     r"regexp_matches(trim(text), '^(author\b|by\s+[A-Z][\w\-'']+)') OR NOT (" + starts(C.SECTION_STOP_PREFIXES) + " OR "
-    + any_of(C.SECTION_STOP_TOKENS) + r" OR (length(trim(text)) < 30 AND NOT regexp_matches(trim(text), '^[A-Z][\p{L}\p{N}_\s''’:-]+$')))")), B.second_filter)
+    + any_of(C.SECTION_STOP_TOKENS) + r" OR (length(trim(text)) < 30 AND NOT regexp_matches(trim(text), '^[A-Z][\p{L}\p{N}_\s''’:-]+$')))")
+_block_query("block_second_filter", blocks_sql(listed(SECOND)), B.second_filter)
 _block_query("truncate_last_substantive", blocks_sql(
     listed("i <= last", "marked"),
     marked=f"SELECT *, coalesce(max(CASE WHEN {SUBSTANTIVE} THEN i END) OVER (PARTITION BY page_id), i) AS last FROM blocks"),
@@ -192,13 +193,52 @@ def page_blocks(spark, sf_dir):
     return paged.select("page_id", F.explode("blocks").alias("b")).select("page_id", "b.pos", "b.tag", "b.text")
 
 
-@query("page_container", "SELECT page_id, 'article' AS kind FROM pages WHERE contains(html, '<article')")
-def page_container(spark, sf_dir):
-    paged = P.page_blocks(P.with_elements(table(spark, sf_dir, "pages")))
-    return paged.select("page_id", "container.kind")
+# The article element as it stands, as each of the other containers, as a section without a rule of its own, and left out.
+CONTAINERS = """
+SELECT page_id, url, CASE WHEN page_id % 8 = 0 THEN html ELSE replace(replace(html, '</article>', CASE WHEN page_id % 8 = 3 THEN '</main>' WHEN page_id % 8 = 6 THEN '</section>'
+    WHEN page_id % 8 = 7 THEN '' ELSE '</div>' END), '<article>', CASE page_id % 8 WHEN 1 THEN '<div class="lead entry-content">' WHEN 2 THEN '<div class="post-content">'
+    WHEN 3 THEN '<main>' WHEN 4 THEN '<div id="content">' WHEN 5 THEN '<div class="content wide">' WHEN 6 THEN concat('<section><p>', repeat('word ', 60), '</p>') ELSE '' END) END AS html
+FROM pages"""
 
 
-@query("articles")
+@query("page_container", """
+SELECT page_id, CASE page_id % 8 WHEN 0 THEN 'article' WHEN 3 THEN 'main' WHEN 6 THEN 'section' WHEN 7 THEN 'body' ELSE 'div' END AS kind,
+  CASE WHEN page_id % 8 < 7 THEN 'h1' ELSE '' END AS first_heading FROM pages""")
+def page_container(spark, sf_dir):
+    table(spark, sf_dir, "pages").createOrReplaceTempView("cairnbook_pages")
+    paged = P.page_blocks(P.with_elements(spark.sql(CONTAINERS.replace("FROM pages", "FROM cairnbook_pages"))))
+    heading = F.try_element_at(F.filter("blocks", lambda b: (b["tag"] == "h1") & (b["pos"] > F.col("container.pos"))), F.lit(1))["tag"]
+    return paged.select("page_id", "container.kind", F.when(F.col("container.kind") != "body", heading).otherwise("").alias("first_heading"))
+
+
+NN = "chr(10) || chr(10)"
+SPLIT = f"unnest(string_split(text, {NN})) AS p, generate_subscripts(string_split(text, {NN}), 1) AS i"
+# The rules of the block queries, one after the other, over the blocks that the parser finds.
+ARTICLES = rf"""
+WITH pb AS ({PAGE_BLOCKS}),
+u1 AS (SELECT *, bool_or({MARKER}) OVER (PARTITION BY page_id ORDER BY pos) AS stopped FROM pb WHERE length(text) >= 30),
+u2 AS (SELECT *, row_number() OVER (PARTITION BY page_id, text ORDER BY pos) AS rn FROM u1 WHERE NOT stopped AND NOT {any_of(C.BOILERPLATE_TOKENS)}),
+u AS (SELECT page_id, text, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS i FROM u2 WHERE rn = 1),
+s AS (SELECT *, coalesce(max(CASE WHEN {SUBSTANTIVE} THEN i END) OVER (PARTITION BY page_id), i) AS last FROM u WHERE {SECOND}),
+h AS (SELECT page_id, arg_min(text, pos) AS title FROM pb WHERE tag IN ('h1', 'h2') AND length(text) > 10 GROUP BY 1),
+body AS (SELECT page_id, string_agg(nullif(trim(text), ''), {NN} ORDER BY i) AS text FROM s WHERE i <= last GROUP BY 1),
+f1 AS (SELECT page_id, url, title, regexp_replace(regexp_replace(concat_ws({NN}, nullif(trim(title), ''), text), '(?is)By signing up.*?(\n\n|\z)', '\1', 'g'), '\n{{3,}}', {NN}, 'g') AS text
+       FROM pages LEFT JOIN h USING (page_id) LEFT JOIN body USING (page_id)),
+p1 AS (SELECT page_id, i, trim(p) AS text FROM (SELECT page_id, {SPLIT} FROM f1) WHERE trim(p) <> ''),
+k1 AS (SELECT page_id, string_agg(text, {NN} ORDER BY i) AS kept FROM (SELECT *, max(CASE WHEN {SUBSTANTIVE} THEN i END) OVER (PARTITION BY page_id) AS last FROM p1) WHERE i <= last GROUP BY 1),
+f2 AS (SELECT page_id, url, title, CASE WHEN regexp_matches(text, '{EMAIL_SQL}') THEN trim(substring(text, 1, instr(text, regexp_extract(text, '{EMAIL_SQL}')) + length(regexp_extract(text, '{EMAIL_SQL}')) - 1))
+         ELSE coalesce(kept, text) END AS text FROM f1 LEFT JOIN k1 USING (page_id)),
+p2 AS (SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY i) AS i, trim(p) AS text FROM (SELECT page_id, {SPLIT} FROM f2) WHERE trim(p) <> ''),
+w AS (SELECT *, coalesce(max(CASE WHEN length(regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+')) > 12 THEN i END) OVER (PARTITION BY page_id), 0) AS last, max(i) OVER (PARTITION BY page_id) AS total FROM p2),
+k2 AS (SELECT page_id, string_agg(text, ' ' ORDER BY i) FILTER (i <= last OR total - last < 3) AS text FROM w GROUP BY 1),
+a AS (SELECT *, min(CASE WHEN {ANCHOR} THEN i END) OVER (PARTITION BY page_id) AS anchor FROM u),
+k3 AS (SELECT page_id, string_agg(text, ' ' ORDER BY i) AS text FROM a WHERE (anchor IS NULL OR i BETWEEN anchor - 1 AND anchor + 5)
+       AND NOT ({any_of(C.FOCUS_DROP_TOKENS)} OR (length(text) < 60 AND regexp_matches(text, '^[A-Z][\p{{L}}\p{{N}}_\s''’:-]+$') AND contains(text, ' '))) GROUP BY 1)
+SELECT f2.page_id, f2.url, f2.title, trim(regexp_replace(coalesce(k2.text, ''), '\s+', ' ', 'g')) AS full_text, trim(regexp_replace(coalesce(k3.text, ''), '\s+', ' ', 'g')) AS focused_text
+FROM f2 LEFT JOIN k2 USING (page_id) LEFT JOIN k3 USING (page_id)"""
+
+
+@query("articles", ARTICLES)
 def articles(spark, sf_dir):
     return P.articles(table(spark, sf_dir, "pages"))
 
@@ -252,14 +292,18 @@ SELECT page_id, url, concat(CASE page_id % 5
   ELSE '<p>By Jane Roe</p><time>4 May 2024</time>' END, html) AS html FROM pages"""
 
 
+VISIBLE = r"""array_to_string(list_filter(list_transform(regexp_extract_all(regexp_replace(html, '(?s)<(?:script|style)[^>]*>.*?</(?:script|style)>|<!--.*?-->', '<x>', 'g'), '>([^<]+)', 1),
+  lambda x: trim(x, chr(32) || chr(10) || chr(9) || chr(13))), lambda x: x <> ''), ' ')"""
+BYLINE_SQL = rf"""nullif(trim(regexp_extract(left({VISIBLE}, 1200), '(?:^|[\n\-–|•])\s*(?:By|BY)\s+([A-Z][A-Za-z\-'']+(?:\s+[A-Z][A-Za-z\-'']+){{0,4}})', 1)), '')"""
+
+
 @query("html_meta", f"""
-SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'Ann ' || page_id WHEN 1 THEN 'Staff Writer' WHEN 3 THEN 'A B, C D' WHEN 4 THEN 'Jane Roe' END AS html_author,
+SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'Ann ' || page_id WHEN 1 THEN 'Staff Writer' WHEN 3 THEN 'A B, C D' WHEN 4 THEN 'Jane Roe' ELSE {BYLINE_SQL} END AS html_author,
   CASE page_id % 5 WHEN 0 THEN '2025-10-02' WHEN 1 THEN '2025-09-30' WHEN 2 THEN '2025-09-28' WHEN 3 THEN '2024-02-03' ELSE '2024-05-04' END AS html_date FROM pages""")
 def html_meta(spark, sf_dir):
     table(spark, sf_dir, "pages").createOrReplaceTempView("cairnbook_pages")
     pages = spark.sql(META.replace("FROM pages", "FROM cairnbook_pages"))
-    return P.html_meta(P.with_elements(pages)).select(
-        "page_id", F.when(F.col("html_author").rlike("^(Ann|Staff|A B|Jane)"), F.col("html_author")).alias("html_author"), "html_date")
+    return P.html_meta(P.with_elements(pages)).select("page_id", "html_author", "html_date")
 
 
 # --- dates in SQL ----------------------------------------------------------------------------------------
@@ -294,10 +338,9 @@ def iso_date(spark, sf_dir):
     return spelled(spark, sf_dir).select("id", D.iso_date(F.col("said")).alias("iso"))
 
 
-@query("date_only", f"SELECT id, {iso_sql('s')} AS iso FROM (SELECT id, trim(said) AS s FROM ({SPELLED})) WHERE regexp_matches(s, '^\\d{{4}}-')")
+@query("date_only", f"SELECT id, {iso_sql('s')} AS iso FROM (SELECT id, trim(said) AS s FROM ({SPELLED}))")
 def date_only(spark, sf_dir):
-    stamped = spelled(spark, sf_dir).where(S.strip(F.col("said")).rlike(r"^\d{4}-"))
-    return stamped.select("id", D.iso_date(F.col("said")).alias("iso"))
+    return spelled(spark, sf_dir).select("id", D.iso_date(F.col("said")).alias("iso"))
 
 
 # --- C: extraction ------------------------------------------------------------------------------------------
@@ -306,7 +349,12 @@ def article_sql(select: str) -> str:
     return with_bridges(f"SELECT doc_id, {select} FROM bridge_articles", "bridge_articles")
 
 
+ARTICLE_SQL: dict[str, str] = {}
+
+
 def _article_query(key: str, select: str, **cols) -> None:
+    ARTICLE_SQL[key] = select
+
     @query(key, article_sql(select))
     def run(spark, sf_dir):
         df = bridge(spark, sf_dir, "bridge_articles")
@@ -359,10 +407,10 @@ _author_sql = [p.replace(r"(?=\b|,)", "").replace(r"(?=\b|[,|])", "") for p in X
 _article_query("report_author", "coalesce(" + ", ".join(
     f"CASE WHEN lower(trim({one_sql(p, 1, '', 'left(text, 500)')})) NOT IN ('ap', 'reuters') THEN trim({one_sql(p, 1, '', 'left(text, 500)')}) END" for p in _author_sql) + ") AS author",
                author=X.report_author)
-_candidate = (f"coalesce(rtrim(trim({one_sql(X.DATE_LABEL, 1, '(?i)', 'left(text, 1800)')}), ').,;'), {one_sql(X.MONTH_DAY_YEAR, 1, '(?i)', 'left(text, 1800)')}, {one_sql(X.ISO_ANYWHERE, 1, '')})")
+CANDIDATE_DATE = (f"coalesce(rtrim(trim({one_sql(X.DATE_LABEL, 1, '(?i)', 'left(text, 1800)')}), ').,;'), {one_sql(X.MONTH_DAY_YEAR, 1, '(?i)', 'left(text, 1800)')}, {one_sql(X.ISO_ANYWHERE, 1, '')})")
 
 
-@query("publication_date", with_bridges(f"SELECT doc_id, {iso_sql('s')} AS published FROM (SELECT doc_id, {_candidate} AS s FROM bridge_articles)", "bridge_articles"))
+@query("publication_date", with_bridges(f"SELECT doc_id, {iso_sql('s')} AS published FROM (SELECT doc_id, {CANDIDATE_DATE} AS s FROM bridge_articles)", "bridge_articles"))
 def publication_date(spark, sf_dir):
     return bridge(spark, sf_dir, "bridge_articles").select("doc_id", X.publication_date(F.col("text")).alias("published"))
 
@@ -399,9 +447,22 @@ def gazetteer_match(spark, sf_dir):
     return places.match_places(table(spark, sf_dir, "documents").select("doc_id", "text"), _names(spark, sf_dir))
 
 
-@query("pre_extract")
+LEAD_SQL = r"array_to_string(string_split(regexp_replace(trim(text), '([.!?])\s+', '\1' || chr(1), 'g'), chr(1))[1:2], '|') AS lead"
+_HINTS = ", ".join([*(ARTICLE_SQL[k] for k in ("pre_dates", "pre_people", "pre_counts", "pre_rescue", "pre_area", "route_difficulty", "keyword_presence", "fall_height", "slope_aspect", "gazetteer_literal")),
+                    ARTICLE_SQL["pre_unnamed"].replace(" AS people", " AS unnamed"), LEAD_SQL])
+
+
+@query("pre_extract", with_bridges(f"""
+SELECT doc_id, nullif(dates, '') AS pre_dates, nullif(concat_ws('|', nullif(people, ''), nullif(unnamed, '')), '') AS people_pre, killed AS num_fatalities_pre, injured AS num_injured_pre,
+  nullif(teams, '') AS rescue_teams_pre, area AS area_pre, nullif(places, '') AS gazetteer_matches, lead AS lead_sentences, nullif(difficulty, '') AS route_difficulty_pre,
+  nullif(route_types, '') AS route_types_pre, nullif(equipment, '') AS equipment_pre, feet AS fall_height_feet_pre, meters AS fall_height_meters_pre,
+  slope AS slope_angle_deg_pre, aspect AS aspect_cardinal_pre
+FROM (SELECT doc_id, {_HINTS} FROM bridge_articles)""", "bridge_articles"))
 def pre_extract(spark, sf_dir):
-    return pre_extract_hints(bridge(spark, sf_dir, "bridge_articles"))
+    """All hints of a text in one pass; lists are shown with bars."""
+    found = pre_extract_hints(bridge(spark, sf_dir, "bridge_articles"))
+    shown = lambda k, t: people_text(lambda c: c)(F.col(k)) if "struct" in t else F.array_join(k, "|") if t.startswith("array") else F.col(k)
+    return found.select(*[shown(k, t).alias(k) for k, t in found.dtypes])
 
 
 HOST_SQL = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)"
@@ -458,9 +519,14 @@ def meta_candidates(spark, sf_dir):
         F.lit("Html Author").alias("html_author"), F.lit("2022-01-01").alias("html_date"))
 
 
+def author_sql(source: str = "text") -> str:
+    """The byline rule over a text."""
+    name = lambda p: f"trim({one_sql(p, 1, '', f'left({source}, 500)')})"
+    return ", ".join(f"CASE WHEN lower({name(p)}) NOT IN ('ap', 'reuters') THEN {name(p)} END" for p in _author_sql)
+
+
 def _precedence_sql(author: str) -> str:
-    found = "coalesce(" + ", ".join(
-        f"CASE WHEN lower(trim({one_sql(p, 1, '', 'left(text, 500)')})) NOT IN ('ap', 'reuters') THEN trim({one_sql(p, 1, '', 'left(text, 500)')}) END" for p in _author_sql) + ", 'Html Author')"
+    found = f"coalesce({author_sql()}, 'Html Author')"
     return article_sql(author.format(found=found, model="CASE WHEN doc_id % 3 = 0 THEN 'Model Author' END") + """ AS report_author,
   CASE WHEN doc_id % 4 = 0 THEN '2020-01-01' WHEN doc_id % 5 <> 0 THEN '2021-01-01' ELSE '2022-01-01' END AS article_date_published""")
 

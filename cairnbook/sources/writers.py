@@ -9,6 +9,7 @@ from cairnbook.functions import jsons as J
 from cairnbook.functions.dates import run_stamp
 from cairnbook.functions.strings import bare_domain, slug
 from cairnbook.operators.ledger import csv_cells
+from cairnbook.session import ensure_checkpoint_dir
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether anything can be read at a path."""
@@ -31,11 +32,22 @@ def write_ledger(ledger: DataFrame, path: str) -> None:
 def write_artifacts(artifacts: DataFrame, path: str, zone: str = "UTC") -> None:
     """``source_url, extracted_at TIMESTAMP, artifact_json`` as JSON lines below domain and run folders.
 
-    Line breaks between the parts of a document become spaces. A run that is repeated replaces its folders."""
+    Line breaks between the parts of a document become spaces. Only touched folders are replaced; in them documents of
+    other addresses stay, so a repeated run replaces its own documents and no others."""
     line = F.regexp_replace("artifact_json", r"[\r\n]+", " ")
     rows = artifacts.select(slug(bare_domain(F.col("source_url"))).alias("domain_slug"),
-                            run_stamp(F.col("extracted_at"), zone).alias("run_ts"), line.alias("value"))
-    rows.hint("rebalance", "domain_slug", "run_ts").write.mode("overwrite").options(**DYNAMIC).partitionBy("domain_slug", "run_ts").text(path)
+                            run_stamp(F.col("extracted_at"), zone).alias("run_ts"), line.alias("value"), "source_url")
+    folders = ["domain_slug", "run_ts"]
+    new = rows.select(*folders, "value")
+    if path_exists(artifacts.sparkSession, path):
+        ensure_checkpoint_dir(artifacts.sparkSession)
+        address = F.try_element_at(J.fields(F.col("value")), F.lit("source_url")).cast("string")
+        held = artifacts.sparkSession.read.schema("value string, domain_slug string, run_ts string").text(path)
+        held = held.join(new.select(*folders).distinct(), folders, "left_semi").withColumn("source_url", address)
+        others = held.join(rows.select(*folders, "source_url").distinct(), [*folders, "source_url"], "left_anti").join(new.distinct(), [*folders, "value"], "left_anti")
+        # The checkpoint ends the reading of folders that are about to be replaced.
+        new = new.union(others.select(*folders, "value").checkpoint())
+    new.hint("rebalance", *folders).write.mode("overwrite").options(**DYNAMIC).partitionBy(*folders).text(path)
 
 
 def write_events(events: DataFrame, path: str) -> None:

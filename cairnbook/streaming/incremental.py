@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from cairnbook.operators.fusion import fuse_long
 from cairnbook.operators.ledger import newest_per_url
@@ -115,14 +115,16 @@ def latest_fused(spark: SparkSession, fused: str) -> DataFrame:
 
 
 def publish_once(rows: DataFrame, target: str, checkpoint: str, keys: Sequence[str] = ("record_id",)) -> None:
-    """Publish each row one time, told by ``keys``: rows whose keys the target holds are left out.
+    """Publish each row one time, told by ``keys``: rows whose keys the target holds are left out. Of different rows
+    with the same keys in one batch the first in order of their JSON text counts.
 
     The guard is content, so a lost checkpoint, repeated batches and rows that arrive between runs are all
     right; a batch that failed midway left nothing that can be read."""
     keys = list(keys)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.dropDuplicates(keys)
+        first = Window.partitionBy(*keys).orderBy(F.to_json(F.struct(*batch.columns)))
+        fresh = batch.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
         if path_exists(batch.sparkSession, target):
             held = batch.sparkSession.read.schema(batch.schema).parquet(target).select(*keys)
             same = [F.col(f"new.{k}").eqNullSafe(F.col(f"held.{k}")) for k in keys]

@@ -141,3 +141,28 @@ def test_lines_of_one_event_lie_in_order_over_files(spark, tmp_path):
     assert sorted(tuple(r) for r in W.read_lines(spark, path).collect()) == sorted(rows)
     W.write_lines(spark.createDataFrame([("cd1", 1, "z")], "event_id string, line_no long, line string"), path)
     assert {r.line for r in W.read_lines(spark, path).where("event_id = 'cd1'").collect()} == {"z"} and W.read_lines(spark, path).count() == 5002
+
+
+def test_two_calls_keep_both_documents_and_a_repeated_one_replaces_itself(spark, tmp_path):
+    path = str(tmp_path / "a")
+
+    def write(url, n):
+        rows = spark.createDataFrame([(url, json.dumps({"source_url": url, "n": n}))], "source_url string, artifact_json string")
+        W.write_artifacts(rows.withColumn("extracted_at", F.lit("2024-05-01 10:00:00").cast("timestamp")), path)
+
+    write("https://x.org/1", 1)
+    write("https://x.org/2", 2)
+    write("https://x.org/2", 3)
+    write("https://y.org/1", 4)
+    back = R.scan_artifacts(spark, path, pattern="*.txt", whole=False).collect()
+    found = sorted((json.loads(r.artifact_json)["source_url"], json.loads(r.artifact_json)["n"]) for r in back)
+    assert found == [("https://x.org/1", 1), ("https://x.org/2", 3), ("https://y.org/1", 4)]
+
+
+def test_of_different_rows_with_one_key_the_first_is_published(spark, tmp_path):
+    for k, batch in enumerate(([(1, "b"), (1, "a"), (2, "z"), (None, "n"), (None, "m")], [(1, "0"), (3, "c")])):
+        spark.createDataFrame(batch, "record_id long, v string").coalesce(1).write.parquet(str(tmp_path / "in" / str(k)))
+        stream = spark.readStream.schema("record_id long, v string").option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+        T.publish_once(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    got = {(r.record_id, r.v) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {(1, "a"), (2, "z"), (3, "c"), (None, "m")}

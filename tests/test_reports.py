@@ -88,3 +88,21 @@ def test_captions(spark):
     assert "https://n.example/s/b.webp" in rows and "https://n.example/s/c.jpg" in rows
     scored = {r.image_url: r.score for r in I.score_images(I.captions(P.with_elements(pages))).collect()}
     assert scored["https://n.example/media/rescue.jpg"] == 25
+
+
+def test_late_pages_read_between_two_bounds(spark):
+    items = spark.range(1000).select(F.format_string("%06d", "id").alias("id"), F.col("id").alias("n"))
+    bounds = M.page_bounds(items, 7)
+    assert bounds.count() == 143
+    for number in (1, 2, 80, 143, 144):
+        assert [r.n for r in M.page(items, number, 7, bounds).collect()] == list(range((number - 1) * 7, min(number * 7, 1000)))
+    plan = M.page(items, 140, 7, bounds)._jdf.queryExecution().executedPlan().toString()
+    assert "offset=973" not in plan and "limit=7" in plan
+    assert M.page(items.limit(0), 1).count() == 0
+
+
+def test_landing_pages_have_no_captions(spark):
+    picture = '<figure><img src="/a.jpg"><figcaption>Rescue on the ridge</figcaption></figure>'
+    rows = [(1, "https://x.org/1", picture), (2, "https://x.org/2", '<meta http-equiv="refresh" content="0">' + picture)]
+    parsed = P.with_elements(spark.createDataFrame(rows, "page_id int, url string, html string"))
+    assert {r.page_id for r in I.captions(parsed).collect()} == {1}

@@ -204,3 +204,14 @@ def test_element_texts_skip_hidden_parts(spark):
     got = rows.select(F.transform("elements", lambda e: F.struct(e["tag"], H.text_of(e, F.col("strings")), H.script_of(e))).alias("x"), "visible_text").first()
     assert [tuple(e) for e in got.x] == [("p", "one two three four five", ""), ("b", "two", ""), ("script", "", "var x = '</p>';"), ("p", "four", ""), ("style", "", ""), ("script", "", "code")]
     assert got.visible_text == "one two three four five"
+
+
+def test_a_longer_reading_replaces_both_texts_of_a_short_page(spark):
+    body = "<html><body><article><h1>A climber on the ridge</h1><p>The climber was rescued from the ridge at noon.</p></article></body></html>"
+    rows = [(1, "u", body, "x" * 900, "focus"), (2, "u", body, "short", "focus"), (3, "u", body, None, "focus"), (4, "u", "", "only this reading", None)]
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string, alternative_full string, alternative_focused string")
+    got = {r.page_id: (r.full_text, r.focused_text) for r in P.articles(pages).collect()}
+    plain = P.articles(pages.drop("alternative_full", "alternative_focused")).where("page_id = 2").first()
+    assert got[1] == ("x" * 900, "focus")
+    assert got[2] == got[3] == (plain.full_text, plain.focused_text) and "rescued" in plain.full_text
+    assert got[4] == ("only this reading", None)
