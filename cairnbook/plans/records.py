@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
+from cairnbook import constants as C
 from cairnbook.operators import normalize as N, responses as R
 from cairnbook.operators.extraction import pre_extract
 from cairnbook.plans.bridges import bridge, with_bridges
@@ -106,9 +107,86 @@ def extras_map(spark, sf_dir):
                                             F.size("extras").alias("n"))
 
 
-@query("normalize_artifact")
+# --- the whole record, every field as text ---
+
+def shown_fields(df, columns) -> list:
+    """Fields of columns as text columns ``a.b`` -> ``a_b``: lists with bars, people with colons, maps as sorted k=v."""
+    out = []
+
+    def add(name: str, c, t) -> None:
+        if isinstance(t, T.StructType):
+            for f in t.fields:
+                add(f"{name}_{f.name}", c[f.name], f.dataType)
+        elif isinstance(t, T.MapType):
+            pairs = F.array_sort(F.transform(F.map_entries(c), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))))
+            out.append(F.array_join(pairs, "|").alias(name))
+        elif isinstance(t, T.ArrayType) and isinstance(t.elementType, T.StructType):
+            one = lambda x: F.concat_ws(":", *[x[f.name].cast("string") for f in t.elementType.fields])
+            out.append(F.array_join(F.transform(c, one), "|").alias(name))
+        elif isinstance(t, T.ArrayType):
+            out.append(F.array_join(c, "|").alias(name))
+        else:
+            out.append(c.cast("string").alias(name))
+
+    for k in columns:
+        add(k, F.col(k), df.schema[k].dataType)
+    return out
+
+
+# What the rules make of `bridge_raw`; every other field of a record is null.
+RECORD = {
+    "source_url": "'https://news.example.com/' || c", "region": "CASE WHEN o % 4 = 3 THEN 'BC' END", "consensus_state": "prio",
+    "article_date_published": "CASE o % 5 WHEN 0 THEN '2025-10-01' WHEN 1 THEN '2025-10-03' WHEN 2 THEN '2025-10-04' WHEN 4 THEN '2025-10-05' END",
+    "num_people_involved": "CASE o % 5 WHEN 0 THEN '3' WHEN 1 THEN '2' WHEN 2 THEN '3' WHEN 4 THEN '1' END",
+    "num_fatalities": "CASE c % 3 WHEN 0 THEN '4' WHEN 1 THEN '1' END",
+    "fall_height_meters_estimate": "CASE c % 4 WHEN 0 THEN '30.5' WHEN 1 THEN '12.0' WHEN 3 THEN '7.25' END",
+    "self_rescue_boolean": "CASE c % 5 WHEN 0 THEN 'true' WHEN 1 THEN 'true' WHEN 2 THEN 'false' END",
+    "extraction_confidence_score": "CASE o % 3 WHEN 1 THEN '0.5' WHEN 2 THEN '0.75' END",
+    "route_confidence_score": "CASE o % 3 WHEN 0 THEN '1.0' WHEN 1 THEN '0.0' ELSE '0.25' END",
+    "photo_urls": "CASE o % 4 WHEN 0 THEN 'one.jpg' WHEN 1 THEN 'a|b' END", "anchors": """'{"kind":"bolt"}'""",
+    "people": "'P' || c % 50 || ':' || o % 70 || ':Minor'",
+    "extras": "CASE WHEN o % 2 = 0 THEN 'missing_since=2025-09-30|' ELSE '' END || 'weather_note=cold'",
+}
+CAUSE_FIELDS = [*[(name, kind, allowed) for name, kind, allowed in N.CAUSE_LISTS],
+                *[(f"{group}_{name}", kind, allowed) for group, rules in C.CAUSE_OBJECTS.items() for name, kind, allowed in rules]]
+_PLAIN = [k for k in N.KNOWN_KEYS if k != "accident_causes"]
+RECORD_FIELDS = [*_PLAIN, *(f"accident_causes_{name}" for name, _, _ in CAUSE_FIELDS), "extras"]
+
+
+@query("normalize_artifact", raw_sql(", ".join(f"{RECORD.get(k, 'cast(NULL AS varchar)')} AS {k}" for k in RECORD_FIELDS)))
 def normalize_artifact(spark, sf_dir):
-    return normalized(spark, sf_dir)
+    found = normalized(spark, sf_dir)
+    return found.select("record_id", *shown_fields(found, [*_PLAIN, "accident_causes", "extras"]))
+
+
+def _cause_value(kind: str, allowed) -> tuple[str, str]:
+    """A value as JSON (SQL text over ``o``, run by both engines) and what the rule makes of it."""
+    return {
+        "enum": lambda: (f"""CASE WHEN o % 2 = 0 THEN '" {allowed[0].upper()} "' ELSE '"no such"' END""", f"CASE WHEN o % 2 = 0 THEN '{allowed[0]}' END"),
+        "int": lambda: ("""concat('"', cast(o % 5 AS string), '.7"')""", "cast(o % 5 AS varchar)"),
+        "bool": lambda: ("""CASE WHEN o % 3 = 0 THEN 'true' WHEN o % 3 = 1 THEN 'false' ELSE '"yes"' END""", "CASE o % 3 WHEN 0 THEN 'true' WHEN 1 THEN 'false' END"),
+        "text": lambda: ("""CASE WHEN o % 2 = 0 THEN '" some words "' ELSE '"  "' END""", "CASE WHEN o % 2 = 0 THEN 'some words' END"),
+        "list": lambda: ("""CASE WHEN o % 2 = 0 THEN '["x ", " ", "y"]' ELSE '" z "' END""", "CASE WHEN o % 2 = 0 THEN 'x|y' ELSE 'z' END"),
+        "lower_list": lambda: ("""'["Radio", " radio ", "Flag"]'""", "'radio|flag'"),
+        "enum_list": lambda: (f"""'["{allowed[0].upper()}", "no such", " {allowed[-1]} "]'""", f"'{allowed[0]}|{allowed[-1]}'" if len(allowed) > 1 else f"'{allowed[0]}'"),
+    }[kind]()
+
+
+def _cause_docs_sql() -> str:
+    member = lambda name, kind, allowed: f"""'"{name}":', {_cause_value(kind, allowed)[0]}"""
+    listed = lambda rules: ", ',', ".join(member(*r) for r in rules)
+    groups = ", ',', ".join(f"""'"{group}":{{', {listed(rules)}, '}}'""" for group, rules in C.CAUSE_OBJECTS.items())
+    return f"""SELECT o AS record_id, concat('{{"confidences":{{"a":1.5,"b":"0.5","c":"x","d":-1,"e":0.', cast(o % 10 AS string), '}},"accident_causes":{{', {listed(N.CAUSE_LISTS)}, ',', {groups}, '}}}}') AS raw
+FROM (SELECT o_orderkey AS o FROM orders)"""
+
+
+@query("normalize_causes", "SELECT o AS record_id, 'a=1.0|b=0.5|d=0.0|e=0.' || o % 10 AS confidences, "
+       + ", ".join(f"{_cause_value(kind, allowed)[1]} AS accident_causes_{name}" for name, kind, allowed in CAUSE_FIELDS) + " FROM (SELECT o_orderkey AS o FROM orders)")
+def normalize_causes(spark, sf_dir):
+    """Every sub-field of the causes, with a value that its rule takes and one that it does not."""
+    table(spark, sf_dir, "orders").createOrReplaceTempView("cairnbook_orders")
+    found = N.normalize_artifacts(spark.sql(_cause_docs_sql().replace("FROM orders", "FROM cairnbook_orders")))
+    return found.select("record_id", *shown_fields(found, ["confidences", "accident_causes"]))
 
 
 # --- confidence -------------------------------------------------------------------------------------------
