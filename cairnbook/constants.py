@@ -286,3 +286,21 @@ DATE_LABEL = (
 )
 MONTH_DAY_YEAR = r"((?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Sept|Oct|Nov|Dec)[a-z]*\.?\s+\d{1,2},?\s+\d{4})"
 ISO_ANYWHERE = r"\b(\d{4}-\d{2}-\d{2})\b"
+
+# --- Fixed values: patterns of pages, blocks, images, reports and their list -----
+PAGE_BYLINE = r"(?U)(?:^|[\n\-–|•])\s*(?:By|BY)\s+([A-Z][A-Za-z\-']+(?:\s+[A-Z][A-Za-z\-']+){0,4})"
+JS_REDIRECT = r"(?i)location\.href\s*=|location\.replace\(|window\.location"
+PEAK = r"(?i)^peak/area\s*[:\-]\s*(.+)$"
+ACTIVITY = r"(?i)^activity/style\s*[:\-]\s*(.+)$"
+MANIFEST_ID = r"(?i)^[a-f0-9]{6,}$"
+REPORT_ID = r"(?i)^[a-z0-9]{4,}$"
+SUMMARY_SECTION = r"(?is)## Executive Summary(.*?)(?:\n##|\z)"
+BLOCK_BYLINE = r"(?U)^(author\b|by\s+[A-Z][\w\-']+)"
+HEADLINE = r"(?U)^[A-Z][\w\s'’:-]+$"
+SIGN_UP = r"(?is)By signing up.*?(?=\n\n|\z)"
+EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+IMAGE_URL_IN_TEXT = r"https?://[^\s\"'>)]+"
+UPLOAD_IN_TEXT = r"https?://[^\s\"'>)]+wp-content/uploads[^\s\"'>)]+"
+URL_IN_TEXT = r"https?://[^\s)]+"
+SOURCES_SECTION = r"(?s)## Sources\n.*?(?=\n## |\z)"
+SOURCES_NOTE = "(All original source URLs listed above; labels inferred from domains.)"

@@ -8,15 +8,12 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from cairnbook.constants import (
+    BLOCK_BYLINE, HEADLINE, SIGN_UP, EMAIL,
     ANCHOR_WORDS, BOILERPLATE_TOKENS, FOCUS_DROP_TOKENS, SECTION_STOP_PREFIXES,
     SECTION_STOP_TOKENS, STOP_MARKER_PREFIXES, STOP_MARKER_TOKENS, SUBSTANTIVE_TOKENS,
 )
 from cairnbook.functions.strings import contains_any, squeeze, starts_with_any, strip, whole_word, words_in
 
-BYLINE = r"(?U)^(author\b|by\s+[A-Z][\w\-']+)"
-HEADLINE = r"(?U)^[A-Z][\w\s'’:-]+$"
-SIGN_UP = r"(?is)By signing up.*?(?=\n\n|\z)"
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 
 
 def first_index(items: Column, test) -> Column:
@@ -65,7 +62,7 @@ def distinct_blocks(texts: Column) -> Column:
 def keep_second(t: Column) -> Column:
     stopped = starts_with_any(t, SECTION_STOP_PREFIXES) | contains_any(t, SECTION_STOP_TOKENS)
     short = (F.length(strip(t)) < 30) & ~strip(t).rlike(HEADLINE)
-    return strip(t).rlike(BYLINE) | ~(stopped | short)
+    return strip(t).rlike(BLOCK_BYLINE) | ~(stopped | short)
 
 
 def second_filter(texts: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cairnbook.constants import (
+    IMAGE_URL_IN_TEXT, UPLOAD_IN_TEXT,
     IMAGE_EXTENSION, IRRELEVANT_IMAGE_TOKENS, MIN_IMAGE_BYTES, MIN_IMAGE_HEIGHT, MIN_IMAGE_WIDTH,
     RELEVANT_CAPTION_WORDS, STRAY_HOST_TOKENS, UPLOAD_PATH,
 )
@@ -14,8 +15,6 @@ from cairnbook.functions.strings import (
 )
 from cairnbook.operators.pages import without_landing_pages
 
-URL_IN_TEXT = r"https?://[^\s\"'>)]+"
-UPLOAD_IN_TEXT = r"https?://[^\s\"'>)]+wp-content/uploads[^\s\"'>)]+"
 CAPTION = "array<struct<image_url:string,caption_raw:string>>"
 
 
@@ -71,7 +70,7 @@ def candidate_urls(parsed: DataFrame) -> DataFrame:
     relative = F.concat(tags, F.array(_filled(og, "content"), _filled(rel, "href")), styles)
     scripts = F.filter(H.with_tag(e, "script"), lambda s: F.coalesce(H.attr(s, "type") == "application/ld+json", F.lit(True)))
     embedded = F.filter(
-        F.flatten(F.transform(scripts, lambda s: F.regexp_extract_all(H.script_of(s), F.lit(URL_IN_TEXT), F.lit(0)))),
+        F.flatten(F.transform(scripts, lambda s: F.regexp_extract_all(H.script_of(s), F.lit(IMAGE_URL_IN_TEXT), F.lit(0)))),
         lambda u: u.contains("wp-content/uploads") | F.lower(u).rlike(r"\.(jpg|jpeg|png|webp)$"))
     raw = F.regexp_extract_all("html", F.lit(UPLOAD_IN_TEXT), F.lit(0))
     return (parsed

@@ -4,18 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cairnbook.constants import PAGE_SIZE
+from cairnbook.constants import ACTIVITY, MANIFEST_ID, PAGE_SIZE, PEAK, REPORT_ID, SUMMARY_SECTION
 from cairnbook.functions import jsons as J
 from cairnbook.functions.blocks import first_index
 from cairnbook.functions.html import first_of
 from cairnbook.functions.strings import first_match, none_if_blank, strip
 from cairnbook.operators.ranking import number_rows
 
-PEAK = r"(?i)^peak/area\s*[:\-]\s*(.+)$"
-ACTIVITY = r"(?i)^activity/style\s*[:\-]\s*(.+)$"
-MANIFEST_ID = r"(?i)^[a-f0-9]{6,}$"
-REPORT_ID = r"(?i)^[a-z0-9]{4,}$"
-SUMMARY_SECTION = r"(?is)## Executive Summary(.*?)(?:\n##|\z)"
 SEARCHED = ("id", "title", "date_of_event", "peak", "activity", "summary")
 _STATE = "struct<pairs:array<struct<key:string,value:string>>,key:string,buffer:array<string>>"
 NO_PAIRS = "array<struct<key:string,value:string>>"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cairnbook.constants import (
+    PAGE_BYLINE, JS_REDIRECT,
     BLOCK_TAGS, CONTAINER_SELECTORS, LANDING_TOKENS, META_AUTHOR_KEYS, META_DATE_KEYS,
 )
 from cairnbook.functions import blocks as B, html as H
@@ -14,8 +15,6 @@ from cairnbook.functions.strings import (
 )
 
 WHOLE_PAGE = "struct<pos:int,end:int,kind:string>"
-BYLINE = r"(?U)(?:^|[\n\-–|•])\s*(?:By|BY)\s+([A-Z][A-Za-z\-']+(?:\s+[A-Z][A-Za-z\-']+){0,4})"
-JS_REDIRECT = r"(?i)location\.href\s*=|location\.replace\(|window\.location"
 
 
 def with_elements(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -240,7 +239,7 @@ def html_meta(parsed: DataFrame) -> DataFrame:
                             lambda m: iso_date(H.attr(m, "content")))
     clock = H.first_of(H.with_tag(e, "time"))
     clock_attr = F.coalesce(F.nullif(H.attr(clock, "datetime"), F.lit("")), H.attr(clock, "content"))
-    byline = strip(first_match(F.substring("visible_text", 1, 1200), BYLINE))
+    byline = strip(first_match(F.substring("visible_text", 1, 1200), PAGE_BYLINE))
     return parsed.select(
         "*",
         F.coalesce(_first_value(F.transform(ld, _json_ld_author)), _first_value(meta_author), byline).alias("html_author"),

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cairnbook.constants import AGENCY_FIELDS, MONTHS, REGION_FIELDS, WEEKDAYS
+from cairnbook.constants import AGENCY_FIELDS, MONTHS, REGION_FIELDS, SOURCES_NOTE, SOURCES_SECTION, URL_IN_TEXT, WEEKDAYS
 from cairnbook.functions.dates import checked_date, month_number
 from cairnbook.functions.strings import first_match, none_if_blank, ordered_union, publisher_label, strip
 from cairnbook.operators.ranking import number_rows
@@ -16,9 +16,6 @@ _MONTH = "(" + "|".join(m.capitalize() for m in MONTHS) + ")"
 MONTH_DAY = rf"(?i){_MONTH}\s+([0-3]?\d)(?:,?\s+(\d{{4}}))?"
 MONTH_YEAR = rf"(?i){_MONTH}\s+(\d{{4}})"
 MONTH_ONLY = rf"(?i){_MONTH}"
-URL_IN_TEXT = r"https?://[^\s)]+"
-SOURCES_SECTION = r"(?s)## Sources\n.*?(?=\n## |\z)"
-SOURCES_NOTE = "(All original source URLs listed above; labels inferred from domains.)"
 
 
 def publication_day(raw: Column) -> Column:

@@ -4,8 +4,6 @@ A batch answer is ``batch_id, raw``; batch items are ``batch_id, pos`` (0-based)
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cairnbook.functions import jsons as J
@@ -80,16 +78,3 @@ def token_totals(calls: DataFrame) -> DataFrame:
     zero = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
     return (calls.rollup("model").agg(zero("prompt").alias("prompt"), zero("completion").alias("completion"))
             .withColumn("total", F.col("prompt") + F.col("completion")))
-
-
-def stub_extract(df: DataFrame, text: str = "text") -> DataFrame:
-    """Deterministic stand-in for the extractor."""
-    digest = F.substring(F.sha1(F.col(text)), 1, 8)
-    return df.select(*[c for c in df.columns if c != text], F.lit(True).alias("stub"),
-                     F.concat(F.lit("Stub Extraction "), digest).alias("title"), F.lit("unknown").alias("activity"),
-                     F.length(text).alias("raw_character_count"), digest.alias("hash"))
-
-
-def extract_with(df: DataFrame, extract: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Run the caller's extractor over the items; the stub when none is given."""
-    return (extract or stub_extract)(df)
