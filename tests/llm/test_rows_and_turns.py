@@ -1,6 +1,6 @@
 """Line dedup and preference formatting."""
 
-from cairnbook.llm import line_dedup, preference
+from cairnbook.llm import catalog, line_dedup, preference
 
 
 def test_sentences_pasted_into_lines(spark):
@@ -67,3 +67,15 @@ def test_prefix_once_and_masks(spark):
     assert preference.format_pairs(make([]), make([])).collect() == []
     plan = preference.format_pairs(make(chosen), make(rejected))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_every_conversation_makes_a_pair(spark, tmp_path):
+    said = [(1, 0, "user", "a"), (1, 1, "assistant", "A"), (1, 2, "user", "thanks"), (4, 0, "user", "b"), (7, 0, "user", "c"), (7, 1, "assistant", None),
+            (9, 0, "user", "d"), (9, None, "assistant", "D"), (None, 0, "user", "x")]
+    spark.createDataFrame(said, "conv_id long, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = {r.pair_id: r for r in catalog.QUERIES["op5_preference"](spark, str(tmp_path)).collect()}
+    assert set(got) == {1, 4, 7, 9}
+    assert got[1].n_prompt_turns == 1 and got[1].chosen == "<|assistant|>\nA<|end|>\n<|user|>\nthanks<|end|>\n" and got[1].rejected == ""
+    assert got[4].n_prompt_turns == 1 and got[4].chosen == "" and got[4].rejected == "<|assistant|>\n<|end|>\n"
+    assert got[7].chosen == "<|assistant|>\n<|end|>\n" and got[7].rejected == "<|assistant|>\nD<|end|>\n"
+    assert got[9].n_prompt_turns == 0 and got[9].rejected == ""
