@@ -135,7 +135,7 @@ def amp_link(elements: Column) -> Column:
 def best_variant(variants: DataFrame) -> DataFrame:
     """``page_id, rank, html`` with rank 0 the original: the first variant, by rank, longer than the original wins.
 
-    The pick is made on ranks and lengths; the page's text is fetched by the winning rank."""
+    Gives one row per page, with the rank that won. The pick is made on ranks and lengths; the page's text is fetched by the winning rank."""
     size = F.coalesce(F.length("html"), F.lit(0))
     # Only ranks and lengths are aggregated and shuffled; a rank that repeats goes by its longest text.
     sizes = variants.groupBy("page_id", "rank").agg(F.max(size).alias("size"))
@@ -147,7 +147,26 @@ def best_variant(variants: DataFrame) -> DataFrame:
     texts = variants.select("page_id", "rank", size.alias("size"), "html").join(chosen.where("size IS NOT NULL"), ["page_id", "rank", "size"], "left_semi")
     order = Window.partitionBy("page_id", "rank", "size").orderBy(F.desc("html"))
     one = texts.withColumn("_n", F.row_number().over(order)).where("_n = 1").select("page_id", "html")
-    return picked.select("page_id").join(one, "page_id", "left")
+    return picked.join(one, "page_id", "left")
+
+
+def fetched_articles(pages: DataFrame, fetched: DataFrame) -> DataFrame:
+    """``articles`` of pages, where a blocked page gives way to the first of its variants that is longer.
+
+    ``pages`` has ``page_id, url, html`` and, if known, the answer's ``status``; ``fetched`` has the answers ``url, html`` of
+    alternative addresses. A blocked page without an answer that is longer stays as it is; one that is replaced carries the
+    address of its variant. Only blocked pages and the variants of their addresses are shuffled before the pick."""
+    parsed = with_elements(pages)
+    status = F.col("status") if "status" in pages.columns else None
+    blocked = (parsed.where(B.blocked_page(F.col("visible_text"), status))
+               .select("page_id", "html", F.posexplode(amp_urls(F.col("url"), amp_link(F.col("elements")))).alias("rank", "url")))
+    tries = blocked.select("page_id", (F.col("rank") + 1).alias("rank"), "url")
+    own = blocked.where("rank = 0").select("page_id", F.lit(0).alias("rank"), "html")
+    answers = tries.join(fetched.select("url", "html"), "url").select("page_id", "rank", "html")
+    won = best_variant(own.unionByName(answers)).where("rank > 0").join(tries, ["page_id", "rank"])
+    won = won.select("page_id", F.col("url").alias("won_url"), F.col("html").alias("won_html"))
+    mended = pages.join(won, "page_id", "left")
+    return articles(mended.withColumns({c: F.coalesce(f"won_{c}", c) for c in ("url", "html")}).drop("won_url", "won_html"))
 
 
 # --- landing pages --------------------------------------------------------------------

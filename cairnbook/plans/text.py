@@ -263,7 +263,30 @@ SELECT page_id, coalesce(arg_min(text, turn) FILTER (turn > 0 AND length(text) >
   SELECT conv_id AS page_id, turn, text, max(length(text)) FILTER (turn = 0) OVER (PARTITION BY conv_id) AS own FROM conversations) GROUP BY 1""")
 def amp_best_variant(spark, sf_dir):
     return P.best_variant(table(spark, sf_dir, "conversations").select(
-        F.col("conv_id").alias("page_id"), F.col("turn").cast("int").alias("rank"), F.col("text").alias("html")))
+        F.col("conv_id").alias("page_id"), F.col("turn").cast("int").alias("rank"), F.col("text").alias("html"))).select("page_id", "html")
+
+
+# Half of the pages are blocked in one of four ways; their text is behind a linked or a guessed address, or behind none.
+FETCHED = {
+    "first": """
+SELECT page_id, concat('https://news.example.com/p/', cast(page_id AS string)) AS url, CASE WHEN page_id % 8 = 3 THEN 403 ELSE 200 END AS status,
+  CASE page_id % 8 WHEN 0 THEN '<html><body>Access Denied</body></html>' WHEN 1 THEN '<html><body>Wait</body></html>'
+    WHEN 2 THEN concat('<html><head><link rel="amphtml" href="/amp/', cast(page_id AS string), '"></head><body>Wait</body></html>')
+    WHEN 3 THEN '<html><body>Come back later</body></html>' ELSE html END AS html FROM pages""",
+    "fetched": """
+SELECT concat('https://news.example.com/p/', cast(page_id AS string), '/amp') AS url, CASE WHEN page_id % 8 = 1 THEN '<p>no</p>' ELSE html END AS html FROM pages WHERE page_id % 8 < 2
+UNION ALL SELECT concat('https://news.example.com/p/', cast(page_id AS string), '?outputType=amp'), html FROM pages WHERE page_id % 8 = 1
+UNION ALL SELECT concat('https://news.example.com/amp/', cast(page_id AS string)), html FROM pages WHERE page_id % 8 IN (2, 3)""",
+}
+
+
+@query("fetched_articles", f"""
+SELECT page_id, concat('https://news.example.com/', CASE page_id % 8 WHEN 2 THEN 'amp/' ELSE 'p/' END, page_id, CASE page_id % 8 WHEN 0 THEN '/amp' WHEN 1 THEN '?outputType=amp' ELSE '' END) AS url,
+  CASE WHEN page_id % 8 <> 3 THEN title END AS title, CASE WHEN page_id % 8 = 3 THEN '' ELSE full_text END AS full_text, CASE WHEN page_id % 8 = 3 THEN '' ELSE focused_text END AS focused_text FROM ({ARTICLES})""")
+def fetched_articles(spark, sf_dir):
+    table(spark, sf_dir, "pages").createOrReplaceTempView("cairnbook_pages")
+    first, fetched = (spark.sql(FETCHED[k].replace("FROM pages", "FROM cairnbook_pages")) for k in ("first", "fetched"))
+    return P.fetched_articles(first, fetched)
 
 
 LANDING = """
