@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from cairnbook.operators import fusion as U, ledger as L
@@ -88,6 +89,41 @@ def test_publish_once_by_content(spark, tmp_path):
     assert sorted(r.record_id for r in spark.read.parquet(out).collect()) == [1, 2, 3, 4]
 
 
+def test_publish_reads_only_what_a_batch_may_meet(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "name string, n long"
+    for run, rows in enumerate(([(f"k{i}", i) for i in range(500)] + [(None, 1)], [("k7", 99), (None, 2), ("new", 3)])):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{src}{run}")
+        T.publish_once(spark.readStream.schema(schema).parquet(f"{src}{run}"), out, str(tmp_path / f"cp{run}"), keys=["name"])
+    got = {r.name: r.n for r in spark.read.parquet(out).collect()}
+    assert len(got) == spark.read.parquet(out).count() == 502 and (got["k7"], got[None], got["new"]) == (7, 1, 3)
+    fresh = spark.read.parquet(out).where("name = 'k7'")
+    held = T.held_keys(fresh, out, ["name"])
+    assert "PartitionFilters: [isnotnull(shard" in held._jdf.queryExecution().executedPlan().toString()
+    names = [r.name for r in held.collect()]
+    assert "k7" in names and len(names) <= 3
+    assert T.held_keys(fresh.limit(0), out, ["name"]).count() == 0
+
+
+def test_full_tiers_of_the_ledger_log_are_folded(spark, tmp_path):
+    log, schema = str(tmp_path / "log"), "source_url string, extracted_at string, record_id bigint"
+    rows = [[("u1", f"2024-01-{b + 10}", b), (f"only{b}", "2024-01-01", 100 + b)] for b in range(7)]
+    for b, part in enumerate(rows):
+        spark.createDataFrame(part, schema).write.mode("overwrite").parquet(f"{log}/batch_id={b}")
+        T.compact_tiers(spark, log, fan=2)
+    want = {"u1": 6} | {f"only{b}": 100 + b for b in range(7)}
+    ledger = lambda: {r.source_url: r.record_id for r in T.current_ledger(spark, log).collect()}
+    assert ledger() == want
+    assert sorted(p.name for p in (tmp_path / "log").iterdir() if p.is_dir()) == ["batch_id=3_t2", "batch_id=5_t1", "batch_id=6"]
+    # A batch that is repeated after its folder was folded, and parts that a broken run left, change nothing.
+    spark.createDataFrame(rows[0], schema).write.mode("overwrite").parquet(f"{log}/batch_id=0")
+    assert ledger() == want
+    T.compact_tiers(spark, log, fan=2)
+    assert ledger() == want
+    with pytest.raises(ValueError):
+        T.compact_tiers(spark, log, fan=1)
+
+
 def test_stream_upsert_in_two_runs(spark, tmp_path):
     schema = "source_url string, extracted_at string, record_id bigint"
     src, log, cp = (str(tmp_path / n) for n in ("in", "log", "cp"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cairnbook.constants import GAZETTEER
 from cairnbook.functions import blocks as B, dates as D, extract as X, strings as S
 from cairnbook.functions.html_tokens import page_elements
-from cairnbook.operators import pages as P, places
+from cairnbook.operators import bloom, pages as P, places
 from cairnbook.operators.extraction import pre_extract
 
 
@@ -215,3 +215,45 @@ def test_a_longer_reading_replaces_both_texts_of_a_short_page(spark):
     assert got[1] == ("x" * 900, "focus")
     assert got[2] == got[3] == (plain.full_text, plain.focused_text) and "rescued" in plain.full_text
     assert got[4] == ("only this reading", None)
+
+
+def test_bloom_filter_holds_every_key_and_few_others(spark):
+    keys = spark.range(3000)
+    bits = bloom.bits_for(3000)
+    words = bloom.build(keys, F.xxhash64("id"), bits)
+    passed = spark.range(30000).where(bloom.may_hold(words, F.xxhash64("id"), bits))
+    own, foreign = passed.where("id < 3000").count(), passed.where("id >= 3000").count()
+    assert own == 3000 and foreign < 0.04 * 27000
+    none = bloom.build(keys.limit(0), F.xxhash64("id"), bloom.bits_for(0))
+    assert keys.where(bloom.may_hold(none, F.xxhash64("id"), bloom.bits_for(0))).count() == 0
+    assert bloom.bits_for(1 << 40) == 1 << bloom.MOST
+
+
+def test_runs_that_no_name_has_never_become_rows(spark):
+    texts = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(2000)) + " Mount Rainier"), (2, None), (3, ""), (4, "near mount rainier, a&b more")], "doc_id long, text string")
+    names = spark.createDataFrame([("Mount Rainier",), ("&",), (None,), ("",), ("Lake Louise Ski Area",)], "name string")
+    found = {(r.doc_id, r.name) for r in places.match_places(texts, names).collect()}
+    assert found == {(1, "Mount Rainier"), (4, "Mount Rainier"), (4, "&")}
+    keyed = spark.createDataFrame([("mount rainier",)], "gram string")
+    runs = F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.array_join(F.slice("w", i, 2), " "))
+    offered = places.offered_runs(texts.where("doc_id = 1"), keyed, [runs], bloom.bits_for(1))
+    assert offered.where("gram = 'mount rainier'").count() == 1 and offered.count() < 20
+
+
+def test_articles_of_blocked_pages_come_from_the_first_longer_variant(spark):
+    text = "A climber fell on the north face on Sunday and was found by a rescue team the next morning. " * 2
+    page = lambda t: f"<html><body><article><p>{t}</p></article></body></html>"
+    pages = spark.createDataFrame([
+        (1, "http://a.example/x", page(text + "open"), 200), (2, "http://a.example/y", "<p>Access denied</p>", 200),
+        (3, "http://a.example/z", page(text + "status"), 403), (4, "http://a.example/none", "<p>short</p>", 200), (5, None, None, None)],
+        "page_id long, url string, html string, status int")
+    fetched = spark.createDataFrame([
+        ("http://a.example/x/amp", page(text * 9)), ("http://a.example/y/amp", "<p>no</p>"), ("http://a.example/y?outputType=amp", page(text + "second")),
+        ("http://a.example/z/amp", page(text + "third, longer than before")), ("http://a.example/z/amp", page(text)), (None, "x" * 999)], "url string, html string")
+    got = {r.page_id: (r.url, r.full_text) for r in P.fetched_articles(pages, fetched).collect()}
+    assert len(got) == 5
+    assert got[1][0] == "http://a.example/x" and got[1][1].endswith("open")
+    assert got[2][0] == "http://a.example/y?outputType=amp" and got[2][1].endswith("second")
+    assert got[3][0] == "http://a.example/z/amp" and got[3][1].endswith("longer than before")
+    assert got[4] == ("http://a.example/none", "") and got[5][0] is None
+    assert P.fetched_articles(pages.limit(0), fetched).count() == 0
