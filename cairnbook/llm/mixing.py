@@ -8,6 +8,7 @@ the steps so far. All of it is DataFrame expressions.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -95,8 +96,10 @@ def fit_rates(members: DataFrame, targets: np.ndarray | None, *, temper: float =
     """Steps whose `rate` minimises the squared distance of expected domain totals to targets.
 
     `targets` are token totals; without them each domain's share of the present total is its share
-    to the power `temper` (0: equal). A step is a gradient step scaled by each domain's curvature, of a length that
-    cannot overshoot."""
+    to the power `temper` (0: equal). The first steps are scaled by each domain's curvature: they reach targets that
+    can be met, whose distance is zero by any scale, in few passes. If they come to rest short of the targets, plain
+    gradient steps follow, whose resting point is the least-squares fit itself. Each kind ends when a step
+    lowers the distance by less than `tolerance` of it, after `most_steps` at most; a fit that still moves then is warned of."""
     d = len(members.select("p").first()["p"]) if members.limit(1).count() else 0
     if not d:
         return []
@@ -111,15 +114,23 @@ def fit_rates(members: DataFrame, targets: np.ndarray | None, *, temper: float =
         share = np.where(now > 0, (now / now.sum()) ** temper, 0.0)
         targets = now.sum() * share / share.sum()
     diagonal = np.maximum(np.diag(curve), 1e-12 * now.sum())
-    scaled = curve / np.sqrt(np.outer(diagonal, diagonal))
-    pace = 1 / np.linalg.eigvalsh(scaled)[-1]
+    scaled = 1 / np.linalg.eigvalsh(curve / np.sqrt(np.outer(diagonal, diagonal)))[-1] / diagonal
+    plain = np.full(d, 1 / np.linalg.eigvalsh(curve)[-1])
+    near = tolerance * max(float(np.sum(targets)), 1e-9)
     steps: list[np.ndarray] = []
-    for _ in range(most_steps):
-        left = now - targets
-        if np.abs(left).max() <= tolerance * targets.sum():
-            break
-        steps.append(pace * left / diagonal)
-        now = np.asarray([x or 0.0 for x in members.agg(*(F.sum(tokens * p[k] * rate(steps, least=least)) for k in range(d))).first()], float)
+    for pace in (scaled, plain):
+        resting = False
+        for _ in range(most_steps):
+            left = now - targets
+            if np.abs(left).max() <= near:
+                return steps
+            steps.append(pace * left)
+            now = np.asarray([x or 0.0 for x in members.agg(*(F.sum(tokens * p[k] * rate(steps, least=least)) for k in range(d))).first()], float)
+            gain = left @ left - (now - targets) @ (now - targets)
+            if resting := gain <= tolerance * (left @ left):
+                break
+    if not resting and np.abs(now - targets).max() > near:
+        warnings.warn(f"rates still move after {len(steps)} steps; totals miss their targets by up to {np.abs(now - targets).max():.6g} tokens", stacklevel=2)
     return steps
 
 

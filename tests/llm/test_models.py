@@ -114,15 +114,32 @@ def test_rates_meet_targets(spark, tables):
     assert "Python" not in plan and "Arrow" not in plan
 
 
-def test_rates_are_the_least_squares_fit_when_targets_cannot_be_met(spark):
-    rows = [(i, i, 1, 10, [a, 1 - a]) for i, a in enumerate([0.9, 0.6, 0.5, 0.2])]
+def least_squares(p, t, targets, least=0.0):
+    """The smallest squared distance, by very many plain projected steps."""
+    pace, r = 1 / np.linalg.eigvalsh((p * t[:, None]).T @ p)[-1], np.ones(len(t))
+    for _ in range(20_000):
+        r = np.maximum(least, r - p @ ((t * r) @ p - targets) * pace)
+    return (((t * r) @ p - targets) ** 2).sum()
+
+
+@pytest.mark.parametrize("p,targets,least", [
+    ([[a, 1 - a] for a in (0.9, 0.6, 0.5, 0.2)], [40.0, 0.0], 0.0),
+    ([[0.8, 0.1, 0.1], [0.3, 0.4, 0.3], [0.2, 0.3, 0.5], [0.1, 0.8, 0.1]], [50.0, 0.0, 3.0], 0.0),
+    ([[0.7, 0.3], [0.4, 0.6], [0.9, 0.1]], [60.0, 5.0], 1.0)])
+def test_rates_are_the_least_squares_fit_when_targets_cannot_be_met(spark, p, targets, least):
+    p, targets = np.asarray(p), np.asarray(targets)
+    t = 10.0 + np.arange(len(p))
+    rows = [(i, i, 1, int(t[i]), p[i].tolist()) for i in range(len(p))]
     members = spark.createDataFrame(rows, "doc_id long, text_key long, rows long, tokens long, p array<double>")
-    steps = mixing.fit_rates(members, np.asarray([40.0, 0.0]), most_steps=30)
-    r = np.asarray([x.rate for x in members.withColumn("rate", mixing.rate(steps)).orderBy("doc_id").collect()])
-    p = np.asarray([x[4] for x in rows])
-    loss = lambda r: ((10 * r @ p - [40, 0]) ** 2).sum()
-    best = min(loss(np.asarray([x, 0, 0, 0])) for x in np.linspace(0, 6, 601))
-    assert (r >= 0).all() and loss(r) <= best * 1.25
+    steps = mixing.fit_rates(members, targets, least=least)
+    r = np.asarray([x.rate for x in members.withColumn("rate", mixing.rate(steps, least=least)).orderBy("doc_id").collect()])
+    assert (r >= least).all() and (((t * r) @ p - targets) ** 2).sum() <= least_squares(p, t, targets, least) * 1.01
+
+
+def test_a_fit_that_still_moves_is_warned_of(spark):
+    members = spark.createDataFrame([(1, 1, 1, 10, [0.9, 0.1]), (2, 2, 1, 10, [0.2, 0.8])], "doc_id long, text_key long, rows long, tokens long, p array<double>")
+    with pytest.warns(UserWarning, match="still move"):
+        mixing.fit_rates(members, np.asarray([100.0, 3.0]), most_steps=1)
 
 
 def test_no_text_shrinks_when_totals_grow(spark, tables):
