@@ -202,3 +202,10 @@ def test_of_different_rows_with_one_key_the_first_is_published(spark, tmp_path):
         T.publish_once(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
     got = {(r.record_id, r.v) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == {(1, "a"), (2, "z"), (3, "c"), (None, "m")}
+
+
+def test_a_small_table_is_dealt_to_every_core(spark, tmp_path):
+    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "t"))
+    dealt = R.read_table(spark, str(tmp_path / "t"))
+    assert dealt.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism > 1
+    assert min(dealt.rdd.glom().map(len).collect()) > 0 and dealt.count() == 1000
