@@ -44,20 +44,22 @@ def _read_line(s: Column, line: Column) -> Column:
 
 
 def parse_front_matter(reports: DataFrame) -> DataFrame:
-    """Add ``pairs`` (key/value in order, null without front matter) and ``body``. Row by row, no shuffle."""
-    lines = F.split("markdown", "\n", -1)
+    """Add ``pairs`` (key/value in order, null without front matter) and ``body``. Row by row, no shuffle.
+
+    Lines, fences and pairs are columns of their own: each is found once, and later rules read it."""
+    at, to = F.col("_at"), F.col("_to")
     fence = lambda l: strip(l) == "---"
-    start = first_index(lines, fence)
-    rest = F.slice(lines, start + 1, F.greatest(F.size(lines) - start, F.lit(0)))
-    length = first_index(rest, fence)
-    has = F.col("markdown").startswith("---") & (start > 0) & (length > 0)
-    useful = F.filter(F.slice(rest, F.lit(1), F.greatest(length - 1, F.lit(0))),
-                      lambda l: (strip(l) != "") & ~strip(l).startswith("#"))
+    df = reports.withColumn("_lines", F.split("markdown", "\n", -1))
+    df = df.withColumn("_fences", F.transform("_lines", fence)).withColumn("_at", F.array_position("_fences", F.lit(True)).cast("int"))
+    after = F.array_position(F.slice("_fences", at + 1, F.greatest(F.size("_fences") - at, F.lit(0))), F.lit(True)).cast("int")
+    df = _built_once(df.withColumn("_to", F.when(F.col("markdown").startswith("---") & (at > 0) & (after > 0), at + after)).drop("_fences"))
+    useful = F.filter(F.slice("_lines", at + 1, to - at - 1), lambda l: (strip(l) != "") & ~strip(l).startswith("#"))
     zero = F.struct(F.array().cast(NO_PAIRS).alias("pairs"), F.lit(None).cast("string").alias("key"),
                     F.array().cast("array<string>").alias("buffer")).cast(_STATE)
-    body = F.array_join(F.slice(rest, length + 1, F.greatest(F.size(rest) - length, F.lit(0))), "\n")
-    return (reports.withColumn("pairs", F.when(has, F.aggregate(useful, zero, _read_line, _flushed)))
-            .withColumn("body", F.when(has, body).otherwise(F.col("markdown"))))
+    body = F.array_join(F.slice("_lines", to + 1, F.size("_lines") - to), "\n")
+    df = (df.withColumn("pairs", F.when(to.isNotNull(), F.aggregate(useful, zero, _read_line, _flushed)))
+          .withColumn("body", F.when(to.isNotNull(), body).otherwise(F.col("markdown"))))
+    return _built_once(df.select(*reports.columns, "pairs", "body"))
 
 
 def meta(pairs: Column, key: str) -> Column:
@@ -70,11 +72,6 @@ def _some(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
-def _body_lines(body: Column, drop_bullet: bool) -> Column:
-    lines = F.transform(F.split(body, "\n", -1), strip)
-    return F.transform(lines, lambda l: strip(F.regexp_replace(l, r"^[-*] ", ""))) if drop_bullet else lines
-
-
 def _labelled(lines: Column, pattern: str) -> Column:
     return first_of(F.filter(F.transform(lines, lambda l: strip(first_match(l, pattern))), lambda v: v.isNotNull()))
 
@@ -96,14 +93,14 @@ def fallback_items(reports: DataFrame) -> DataFrame:
 
 def manifest_rows(reports: DataFrame) -> DataFrame:
     """List rows of readable reports (``id, markdown``)."""
-    df = parse_front_matter(reports)
     m = lambda k: _some(meta(F.col("pairs"), k))
-    lines = _body_lines(F.col("body"), drop_bullet=True)
-    heading = first_of(F.filter(_body_lines(F.col("body"), drop_bullet=False), lambda l: l.startswith("#")))
-    date = F.coalesce(m("date_of_event"), m("date"), F.lit(""))
+    df = parse_front_matter(reports).withColumn("_lines", F.transform(F.split("body", "\n", -1), strip))
+    heading = first_of(F.filter("_lines", lambda l: l.startswith("#")))
+    df = df.withColumn("_heading", heading).withColumn("_lines", F.transform("_lines", lambda l: strip(F.regexp_replace(l, r"^[-*] ", ""))))
+    date, lines = F.coalesce(m("date_of_event"), m("date"), F.lit("")), F.col("_lines")
     return df.select(
         "id",
-        F.coalesce(m("title"), _some(strip(F.regexp_replace(heading, "^#+", ""))), F.col("id")).alias("title"),
+        F.coalesce(m("title"), _some(strip(F.regexp_replace("_heading", "^#+", ""))), F.col("id")).alias("title"),
         F.coalesce(m("peak"), _labelled(lines, PEAK), F.lit("")).alias("peak"),
         date.alias("date_of_event"), date.alias("date"),
         F.coalesce(_labelled(lines, ACTIVITY), m("activity"), m("audience"), F.lit("")).alias("activity")).transform(_built_once)
@@ -200,7 +197,7 @@ def manifest_pages(items: DataFrame, size: int = PAGE_SIZE, version: int = 1) ->
     One JSON document of all reports would pass through one task; a page never holds more than ``size`` rows."""
     numbered = number_rows(valid_manifest_ids(items), ["id"], name="_n")
     paged = numbered.withColumn("page", F.floor((F.col("_n") - 1) / size) + 1)
-    total = valid_manifest_ids(items).agg(F.count(F.lit(1)).alias("count"))  # one row
+    total = numbered.agg(F.count(F.lit(1)).alias("count"))  # one row, from the checkpointed slices: the items are not made again
     rows = F.transform(F.array_sort(F.collect_list(F.struct("_n", F.to_json(F.struct(*items.columns)).alias("j")))), lambda r: r["j"])
     pages = paged.groupBy("page").agg(J.array_text(rows).alias("reports"))
     return pages.join(F.broadcast(total)).withColumn("version", F.lit(version))

@@ -106,3 +106,12 @@ def test_landing_pages_have_no_captions(spark):
     rows = [(1, "https://x.org/1", picture), (2, "https://x.org/2", '<meta http-equiv="refresh" content="0">' + picture)]
     parsed = P.with_elements(spark.createDataFrame(rows, "page_id int, url string, html string"))
     assert {r.page_id for r in I.captions(parsed).collect()} == {1}
+
+
+def test_front_matter_is_read_once_and_whole(spark):
+    texts = [("a", "---x\n --- \nk: 1\n# no\n\n---\nbody\n---\nend"), ("b", "---\n---\n"), ("c", "---\nk: 1"), ("d", ""), ("e", None)]
+    df = M.parse_front_matter(spark.createDataFrame(texts, "id string, markdown string"))
+    got = {r.id: (None if r.pairs is None else [tuple(p) for p in r.pairs], r.body) for r in df.collect()}
+    assert got == {"a": ([("k", "1")], "body\n---\nend"), "b": ([], ""), "c": (None, "---\nk: 1"), "d": (None, ""), "e": (None, None)}
+    plan = df.select(M.meta(F.col("pairs"), "k"), M.meta(F.col("pairs"), "l"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") == 1
