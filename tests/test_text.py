@@ -257,3 +257,14 @@ def test_articles_of_blocked_pages_come_from_the_first_longer_variant(spark):
     assert got[3][0] == "http://a.example/z/amp" and got[3][1].endswith("longer than before")
     assert got[4] == ("http://a.example/none", "") and got[5][0] is None
     assert P.fetched_articles(pages.limit(0), fetched).count() == 0
+
+
+def test_pages_leave_a_batch_in_pieces(spark, monkeypatch):
+    import pyarrow as pa
+
+    from cairnbook.functions import html_tokens as T
+    monkeypatch.setattr(T, "PIECE", 20)
+    pages = ["<p>one</p>", None, "<p>two</p>" * 3, "", "<h1>end</h1>"]
+    pieces = list(T.page_batches(iter([pa.array(pages), pa.array([], "string")])))
+    assert len(pieces) > 2 and sum(map(len, pieces)) == len(pages)
+    assert [p["strings"] if p else None for piece in pieces for p in piece.to_pylist()] == [["one"], None, ["two"] * 3, [], ["end"]]
