@@ -85,3 +85,20 @@ def test_admission(spark):
 def test_single_object_answer(spark):
     df = spark.createDataFrame([('{"a":1}',), ('x {"a":2} y',), ("[1]",)], "raw string")
     assert [r.j for r in df.select(F.to_json(R.answer_object(F.col("raw"))).alias("j")).collect()] == ['{"a":1}', '{"a":2}', None]
+
+
+def test_people_are_read_once_and_unknown_keys_stay(spark):
+    from cairnbook.plans import records
+    raw = '{"people":[{"name":" A "},7,{"name":" "}],"region":null,"odd":"x","num_fatalities":"2","num_fatalities":3}'
+    row = normalize_rows(spark, [raw, "[1]", '{"people":[]}'])
+    assert [p.name for p in row[0].people] == ["A"] and row[0].region is None and row[0].extras == {"odd": "x"}
+    assert row[1].people is None and row[2].people is None
+    plan = records.clean_people(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode(" in plan and "Filter" not in plan.split("Generate", 1)[1]
+
+
+def normalize_rows(spark, raws):
+    from cairnbook.operators import normalize
+    from cairnbook.sources.readers import last_key_wins
+    with last_key_wins(spark):
+        return normalize.normalize_artifacts(spark.createDataFrame([(i, r) for i, r in enumerate(raws)], "i int, raw string")).orderBy("i").collect()
