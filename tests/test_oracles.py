@@ -41,3 +41,15 @@ def test_query_equals_sql(spark, tools, db, key):
 def test_registry(tools):
     queries, oracles = tools.entry.queries(), tools.entry.oracle_sql()
     assert set(oracles) <= set(queries) and len(queries) > 150
+
+
+def test_html_meta_of_pages_that_begin_with_a_byline(spark, tools, tmp_path):
+    html = ["<p>By Ann Lee</p><p>It fell.</p>", "<title>By By By</title><b>By Ann Lee</b>", "<p>" + "x" * 1185 + "</p><p>- By Ann Lee</p>", "<p></p>", "<p>One</p>"]
+    spark.createDataFrame([(5 * i + 2, "u", h) for i, h in enumerate(html)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    df = tools.entry.queries()["html_meta"](spark, str(tmp_path))
+    cur = con.execute(tools.entry.oracle_sql()["html_meta"])
+    found = tools.table(df.columns, df.collect())
+    assert found == tools.table([d[0] for d in cur.description], cur.fetchall())
+    assert sum(r[0] is not None for r in found[1]) >= 3
