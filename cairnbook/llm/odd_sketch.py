@@ -29,6 +29,8 @@ SKETCH_MOST = 130
 BROADCAST_IDS = 4_000_000
 #: Documents, and digests in their sets, that are brought together at once.
 BLOCK, BLOCK_ITEMS = 192, 400_000
+#: Nodes, with bands and sketch, of a partition.
+NODES = 16_384
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _random = np.random.default_rng(20)
 _FACTORS = _random.integers(0, 1 << 32, SAMPLES, dtype=np.uint32) | np.uint32(1)
@@ -230,7 +232,7 @@ def _across(nodes: DataFrame, near: DataFrame, ids: DataFrame, sets: DataFrame,
     known = (ids.select("rep").join(nodes.drop("set_key", "doc_id"), "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
              .withColumn("component", F.coalesce("component", "rep")).join(_clusters(near), "rep"))
     sizes = known.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_ITEMS)).alias("chunks"))
-    placed = known.join(sizes, "cluster").withColumn("block", F.xxhash64("cluster", F.pmod(F.xxhash64("rep"), F.col("chunks")))).drop("cluster", "chunks").checkpoint()
+    placed = compact(known.join(sizes, "cluster").withColumn("block", F.xxhash64("cluster", F.pmod(F.xxhash64("rep"), F.col("chunks")))).drop("cluster", "chunks"), NODES)
     banded = placed.select("rep", "component", F.explode("bands").alias("band"))
     mixed = banded.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low <> high").select("band", F.ceil(F.col("n") / BLOCK).alias("parts"))
     open_ = banded.join(mixed, "band").select("rep", "band", F.pmod(F.xxhash64("rep"), F.col("parts")).alias("part"))
@@ -280,8 +282,8 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 5, percent: int = 8
     ensure_checkpoint_dir(docs.sparkSession)
     signed = signatures(docs, shingle_words).checkpoint()
     first, same_id = _numbered_sets(signed)
-    nodes = (signed.select("set_key", "doc_id", "n_shingles", "bands", "sketch").join(first, ["set_key", "doc_id"])
-             .dropDuplicates(["set_key"]).checkpoint())
+    nodes = compact(signed.select("set_key", "doc_id", "n_shingles", "bands", "sketch").join(first, ["set_key", "doc_id"])
+                    .dropDuplicates(["set_key"]), NODES)
     buckets = nodes.select("rep", F.explode("bands").alias("band"))
     ends = buckets.groupBy("band").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low <> high")
     met = buckets.join(ends, "band").select("rep", F.explode(F.array("low", "high")).alias("centre")).where("rep <> centre").groupBy("rep", "centre").count()

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cairnbook.llm.components import compact
 from cairnbook.session import ensure_checkpoint_dir
 
 ORDER, BITS = 5, 12
@@ -185,15 +186,18 @@ def fit_ratios(counted: DataFrame, *, without: tuple[int, ...] = (), max_entries
     """The log-ratio tables of orders 5 to 3 from `gram_counts`, every counted run in them; `without` leaves folds out.
 
     Up to `max_entries` runs of five, which no other table exceeds, the tables are sent to the
-    tasks; more of them are joined, with the same ratios.
+    tasks; more of them are joined, with the same ratios. Tables that are sent are made in one partition each, as
+    they go through the driver whole; larger ones in as many as they fill.
     """
     ensure_checkpoint_dir(counted.sparkSession)
     some = counted.where(~F.col("fold").isin(*without)) if without else counted
     summed = some.groupBy("gram").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
-    counts = {ORDER: summed.withColumn("n", F.col("n1") + F.col("n0")).checkpoint()}
+    counts = {ORDER: compact(summed.withColumn("n", F.col("n1") + F.col("n0")))}
     sent = counts[ORDER].count() <= max_entries
+    if sent:
+        counts[ORDER] = counts[ORDER].coalesce(1)
     for order in range(ORDER, 1, -1):
-        counts[order - 1] = _lower(counts[order], order)
+        counts[order - 1] = compact(_lower(counts[order], order))
     n_all, n_kinds = counts[1].agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     below = counts[1].select("gram", ((F.col("n") + 0.5) / (n_all + 0.5 * (n_kinds + 1))).alias("p"))
     two = counts[2].join(_totals(counts[2], ("n",)), F.shiftright("gram", BITS) == F.col("context"))
@@ -387,7 +391,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, curve_rows: int = 20_000, max_ent
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
     rows = labelled(docs, labels)
-    counted = gram_counts(rows).checkpoint()
+    counted = compact(gram_counts(rows))
     unseen = fit_ratios(counted, without=CURVE_FOLDS, max_entries=max_entries)
     tables = fit_ratios(counted, max_entries=max_entries)
     share = min(1.0, curve_rows / max(1, labels.where(learn_fold(F.col("doc_id")).isin(*CURVE_FOLDS) & F.col("toxic").isNotNull()).count()))

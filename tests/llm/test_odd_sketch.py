@@ -101,3 +101,14 @@ def test_unequal_texts_under_one_id_lose_no_link_and_no_text(spark):
     assert got == {(1, 1), (2, 1), (3, 1), (7, 7), (8, 7), (9, 9)}
     kept = [(r.doc_id, r.text) for r in odd_sketch.keep_first(docs, shingle_words=4).collect()]
     assert sorted(kept, key=repr) == sorted([rows[0], rows[1], rows[4], rows[6], rows[7], rows[8]], key=repr)
+
+
+def test_small_graphs_stay_in_one_partition(spark):
+    """Rounds over few edges make no exchanges, and the smallest node is found all the same."""
+    from cairnbook.llm.components import compact, components
+
+    edges = spark.range(0, 400, 1, 16).selectExpr("id AS a", "CASE WHEN id % 100 = 99 THEN id ELSE id + 1 END AS b")
+    found = components(edges)
+    assert found.rdd.getNumPartitions() == 1
+    assert {r.node: r.component for r in found.collect()} == {i: i // 100 * 100 for i in range(400)}
+    assert compact(spark.range(0, 400, 1, 16), 100).rdd.getNumPartitions() == 4
