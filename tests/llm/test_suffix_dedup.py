@@ -74,3 +74,60 @@ def test_no_documents_and_kept_text(spark):
     a = "q" + "".join(map(str, range(300)))
     got = {r.doc_id: r for r in s.remove_repeats(spark.createDataFrame([(1, a), (2, a[1:] + "zz")], "doc_id long, text string"), with_text=True).collect()}
     assert bytes(got[1].kept) == b"q" and bytes(got[2].kept) == b"zz" and [tuple(x) for x in got[1].spans] == [(1, len(a))]
+
+
+def plain_passages(rows):
+    """n_passage_words of each row: words under 51 consecutive words that another row has too."""
+    words = [(t or "").encode().split() for _, t in rows]
+    where = {}
+    for row, w in enumerate(words):
+        for i in range(len(w) - 50):
+            where.setdefault(tuple(w[i:i + 51]), set()).add(row)
+    out = []
+    for (d, _), w in zip(rows, words):
+        hit = set()
+        for i in range(len(w) - 50):
+            if len(where[tuple(w[i:i + 51])]) > 1:
+                hit.update(range(i, i + 51))
+        out.append((d, len(hit)))
+    return sorted(out)
+
+
+def passage_rows():
+    rng = random.Random(7)
+    fresh = lambda n: [rng.choice("abcdefghé") + str(rng.randrange(500)) for _ in range(n)]
+    passage, edge, own = fresh(70), fresh(50), fresh(60)
+    found = [(k, " ".join(fresh(30 * k) + passage[k:k + 51 + k] + fresh(40))) for k in range(12)]
+    found += [(20 + k, " ".join(fresh(20) + edge + fresh(20))) for k in range(3)]
+    found += [(30, " ".join(own + fresh(5) + own)), (31, " ".join(fresh(9) + passage[:60] + fresh(9) + passage[:60])), (32, "\n\t".join(passage[5:63]))]
+    found += [(40, "of " * 300), (41, " ".join(fresh(5) + ["of"] * 80)), (42, "of " * 50), (43, " ".join(["of"] * 50 + fresh(60)))]
+    found += [(50, None), (51, ""), (52, "x " * 51), (53, "x " * 51), (54, "y " * 50), (55, "y " * 50), (56, "z " * 400)]
+    near = fresh(300)
+    return found + [(60 + k, " ".join(near[:9 * k] + ["#"] + near[9 * k + 1:])) for k in range(12)]
+
+
+@pytest.mark.parametrize("hot", [2048, 3])
+def test_passages_equal_brute_force(spark, monkeypatch, hot):
+    """Passages of over 50 words that another row has are told, also those too short in bytes to be removed."""
+    monkeypatch.setattr(s, "HOT", hot)
+    found = passage_rows()
+    got = s.remove_repeats(spark.createDataFrame(found, "doc_id long, text string"), with_text=True).collect()
+    assert sorted((r.doc_id, r.n_passage_words) for r in got) == plain_passages(found)
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == plain(found)
+    row = {r.doc_id: r for r in got}
+    assert row[0].n_removed == 0 and row[0].n_passage_words == 51
+    texts = dict(found)
+    told = [texts[31].encode()[x.start:x.end].split() for x in row[31].passages]
+    assert [len(x) for x in told] == [60, 60] and told[0] == told[1] == texts[31].encode().split()[9:69]
+
+
+def test_words_beyond_a_chunk(monkeypatch):
+    """Words and passages are the same however a long text is cut."""
+    rng = random.Random(4)
+    data = np.frombuffer("  ".join(str(rng.randrange(1000)) * rng.choice([1, 3, 90]) for _ in range(900)).encode(), np.uint8)
+    words, start, end = s.word_prints(data)
+    prints, anchors = s.passage_prints(words), s._passage_anchors(words)
+    assert [bytes(data[a:b]) for a, b in zip(start, end)] == bytes(data).split()
+    monkeypatch.setattr(s, "CHUNK", 256)
+    assert (s.word_prints(data)[0] == words).all() and (s.passage_prints(words) == prints).all()
+    assert set(anchors[0].tolist()) <= set(s._passage_anchors(words)[0].tolist())
