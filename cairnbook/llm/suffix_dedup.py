@@ -293,6 +293,20 @@ def _repeats(buckets: DataFrame) -> DataFrame:
     return buckets.select("token", "key", "low", "n", "context").mapInArrow(sort_bucket, "key binary, start long, end long")
 
 
+def _marked(rows: DataFrame, by: list[str], name: str) -> DataFrame:
+    """`rows` with `name`: true where the values of `by`, none null, occur more than once.
+
+    Rows without a value are left out of the join, and groups of more than HOT rows are sent to the tasks, so that no task gets a group."""
+    some = rows.dropna(subset=by)
+    groups = some.groupBy(*by).count().where("count > 1").checkpoint()
+    often = groups.where(F.col("count") > HOT).select(*by, F.lit(True).alias(name))
+    often = F.broadcast(often) if often.count() <= BROADCAST_IDS else often
+    few = groups.where(F.col("count") <= HOT).select(*by, F.lit(True).alias(name))
+    none = rows.where(" or ".join(f"{c} is null" for c in by)).withColumn(name, F.lit(None).cast("boolean"))
+    rest = some.join(often, by, "left_anti").join(few, by, "left")
+    return rest.unionByName(some.join(often, by)).unionByName(none)
+
+
 def _hot_repeats(contexts: DataFrame) -> DataFrame:
     """key, start, end of what repeats around anchor tokens that very many places share.
 
@@ -323,15 +337,13 @@ def _hot_repeats(contexts: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([key] * len(starts), pa.binary()), pa.array(starts + low), pa.array(prints.view(np.int64))], names=["key", "start", "print"])
 
     cut = contexts.select("token", "key", "at", "low", "n", "context").mapInArrow(blocks, "token long, key binary, low long, block int, core long, whole long, start long, end long").checkpoint()
-    wholes = cut.where("whole is not null").groupBy("whole").count().where("count > 1").select("whole", F.lit(True).alias("repeats"))
-    cores = cut.groupBy("token", "block", "core").count().where("count > 1").drop("count")
-    judged = cut.join(wholes, "whole", "left").join(cores.withColumn("open", F.lit(True)), ["token", "block", "core"], "left").checkpoint()
+    judged = _marked(_marked(cut, ["whole"], "repeats").checkpoint(), ["token", "block", "core"], "open").checkpoint()
     unsure = judged.where("repeats is null and open")
     # A string of an unsure block may equal one inside a block that repeats whole: one of each such kind is counted too.
     partners = judged.where("repeats").join(unsure.select("token", "block", "core").distinct(), ["token", "block", "core"], "left_semi").dropDuplicates(["whole"])
     open_ = unsure.select("key", "low", "token", "block").union(partners.select("key", "low", "token", "block"))
     single = contexts.join(open_, ["key", "low", "token"]).select("key", "at", "low", "n", "context", "block").mapInArrow(strings, "key binary, start long, print long").checkpoint()
-    again = single.join(single.groupBy("print").count().where("count > 1").select("print"), "print")
+    again = _marked(single, ["print"], "repeats").where("repeats")
     return judged.where("repeats").select("key", "start", "end").union(again.select("key", "start", (F.col("start") + LENGTH).alias("end")))
 
 

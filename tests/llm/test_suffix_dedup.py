@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cairnbook.llm import suffix_dedup as s
 
@@ -131,3 +132,22 @@ def test_words_beyond_a_chunk(monkeypatch):
     monkeypatch.setattr(s, "CHUNK", 256)
     assert (s.word_prints(data)[0] == words).all() and (s.passage_prints(words) == prints).all()
     assert set(anchors[0].tolist()) <= set(s._passage_anchors(words)[0].tolist())
+
+
+@pytest.mark.parametrize("bound", [4_000_000, 0])
+def test_groups_of_hot_blocks_do_not_meet_in_a_task(spark, monkeypatch, bound):
+    """Rows without a value are marked without a join, and a large group is no key of a shuffle while it can be sent."""
+    monkeypatch.setattr(s, "HOT", 10)
+    monkeypatch.setattr(s, "BROADCAST_IDS", bound)
+    s.ensure_checkpoint_dir(spark)
+    values = [None] * 700 + [1] * 500 + [2] * 10 + [3, 4, 4, 5]
+    rows = spark.createDataFrame(list(enumerate(values)), "n int, v long").repartition(8).checkpoint()
+    marked = s._marked(rows, ["v"], "twice")
+    assert sorted((r.n, r.twice) for r in marked.collect()) == [(n, True if v in (1, 2, 4) else None) for n, v in enumerate(values)]
+    if bound:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            largest = marked.where("twice is null or v <> 1").withColumn("task", F.spark_partition_id()).groupBy("task", "v").count().agg(F.max("count")).head()[0]
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        assert largest < 200
