@@ -55,7 +55,7 @@ def test_html_meta_of_pages_that_begin_with_a_byline(spark, tools, tmp_path):
     assert sum(r[0] is not None for r in found[1]) >= 3
 
 
-@pytest.mark.parametrize("key", ["page_blocks", "articles"])
+@pytest.mark.parametrize("key", ["page_blocks", "articles", "fetched_articles"])
 def test_titles_that_end_in_a_cut_reference(spark, tools, tmp_path, key):
     page = "<html><body><article>\n<h1>{}</h1>\n<p>The climber fell &lt;far&gt; from the upper ridge &amp; died.</p>\n<script>if (a &&b) {{}}</script><p>R&D said the rest of it.</p>\n</article></body></html>"
     rows = [(i, f"https://a.example/{i}", page.format(t)) for i, t in enumerate(["The ridge of snow &amp; ice", "The ridge of snow &amp", "The ridge of snow &am", "The ridge &amp;amp", "Snow and ice &quot"])]
