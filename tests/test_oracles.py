@@ -7,6 +7,8 @@ import sys
 import duckdb
 import pytest
 
+from cairnbook.operators import pages
+
 SF = "/root/testdata/sf0.001"
 KEYS = ("cluster_deterministic", "cluster_split", "event_ids", "fusion_order", "fuse_lists", "fuse_events", "source_urls", "ledger_newest",
         "ledger_rebuild", "block_dedupe", "focus_window", "trim_tail_run", "publication_date", "gazetteer_join", "coerce_scalars", "clean_causes",
@@ -65,3 +67,16 @@ def test_titles_that_end_in_a_cut_reference(spark, tools, tmp_path, key):
     df = tools.entry.queries()[key](spark, str(tmp_path))
     cur = con.execute(tools.entry.oracle_sql()[key])
     assert tools.table(df.columns, df.collect()) == tools.table([d[0] for d in cur.description], cur.fetchall())
+
+
+def test_landing_pages_with_many_scripts(spark, tools, tmp_path):
+    text = "<p>" + "The climber fell from the ridge. " * 10 + "</p>"
+    rows = [(9 * n + 2, f"https://a.example/{n}", text + "<script>let x = 1</script>" * n) for n in (0, 5, 6, 40)] + [(9, "https://a.example/x", text + "<script>let x = 1</script>" * 8)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    df = tools.entry.queries()["landing_page"](spark, str(tmp_path))
+    cur = con.execute(tools.entry.oracle_sql()["landing_page"])
+    assert tools.table(df.columns, df.collect()) == tools.table([d[0] for d in cur.description], cur.fetchall())
+    late = pages.landing_pages(spark.createDataFrame([(1, "u", text + "<script></script>" * n + "<script>window.location = 1</script>") for n in (5, 6)], "page_id long, url string, html string"))
+    assert [r.landing_reason for r in late.collect()] == ["js-redirect", None]
