@@ -30,6 +30,10 @@ DISCOUNT = 0.75
 CHUNK = 1 << 21
 #: Most labelled ids that are broadcast; more of them are joined.
 BROADCAST_LABELS = 2_000_000
+#: Most runs of five whose tables are sent to the tasks (some 30 bytes a run with the shorter runs); more of them are joined.
+SENT_RUNS = 1 << 22
+#: Tables of up to so many runs are made in one partition each.
+ONE_PART_RUNS = 1 << 19
 #: Distinct words a task remembers before it starts over.
 MET_WORDS = 300_000
 N_FEATURES = 4
@@ -182,19 +186,20 @@ class JoinedRatios:
         return at.select("gram", value.alias("ratio"))
 
 
-def fit_ratios(counted: DataFrame, *, without: tuple[int, ...] = (), max_entries: int = 1 << 19) -> RatioTables | JoinedRatios:
+def fit_ratios(counted: DataFrame, *, without: tuple[int, ...] = (), max_entries: int = SENT_RUNS) -> RatioTables | JoinedRatios:
     """The log-ratio tables of orders 5 to 3 from `gram_counts`, every counted run in them; `without` leaves folds out.
 
     Up to `max_entries` runs of five, which no other table exceeds, the tables are sent to the
-    tasks; more of them are joined, with the same ratios. Tables that are sent are made in one partition each, as
-    they go through the driver whole; larger ones in as many as they fill.
+    tasks; more of them are joined, with the same ratios. Runs grow far slower than the rows, joins of each
+    text's words with them as the rows do. Tables of up to `ONE_PART_RUNS` are made in one partition each, larger ones in as many as they fill.
     """
     ensure_checkpoint_dir(counted.sparkSession)
     some = counted.where(~F.col("fold").isin(*without)) if without else counted
     summed = some.groupBy("gram").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
     counts = {ORDER: compact(summed.withColumn("n", F.col("n1") + F.col("n0")))}
-    sent = counts[ORDER].count() <= max_entries
-    if sent:
+    size = counts[ORDER].count()
+    sent = size <= max_entries
+    if sent and size <= ONE_PART_RUNS:
         counts[ORDER] = counts[ORDER].coalesce(1)
     for order in range(ORDER, 1, -1):
         counts[order - 1] = compact(_lower(counts[order], order))
@@ -381,7 +386,7 @@ class ToxicityModel:
         return 1 / (1 + math.exp(-min(max(z, -30.0), 30.0)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, curve_rows: int = 20_000, max_entries: int = 1 << 19) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, *, curve_rows: int = 20_000, max_entries: int = SENT_RUNS) -> ToxicityModel:
     """Learn from labelled rows outside the held-out fold.
 
     Folds 1 to 4 are counted, every row of them, and all of them are in the tables that score. The logistic curve

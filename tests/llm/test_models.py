@@ -95,6 +95,19 @@ def test_rare_runs_count_beyond_the_broadcast_bound(spark, tables):
     assert kept(large) == kept(small)
 
 
+def test_tables_of_over_half_a_million_runs_are_sent(spark):
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyzäöüßéèçñ  "))
+    rng = np.random.default_rng(7)
+    docs = spark.createDataFrame([(i, "".join(rng.choice(letters, 8000))) for i in range(100)], "doc_id long, text string")
+    counted = toxicity.gram_counts(docs.select(F.lit(1).alias("fold"), "text", (F.col("doc_id") % 2).cast("int").alias("toxic"))).cache()
+    sent, joined = toxicity.fit_ratios(counted), toxicity.fit_ratios(counted, max_entries=1000)
+    assert isinstance(sent, toxicity.RatioTables) and isinstance(joined, toxicity.JoinedRatios)
+    assert len(sent.tables["gram", 5][0]) == counted.select("gram").distinct().count() > toxicity.ONE_PART_RUNS
+    keys = counted.select("gram").where("gram % 97 = 0").union(spark.range(5).select("id"))
+    rows = joined.ratios(keys).collect()
+    assert np.allclose(sent.ratios(np.array([r.gram for r in rows])), [r.ratio for r in rows], rtol=1e-12)
+
+
 def test_without_labels_the_score_is_flat(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
